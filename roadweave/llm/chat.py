@@ -35,7 +35,7 @@ WINDOW = "conv_id, window, text, mask, turns"
 
 
 def escape(text: Column) -> Column:
-    return F.regexp_replace(F.regexp_replace(text, r"\\", r"\\\\\\\\"), CONTROL, r"$1\\\\")
+    return F.regexp_replace(F.regexp_replace(text, r"\\", r"\\\\"), CONTROL, r"$1\\")
 
 
 def unescape(text: Column) -> Column:
