@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadweave.llm import chat, langid, mixing, sharding, simhash
+from roadweave.llm import chat, decontam, langid, lm, minhash, mixing, sharding, simhash, tokencounts, warc
+from roadweave.llm.words import word_count
+from roadweave.storage import materialize, new_path
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -87,12 +89,53 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", simhash.hex16(F.col("__fp")).alias("fingerprint"), "component_id")
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document with each test item that it holds."""
+    return decontam.contaminated(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+
+
+def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log-probability of every document, learnt from four of five folds."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out, v = lm.train_and_score(docs, fold(F.col("doc_id"), 5) != 1)
+    return out.select("doc_id", (fold(F.col("doc_id"), 5) == 1).alias("held_out"), "n_tokens", "n_known", F.lit(v.total).cast("long").alias("train_tokens"), "base_score", "score")
+
+
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Metadata and conversion records of all pages, linked to their responses."""
+    return warc.derive(warc.responses(table(spark, sf_dir, "pages")))
+
+
+def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document, of its edited text, and their likeness."""
+    return minhash.compare_with_next(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals after all documents are inserted by words and revised to tokens, each batch sent twice."""
+    docs = table(spark, sf_dir, "documents").select("source", "lang", "text")
+    none = F.lit(None)
+    counted = materialize(tokencounts.count_tokens(docs.withColumn("words", word_count(F.col("text")))).select("source", "lang", "words", "n_tokens"), "token-counts")
+    by_words, by_tokens = F.lit("words"), F.lit(tokencounts.TOKENIZER)
+    inserts = counted.select(F.lit("insert").alias("op"), "source", "lang", by_words.alias("tokenizer"), F.col("words").alias("n_tokens"), none.cast("string").alias("old_source"), none.cast("string").alias("old_lang"), none.cast("string").alias("old_tokenizer"), none.cast("long").alias("old_n_tokens"))
+    revisions = counted.select(F.lit("revise").alias("op"), "source", "lang", by_tokens.alias("tokenizer"), "n_tokens", F.col("source").alias("old_source"), F.col("lang").alias("old_lang"), by_words.alias("old_tokenizer"), F.col("words").alias("old_n_tokens"))
+    rollup = tokencounts.Rollup(spark, new_path(spark, "rollup"))
+    for batch, changes in (("load", inserts), ("load", inserts), ("retokenize", revisions), ("retokenize", revisions)):
+        rollup.commit(batch, changes)
+    return rollup.totals()
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_sharding": op1_sharding,
         "op2_language_id": op2_language_id,
+        "op3_decontamination": op3_decontamination,
         "op4_chat_format": op4_chat_format,
+        "op5_lm_scoring": op5_lm_scoring,
+        "op6_warc": op6_warc,
+        "op7_minhash": op7_minhash,
         "op8_mixing": op8_mixing,
+        "op9_token_counts": op9_token_counts,
         "op10_simhash": op10_simhash,
     }
 

@@ -9,6 +9,7 @@ half-way, counts once. Totals are sums of committed deltas.
 from __future__ import annotations
 
 import base64
+import uuid
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -84,8 +85,8 @@ class Rollup:
         """Add a batch; False if it was committed before."""
         if self.committed(batch):
             return False
-        staged, final = f"{self.path}/_staged/{batch.__hash__() & 0xFFFFFFFF:08x}", self._folder(batch)
-        signed(changes).write.mode("overwrite").parquet(staged)
+        staged, final = f"{self.path}/_staged-{uuid.uuid4().hex}", self._folder(batch)
+        signed(changes).write.parquet(staged)
         if not self._fs.rename(self._path(staged), self._path(final)):
             if self.committed(batch):
                 return False
