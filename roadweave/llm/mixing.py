@@ -40,9 +40,9 @@ def source_targets(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS, cap:
     everything = Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     total, total_w = F.sum("source_size").over(everything), F.sum("w").over(everything)
     level = (total - F.coalesce(F.sum("full").over(upto), F.lit(0.0))) / (total_w - F.coalesce(F.sum("w").over(upto), F.lit(0.0)))
-    # the level at which this source is the first not stopped; the least such level holds
-    x = x.withColumn("level", level).withColumn("held", F.min(F.when(F.col("level") <= F.col("turn"), F.col("level"))).over(everything))
-    return x.select("source", "source_size", "rows", F.least("full", F.coalesce("held", F.lit(float("inf"))) * F.col("w")).alias("target"))
+    # stopping a source raises the level until one is not stopped, then lowers it: the greatest holds
+    x = x.withColumn("held", F.max(level).over(everything))
+    return x.select("source", "source_size", "rows", F.least("full", F.col("held") * F.col("w")).alias("target"))
 
 
 def pareto_key(u: Column, p: Column) -> Column:

@@ -67,7 +67,7 @@ l as (
           / (sum(w) over () - coalesce(sum(w) over (order by turn, source nulls last rows between unbounded preceding and 1 preceding), 0)) as lev
   from t
 ), g as (
-  select source, source_size, least(capped, coalesce(min(case when lev <= turn then lev end) over (), 'inf'::double) * w) as target from l
+  select source, source_size, least(capped, max(lev) over () * w) as target from l
 ), g2 as (
   select *, case when source_size > 0 then target / source_size else 0.0 end as ratio from g
 ), k as (
