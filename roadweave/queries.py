@@ -1,15 +1,672 @@
-"""Registered queries of the road-mapping operators and their SQL."""
+"""Registered queries of the road-mapping operators and their SQL.
+
+The driver's tables stand in for surveys: ``events`` are poses and log rows,
+``lineitem`` pixels seen by frames (orders) and edges, ``embeddings`` points.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from roadweave.functions import geo
+from roadweave.functions import geometry as g
+from roadweave.operators import blend, graphs, grid, lanes, poses
+from roadweave.operators.components import connected_components
+
+Query = Callable[[SparkSession, str], DataFrame]
+_QUERIES: dict[str, Query] = {}
+_SQL: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    """Register a function under its own name, with its SQL where there is one."""
+
+    def add(f: Query) -> Query:
+        _QUERIES[f.__name__] = f
+        if sql:
+            _SQL[f.__name__] = sql
+        return f
+
+    return add
 
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+def queries() -> dict[str, Query]:
+    return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(_SQL)
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def r6(c: Column) -> Column:
+    """Six decimals, no negative zero."""
+    return F.round(c, 6) + F.lit(0.0)
+
+
+def trajectory(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """events as poses: t in microseconds, x the value, y the second within an hour."""
+    t = F.unix_micros(F.col("ts").cast("timestamp"))
+    return table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", t.alias("t"), F.col("value").alias("x"), (F.floor(t / 1_000_000) % 3600).cast("double").alias("y"))
+
+
+SQL_TRAJECTORY = "traj as (select event_id, user_id, event_type, epoch_us(ts) as t, value as x, (epoch_us(ts) // 1000000 % 3600)::double as y from events)"
+
+
+def points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = F.col("embedding")
+    return table(spark, sf_dir, "embeddings").select("vec_id", "label", *[e[k].cast("double").alias(n) for k, n in enumerate(("x", "y", "z", "dx", "dy"))])
+
+
+SQL_POINTS = "pts as (select vec_id, label, embedding[1]::double as x, embedding[2]::double as y, embedding[3]::double as z, embedding[4]::double as dx, embedding[5]::double as dy from embeddings)"
+
+
+def seen_pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One class per (frame, pixel), weight 1."""
+    li = table(spark, sf_dir, "lineitem")
+    return li.groupBy(F.col("l_orderkey").alias("frame"), (F.col("l_partkey") % 50).cast("int").alias("row"), (F.col("l_suppkey") % 50).cast("int").alias("col")).agg(F.min("l_linenumber").alias("cls")).withColumn("weight", F.lit(1.0))
+
+
+SQL_PIXELS = "px as (select l_orderkey as frame, (l_partkey % 50)::int as row, (l_suppkey % 50)::int as col, min(l_linenumber) as cls, 1.0::double as weight from lineitem group by 1, 2, 3)"
+
+R_GRAPH = 0.03
+
+
+# Poses and trajectories
+
+
+@query(f"""
+with {SQL_TRAJECTORY}, u as (
+  select event_id, user_id, t, x, case event_type when 'view' then 0 else 1 end as k from traj where event_type in ('view', 'click')
+), w as (
+  select *, case when k = 0 then {{'t': t, 'x': x}} end as p from u
+), n as (
+  select *, last_value(p ignore nulls) over (partition by user_id order by t, k, event_id rows between unbounded preceding and current row) as b,
+         first_value(p ignore nulls) over (partition by user_id order by t, k, event_id rows between current row and unbounded following) as a
+  from w
+)
+select event_id, user_id, round(case when b is null then a.x when a is null or b.t = t then b.x
+  else b.x + (a.x - b.x) * coalesce((t - b.t)::double / nullif(a.t - b.t, 0), 0) end, 6) + 0.0 as aligned_x
+from n where k = 1""")
+def pose_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clicks aligned to a log of views, user by user."""
+    t = trajectory(spark, sf_dir)
+    frames = t.where("event_type = 'click'").select("event_id", "user_id", "t")
+    log = t.where("event_type = 'view'").select("event_id", "user_id", "t", "x")
+    out = poses.align(frames, log, ["x"], on="t", by=["user_id"], order="event_id")
+    return out.select("event_id", "user_id", r6(F.col("x")).alias("aligned_x"))
+
+
+@query(f"""
+with {SQL_TRAJECTORY}, w as (select *, lag(x) over p as px, lag(y) over p as py from traj window p as (partition by user_id order by t, event_id))
+select event_id, round(atan2(y - py, x - px), 6) + 0.0 as heading from w""")
+def motion_heading(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W3, F8."""
+    return poses.motion_heading(trajectory(spark, sf_dir), ["t", "event_id"], ["user_id"]).select("event_id", r6(F.col("heading")).alias("heading"))
+
+
+@query(f"""
+with {SQL_TRAJECTORY}, w as (select *, x - lag(x) over p as dx, y - lag(y) over p as dy from traj window p as (partition by user_id order by t, event_id)),
+n as (select *, dx / nullif(sqrt(dx * dx + dy * dy), 0) as ux, dy / nullif(sqrt(dx * dx + dy * dy), 0) as uy from w),
+s as (select *, sum(ux) over p as sx, sum(uy) over p as sy from n window p as (partition by user_id order by t, event_id rows between 2 preceding and current row))
+select event_id, round(sx / nullif(sqrt(sx * sx + sy * sy), 0), 6) + 0.0 as dir_x, round(sy / nullif(sqrt(sx * sx + sy * sy), 0), 6) + 0.0 as dir_y from s""")
+def robust_direction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W4, F9."""
+    out = poses.robust_direction(trajectory(spark, sf_dir), ["t", "event_id"], ["user_id"])
+    return out.select("event_id", r6(F.col("dir_x")).alias("dir_x"), r6(F.col("dir_y")).alias("dir_y"))
+
+
+def chunked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    framed = poses.frame_numbers(trajectory(spark, sf_dir), ["t", "event_id"], ["user_id"])
+    return framed.withColumn("chunk", poses.chunk_of(F.col("frame"), 20))
+
+
+SQL_CHUNKS = "ch as (select *, ((row_number() over (partition by user_id order by t, event_id) - 1) // 20)::int as chunk from traj)"
+
+
+@query(f"with {SQL_TRAJECTORY}, {SQL_CHUNKS} select user_id, chunk, min(x) as min_x, min(y) as min_y, max(x) as max_x, max(y) as max_y, count(*) as n from ch group by 1, 2")
+def chunk_extents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A1, J3."""
+    return poses.extents(chunked(spark, sf_dir), ["user_id", "chunk"])
+
+
+@query(f"""with {SQL_TRAJECTORY}, {SQL_CHUNKS}, e as (select user_id, chunk, min(x) as a, min(y) as b, max(x) as c, max(y) as d, count(*) as n from ch group by 1, 2)
+select user_id, min(a) as min_x, min(b) as min_y, max(c) as max_x, max(d) as max_y, sum(n)::bigint as n from e group by 1""")
+def map_extents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A2: extents of a set of chunks."""
+    return poses.merge_extents(poses.extents(chunked(spark, sf_dir), ["user_id", "chunk"]), ["user_id"])
+
+
+@query(f"""with {SQL_TRAJECTORY}, {SQL_CHUNKS}, e as (select user_id, chunk, min(x) as a, min(y) as b, max(x) as c, max(y) as d from ch group by 1, 2)
+select event_id, count(*) as chunks, min(e.chunk) as first_chunk from traj join e on traj.user_id = e.user_id and x between a and c and y between b and d group by 1""")
+def point_in_extents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Chunks whose extents hold each position."""
+    hit = grid.points_in_boxes(trajectory(spark, sf_dir), poses.extents(chunked(spark, sf_dir), ["user_id", "chunk"]), 500.0, ["user_id"])
+    return hit.groupBy(F.col("p.event_id").alias("event_id")).agg(F.count("*").alias("chunks"), F.min("b.chunk").alias("first_chunk"))
+
+
+@query(f"""with {SQL_TRAJECTORY}, f as (select *, (row_number() over (partition by user_id order by t, event_id) - 1)::int as frame from traj)
+select event_id, user_id, frame - 5 as frame from f where frame >= 5 and frame < 45 and (frame - 5) % 3 = 0""")
+def frame_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A slice, then every third frame."""
+    framed = poses.frame_numbers(trajectory(spark, sf_dir), ["t", "event_id"], ["user_id"])
+    return poses.every(poses.frame_slice(framed, 5, 45), 0, 40, 3).select("event_id", "user_id", "frame")
+
+
+@query(f"""with {SQL_TRAJECTORY}, e as (select user_id, min(x) as a, min(y) as b, max(x) as c, max(y) as d from traj group by 1), m as (select *, trunc(30 * 0.05) as off from e)
+select user_id, a - off as tl_x, d + off as tl_y, c + off as br_x, b - off as br_y, ceil((d + off - (b - off)) / 0.05)::int as h_px, ceil((c + off - (a - off)) / 0.05)::int as w_px from m""")
+def anchored_extents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Anchored extents in metres and pixels."""
+    e = poses.extents(trajectory(spark, sf_dir), ["user_id"])
+    x = e.select("user_id", poses.anchored(0.05, F.col("min_x"), F.col("min_y"), F.col("max_x"), F.col("max_y"), 30).alias("e"))
+    return x.select("user_id", *[F.col(f"e.{k}").alias(k) for k in ("tl_x", "tl_y", "br_x", "br_y", "h_px", "w_px")])
+
+
+@query(f"""with {SQL_TRAJECTORY} select user_id, round(avg(x), 6) + 0.0 as x, round(avg(y), 6) + 0.0 as y, count(*) as cameras from traj group by 1""")
+def multi_camera_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Event types as cameras of a frame."""
+    t = trajectory(spark, sf_dir).select(F.col("user_id").alias("frame"), F.col("event_type").alias("camera"), "x", "y", F.lit(0.0).alias("z"), F.lit("").alias("path"), F.col("y").alias("heading"))
+    return poses.multi_camera(t).select(F.col("frame").alias("user_id"), r6(F.col("x")).alias("x"), r6(F.col("y")).alias("y"), F.size("cameras").cast("long").alias("cameras"))
+
+
+@query("""with a as (select user_id as frame, count(*) as n, max(value) as top from events where event_type = 'view' group by 1), b as (select user_id as frame, count(*) as n, max(value) as top from events where event_type = 'click' group by 1)
+select a.frame, a.n as main_n, b.n as other_n, round(a.top - b.top, 6) + 0.0 as apart from a join b using (frame)""")
+def paired_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Frames that two sources share."""
+    e = table(spark, sf_dir, "events")
+    of = lambda kind: e.where(F.col("event_type") == kind).groupBy(F.col("user_id").alias("frame")).agg(F.count("*").alias("n"), F.max("value").alias("top"))
+    x = poses.paired(of("view"), of("click"))
+    return x.select("frame", F.col("main.n").alias("main_n"), F.col("other.n").alias("other_n"), r6(F.col("main.top") - F.col("other.top")).alias("apart"))
+
+
+@query("select event_id, epoch(strptime(strftime(ts, '%Y%m%d%H%M%S'), '%Y%m%d%H%M%S')) + (event_id % 1000) / 1000.0::double as seconds from events")
+def survey_clock(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """a clock reading and its milliseconds as epoch seconds."""
+    e = table(spark, sf_dir, "events")
+    return e.select("event_id", poses.epoch_seconds(F.date_format("ts", "yyyyMMddHHmmss"), millis=F.col("event_id") % 1000).alias("seconds"))
+
+
+# Rasters
+
+
+@query(f"with {SQL_PIXELS} select row, col, cls, sum(weight) as weight from px group by 1, 2, 3")
+def blend_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A3."""
+    return blend.blend(seen_pixels(spark, sf_dir), "sum")
+
+
+@query(f"""with {SQL_PIXELS}, r as (select *, row_number() over (partition by row, col order by frame) as k from px)
+select row, col, cls, sum(weight * case when k = 1 then 1 else 2 end) as weight from r group by 1, 2, 3""")
+def blend_enhance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A4, W1."""
+    return blend.blend(seen_pixels(spark, sf_dir), "enhance")
+
+
+@query(f"""with {SQL_PIXELS}, r as (select *, row_number() over (partition by row, col order by frame) as k, count(*) over (partition by row, col) as n from px)
+select row, col, cls, round(sum(pow(0.5, case when k = 1 then n - 1 else n - k + 1 end)), 6) + 0.0 as weight from r group by 1, 2, 3""")
+def blend_average(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A4, W2."""
+    return blend.blend(seen_pixels(spark, sf_dir), "average").withColumn("weight", r6(F.col("weight")))
+
+
+SQL_SUMS = "sums as (select row, col, cls, sum(weight) as weight from px group by 1, 2, 3)"
+
+
+@query(f"with {SQL_PIXELS}, {SQL_SUMS}, r as (select *, row_number() over (partition by row, col order by weight desc, cls) as k from sums) select row, col, cls from r where k = 1")
+def pixel_argmax(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A5."""
+    return blend.best_class(blend_sum(spark, sf_dir))
+
+
+@query(f"""with {SQL_PIXELS}, {SQL_SUMS}, r as (select *, row_number() over (partition by row, col order by weight desc, cls) as k from sums)
+select row, col, coalesce(max(case when k = 2 and weight > 0 then cls end), 0) as cls from r group by 1, 2""")
+def pixel_second_best(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A6."""
+    return blend.second_best_class(blend_sum(spark, sf_dir))
+
+
+@query(f"""with {SQL_PIXELS}, c as (select frame % 4 as chunk, row, col, cls, sum(weight) as weight from px group by 1, 2, 3, 4), m as (select chunk, row + (chunk * 3)::int as row, col + (chunk * 2)::int as col, cls, weight from c),
+d as (select *, dense_rank() over (partition by row, col order by chunk) as k from m), n as (select *, max(k) over (partition by row, col) as n from d)
+select row, col, cls, round(sum(weight * pow(0.5, case when k = 1 then n - 1 else n - k + 1 end)), 6) + 0.0 as weight from n group by 1, 2, 3""")
+def stitch_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four chunks moved to one anchor, half and half where they overlap."""
+    chunks = blend.blend(seen_pixels(spark, sf_dir).withColumn("chunk", F.col("frame") % 4), "sum", ["chunk"])
+    anchors = spark.range(4).select(F.col("id").alias("chunk"), (F.col("id") * 3).cast("int").alias("d_row"), (F.col("id") * 2).cast("int").alias("d_col"))
+    return blend.stitch(chunks, anchors, "average").withColumn("weight", r6(F.col("weight")))
+
+
+@query("""select l_orderkey, l_linenumber, case when l_linenumber = 3 then case when p_size % 12 in (1, 2, 5) then p_size % 12 else 7 end else l_linenumber end as cls
+from lineitem join part on l_partkey = p_partkey""")
+def class_remap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P9, G12."""
+    rows = table(spark, sf_dir, "lineitem").join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
+    rows = rows.select("l_orderkey", "l_linenumber", F.col("l_linenumber").alias("cls"), (F.col("p_size") % 12).alias("fallback"))
+    return blend.remap_fallback(rows, 3, [1, 2, 5], 7).select("l_orderkey", "l_linenumber", "cls")
+
+
+@query("""with c as (select l_orderkey, (l_suppkey % 6)::int as cls, count(*) as n from lineitem where l_suppkey % 6 <> 0 group by 1, 2), r as (select *, row_number() over (partition by l_orderkey order by n desc, cls) as k from c)
+select l_orderkey, cls from r where k = 1""")
+def group_majority(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The majority class of each group, background left out."""
+    rows = table(spark, sf_dir, "lineitem").select("l_orderkey", (F.col("l_suppkey") % 6).cast("int").alias("cls"))
+    return blend.majority(rows, ["l_orderkey"], without_background=True)
+
+
+@query(f"""with {SQL_PIXELS}, {SQL_SUMS}, m as (select r.range::int as row, c.range::int as col, ((r.range + c.range) % 3) / 2.0::double as alpha from range(50) r, range(50) c)
+select row, col, cls, weight * alpha as weight from sums join m using (row, col) where weight * alpha <> 0""")
+def mask_multiply(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P5, P7."""
+    cells = spark.range(2500).select(F.floor(F.col("id") / 50).cast("int").alias("row"), (F.col("id") % 50).cast("int").alias("col"))
+    return blend.mask(blend_sum(spark, sf_dir), cells.withColumn("alpha", ((F.col("row") + F.col("col")) % 3) / 2.0)).select("row", "col", "cls", "weight")
+
+
+@query(f"""with {SQL_PIXELS}, a as (select row, col, cls, sum(weight) as weight from px where frame % 3 = 0 group by 1, 2, 3), b as (select row, col, cls, sum(weight) as weight from px where frame % 3 = 1 group by 1, 2, 3)
+select coalesce(a.row, b.row) as row, coalesce(a.col, b.col) as col, coalesce(a.cls, b.cls) as cls, coalesce(nullif(a.weight, 0), b.weight, 0) as weight
+from a full join b on a.row = b.row and a.col = b.col and a.cls = b.cls""")
+def merge_rasters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """U4: a second raster where the first is empty."""
+    part = lambda k: blend.blend(seen_pixels(spark, sf_dir).where(F.col("frame") % 3 == k), "sum")
+    return blend.fill_empty(part(0), part(1))
+
+
+@query(f"""with {SQL_PIXELS}, {SQL_SUMS} select row, col, cls, weight from sums where cls = 1 union all select 99 - row, 49 - col, cls, weight from sums where cls = 2""")
+def stack_rasters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One view above another turned by half a turn."""
+    s = blend_sum(spark, sf_dir)
+    return blend.stack_halves(s.where("cls = 1"), s.where("cls = 2"), 50, 50)
+
+
+@query(f"with {SQL_PIXELS}, {SQL_SUMS} select floor(row * 0.3)::int as row, floor(col * 0.3)::int as col, cls, sum(weight) as weight from sums group by 1, 2, 3")
+def coarse_raster(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R11."""
+    return blend.coarsen(blend_sum(spark, sf_dir), 0.3)
+
+
+@query(f"""with {SQL_PIXELS}, {SQL_SUMS}, r as (select *, row_number() over (partition by row, col order by weight desc, cls) as k from sums),
+p(cls, r, g, b) as (values {", ".join(f"({i}, {a}, {b}, {c})" for i, (a, b, c) in enumerate(blend.PALETTE))})
+select row, col, cls, coalesce(p.r, 0) as r, coalesce(p.g, 0) as g, coalesce(p.b, 0) as b from r left join p using (cls) where k = 1""")
+def colour_raster(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R12."""
+    return blend.colours(pixel_argmax(spark, sf_dir)).select("row", "col", "cls", "r", "g", "b")
+
+
+@query(f"""with {SQL_PIXELS}, {SQL_SUMS}, t as (select r.range::int as row, c.range::int as col, floor(r.range * 0.8 + c.range * -0.6 + (10.0 + 0.5))::int as sr, floor(r.range * 0.6 + c.range * 0.8 + (-4.0 + 0.5))::int as sc from range(40) r, range(60) c)
+select t.row, t.col, cls, weight from t join sums on sr = sums.row and sc = sums.col""")
+def warp_raster(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Turned and moved, nearest pixel."""
+    return blend.affine(blend_sum(spark, sf_dir), 40, 60, (0.8, -0.6, 10.0, 0.6, 0.8, -4.0)).select("row", "col", "cls", "weight")
+
+
+SQL_HOMOGRAPHY = "t as (select r.range::int as row, c.range::int as col, c.range * 0.001 + r.range * 0.002 + 1.0 as d, c.range * 0.9 + r.range * 0.1 + 2.0 as nx, c.range * -0.1 + r.range * 1.1 + 1.0 as ny from range(50) r, range(50) c)"
+
+
+@query(f"with {SQL_PIXELS}, {SQL_SUMS}, {SQL_HOMOGRAPHY} select t.row, t.col, cls, weight from t join sums on floor(ny / d + 0.5)::int = sums.row and floor(nx / d + 0.5)::int = sums.col")
+def bird_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A perspective warp, nearest pixel."""
+    return blend.homography(blend_sum(spark, sf_dir), 50, 50, [[0.9, 0.1, 2.0], [-0.1, 1.1, 1.0], [0.001, 0.002, 1.0]]).select("row", "col", "cls", "weight")
+
+
+@query(f"""with {SQL_PIXELS}, {SQL_SUMS}, b as (select row, col, sum(weight) as weight from sums group by 1, 2)
+select o_orderkey, count(*) as pixels, sum(weight) as weight from orders join b on b.row between (o_orderkey % 50) - 2 and (o_orderkey % 50) + 2 and b.col between (o_custkey % 50) - 2 and (o_custkey % 50) + 2 group by 1""")
+def region_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What lies round each position."""
+    flat = blend_sum(spark, sf_dir).groupBy("row", "col").agg(F.sum("weight").alias("weight"))
+    at = table(spark, sf_dir, "orders").select("o_orderkey", (F.col("o_orderkey") % 50).cast("int").alias("row"), (F.col("o_custkey") % 50).cast("int").alias("col"))
+    return blend.window_around(at, flat, 2).groupBy("o_orderkey").agg(F.count("*").alias("pixels"), F.sum("weight").alias("weight"))
+
+
+@query(f"""with {SQL_PIXELS}, {SQL_SUMS}, s(slice, a, b) as (values {", ".join(f"({k}, {a}, {b})" for k, (a, b) in enumerate(blend.slices(50, 16, 6)))})
+select slice, count(*) as pixels, sum(weight) as weight from sums join s on row >= a and row < b group by 1""")
+def window_slices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Overlapping horizontal windows."""
+    return blend.in_slices(blend_sum(spark, sf_dir), 50, 16, 6).groupBy("slice").agg(F.count("*").alias("pixels"), F.sum("weight").alias("weight"))
+
+
+@query(f"""with {SQL_PIXELS}, {SQL_SUMS}, w as (select row, col, cls, case when cls = 7 then weight * 0.2::double when cls = 1 then 0.1::double else weight end as weight from sums), r as (select *, row_number() over (partition by row, col order by weight desc, cls) as k from w)
+select row, col, case when cls in (2, 5) then 0 else cls end as cls from r where k = 1""")
+def region_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Background and drivable weights set, best class, ignored classes out."""
+    s = blend_sum(spark, sf_dir).withColumn("cls", F.col("cls") - 1)
+    picked = blend.best_class(blend.weigh_background(s, 0.1, 6, 0.2)).withColumn("cls", F.col("cls") + 1)
+    return blend.ignore_classes(picked, [2, 5])
+
+
+@query("select l_orderkey, l_linenumber, case when l_linenumber % 3 = 0 then case when l_suppkey % 2 <> 0 then 11 else 0 end else l_linenumber % 3 end as cls from lineitem")
+def merge_line_area(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two heads of a model in one label."""
+    return table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", blend.merge_heads(F.col("l_linenumber") % 3, F.col("l_suppkey") % 2, 11).alias("cls"))
+
+
+@query()
+def junk_removal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Small foreground blobs become background (iterative: held against flood fill in tests)."""
+    labels = pixel_argmax(spark, sf_dir).withColumn("cls", F.when(F.col("cls") >= 2, F.col("cls")).otherwise(0))
+    return graphs.clean_junk(labels, 3)
+
+
+@query(f"""with {SQL_PIXELS}, {SQL_SUMS}, k as (select row, col, cls, row_number() over (partition by row, col order by weight desc, cls) as k from sums), p as (select row, col, cls from k where k = 1 and cls < 6)
+select p.row, p.col, p.cls from p join p q on abs(p.row - q.row) <= 1 and abs(p.col - q.col) <= 1 group by 1, 2, 3 having count(*) = 9""")
+def eroded_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Foreground pixels whose neighbours are all foreground."""
+    return graphs.erode(pixel_argmax(spark, sf_dir).where("cls < 6"))
+
+
+# Spatial joins
+
+
+@query(f"with {SQL_POINTS} select a.vec_id as a, b.vec_id as b, round(sqrt((a.x-b.x)*(a.x-b.x)+(a.y-b.y)*(a.y-b.y)), 6) + 0.0 as d from pts a join pts b on a.vec_id < b.vec_id and sqrt((a.x-b.x)*(a.x-b.x)+(a.y-b.y)*(a.y-b.y)) <= 0.05")
+def radius_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J7."""
+    p = points(spark, sf_dir)
+    return grid.pairs_within(p, p, 0.05).where("l.vec_id < r.vec_id").select(F.col("l.vec_id").alias("a"), F.col("r.vec_id").alias("b"), r6(F.col("d")).alias("d"))
+
+
+@query(f"""with {SQL_POINTS}, q as (select a.vec_id as a, b.vec_id as b, sqrt((a.x-b.x)*(a.x-b.x)+(a.y-b.y)*(a.y-b.y)) as d from pts a join pts b on a.vec_id <> b.vec_id), r as (select *, row_number() over (partition by a order by d, b) as rank from q where d <= 0.05)
+select a, b, rank::int as rank from r where rank <= 3""")
+def knn3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J6."""
+    p = points(spark, sf_dir)
+    return grid.nearest_k(p, p, 0.05, 3, "vec_id", "vec_id").select(F.col("l.vec_id").alias("a"), F.col("r.vec_id").alias("b"), "rank")
+
+
+@query(f"with {SQL_POINTS}, q as (select a.vec_id as a, b.vec_id as b, sqrt((a.x-b.x)*(a.x-b.x)+(a.y-b.y)*(a.y-b.y)) as d from pts a, pts b) select a, count(*) as n from q where d between 0.02 and 0.06 group by 1")
+def annulus_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J10."""
+    p = points(spark, sf_dir)
+    return grid.annulus(p, p, 0.02, 0.06).groupBy(F.col("l.vec_id").alias("a")).agg(F.count("*").alias("n"))
+
+
+@query(f"""with {SQL_POINTS}, q as (select a.vec_id as a, b.vec_id as b, sqrt((a.x-b.x)*(a.x-b.x)+(a.y-b.y)*(a.y-b.y)) as d from pts a join pts b on a.label = b.label and a.vec_id <> b.vec_id), r as (select *, row_number() over (partition by a order by d, b) as k from q)
+select a as vec_id, b as nearest, round(d, 6) + 0.0 as d from r where k = 1""")
+def nearest_replacement(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J12."""
+    p = points(spark, sf_dir)
+    return grid.nearest_in_group(p, p, ["label"], "vec_id", "vec_id").withColumn("d", r6(F.col("d")))
+
+
+@query(f"""with {SQL_POINTS}, l as (select *, dx / sqrt(dx*dx+dy*dy) as ux, dy / sqrt(dx*dx+dy*dy) as uy from pts),
+s as (select a.vec_id as a, b.vec_id as b, b.x as px, b.y as py, a.x - a.uy * 0.08 as ax, a.y + a.ux * 0.08 as ay, a.x + a.uy * 0.08 as bx, a.y - a.ux * 0.08 as y1, sqrt((a.x-b.x)*(a.x-b.x)+(a.y-b.y)*(a.y-b.y)) as d from l a, l b),
+t as (select *, greatest(0.0, least(1.0, coalesce(((px-ax)*(bx-ax)+(py-ay)*(y1-ay)) / nullif((bx-ax)*(bx-ax)+(y1-ay)*(y1-ay), 0), 0))) as k from s where d between 0.02 and 0.08)
+select a, b from t where sqrt(pow(ax + k*(bx-ax) - px, 2) + pow(ay + k*(y1-ay) - py, 2)) <= 0.01""")
+def scanline_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J11, F10, F11."""
+    p = points(spark, sf_dir)
+    return grid.scan_line(p, p, 0.02, 0.08, 0.01).select(F.col("l.vec_id").alias("a"), F.col("r.vec_id").alias("b"))
+
+
+@query(f"""with {SQL_POINTS}, q as (select n.vec_id as node, c.vec_id as car, cos(-atan2(c.dy, c.dx)) * (n.x - c.x) - sin(-atan2(c.dy, c.dx)) * (n.y - c.y) as u, sin(-atan2(c.dy, c.dx)) * (n.x - c.x) + cos(-atan2(c.dy, c.dx)) * (n.y - c.y) as v from pts n, pts c),
+h as (select *, row_number() over (partition by node order by car desc) as k from q where abs(u) < 0.06 and abs(v) < 0.03)
+select node, car, case when v > 0 then 'left' else 'right' end as side from h where k = 1""")
+def side_annotation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The side of the last car whose box holds a node."""
+    p = points(spark, sf_dir)
+    return lanes.annotate_side(p, p.withColumn("heading", g.angle(F.col("dx"), F.col("dy"))), 0.06, 0.03, "vec_id", "vec_id")
+
+
+@query(f"""with {SQL_POINTS}, q as (select n.vec_id as node, c.z, sqrt((n.x-c.x)*(n.x-c.x)+(n.y-c.y)*(n.y-c.y)) as d, cos(-atan2(c.dy, c.dx)) * (n.x - c.x) - sin(-atan2(c.dy, c.dx)) * (n.y - c.y) as u, sin(-atan2(c.dy, c.dx)) * (n.x - c.x) + cos(-atan2(c.dy, c.dx)) * (n.y - c.y) as v from pts n, pts c)
+select node, round(sum(z / d) / sum(1 / d), 6) + 0.0 as value from q where d > 0 and abs(u) < 0.05 and abs(v) < 0.05 group by 1""")
+def idw_elevation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Elevation of nodes from the cars around them."""
+    p = points(spark, sf_dir)
+    hit = grid.in_oriented_box(p, p.withColumn("heading", g.angle(F.col("dx"), F.col("dy"))), 0.05, 0.05)
+    out = grid.inverse_distance_mean(hit.where("d > 0"), F.col("l.vec_id"), F.col("r.z"))
+    return out.withColumn("value", r6(F.col("value")))
+
+
+SQL_BOXES = "bx as (select p_partkey as id, (p_partkey * 7 % 997)::double as min_x, (p_partkey * 13 % 991)::double as min_y, (p_partkey * 7 % 997)::double + 2 + p_size as max_x, (p_partkey * 13 % 991)::double + 3 + p_partkey % 11 as max_y from part)"
+
+
+def part_boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    x, y = (F.col("p_partkey") * 7 % 997).cast("double"), (F.col("p_partkey") * 13 % 991).cast("double")
+    return table(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), x.alias("min_x"), y.alias("min_y"), (x + 2 + F.col("p_size")).alias("max_x"), (y + 3 + F.col("p_partkey") % 11).alias("max_y"))
+
+
+@query(f"""with {SQL_BOXES}, a as (select *, (max_x-min_x)*(max_y-min_y) as area from bx)
+select id from a where not exists (select 1 from a b where (a.area, a.id) > (b.area, b.id) and
+greatest(0, least(a.max_x, b.max_x) - greatest(a.min_x, b.min_x)) * greatest(0, least(a.max_y, b.max_y) - greatest(a.min_y, b.min_y)) > 0.3 * b.area)""")
+def box_overlap_prune(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J17, L7."""
+    return grid.prune_overlaps(part_boxes(spark, sf_dir), 40.0).select("id")
+
+
+@query(f"""with {SQL_BOXES} select a.id as a, b.id as b from bx a join bx b on a.id < b.id and a.min_x < b.max_x and b.min_x < a.max_x and a.min_y < b.max_y and b.min_y < a.max_y
+where not (a.min_x >= b.min_x and a.min_y >= b.min_y and a.max_x <= b.max_x and a.max_y <= b.max_y) and not (b.min_x >= a.min_x and b.min_y >= a.min_y and b.max_x <= a.max_x and b.max_y <= a.max_y)""")
+def box_overlaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Boxes that overlap in part; one inside the other does not count."""
+    sides = lambda s: tuple(F.col(s)[k] for k in ("min_x", "min_y", "max_x", "max_y"))
+    b = part_boxes(spark, sf_dir)
+    return grid.box_pairs(b, b, 40.0).where("l.id < r.id").where(g.boxes_overlap(sides("l"), sides("r"))).select(F.col("l.id").alias("a"), F.col("r.id").alias("b"))
+
+
+@query(f"""with {SQL_BOXES}, c as (select id, (min_x+max_x)/2 as x, (min_y+max_y)/2 as y from bx), h as (select c.id, b.id as box, row_number() over (partition by c.id order by b.id) as k from c join bx b on c.id <> b.id and c.x > b.min_x and c.x < b.max_x and c.y > b.min_y and c.y < b.max_y)
+select id, box from h where k = 1""")
+def centre_in_box(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first box that holds another's centre, its edge not counted."""
+    b = part_boxes(spark, sf_dir)
+    centres = b.select("id", ((F.col("min_x") + F.col("max_x")) / 2).alias("x"), ((F.col("min_y") + F.col("max_y")) / 2).alias("y"))
+    hit = grid.points_in_boxes(centres, b, 40.0).where("p.id <> b.id")
+    x0, y0, x1, y1 = (F.col("b")[k] for k in ("min_x", "min_y", "max_x", "max_y"))
+    inside = g.in_polygon(F.col("p.x"), F.col("p.y"), [(x0, y0), (x1, y0), (x1, y1), (x0, y1)])
+    return hit.where(inside).groupBy(F.col("p.id").alias("id")).agg(F.min("b.id").alias("box"))
+
+
+# Graphs
+
+
+def supply_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders (even) and suppliers (odd) as nodes of one graph."""
+    return table(spark, sf_dir, "lineitem").select(F.lit(0).alias("graph"), (F.col("l_orderkey") * 2).alias("src"), (F.col("l_suppkey") * 2 + 1).alias("dst"))
+
+
+SQL_EDGES = "ed as (select distinct l_orderkey * 2 as src, l_suppkey * 2 + 1 as dst from lineitem), bo as (select src, dst from ed union all select dst, src from ed), dg as (select src as node, count(*) as degree from bo group by 1)"
+
+
+@query(f"with {SQL_EDGES} select node, degree from dg where degree > 2")
+def degree_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Forks."""
+    return graphs.degrees(supply_edges(spark, sf_dir)).where("degree > 2").select("node", "degree")
+
+
+@query("with n as (select l_orderkey as graph, count(*) as n from lineitem group by 1) select l_orderkey as graph, l_linenumber as node from lineitem join n on graph = l_orderkey where n >= 4")
+def short_graph_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P10, G10."""
+    nodes = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("graph"), F.col("l_linenumber").alias("node"))
+    return graphs.drop_small_graphs(nodes, 4)
+
+
+@query(f"""with {SQL_EDGES}, s as (select b.src, b.dst, f.degree, row_number() over (partition by b.src order by b.dst) as k from bo b join dg f on f.node = b.src and f.degree > 2 join dg l on l.node = b.dst and l.degree = 1),
+cut as (select dst from s where k <= degree - 2)
+select src, dst from bo where src < dst and src not in (select dst from cut) and dst not in (select dst from cut)""")
+def dead_end_removal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """G7."""
+    return graphs.remove_dead_ends(supply_edges(spark, sf_dir)).select("src", "dst")
+
+
+SQL_NEAR = f"ne as (select a.vec_id as a, b.vec_id as b from pts a join pts b on a.vec_id <> b.vec_id and sqrt((a.x-b.x)*(a.x-b.x)+(a.y-b.y)*(a.y-b.y)) <= {R_GRAPH})"
+
+
+def near_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = points(spark, sf_dir)
+    return grid.pairs_within(p, p, R_GRAPH).where("l.vec_id < r.vec_id").select(F.col("l.vec_id").alias("src"), F.col("r.vec_id").alias("dst"))
+
+
+@query(f"with recursive {SQL_POINTS}, {SQL_NEAR}, w(node, root) as (select vec_id, vec_id from pts union select ne.b, w.root from w join ne on ne.a = w.node where w.root < ne.b) select node, min(root) as component from w group by 1")
+def components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """G13, CC: points linked when near; a point alone is its own component."""
+    p = points(spark, sf_dir).select(F.col("vec_id").alias("node"))
+    return p.join(connected_components(near_edges(spark, sf_dir)), "node", "left").select("node", F.coalesce("component", "node").alias("component"))
+
+
+@query(f"""with recursive {SQL_POINTS}, {SQL_NEAR}, w(node, hop) as (select min(vec_id), 0 from pts union select ne.b, w.hop + 1 from w join ne on ne.a = w.node where w.hop < 40) select node, min(hop) as hop from w group by 1""")
+def hop_distance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fewest steps from the first point, 40 at most."""
+    start = points(spark, sf_dir).agg(F.min("vec_id").alias("node"))
+    return graphs.hops(near_edges(spark, sf_dir), start, 40)
+
+
+@query("with r as (select *, row_number() over (partition by l_orderkey order by l_extendedprice desc, l_linenumber)::int as rank from lineitem) select l_orderkey, l_linenumber, rank from r where rank <= 2")
+def keep_two_longest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O4, O5."""
+    return graphs.keep_longest(table(spark, sf_dir, "lineitem"), ["l_orderkey"], F.col("l_extendedprice"), ["l_linenumber"]).select("l_orderkey", "l_linenumber", "rank")
+
+
+@query("""with w as (select *, lag(role) over (partition by conv_id order by turn) as before, row_number() over (partition by conv_id order by turn) as k from conversations)
+select conv_id, turn, sum(case when k > 1 and before is distinct from role then 1 else 0 end) over (partition by conv_id order by turn rows unbounded preceding)::bigint as segment from w""")
+def segment_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A new segment at each change of class."""
+    return graphs.segments(table(spark, sf_dir, "conversations"), ["conv_id"], ["turn"], "role").select("conv_id", "turn", "segment")
+
+
+@query(f"""with {SQL_POINTS}, u as (select label, vec_id, dx / sqrt(dx*dx+dy*dy) as dx, dy / sqrt(dx*dx+dy*dy) as dy from pts),
+c as (select a.label, a.vec_id, count(b.vec_id) as n from u a left join u b on a.label = b.label and a.vec_id <> b.vec_id and abs(a.dx*b.dx+a.dy*b.dy) > 0.95 group by 1, 2),
+t as (select label, max(n) as votes from c group by 1)
+select label, votes, case when count(*) = 1 then min(vec_id) end as winner from c join t using (label) where n = votes group by 1, 2""")
+def direction_consensus(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The direction that most others share."""
+    p = points(spark, sf_dir)
+    ux, uy = g.unit(F.col("dx"), F.col("dy"))
+    return graphs.consensus(p.select("label", "vec_id", ux.alias("dx"), uy.alias("dy")), ["label"], "vec_id").select("label", "votes", "winner")
+
+
+@query(f"""with {SQL_POINTS}, c as (select label, avg(x) as cx, avg(y) as cy from pts group by 1), a as (select label, degrees(atan2(y - cy, x - cx)) as a from pts join c using (label)),
+w as (select label, a, coalesce(lead(a) over (partition by label order by a) - a, min(a) over (partition by label) + 360 - a) as gap from a)
+select label, round(360 - max(gap), 6) + 0.0 as sector from w group by 1""")
+def sector_angle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A9, A15."""
+    p = points(spark, sf_dir)
+    c = p.groupBy("label").agg(F.avg("x").alias("cx"), F.avg("y").alias("cy"))
+    return graphs.sector_degrees(p.join(c, "label"), ["label"]).withColumn("sector", r6(F.col("sector")))
+
+
+@query("""with e as (select vec_id, embedding[1]::double as ax, embedding[2]::double as ay, embedding[3]::double as bx, embedding[4]::double as y1, embedding[5]::double as cx, embedding[6]::double as cy from embeddings),
+d as (select *, nullif(2*(ax*(y1-cy)+bx*(cy-ay)+cx*(ay-y1)), 0) as d, ax*ax+ay*ay as a2, bx*bx+y1*y1 as b2, cx*cx+cy*cy as c2 from e), c as (select *, (a2*(y1-cy)+b2*(cy-ay)+c2*(ay-y1))/d as x, (a2*(cx-bx)+b2*(ax-cx)+c2*(bx-ax))/d as y from d)
+select vec_id, round(x, 4) + 0.0 as x, round(y, 4) + 0.0 as y, round(sqrt((x-ax)*(x-ax)+(y-ay)*(y-ay)), 4) + 0.0 as radius from c""")
+def circle3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F12."""
+    e = [F.col("embedding")[k].cast("double") for k in range(6)]
+    x, y, r = g.circle_through(*e)
+    four = lambda c: F.round(c, 4) + 0.0
+    return table(spark, sf_dir, "embeddings").select("vec_id", four(x).alias("x"), four(y).alias("y"), four(r).alias("radius"))
+
+
+# Lanes and the map
+
+
+def supply_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as linestrings between the graphs of their first and last supplier."""
+    return table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("ls")).agg(F.min("l_suppkey").alias("start_graph"), F.max("l_suppkey").alias("end_graph"), F.avg("l_quantity").alias("cx"), F.avg("l_discount").alias("cy"))
+
+
+@query("""with l as (select l_orderkey as ls, min(l_suppkey) as s, max(l_suppkey) as e, avg(l_quantity) as cx, avg(l_discount) as cy from lineitem group by 1)
+select a.ls as right_ls, b.ls as left_ls from l a join l b on a.ls < b.ls and least(a.s, a.e) = least(b.s, b.e) and greatest(a.s, a.e) = greatest(b.s, b.e)
+where sqrt((a.cx-b.cx)*(a.cx-b.cx)+(a.cy-b.cy)*(a.cy-b.cy)) >= 2""")
+def pair_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Linestrings between the same two ends make a lane unless they are too near."""
+    return lanes.pair(supply_lines(spark, sf_dir), 2.0)
+
+
+@query("""with k as (select distinct l_suppkey as graph, l_partkey as node from lineitem)
+select graph, node, row_number() over (partition by graph order by node)::int as point from k""")
+def shared_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One point for a node that several linestrings share."""
+    return lanes.shared_points(table(spark, sf_dir, "lineitem").select(F.col("l_suppkey").alias("graph"), F.col("l_partkey").alias("node")))
+
+
+@query("""with ok as (select o_orderkey as ls from orders where o_orderstatus = 'F')
+select l_orderkey as right_ls, l_partkey as left_ls from lineitem where l_orderkey in (select ls from ok) and l_partkey in (select ls from ok)""")
+def surviving_lanes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lanes both of whose sides were converted."""
+    pairs = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("right_ls"), F.col("l_partkey").alias("left_ls"))
+    return lanes.both_sides(pairs, table(spark, sf_dir, "orders").where("o_orderstatus = 'F'").select(F.col("o_orderkey").alias("ls")))
+
+
+@query(f"""with m(cls, type, subtype) as (values {", ".join(f"({k}, '{a}', '{b}')" for k, (a, b) in lanes.LINE_TYPES.items())})
+select l_orderkey, l_linenumber, coalesce(type, '{lanes.DEFAULT_TYPE[0]}') as type, coalesce(subtype, '{lanes.DEFAULT_TYPE[1]}') as subtype from lineitem left join m on cls = (l_partkey % 15)::int""")
+def line_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Type and subtype of a class."""
+    return lanes.typed(table(spark, sf_dir, "lineitem").withColumn("cls", (F.col("l_partkey") % 15).cast("int"))).select("l_orderkey", "l_linenumber", "type", "subtype")
+
+
+@query(f"""with {SQL_POINTS} select vec_id, round(x, 6) + 0.0 as x, round(y, 6) + 0.0 as y, round(case when label % 3 = 0 then 0.0 else z end + 1.5, 6) + 0.0 as ele from pts""")
+def elevated_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Elevation with a default, and the car's height."""
+    p = points(spark, sf_dir).withColumn("ele", F.when(F.col("label") % 3 != 0, F.col("z")))
+    return lanes.elevated(p, 0.0, 1.5).select("vec_id", r6(F.col("x")).alias("x"), r6(F.col("y")).alias("y"), r6(F.col("ele")).alias("ele"))
+
+
+@query("select event_id, (props::json->>'k')::bigint as k, to_json({'type': event_type, 'k': (props::json->>'k')::bigint})::varchar as attributes from events")
+def metadata_map(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Attributes read from JSON and written again."""
+    k = F.get_json_object("props", "$.k").cast("long")
+    return table(spark, sf_dir, "events").select("event_id", k.alias("k"), F.to_json(F.struct(F.col("event_type").alias("type"), k.alias("k"))).alias("attributes"))
+
+
+# Names
+
+
+@query(r"""select page_id, list_aggregate(list_transform(regexp_extract_all(lower(url), '(\d+|\D+)'), lambda p: case when regexp_matches(p, '^\d+$') then lpad(p, 20, '0') else p end), 'string_agg', '') as key from pages""")
+def natural_sort_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O1."""
+    return table(spark, sf_dir, "pages").select("page_id", g.natural_key(F.col("url")).alias("key"))
+
+
+@query(r"""select page_id, try_cast(nullif(regexp_extract(regexp_extract(url, '([^/]*?)(\.[^./]*)?$', 1), '(\d+)', 1), '') as bigint) as sequence, ends_with(lower(url), '.html') as is_page from pages""")
+def image_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The number in a name, and its extension."""
+    u = F.col("url")
+    return table(spark, sf_dir, "pages").select("page_id", g.image_sequence(u, r"(\d+)").alias("sequence"), g.has_extension(u, "html").alias("is_page"))
+
+
+# Geodesy
+
+LAT, LON, H = "((c_custkey * 37 % 16000) / 100.0::double - 80)", "((c_custkey * 91 % 36000) / 100.0::double - 180)", "(c_custkey % 500)::double"
+
+
+def places(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("c_custkey")
+    return table(spark, sf_dir, "customer").select("c_custkey", (k * 37 % 16000 / 100.0 - 80).alias("lat"), (k * 91 % 36000 / 100.0 - 180).alias("lon"), (k % 500).cast("double").alias("h"))
+
+
+SQL_PLACES = f"""pl as (select c_custkey, radians({LAT}) as la, radians({LON}) as lo, {H} as h from customer),
+ec as (select c_custkey, la, lo, ({geo.A} / sqrt(1 - {geo.E2!r} * sin(la) * sin(la))) as n, h from pl),
+ee as (select c_custkey, la, lo, (h + n) * cos(la) * cos(lo) as x, (h + n) * cos(la) * sin(lo) as y, (h + (1 - {geo.E2!r}) * n) * sin(la) as z from ec)"""
+
+
+@query(f"""with {SQL_PLACES}, r as (select radians(45.5::double) as la0, radians(9.2::double) as lo0, {geo.A} / sqrt(1 - {geo.E2!r} * sin(radians(45.5::double)) * sin(radians(45.5::double))) as n0),
+d as (select c_custkey, la0, lo0, x - (120 + n0) * cos(la0) * cos(lo0) as dx, y - (120 + n0) * cos(la0) * sin(lo0) as dy, z - (120 + (1 - {geo.E2!r}) * n0) * sin(la0) as dz from ee, r)
+select c_custkey, round(-sin(lo0) * dx + cos(lo0) * dy, 3) + 0.0 as e, round(-cos(lo0) * sin(la0) * dx - sin(la0) * sin(lo0) * dy + cos(la0) * dz, 3) + 0.0 as n, round(cos(la0) * cos(lo0) * dx + cos(la0) * sin(lo0) * dy + sin(la0) * dz, 3) + 0.0 as u from d""")
+def enu_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """degrees to a local frame, millimetres."""
+    e, n, u = geo.latlon_to_enu(F.col("lat"), F.col("lon"), F.col("h"), 45.5, 9.2, 120.0)
+    mm = lambda c: F.round(c, 3) + 0.0
+    return places(spark, sf_dir).select("c_custkey", mm(e).alias("e"), mm(n).alias("n"), mm(u).alias("u"))
+
+
+@query(f"select c_custkey, round({LAT}, 6) + 0.0 as lat, round({LON}, 6) + 0.0 as lon from customer")
+def geodetic_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """To the local frame and back."""
+    enu = geo.latlon_to_enu(F.col("lat"), F.col("lon"), F.col("h"), 45.5, 9.2, 120.0)
+    x = places(spark, sf_dir).select("c_custkey", *[c.alias(k) for c, k in zip(enu, ("e", "n", "u"), strict=True)])
+    lat, lon, _ = geo.enu_to_latlon(F.col("e"), F.col("n"), F.col("u"), 45.5, 9.2, 120.0)
+    return x.select("c_custkey", r6(lat).alias("lat"), r6(F.when(F.round(lon, 6) == 180, -lon).otherwise(lon)).alias("lon"))
+
+
+SQL_UTM = f"""with pl as (select c_custkey, radians({LAT}) as la, {LAT} as lat, {LON} as lon, (floor(({LON} + 180) / 6)::bigint % 60 + 1)::int as zone from customer),
+a as (select *, {geo.A} / sqrt(1 - {geo.E2!r} * sin(la) * sin(la)) as n, pow(tan(la), 2) as t, {geo.EP2!r} * cos(la) * cos(la) as k, cos(la) * radians(lon - (zone * 6 - 183)) as a,
+  {geo.A} * ({1 - geo.E2 / 4 - 3 * geo.E2**2 / 64 - 5 * geo.E2**3 / 256!r} * la - {3 * geo.E2 / 8 + 3 * geo.E2**2 / 32 + 45 * geo.E2**3 / 1024!r} * sin(2 * la) + {15 * geo.E2**2 / 256 + 45 * geo.E2**3 / 1024!r} * sin(4 * la) - {35 * geo.E2**3 / 3072!r} * sin(6 * la)) as m from pl)
+select c_custkey, zone, round(0.9996 * n * (a + (1 - t + k) * pow(a, 3) / 6 + (5 - 18 * t + t * t + 72 * k - 58 * {geo.EP2!r}) * pow(a, 5) / 120) + 500000.0, 3) + 0.0 as east,
+  round(0.9996 * (m + n * tan(la) * (a * a / 2 + (5 - t + 9 * k + 4 * k * k) * pow(a, 4) / 24 + (61 - 58 * t + t * t + 600 * k - 330 * {geo.EP2!r}) * pow(a, 6) / 720)) + case when lat < 0 then 10000000.0 else 0 end, 3) + 0.0 as north from a"""
+
+
+@query(SQL_UTM)
+def utm_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F7, G11."""
+    east, north = geo.latlon_to_utm(F.col("lat"), F.col("lon"))
+    mm = lambda c: F.round(c, 3) + 0.0
+    return places(spark, sf_dir).select("c_custkey", geo.utm_zone(F.col("lon")).alias("zone"), mm(east).alias("east"), mm(north).alias("north"))
