@@ -117,9 +117,11 @@ def write_warc(records: DataFrame, path: str) -> None:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield pd.DataFrame({"value": [serialized(r) for r in batch.to_dict("records")]})
+            batch = batch.astype(object).where(batch.notna(), None)
+            # the sink ends each row with the record's last line break
+            yield pd.DataFrame({"value": [serialized(r)[:-2] for r in batch.to_dict("records")]})
 
-    records.mapInPandas(run, "value string").write.option("lineSep", "").option("compression", "gzip").text(path)
+    records.mapInPandas(run, "value string").write.option("lineSep", "\r\n").option("compression", "gzip").text(path)
 
 
 def read_warc(spark: SparkSession, path: str) -> DataFrame:
