@@ -142,15 +142,20 @@ def with_next(docs: DataFrame) -> DataFrame:
     them as a next document; each of them has a row of its own. An only
     document is its own next. An empty table gives an empty result.
     """
+    # both joins take these same columns, so that they share one exchange
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    rows = rows.withColumn("n", F.length("text")).withColumn("fp", packed(F.col("text")))
+    rows = rows.withColumn("fp", packed(F.col("text")))
     ids = docs.select("doc_id", F.length(F.coalesce("text", F.lit(""))).alias("n")).groupBy("doc_id").agg(F.max("n").alias("n"))
     follows = next_ids(ids.select("doc_id"))
     # what each document gives, and to whom: the beginning that its predecessor needs
     gives = follows.join(ids.withColumnRenamed("doc_id", "i"), F.col("doc_id").eqNullSafe(F.col("i"))).select(F.col("next_id").alias("giver"), F.col("doc_id").alias("taker"), F.floor(F.col("n") / 2).cast("int").alias("most"))
-    given = rows.join(gives, F.col("doc_id").eqNullSafe(F.col("giver"))).select("taker", F.struct(F.xxhash64("text").alias("h"), F.substr("text", F.lit(1), F.col("most")).alias("head"), F.col("fp").alias("next_fp")).alias("g"))
-    given = given.groupBy("taker").agg(F.max("g").alias("g"))
-    joined = rows.join(given, F.col("doc_id").eqNullSafe(F.col("taker")))
+    given = rows.join(gives, F.col("doc_id").eqNullSafe(F.col("giver")))
+    # keyed as a null-safe join keys its other side, so that what is grouped is not dealt out again
+    key = [F.coalesce("taker", F.lit(0).cast(docs.schema["doc_id"].dataType)).alias("tk"), F.isnull("taker").alias("tb")]
+    given = given.select(*key, F.struct(F.xxhash64("text").alias("h"), F.substr("text", F.lit(1), F.col("most")).alias("head"), F.col("fp").alias("next_fp")).alias("g"))
+    given = given.groupBy("tk", "tb").agg(F.max("g").alias("g"))
+    same = (F.coalesce("doc_id", F.lit(0).cast(docs.schema["doc_id"].dataType)) == F.col("tk")) & (F.isnull("doc_id") == F.col("tb"))
+    joined = rows.join(given, same).withColumn("n", F.length("text"))
     half = F.floor(F.col("n") / 2).cast("int")
     edited = F.concat(F.substr("text", F.lit(1), F.col("n") - half), F.substr(F.col("g")["head"], F.lit(1), half))
     return joined.select("doc_id", F.col("n").cast("long").alias("n_chars"), edited.alias("edited"), "fp", F.col("g")["next_fp"].alias("next_fp"))
