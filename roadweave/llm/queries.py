@@ -44,6 +44,37 @@ def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.windows(turns.unionByName(extra)))
 
 
+OP4_SQL = r"""
+with t as (
+  select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+  union all select -1, 0, 'user', '</s>[INST] ok [/INST]' union all select -1, 1, 'assistant', '</s>[INST] ok [/INST]'
+), n as (
+  select *, row_number() over w - 1 as i, len(regexp_extract_all(text, '[\p{L}\p{N}]+|[^\p{L}\p{N}\s]')) + 4 as tokens,
+    length(role) + length(text) + 8 + 1 + 8 + len(regexp_extract_all(role || text, '\\')) + len(regexp_extract_all(text, '[<\[](\||/?s>|/?INST\]|<?/?SYS)')) as chars
+  from t window w as (partition by conv_id order by turn nulls first, role, text)
+), s as (
+  select *, sum(tokens) over (partition by conv_id order by i) - tokens as start, i = 0 and role = 'system' as system from n
+), y as (
+  select s.*, coalesce(x.tokens, 0) as taken, coalesce(x.chars, 0) as system_chars from s left join (select conv_id, tokens, chars from s where system) x on s.conv_id is not distinct from x.conv_id
+), c as (
+  select *, greatest(1, (1024 - 128 - taken) // 2) as stretch from y
+), p as (
+  select *, (start - taken) // stretch as cell, tokens > stretch as own from c where not system
+), w as (
+  select conv_id, cell, own, min(i) as first, min(start) as first_start, sum(chars) as chars, any_value(system_chars) as system_chars from p group by 1, 2, 3
+), h as (
+  select w.conv_id, w.cell, w.own, sum(p.chars) as chars from w join p on w.conv_id is not distinct from p.conv_id and p.i between w.first - 2 and w.first - 1 and w.first_start - p.start <= 128 group by 1, 2, 3
+), f as (
+  select w.conv_id, sum(w.chars + w.system_chars + coalesce(h.chars, 0)) as chars from w left join h on w.conv_id is not distinct from h.conv_id and w.cell = h.cell and w.own = h.own group by 1
+), d as (
+  select conv_id, count(*) as n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' order by i)) as turns_sha256, coalesce(string_agg(text, '' order by i) filter (role = 'assistant'), '') as loss,
+    sum(case when system then chars else 0 end) as lone from y group by 1
+)
+select d.conv_id, n_turns, turns_sha256, length(loss)::bigint as loss_chars, sha256(loss) as loss_sha256, coalesce(f.chars, d.lone)::bigint as formatted_chars
+from d left join f on d.conv_id is not distinct from f.conv_id
+"""
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that a mix of all documents takes of each."""
     out = mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "source", "text"), digest=True)
@@ -141,4 +172,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_mixing": OP8_SQL}
+    return {"op4_chat_format": OP4_SQL, "op8_mixing": OP8_SQL}
