@@ -10,7 +10,7 @@ for certain.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import partial
+from functools import lru_cache, partial
 
 import numpy as np
 import pandas as pd
@@ -25,11 +25,20 @@ RADIUS = 3
 SEED = 42
 
 
+@lru_cache
 def masks(radius: int = RADIUS, bits: int = 64) -> list[int]:
-    """The kept bits of each table: 2**(radius+1) - 1 masks that cover the radius."""
-    vectors = [i % (2 ** (radius + 1) - 1) + 1 for i in range(bits)]
-    # clearing the bits that v is not orthogonal to would keep nothing of a bit; the kept ones are those with odd product
-    return [sum(1 << i for i, a in enumerate(vectors) if (a & v).bit_count() % 2) for v in range(1, 2 ** (radius + 1))]
+    """The kept bits of each table: 2**(radius+1) - 1 masks that cover the radius.
+
+    A bit is kept where its vector's product with the table's is odd. Vectors
+    are dealt by the stride that leaves the poorest table the most bits.
+    """
+    n = 2 ** (radius + 1) - 1
+
+    def by_stride(stride: int) -> list[int]:
+        vectors = [i * stride % n + 1 for i in range(bits)]
+        return [sum(1 << i for i, a in enumerate(vectors) if (a & v).bit_count() % 2) for v in range(1, n + 1)]
+
+    return max((by_stride(s) for s in range(1, n + 1)), key=lambda m: min(x.bit_count() for x in m))
 
 
 def fingerprint(text: bytes | None, shingle: int = SHINGLE) -> int:
@@ -51,94 +60,117 @@ def fingerprint(text: bytes | None, shingle: int = SHINGLE) -> int:
     return int(np.packbits(2 * ones > len(h), bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, text: str = "text", shingle: int = SHINGLE) -> DataFrame:
-    """``docs`` with ``__fp``, the fingerprint as a signed long; whole texts, null as empty."""
+def fingerprints(docs: DataFrame, text: str = "text", shingle: int = SHINGLE, check_shingle: int | None = None) -> DataFrame:
+    """``docs`` with ``__fp``, the fingerprint as a signed long, and ``__check``, that of other shingles or 0; whole texts, null as empty."""
 
-    @F.pandas_udf("long")
-    def run(texts: pd.Series) -> pd.Series:
-        return pd.Series(np.fromiter((fingerprint(t, shingle) for t in texts), np.uint64, len(texts)).view(np.int64))
+    @F.pandas_udf("fp long, check long")
+    def run(texts: pd.Series) -> pd.DataFrame:
+        of = lambda n: np.fromiter((fingerprint(t, n) for t in texts), np.uint64, len(texts)).view(np.int64)
+        return pd.DataFrame({"fp": of(shingle), "check": of(check_shingle) if check_shingle else 0})
 
-    return docs.withColumn("__fp", run(F.col(text).cast("binary")))
+    made = docs.withColumn("__made", run(F.col(text).cast("binary")))
+    return made.withColumns({"__fp": F.col("__made.fp"), "__check": F.col("__made.check")}).drop("__made")
 
 
 def hex16(fp: Column) -> Column:
     return F.lpad(F.lower(F.hex(fp)), 16, "0")
 
 
-def bucket_links(fps: np.ndarray, radius: int = RADIUS) -> list[tuple[int, int]]:
-    """Star edges (root, member) of the classes that links within ``radius`` make of distinct fingerprints.
+def bucket_links(fps: np.ndarray, radius: int = RADIUS, checks: np.ndarray | None = None, check_radius: int = 64) -> np.ndarray:
+    """Star edges (root, member), as places in ``fps``, of the classes that links make.
 
+    A link is at most ``radius`` bits, and ``check_radius`` bits of ``checks``.
     A search that takes every fingerprint out of the rest once it is reached:
     linear edges, all links counted, none listed pair by pair.
     """
-    rest = np.sort(fps.astype(np.int64))
+    fps = fps.astype(np.int64).view(np.uint64)
+    checks = None if checks is None else checks.astype(np.int64).view(np.uint64)
+    rest = np.arange(len(fps))
     edges = []
     while len(rest):
         root, rest = rest[0], rest[1:]
         todo = [root]
         while todo and len(rest):
-            near = np.bitwise_count((rest ^ todo.pop()).view(np.uint64)) <= radius
+            k = todo.pop()
+            near = np.bitwise_count(fps[rest] ^ fps[k]) <= radius
+            if checks is not None and near.any():
+                near &= np.bitwise_count(checks[rest] ^ checks[k]) <= check_radius
             if near.any():
-                found = rest[near].tolist()
-                todo += found
-                edges += [(int(root), f) for f in found]
+                found = rest[near]
+                todo += found.tolist()
+                edges.append(np.column_stack([np.full(len(found), root), found]))
                 rest = rest[~near]
-    return edges
+    return np.concatenate(edges) if edges else np.zeros((0, 2), np.int64)
 
 
-def link_fingerprints(distinct: DataFrame, fp: str = "fp", radius: int = RADIUS) -> DataFrame:
-    """(a, b) star edges between distinct fingerprints that meet in some table and are linked there."""
-    tables = F.array(*[F.struct(F.lit(t).alias("t"), F.col(fp).bitwiseAND(F.lit(m if m < 2**63 else m - 2**64)).alias("key"), F.col(fp).alias("fp")) for t, m in enumerate(masks(radius))])
-    rows = distinct.select(F.explode(tables).alias("x")).select("x.*")
+def link_fingerprints(distinct: DataFrame, radius: int = RADIUS, check_radius: int | None = None) -> DataFrame:
+    """(a, a_check, b, b_check) star edges between distinct (fp, check) rows that meet in some table and are linked there."""
+    tables = F.array(*[F.struct(F.lit(t).cast("short").alias("t"), F.col("fp").bitwiseAND(F.lit(m if m < 2**63 else m - 2**64)).alias("key")) for t, m in enumerate(masks(radius))])
+    rows = distinct.select("fp", "check", F.explode(tables).alias("x")).select("x.t", "x.key", "fp", "check")
+    names = ["a", "a_check", "b", "b_check"]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: list[np.ndarray] = []
         held_key = None
+
+        def links(x: np.ndarray) -> np.ndarray:
+            e = bucket_links(x[:, 0], radius, None if check_radius is None else x[:, 1], check_radius or 64)
+            return np.column_stack([x[e[:, 0]], x[e[:, 1]]])
+
         for batch in batches:
             if not len(batch):
                 continue
-            t, key, fps = batch["t"].to_numpy(), batch["key"].to_numpy(), batch["fp"].to_numpy()
+            t, key, x = batch["t"].to_numpy(), batch["key"].to_numpy(), batch[["fp", "check"]].to_numpy()
             starts = np.flatnonzero(np.r_[True, (t[1:] != t[:-1]) | (key[1:] != key[:-1])])
             ends = np.r_[starts[1:], len(t)]
-            edges: list[tuple[int, int]] = []
+            edges = []
             if held_key == (t[0], key[0]):
-                held.append(fps[: ends[0]])
+                held.append(x[: ends[0]])
                 starts, ends = starts[1:], ends[1:]
             if len(starts):
-                if held and sum(map(len, held)) > 1:
-                    edges += bucket_links(np.concatenate(held), radius)
-                held, held_key = [fps[starts[-1] :]], (t[-1], key[-1])
-                for i in np.flatnonzero(ends[:-1] - starts[:-1] > 1):
-                    edges += bucket_links(fps[starts[i] : ends[i]], radius)
-            if edges:
-                yield pd.DataFrame(edges, columns=["a", "b"])
-        if held and sum(map(len, held)) > 1 and (edges := bucket_links(np.concatenate(held), radius)):
-            yield pd.DataFrame(edges, columns=["a", "b"])
-
-    return rows.repartition("t", "key").sortWithinPartitions("t", "key").mapInPandas(run, "a long, b long")
-
-
-def near_duplicates(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGLE) -> DataFrame:
+                if sum(map(len, held)) > 1:
+                    edges.append(links(np.concatenate(held)))
+                held, held_key = [x[starts[-1] :]], (t[-1], key[-1])
+                # pairs are compared all at once, larger buckets one by one
+                two = np.flatnonzero(ends[:-1] - starts[:-1] == 2)
+                a, b = x[starts[two]], x[starts[two] + 1]
+                near = np.bitwise_count((a[:, 0] ^ b[:, 0]).view(np.uint64)) <= radius
+                if check_radius is not None:
+                    near &= np.bitwise_count((a[:, 1] ^ b[:, 1]).view(np.uint64)) <= check_radius
+                edges.append(np.column_stack([a[near], b[near]]))
+                edges += [links(x[starts[i] : ends[i]]) for i in np.flatnonzero(ends[:-1] - starts[:-1] > 2)]
+            if edges and sum(map(len, edges)):
+                yield pd.DataFrame(np.concatenate(edges), columns=names)
+        if sum(map(len, held)) > 1 and len(e := links(np.concatenate(held))):
+            yield pd.DataFrame(e, columns=names)
+
+    return rows.repartition("t", "key").sortWithinPartitions("t", "key").mapInPandas(run, ", ".join(f"{n} long" for n in names))
+
+
+def near_duplicates(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGLE, check_shingle: int | None = None, check_radius: int | None = None) -> DataFrame:
     """(doc_id, __fp, component_id) for every row of ``docs``.
 
     component_id is the least doc_id that links of at most ``radius`` differing
-    bits reach. Equal texts share a fingerprint, so copies are one node; texts
-    without words have fingerprint 0 and are linked like any other. A null
-    doc_id is never a component_id unless a class has no other. An empty table
-    gives an empty result.
+    bits reach; with ``check_shingle`` a link also needs fingerprints of those
+    shingles within ``check_radius``, so that a wide radius brings no strangers.
+    Equal texts share a fingerprint, so copies are one node; texts without words
+    have fingerprint 0 and are linked like any other. A null doc_id is never a
+    component_id unless a class has no other. An empty table gives an empty
+    result.
     """
-    rows = materialize(fingerprints(docs.select("doc_id", "text"), shingle=shingle).select("doc_id", "__fp"), "simhash")
-    nodes = materialize(rows.groupBy(F.col("__fp").alias("fp")).agg(F.min("doc_id").alias("least")), "simhash-nodes")
-    edges = materialize(link_fingerprints(nodes.select("fp"), radius=radius).distinct(), "simhash-edges")
-    of = connected_components(edges, "a", "b")
-    least = of.join(nodes, F.col("node") == F.col("fp")).groupBy("component").agg(F.min("least").alias("component_id"))
-    classes = of.join(least, "component").select(F.col("node").alias("fp"), "component_id")
-    classes = nodes.join(classes, "fp", "left").select(F.col("fp").alias("__fp"), F.coalesce("component_id", "least").alias("component_id"))
-    return rows.join(classes, "__fp")
-
-
-def keep_one(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """One row of each class: that of the least doc_id, once if repeated."""
-    classes = near_duplicates(docs, radius)
+    rows = materialize(fingerprints(docs.select("doc_id", "text"), shingle=shingle, check_shingle=check_shingle).select("doc_id", "__fp", "__check"), "simhash")
+    nodes = materialize(rows.groupBy(F.col("__fp").alias("fp"), F.col("__check").alias("check")).agg(F.min("doc_id").alias("least")), "simhash-nodes")
+    edges = link_fingerprints(nodes.select("fp", "check"), radius, check_radius if check_shingle else None)
+    edges = materialize(edges.distinct().select(F.struct(F.col("a").alias("fp"), F.col("a_check").alias("check")).alias("a"), F.struct(F.col("b").alias("fp"), F.col("b_check").alias("check")).alias("b")), "simhash-edges")
+    of = connected_components(edges, "a", "b").select("node.fp", "node.check", "component")
+    least = of.join(nodes, ["fp", "check"]).groupBy("component").agg(F.min("least").alias("component_id"))
+    classes = of.join(least, "component").select("fp", "check", "component_id")
+    classes = nodes.join(classes, ["fp", "check"], "left").select(F.col("fp").alias("__fp"), F.col("check").alias("__check"), F.coalesce("component_id", "least").alias("component_id"))
+    return rows.join(classes, ["__fp", "__check"]).drop("__check")
+
+
+def keep_one(docs: DataFrame, **options: int) -> DataFrame:
+    """One row of each class: that of the least doc_id, once if repeated; options as for ``near_duplicates``."""
+    classes = near_duplicates(docs, **options)
     kept = classes.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
     return docs.join(kept.withColumnRenamed("doc_id", "__keep"), F.col("doc_id").eqNullSafe(F.col("__keep")), "left_semi")

@@ -208,10 +208,10 @@ def test_covering_links_dense_group(spark):
     fps = {i: base ^ sum(1 << b for b in rng.sample(range(64), rng.randint(0, 6))) for i in range(400)} | {i: rng.getrandbits(64) for i in range(400, 600)}
     want = classes(fps)
     signed = lambda x: x - 2**64 if x >= 2**63 else x
-    df = spark.createDataFrame([(signed(f),) for f in set(fps.values())], "fp long").repartition(5)
+    df = spark.createDataFrame([(signed(f), 0) for f in set(fps.values())], "fp long, check long").repartition(5)
     from roadweave.operators.components import connected_components
 
-    edges = simhash.link_fingerprints(df)
+    edges = simhash.link_fingerprints(df).select("a", "b")
     assert edges.count() <= 15 * len(fps)
     of = {r["node"]: r["component"] for r in connected_components(edges, "a", "b").collect()}
     groups = lambda m: {frozenset(v) for v in m if len(v) > 1}
@@ -221,3 +221,27 @@ def test_covering_links_dense_group(spark):
     for i, f in fps.items():
         theirs[want[i]].add(f)
     assert groups(ours.values()) == groups(theirs.values())
+
+
+@pytest.mark.parametrize("radius", [1, 3, 6])
+def test_masks_cover_the_radius(radius):
+    import random
+
+    rng = random.Random(radius)
+    kept = simhash.masks(radius)
+    assert len(kept) == 2 ** (radius + 1) - 1 and min(m.bit_count() for m in kept) >= 20
+    for _ in range(3000):
+        differ = sum(1 << b for b in rng.sample(range(64), radius))
+        assert any(not m & differ for m in kept)
+
+
+def test_wide_radius_needs_the_check(spark):
+    base = "the quick brown fox jumps over a lazy dog while seven wizards hex " * 12
+    words = base.split()
+    near = " ".join(words[:40] + ["changed"] + words[41:])
+    far = " ".join(reversed(words))
+    docs = spark.createDataFrame([(5, base), (3, near), (8, far), (9, base)], "doc_id long, text string")
+    options = {"radius": 6, "shingle": 2, "check_shingle": 5, "check_radius": 18}
+    got = {r["doc_id"]: r["component_id"] for r in simhash.near_duplicates(docs, **options).collect()}
+    assert got == {5: 3, 3: 3, 9: 3, 8: 8}
+    assert sorted(r["doc_id"] for r in simhash.keep_one(docs, **options).collect()) == [3, 8]

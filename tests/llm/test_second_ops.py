@@ -311,7 +311,8 @@ def test_pipeline_stages_against_brute_force(spark, sf):
     model = langid.Classifier(langid.fit(docs, F.lit(True)))
     spoken = {i for i, d in rows.items() if model.classify(d["text"])[3]}
     assert {r[0] for r in c.language(spark, docs, sf).select("doc_id").collect()} == spoken and len(spoken) >= 0.99 * len(rows)
-    fps = {i: simhash.fingerprint((d["text"] or "").encode()) for i, d in rows.items()}
+    of = lambda n: {i: simhash.fingerprint((d["text"] or "").encode(), n) for i, d in rows.items()}
+    fps = {i: (x, y) for (i, x), y in zip(of(c.NEAR["shingle"]).items(), of(c.NEAR["check_shingle"]).values(), strict=True)}
     kept = {i for i in rows if not any(j < i for j in linked(fps, i))}
     assert {r[0] for r in c.near_duplicates(spark, docs, sf).select("doc_id").collect()} == kept
     items = load(spark, sf, "benchmark")
@@ -326,7 +327,7 @@ def linked(fps, i):
     while todo:
         k = todo.pop()
         for j in fps:
-            if j not in seen and (fps[j] ^ fps[k]).bit_count() <= 3:
+            if j not in seen and (fps[j][0] ^ fps[k][0]).bit_count() <= 6 and (fps[j][1] ^ fps[k][1]).bit_count() <= 18:
                 seen.add(j)
                 todo.append(j)
     return seen
