@@ -12,6 +12,7 @@ from roadweave.storage import materialize
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 SHARDS = 24
+NEAR = {"radius": 6, "shingle": 2, "check_shingle": 5, "check_radius": 18}
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -21,8 +22,12 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each class of near-duplicates the document with the least doc_id."""
-    return simhash.keep_one(docs).select(*COLUMNS)
+    """Of each class of near-duplicates the document with the least doc_id.
+
+    Pairs of words leave near copies fewer bits apart than longer shingles do;
+    a second fingerprint, of five words, keeps strangers out.
+    """
+    return simhash.keep_one(docs, **NEAR).select(*COLUMNS)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
