@@ -54,9 +54,13 @@ def nearest_in_group(left: DataFrame, right: DataFrame, group: list[str], left_i
 def scan_line(left: DataFrame, right: DataFrame, least: float, most: float, tolerance: float, dx: str = "dx", dy: str = "dy") -> DataFrame:
     """Pairs in the annulus whose right point is by the segment across the left point's direction."""
     hit = annulus(left, right, least, most)
-    a = g.scan_segment(F.col("l.x"), F.col("l.y"), F.col("l")[dx], F.col("l")[dy], most)
-    off = g.segment_distance(F.col("r.x"), F.col("r.y"), *a)
-    return hit.withColumn("off", off).where(F.col("off") <= tolerance)
+    # in the direction's own frame the segment is an axis from -most to most
+    ux, uy = g.unit(F.col("l")[dx], F.col("l")[dy])
+    x, y = F.col("r.x") - F.col("l.x"), F.col("r.y") - F.col("l.y")
+    hit = hit.withColumns({"__along": x * ux + y * uy, "__across": y * ux - x * uy})
+    past = F.greatest(F.lit(0.0), F.abs("__across") - most)
+    off = F.sqrt(F.col("__along") * F.col("__along") + past * past)
+    return hit.withColumn("off", off).drop("__along", "__across").where(F.col("off") <= tolerance)
 
 
 def in_oriented_box(nodes: DataFrame, cars: DataFrame, half_length: float, half_width: float, heading: str = "heading") -> DataFrame:

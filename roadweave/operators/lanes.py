@@ -37,7 +37,7 @@ def orient(lanes: DataFrame, lines: DataFrame) -> DataFrame:
     b = lines.select(F.col("ls").alias("left_ls"), F.col("cx").alias("ox"), F.col("cy").alias("oy"))
     x = lanes.join(a, "right_ls").join(b, "left_ls")
     across = (F.col("ex") - F.col("sx")) * (F.col("oy") - F.col("sy")) - (F.col("ey") - F.col("sy")) * (F.col("ox") - F.col("sx"))
-    swap = across < 0
+    swap = F.round(across, 9) < 0
     return x.select(F.when(swap, F.col("left_ls")).otherwise(F.col("right_ls")).alias("right_ls"), F.when(swap, F.col("right_ls")).otherwise(F.col("left_ls")).alias("left_ls"))
 
 

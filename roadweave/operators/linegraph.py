@@ -13,7 +13,7 @@ from collections.abc import Callable, Iterable
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -363,38 +363,41 @@ def edges_of(rows: DataFrame) -> DataFrame:
     return rows.where("kind = 'edge'").select("graph", "part", F.col("a").alias("src"), F.col("b").alias("dst"))
 
 
-def from_frame(pdf: pd.DataFrame) -> Graph:
+def from_rows(rows: list[dict]) -> Graph:
     """One graph of a group's rows; edges to missing nodes and loops are left out, null classes are 0."""
     g = Graph()
-    some = lambda v: None if pd.isna(v) else int(v)
-    for r in pdf[pdf["kind"] == "node"].sort_values("a").itertuples():
-        g.add(int(r.a), float(r.x), float(r.y), some(r.cls) or 0, some(r.fallback))
-        g.type = g.type or (r.type if isinstance(r.type, str) else None)
-    for r in pdf[pdf["kind"] == "edge"].sort_values(["a", "b"]).itertuples():
-        if r.a in g.nodes and r.b in g.nodes:
-            g.connect(int(r.a), int(r.b))
+    for r in sorted((r for r in rows if r["kind"] == "node"), key=lambda r: r["a"]):
+        g.add(r["a"], r["x"], r["y"], r["cls"] or 0, r["fallback"])
+        g.type = g.type or r["type"]
+    for r in sorted((r for r in rows if r["kind"] == "edge"), key=lambda r: (r["a"], r["b"])):
+        if r["a"] in g.nodes and r["b"] in g.nodes:
+            g.connect(r["a"], r["b"])
     return g
 
 
-def to_frame(graph: int, graphs: list[Graph]) -> pd.DataFrame:
-    rows = []
+SCHEMA = pa.schema([(c.split()[0], {"long": pa.int64(), "double": pa.float64(), "string": pa.string()}[c.split()[1]]) for c in ROWS.split(", ")])
+
+
+def to_table(graph: int | None, graphs: list[Graph]) -> pa.Table:
+    rows: list[tuple] = []
     for part, g in enumerate(graphs):
-        rows += [(graph, part, "node", n, None, x, y, cls, fallback, g.type) for n, (x, y, cls, fallback) in sorted(g.nodes.items())]
-        rows += [(graph, part, "edge", a, b, None, None, None, None, g.type) for a in sorted(g.adj) for b in g.adj[a] if a < b]
-    out = pd.DataFrame(rows, columns=COLUMNS)
-    return out.astype({"graph": "Int64", "part": "Int64", "a": "Int64", "b": "Int64", "cls": "Int64", "fallback": "Int64", "x": "float64", "y": "float64"})
+        rows += [(graph, part, "node", int(n), None, float(x), float(y), int(cls), None if fallback is None else int(fallback), g.type) for n, (x, y, cls, fallback) in sorted(g.nodes.items())]
+        rows += [(graph, part, "edge", int(a), int(b), None, None, None, None, g.type) for a in sorted(g.adj) for b in g.adj[a] if a < b]
+    columns = zip(*rows, strict=True) if rows else [[] for _ in COLUMNS]
+    return pa.table([pa.array(c, f.type) for c, f in zip(columns, SCHEMA, strict=True)], schema=SCHEMA)
 
 
 def process(rows: DataFrame, *stack: Processor) -> DataFrame:
     """A stack of processors over every graph, in one pass; graphs of the result have parts."""
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        work = [from_frame(pdf)]
+    def run(group: pa.Table) -> pa.Table:
+        group = group.to_pylist()
+        work = [from_rows(group)]
         for p in stack:
             work = [made for g in work for made in p(g)]
-        return to_frame(int(pdf["graph"].iloc[0]), work)
+        return to_table(group[0]["graph"], work)
 
-    return rows.groupBy("graph").applyInPandas(run, ROWS)
+    return rows.groupBy("graph").applyInArrow(run, ROWS)
 
 
 def renumber(rows: DataFrame) -> DataFrame:
@@ -412,14 +415,19 @@ def linestrings(rows: DataFrame, splits: DataFrame | None = None) -> DataFrame:
         extra = splits.select(F.col("graph").cast("long"), F.lit(0).cast("long").alias("part"), F.lit("cut").alias("kind"), F.col("node").cast("long").alias("a"), *[F.lit(None).cast(t).alias(c) for c, t in (("b", "long"), ("x", "double"), ("y", "double"), ("cls", "long"), ("fallback", "long"), ("type", "string"))])
         marked = rows.unionByName(extra)
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        g = from_frame(pdf)
-        cuts = set(pdf.loc[pdf["kind"] == "cut", "a"].astype(int))
-        lines = lines_of(g, cuts=cuts, by_class=True)
-        made = [(int(pdf["graph"].iloc[0]), k, line, g.nodes[line[-1] if len(line) == 2 else line[1]][2]) for k, line in enumerate(lines)]
-        return pd.DataFrame(made, columns=["graph", "line", "nodes", "cls"]).astype({"graph": "int64", "line": "int64", "cls": "int64"})
-
-    return marked.groupBy("graph").applyInPandas(run, "graph long, line long, nodes array<long>, cls long")
+    def run(group: pa.Table) -> pa.Table:
+        group = group.to_pylist()
+        g = from_rows(group)
+        lines = lines_of(g, cuts={r["a"] for r in group if r["kind"] == "cut"}, by_class=True)
+        n = len(lines)
+        return pa.table({
+            "graph": pa.array([group[0]["graph"]] * n, pa.int64()),
+            "line": pa.array(range(n), pa.int64()),
+            "nodes": pa.array(lines, pa.list_(pa.int64())),
+            "cls": pa.array([g.nodes[x[-1] if len(x) == 2 else x[1]][2] for x in lines], pa.int64()),
+        })
+
+    return marked.groupBy("graph").applyInArrow(run, "graph long, line long, nodes array<long>, cls long")
 
 
 def points_of_interest(nodes: DataFrame, edges: DataFrame, max_corner_deg: float | None = None) -> DataFrame:

@@ -8,12 +8,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from roadweave.functions import geo
+from roadweave.functions import camera, geo
 from roadweave.functions import geometry as g
-from roadweave.operators import blend, graphs, grid, lanes, poses
+from roadweave.operators import blend, boxparser, graphs, grid, lanes, linegraph, poses
 from roadweave.operators.components import connected_components
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -670,3 +670,147 @@ def utm_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     east, north = geo.latlon_to_utm(F.col("lat"), F.col("lon"))
     mm = lambda c: F.round(c, 3) + 0.0
     return places(spark, sf_dir).select("c_custkey", geo.utm_zone(F.col("lon")).alias("zone"), mm(east).alias("east"), mm(north).alias("north"))
+
+
+# Line graphs, lanes and cameras over the driver's tables
+
+
+def numbered_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """lineitem with ``k``, a line's place in its order; line numbers repeat."""
+    w = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice")
+    return table(spark, sf_dir, "lineitem").withColumn("k", F.row_number().over(w))
+
+
+SQL_LINES = "li as (select *, row_number() over (partition by l_orderkey order by l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice)::int as k from lineitem)"
+
+
+def order_paths(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Each order a path of its lines, classes by supplier."""
+    w = Window.partitionBy("graph").orderBy("node")
+    nodes = numbered_lines(spark, sf_dir).select(F.col("l_orderkey").alias("graph"), F.col("k").alias("node"), F.col("l_quantity").alias("x"), (F.col("l_discount") * 100).alias("y"), (F.col("l_suppkey") % 3).cast("int").alias("cls"), (F.col("l_partkey") % 4).cast("int").alias("fallback"))
+    edges = nodes.withColumn("dst", F.lead("node").over(w)).where("dst is not null").select("graph", F.col("node").alias("src"), "dst")
+    return nodes, edges
+
+
+SQL_PATHS = f"{SQL_LINES}, pa as (select l_orderkey as graph, k as node, k, (l_suppkey % 3)::int as cls, count(*) over (partition by l_orderkey) as n, lead((l_suppkey % 3)::int) over (partition by l_orderkey order by k) as next_cls, lag((l_suppkey % 3)::int) over (partition by l_orderkey order by k) as prev_cls from li)"
+
+
+@query(f"""with {SQL_PATHS} select graph, node, 'end' as reason from pa where n > 1 and (k = 1 or k = n) union all
+select graph, node, 'class' from pa where (next_cls is not null and next_cls <> cls) or (prev_cls is not null and prev_cls <> cls)""")
+def points_of_interest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L2: ends and class changes of every graph."""
+    return linegraph.points_of_interest(*order_paths(spark, sf_dir))
+
+
+@query(f"with {SQL_PATHS} select graph, 1 + sum(case when k > 1 and next_cls is not null and next_cls <> cls then 1 else 0 end)::bigint as lines from pa where n > 1 group by 1")
+def linestring_cuts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Linestrings that each graph is cut into."""
+    out = linegraph.linestrings(linegraph.to_rows(*order_paths(spark, sf_dir)))
+    return out.groupBy("graph").agg(F.count("*").alias("lines"))
+
+
+@query(f"with {SQL_LINES} select l_orderkey as ls, count(*) as n, arg_min(l_partkey, k) as first, arg_max(l_partkey, k) as last, round(avg(l_quantity), 6) + 0.0 as cx, round(avg(l_discount), 6) + 0.0 as cy from li group by 1")
+def line_ends(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ends and centre of linestrings."""
+    rows = numbered_lines(spark, sf_dir).select(F.col("l_orderkey").alias("ls"), "k", F.col("l_partkey").alias("node"), F.col("l_quantity").alias("x"), F.col("l_discount").alias("y"))
+    return lanes.line_ends(rows).select("ls", "n", "first", "last", r6(F.col("cx")).alias("cx"), r6(F.col("cy")).alias("cy"))
+
+
+@query(f"""with {SQL_BOXES}, c as (select *, max_x - min_x as w, max_y - min_y as h, (min_x + max_x) / 2 as cx, (min_y + max_y) / 2 as cy from bx)
+select id, case when w > h then max_x when h > w then cx else cx end as ax, case when w > h then cy when h > w then min_y else max_y end as ay,
+  case when w > h then min_x when h > w then cx else min_x end as bx, case when w > h then cy when h > w then max_y else cy end as by_ from c""")
+def crossing_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The middle line of 4-node shapes."""
+    b = part_boxes(spark, sf_dir)
+    at = lambda x, y: F.struct(F.col(x).alias("x"), F.col(y).alias("y"))
+    corners = F.array(at("min_x", "min_y"), at("max_x", "min_y"), at("max_x", "max_y"), at("min_x", "max_y"))
+    m = lanes.rectangle_lines(b.select(F.col("id").alias("graph"), corners.alias("corners")))
+    return m.select(F.col("graph").alias("id"), *[F.col("middle")[k][c].alias(n) for k, c, n in ((0, "x", "ax"), (0, "y", "ay"), (1, "x", "bx"), (1, "y", "by_"))])
+
+
+SQL_ENDS = f"{SQL_LINES}, le as (select l_orderkey as ls, arg_min(l_quantity, k) as sx, arg_min(l_discount, k) as sy, arg_max(l_quantity, k) as ex, arg_max(l_discount, k) as ey, avg(l_quantity) as cx, avg(l_discount) as cy from li group by 1)"
+
+
+@query(f"""with {SQL_ENDS}, p as (select ls as a, ls + 1 as b from le),
+j as (select p.a, p.b, (l.ex - l.sx) * (o.cy - l.sy) - (l.ey - l.sy) * (o.cx - l.sx) as across from p join le l on l.ls = p.a join le o on o.ls = p.b)
+select case when round(across, 9) < 0 then b else a end as right_ls, case when round(across, 9) < 0 then a else b end as left_ls from j""")
+def lane_sides(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sides of a lane swapped where the other is to the right."""
+    lines = numbered_lines(spark, sf_dir).groupBy(F.col("l_orderkey").alias("ls")).agg(
+        *[F.min_by(c, "k").alias(n) for c, n in (("l_quantity", "sx"), ("l_discount", "sy"))],
+        *[F.max_by(c, "k").alias(n) for c, n in (("l_quantity", "ex"), ("l_discount", "ey"))],
+        F.avg("l_quantity").alias("cx"), F.avg("l_discount").alias("cy"),
+    )
+    pairs = lines.select(F.col("ls").alias("right_ls"), (F.col("ls") + 1).alias("left_ls"))
+    return lanes.orient(pairs, lines)
+
+
+@query("""with l as (select distinct l_orderkey as ls, unnest([l_suppkey, l_partkey % 100]) as node from lineitem where l_linenumber = 1)
+select node, array_to_string(list_sort(list(distinct ls)), ',') as linestrings, array_to_string(list_sort(list(distinct ls // 2)), ',') as lanelets from l group by 1""")
+def node_annotations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Linestrings and lanes of every node; orders 2k and 2k+1 are the sides of lane k."""
+    li = table(spark, sf_dir, "lineitem").where("l_linenumber = 1")
+    ends = li.select(F.col("l_orderkey").alias("ls"), F.explode(F.array(F.col("l_suppkey"), F.col("l_partkey") % 100)).alias("node"))
+    lines = ends.groupBy("ls").agg(F.lit(0).alias("graph"), F.collect_set("node").alias("nodes"))
+    lane = F.floor(F.col("ls") / 2)
+    sides = lines.select(lane.alias("lane"), (lane * 2).alias("right_ls"), (lane * 2 + 1).alias("left_ls")).distinct()
+    nodes = lines.select("graph", F.explode("nodes").alias("node")).distinct()
+    return lanes.annotate(nodes, lines, sides).select("node", F.array_join(F.col("linestrings").cast("array<string>"), ",").alias("linestrings"), F.array_join(F.col("lanelets").cast("array<string>"), ",").alias("lanelets"))
+
+
+CAMERA = camera.Pinhole(500, 480, 320, 240, (0.5, 0.1, 1.6), 0.02, 0.05, 0.01)
+_P = [[repr(float(v)) for v in row] for row in CAMERA.projection]
+_DOT = [f"(x * 20 + 5) * {r[0]} + y * 10 * {r[1]} + z * {r[2]} + {r[3]}" for r in _P]
+
+
+@query(f"with {SQL_POINTS}, p as (select vec_id, {_DOT[0]} as a, {_DOT[1]} as b, {_DOT[2]} as c from pts) select vec_id, round(case when c > 0 then a / c end, 3) + 0.0 as u, round(case when c > 0 then b / c end, 3) + 0.0 as v from p")
+def image_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """World points in an image; none behind the camera."""
+    u, v = camera.project_columns(CAMERA, F.col("x") * 20 + 5, F.col("y") * 10, F.col("z"))
+    return points(spark, sf_dir).select("vec_id", (F.round(u, 3) + 0.0).alias("u"), (F.round(v, 3) + 0.0).alias("v"))
+
+
+@query()
+def graph_cleanup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stack of processors over near-point graphs (sequential inside a graph: fixtures in tests)."""
+    p = points(spark, sf_dir)
+    e = grid.pairs_within(p, p, 0.05).where("l.label = r.label and l.vec_id < r.vec_id").select(F.col("l.label").alias("graph"), F.col("l.vec_id").alias("src"), F.col("r.vec_id").alias("dst"))
+    nodes = p.select(F.col("label").alias("graph"), F.col("vec_id").alias("node"), "x", "y", (F.col("label") % 5).alias("cls"))
+    lg = linegraph
+    rows = lg.process(lg.to_rows(nodes, e), lg.box_replace(), lg.fit_replace(sample_dist=0.01), lg.cycle_flatten(), lg.auto_circle(threshold=0.02, resample_distance=0.01), lg.line_smooth(1.0), lg.fork_remove(), lg.drop_short(2))
+    return lg.nodes_of(lg.renumber(rows)).drop("part")
+
+
+@query()
+def head_connection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ends of lines joined until none is in range (iterative: fixtures in tests)."""
+    p = points(spark, sf_dir).select(F.col("label").alias("graph"), F.col("vec_id").alias("node"), "x", "y", F.lit(1).alias("cls"))
+    w = Window.partitionBy("graph").orderBy("node")
+    edges = p.withColumn("dst", F.lead("node").over(w)).where("dst is not null").select("graph", F.col("node").alias("src"), "dst")
+    nodes, _ = linegraph.connect_heads(p, edges, 0.02)
+    return nodes.select("old_graph", "node", "graph")
+
+
+@query()
+def split_propagation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L3, L4: splits spread across graphs (iterative: fixtures in tests)."""
+    p = points(spark, sf_dir).select(F.col("label").alias("graph"), F.col("vec_id").alias("node"), "x", "y", "dx", "dy")
+    seen, _ = lanes.propagate_splits(p, p.groupBy("graph").agg(F.min("node").alias("node")), 0.01, 0.05, 0.01)
+    return seen
+
+
+@query()
+def elevation_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Elevations spread to a fixed point (iterative: fixtures in tests)."""
+    p = points(spark, sf_dir).select(F.col("vec_id").alias("node"), "x", "y", F.when(F.col("label") % 2 == 0, F.col("z")).alias("ele"))
+    return lanes.fill_elevation(p, 0.03).select("node", r6(F.col("ele")).alias("ele"))
+
+
+@query()
+def region_graphs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Boxes of a class raster folded into line graphs (sequential in a drive: fixtures in tests)."""
+    best = pixel_argmax(spark, sf_dir)
+    second = pixel_second_best(spark, sf_dir).withColumnRenamed("cls", "second")
+    region = best.join(second, ["row", "col"]).select(F.lit(0).cast("long").alias("drive"), F.lit(0).cast("long").alias("frame"), "row", "col", F.col("cls").alias("best"), "second", F.lit(0.0).alias("tl_x"), F.lit(0.0).alias("tl_y"))
+    o = boxparser.ParserOptions(window=16, overlap=8)
+    return boxparser.fold_drives(boxparser.find_boxes(region, o), o)
