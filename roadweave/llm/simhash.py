@@ -77,19 +77,19 @@ def hex16(fp: Column) -> Column:
 
 
 def bucket_links(fps: np.ndarray, radius: int = RADIUS, checks: np.ndarray | None = None, check_radius: int = 64) -> np.ndarray:
-    """Star edges (root, member), as places in ``fps``, of the classes that links make.
+    """Tree edges (parent, child), as places in ``fps``, of the classes that links make.
 
     A link is at most ``radius`` bits, and ``check_radius`` bits of ``checks``.
     A search that takes every fingerprint out of the rest once it is reached:
-    linear edges, all links counted, none listed pair by pair.
+    linear edges, all links counted, none listed pair by pair. Each edge is a
+    link itself.
     """
     fps = fps.astype(np.int64).view(np.uint64)
     checks = None if checks is None else checks.astype(np.int64).view(np.uint64)
     rest = np.arange(len(fps))
     edges = []
     while len(rest):
-        root, rest = rest[0], rest[1:]
-        todo = [root]
+        todo, rest = [int(rest[0])], rest[1:]
         while todo and len(rest):
             k = todo.pop()
             near = np.bitwise_count(fps[rest] ^ fps[k]) <= radius
@@ -98,13 +98,20 @@ def bucket_links(fps: np.ndarray, radius: int = RADIUS, checks: np.ndarray | Non
             if near.any():
                 found = rest[near]
                 todo += found.tolist()
-                edges.append(np.column_stack([np.full(len(found), root), found]))
+                edges.append(np.column_stack([np.full(len(found), k), found]))
                 rest = rest[~near]
     return np.concatenate(edges) if edges else np.zeros((0, 2), np.int64)
 
 
 def link_fingerprints(distinct: DataFrame, radius: int = RADIUS, check_radius: int | None = None) -> DataFrame:
-    """(a, a_check, b, b_check) star edges between distinct (fp, check) rows that meet in some table and are linked there."""
+    """(a, a_check, b, b_check): links between distinct (fp, check) rows that hold all their classes together.
+
+    A bucket gives the edges of a tree, and of those only the pairs that meet in
+    no earlier table. A pair left out is connected by the tree of its first
+    table, whose own left-out edges are by still earlier ones; so nothing is
+    lost, and a class costs about its size, not its size times the tables.
+    """
+    kept = np.array(masks(radius), np.uint64)
     tables = F.array(*[F.struct(F.lit(t).cast("short").alias("t"), F.col("fp").bitwiseAND(F.lit(m if m < 2**63 else m - 2**64)).alias("key")) for t, m in enumerate(masks(radius))])
     rows = distinct.select("fp", "check", F.explode(tables).alias("x")).select("x.t", "x.key", "fp", "check")
     names = ["a", "a_check", "b", "b_check"]
@@ -113,9 +120,13 @@ def link_fingerprints(distinct: DataFrame, radius: int = RADIUS, check_radius: i
         held: list[np.ndarray] = []
         held_key = None
 
-        def links(x: np.ndarray) -> np.ndarray:
+        def first_met(e: np.ndarray, t: np.ndarray | int) -> np.ndarray:
+            differ = (e[:, 0] ^ e[:, 2]).view(np.uint64)
+            return e[((differ[:, None] & kept) == 0).argmax(1) == t] if len(e) else e
+
+        def links(x: np.ndarray, t: int) -> np.ndarray:
             e = bucket_links(x[:, 0], radius, None if check_radius is None else x[:, 1], check_radius or 64)
-            return np.column_stack([x[e[:, 0]], x[e[:, 1]]])
+            return first_met(np.column_stack([x[e[:, 0]], x[e[:, 1]]]), t)
 
         for batch in batches:
             if not len(batch):
@@ -129,7 +140,7 @@ def link_fingerprints(distinct: DataFrame, radius: int = RADIUS, check_radius: i
                 starts, ends = starts[1:], ends[1:]
             if len(starts):
                 if sum(map(len, held)) > 1:
-                    edges.append(links(np.concatenate(held)))
+                    edges.append(links(np.concatenate(held), held_key[0]))
                 held, held_key = [x[starts[-1] :]], (t[-1], key[-1])
                 # pairs are compared all at once, larger buckets one by one
                 two = np.flatnonzero(ends[:-1] - starts[:-1] == 2)
@@ -137,11 +148,11 @@ def link_fingerprints(distinct: DataFrame, radius: int = RADIUS, check_radius: i
                 near = np.bitwise_count((a[:, 0] ^ b[:, 0]).view(np.uint64)) <= radius
                 if check_radius is not None:
                     near &= np.bitwise_count((a[:, 1] ^ b[:, 1]).view(np.uint64)) <= check_radius
-                edges.append(np.column_stack([a[near], b[near]]))
-                edges += [links(x[starts[i] : ends[i]]) for i in np.flatnonzero(ends[:-1] - starts[:-1] > 2)]
+                edges.append(first_met(np.column_stack([a[near], b[near]]), t[starts[two]][near]))
+                edges += [links(x[starts[i] : ends[i]], t[starts[i]]) for i in np.flatnonzero(ends[:-1] - starts[:-1] > 2)]
             if edges and sum(map(len, edges)):
                 yield pd.DataFrame(np.concatenate(edges), columns=names)
-        if sum(map(len, held)) > 1 and len(e := links(np.concatenate(held))):
+        if sum(map(len, held)) > 1 and len(e := links(np.concatenate(held), held_key[0])):
             yield pd.DataFrame(e, columns=names)
 
     return rows.repartition("t", "key").sortWithinPartitions("t", "key").mapInPandas(run, ", ".join(f"{n} long" for n in names))
