@@ -7,8 +7,8 @@ last bytes, where it follows their counts, and each such class has room for
 unseen words. So probabilities over all tokens add up to one.
 
 Training is truncated backpropagation through time in numpy: gradients stop at
-windows, the state does not. Workers train on parts of a fixed share of the
-documents and their weights are averaged. Scoring carries the state from
+windows, the state does not. Workers train on parts of all training documents
+and their weights are averaged. Scoring carries the state from
 window to window over a whole document.
 """
 
@@ -36,8 +36,6 @@ WINDOW = 32
 STREAMS = 32
 RATE = 0.01
 ROUNDS = 2
-#: One training document in so many teaches the network; counts are of all.
-SHARE = 16
 #: Training cuts documents into pieces of so many windows, so that lanes are of like length.
 PIECE_WINDOWS = 16
 #: Documents that one worker trains on, about.
@@ -271,25 +269,36 @@ def train(p: dict[str, np.ndarray], v: Vocabulary, docs: list[np.ndarray], rate:
     return p
 
 
+def _encode(v: Vocabulary):
+    """The function that turns texts into symbols, two bytes each."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            known: dict[bytes, int] = {}
+            packed = []
+            for t in batch["text"]:
+                words = tokens(t)
+                for w in words:
+                    if w not in known:
+                        known[w] = v.symbol(w)
+                packed.append(np.array([known[w] for w in words], np.uint16).tobytes())
+            yield pd.DataFrame({"key": batch["key"], "symbols": packed})
+
+    return run
+
+
 def _worker(p: dict[str, np.ndarray], v: Vocabulary):
     """The training function of a worker that begins with weights ``p``."""
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        known: dict[bytes, int] = {}
-        seqs = []
-        for t in pdf.sort_values("key")["text"]:
-            words = tokens(t)
-            for w in words:
-                if w not in known:
-                    known[w] = v.symbol(w)
-            seqs.append(np.array([known[w] for w in words], np.int64))
+        seqs = [np.frombuffer(s, np.uint16).astype(np.int64) for s in pdf.sort_values("key")["symbols"]]
         return pd.DataFrame({"weights": [flat(train(p, v, seqs)).tolist()]})
 
     return run
 
 
 def fit(docs: DataFrame, train_rows: Column, v: Vocabulary, seed: int = 3) -> dict[str, np.ndarray]:
-    """Weights from one training document in ``SHARE``, chosen by a hash.
+    """Weights from all training documents, dealt to workers by a hash.
 
     The work grows with the table: each worker has about ``WORKER_DOCS``
     documents, and only the mean of the workers' weights reaches the driver.
@@ -298,10 +307,10 @@ def fit(docs: DataFrame, train_rows: Column, v: Vocabulary, seed: int = 3) -> di
     if not v.head:
         return p
     key = F.xxhash64(F.lit(seed), F.col("doc_id"), F.col("text"))
-    sample = docs.where(train_rows).where(F.pmod(key, F.lit(SHARE)) == 0)
-    sample = materialize(sample.select(F.col("text").cast("binary").alias("text"), key.alias("key")), "lm-sample")
-    workers = max(1, sample.count() // WORKER_DOCS)
-    parts = sample.withColumn("worker", F.pmod(F.xxhash64(F.lit(seed + 1), F.col("key")), F.lit(workers)))
+    rows = docs.where(train_rows).select(F.col("text").cast("binary").alias("text"), key.alias("key"))
+    taught = materialize(rows.mapInPandas(_encode(v), "key long, symbols binary"), "lm-symbols")
+    workers = max(1, taught.count() // WORKER_DOCS)
+    parts = taught.withColumn("worker", F.pmod(F.xxhash64(F.lit(seed + 1), F.col("key")), F.lit(workers)))
     for _ in range(ROUNDS):
         made = parts.groupBy("worker").applyInPandas(_worker(p, v), "weights array<float>")
         mean = made.select(F.posexplode("weights")).groupBy("pos").agg(F.avg("col").alias("x")).orderBy("pos").collect()

@@ -176,6 +176,15 @@ def test_lm_odd_tables(spark, odd, none):
     assert v.total == 0 and untaught.agg(F.max("n_known")).first()[0] == 0
 
 
+def test_every_training_document_teaches_the_network(spark):
+    docs = spark.createDataFrame([(k, f"word{k} " * 5) for k in range(24)], "doc_id long, text string")
+    train = F.col("doc_id") != 7
+    v = lm.learn_vocabulary(lm.count_words(docs, train))
+    before, after = lm.initial(v)["x"], lm.fit(docs, train, v)["x"]
+    assert len(v.head) == 24
+    assert all((before[s] != after[s]).any() for w, s in v.head.items() if w != lm.END)
+
+
 # WARC
 
 
