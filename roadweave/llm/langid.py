@@ -16,8 +16,10 @@ from pyspark.sql import functions as F
 
 #: Bytes of sample text in a language's dictionary: with the number of languages, the bound of the model.
 DICT_BYTES = 64 << 10
-#: Sample texts longer than this are passed over while shorter ones are left.
+#: Sample texts longer than this are passed over while the language has shorter ones; then they give a span of so much.
 SAMPLE_CHARS = 16_000
+#: Texts that a language's sample is drawn from, about, however long they are.
+SAMPLE_TEXTS = 32
 #: Texts are compressed in blocks, as a long text would soon be its own dictionary.
 BLOCK = 4096
 #: Margins, as shares of the smaller size, below which texts of at least REJECT_BYTES are rejected.
@@ -38,19 +40,18 @@ def fit(docs: DataFrame, train: Column, text: str = "text", lang: str = "lang",
     the key, so the same table gives the same model. Null languages and null or
     empty texts teach nothing; no labelled row gives an empty model.
     """
-    rows = docs.where(train & F.col(lang).isNotNull() & (F.length(text) > 0)).select(F.col(lang).alias("lang"), F.col(text).alias("text"), F.pmod(F.xxhash64(F.lit(5), F.col(key)), F.lit(1 << 40)).alias("h"))
-    sized = rows.where(F.length("text") <= SAMPLE_CHARS)
-    totals = {r["lang"]: r["size"] for r in sized.groupBy("lang").agg(F.sum(F.octet_length("text")).alias("size")).collect()}
-    if not totals:
-        sized = rows.withColumn("text", F.substring("text", 1, SAMPLE_CHARS))
-        totals = {r["lang"]: r["size"] for r in sized.groupBy("lang").agg(F.sum(F.octet_length("text")).alias("size")).collect()}
-    # twice the bytes that are needed, so that chance leaves no language short
-    limit = {k: int((1 << 40) * min(1.0, 2 * (dict_bytes + SAMPLE_CHARS) / v)) for k, v in totals.items()}
+    rows = docs.where(train & F.col(lang).isNotNull() & (F.length(text) > 0)).select(F.col(lang).alias("lang"), F.substring(text, 1, SAMPLE_CHARS).alias("text"), (F.length(text) > SAMPLE_CHARS).alias("long"), F.pmod(F.xxhash64(F.lit(5), F.col(key)), F.lit(1 << 40)).alias("h"))
+    totals = {(r["lang"], r["long"]): (r["size"], r["n"]) for r in rows.groupBy("lang", "long").agg(F.sum(F.octet_length("text")).alias("size"), F.count("*").alias("n")).collect()}
+    # twice the bytes that are needed, and SAMPLE_TEXTS at least, so that chance leaves no language short
+    need = 2 * (dict_bytes + SAMPLE_CHARS)
     picked = F.lit(False)
-    for k, most in limit.items():
-        picked = picked | ((F.col("lang") == k) & (F.col("h") <= most))
+    for (k, long), (size, n) in totals.items():
+        if long and totals.get((k, False), (0, 0))[0] >= need:
+            continue
+        most = int((1 << 40) * min(1.0, max(need / size, SAMPLE_TEXTS / n)))
+        picked = picked | ((F.col("lang") == k) & (F.col("long") == F.lit(long)) & (F.col("h") <= most))
     model: dict[str, bytes] = {}
-    for r in sorted(sized.where(picked).collect(), key=lambda r: (r["lang"], r["h"], r["text"])):
+    for r in sorted(rows.where(picked).collect(), key=lambda r: (r["lang"], r["long"], r["h"], r["text"])):
         have = model.get(r["lang"], b"")
         if len(have) < dict_bytes:
             model[r["lang"]] = have + plain(r["text"])[: dict_bytes - len(have)] + b" "

@@ -78,6 +78,15 @@ def test_language_id_held_out_accuracy(spark, odd, none):
     assert {r["lang_pred"] for r in langid.identify(odd, langid.fit(none, F.lit(True))).collect()} == {"und"}
 
 
+def test_a_language_of_long_texts_only_beside_one_of_short_texts_is_learnt(spark):
+    english, german = "the road turns left behind the old bridge and then ", "hinter der alten Brücke biegt die Straße nach links ab und dann "
+    rows = [(k, english * 3, "en") for k in range(6)] + [(10 + k, german * 400, "de") for k in range(3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.fit(docs, F.col("doc_id") != 12)
+    assert set(model) == {"en", "de"} and len(model["de"]) > langid.SAMPLE_CHARS
+    assert {(r["lang"], r["lang_pred"]) for r in langid.identify(docs, model).collect()} == {("en", "en"), ("de", "de")}
+
+
 def by_hand(turns):
     convs = defaultdict(list)
     for r in turns:
