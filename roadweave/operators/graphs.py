@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from roadweave.functions import geo
 from roadweave.functions import geometry as g
 from roadweave.operators.components import connected_components
-from roadweave.storage import materialize
+from roadweave.storage import COMPACT_ROUNDS, materialize
 
 
 def undirected(edges: DataFrame) -> DataFrame:
@@ -52,21 +54,24 @@ def split_components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     return nodes.join(named, ["graph", "node"], "left").withColumn("part", F.coalesce("part", "node"))
 
 
-def hops(edges: DataFrame, sources: DataFrame, most: int = 50) -> DataFrame:
+def hops(edges: DataFrame, sources: DataFrame, most: int | None = None) -> DataFrame:
     """(node, hop): fewest steps from any source (src, dst edges; node sources).
 
+    All nodes that can be reached, or those at most ``most`` steps away.
     One join of the frontier a step, against nodes seen; the frontier is written
     to the shared folder so that lineage stays short.
     """
     both = edges.select("src", "dst").unionAll(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"))).where("src <> dst").distinct()
     both = materialize(both, "hop-edges")
     seen = frontier = materialize(sources.select("node").distinct().withColumn("hop", F.lit(0)), "hops")
-    for k in range(1, most + 1):
+    for k in count(1) if most is None else range(1, most + 1):
         reached = frontier.join(both, F.col("node") == F.col("src")).select(F.col("dst").alias("node")).distinct()
         frontier = materialize(reached.join(seen, "node", "left_anti").withColumn("hop", F.lit(k)), "hops")
         if frontier.isEmpty():
             break
         seen = seen.unionByName(frontier)
+        if k % COMPACT_ROUNDS == 0:
+            seen = materialize(seen, "hops")
     return seen
 
 

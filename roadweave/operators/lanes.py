@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from roadweave.functions import geometry as g
 from roadweave.operators import grid
-from roadweave.storage import materialize
+from roadweave.storage import COMPACT_ROUNDS, materialize
 
 # Type and subtype of a line class in the output map.
 LINE_TYPES = {1: ("line_thin", "solid"), 2: ("line_thin", "dashed"), 3: ("line_thin", "solid_solid"), 4: ("line_thick", "solid"), 5: ("line_thick", "dashed"), 10: ("curbstone", "high"), 13: ("stop_line", "precedence"), 14: ("stop_line", "solid")}
@@ -79,14 +81,15 @@ def annotate_elevation(nodes: DataFrame, cars: DataFrame, half_length: float, ha
     return x.withColumn("ele", F.coalesce("at", "__m")).drop("at", "__m")
 
 
-def fill_elevation(nodes: DataFrame, radius: float, node_id: str = "node", nearest: bool = False, most: int = 100) -> DataFrame:
+def fill_elevation(nodes: DataFrame, radius: float, node_id: str = "node", nearest: bool = False) -> DataFrame:
     """Nodes without elevation take that of one in range, again and again to a fixed point.
 
     The one of least id in range, or the nearest. Nodes that nothing reaches stay null.
+    Every round fills a node at least, so the rounds end by themselves.
     """
     current = materialize(nodes, "elevation")
-    for _ in range(most):
-        empty, full = current.where("ele is null"), current.where("ele is not null")
+    while True:
+        empty, full = current.where(F.col("ele").isNull() & F.col(node_id).isNotNull()), current.where("ele is not null")
         order = F.struct("d", F.col("r")[node_id]) if nearest else F.struct(F.col("r")[node_id], F.col("d"))
         found = grid.pairs_within(empty.drop("ele"), full, radius).groupBy(F.col("l")[node_id].alias(node_id)).agg(F.min_by("r.ele", order).alias("__e"))
         found = materialize(found, "elevation-found")
@@ -155,19 +158,20 @@ def symmetric(relations: DataFrame) -> DataFrame:
     return relations.select("graph", "node", "other_graph", "other_node").unionByName(back).distinct()
 
 
-def propagate_splits(nodes: DataFrame, sources: DataFrame, least: float, most: float, tolerance: float, max_rounds: int = 50, max_degrees: float = 70.0) -> tuple[DataFrame, DataFrame]:
+def propagate_splits(nodes: DataFrame, sources: DataFrame, least: float, most: float, tolerance: float, max_degrees: float = 70.0) -> tuple[DataFrame, DataFrame]:
     """Splits spread breadth-first across neighbouring graphs (L3, L4).
 
     ``nodes`` is (graph, node, x, y, dx, dy), ``sources`` (graph, node). Each
     round the frontier looks across its direction for nodes of other graphs
     between ``least`` and ``most`` away; of each graph the candidate nearest
     the scan line counts (O3), and its direction may differ by ``max_degrees``.
-    Returns all split nodes with their round, and the symmetric relations.
+    Rounds end when no new node is found. Returns all split nodes with their
+    round, and the symmetric relations.
     """
-    nodes = materialize(nodes, "split-nodes")
+    nodes = materialize(nodes.where("graph is not null and node is not null"), "split-nodes")
     seen = frontier = materialize(nodes.join(sources.distinct(), ["graph", "node"], "left_semi").select("graph", "node", F.lit(0).alias("round")), "splits")
     relations = None
-    for k in range(1, max_rounds + 1):
+    for k in count(1):
         here = frontier.select("graph", "node").join(nodes, ["graph", "node"])
         hit = grid.scan_line(here, nodes, least, most, tolerance).where("l.graph <> r.graph")
         turn = g.angle_between(F.col("l.dx"), F.col("l.dy"), F.col("r.dx"), F.col("r.dy"))
@@ -181,6 +185,8 @@ def propagate_splits(nodes: DataFrame, sources: DataFrame, least: float, most: f
         if frontier.isEmpty():
             break
         seen = seen.unionByName(frontier)
+        if k % COMPACT_ROUNDS == 0:
+            seen, relations = materialize(seen, "splits"), materialize(relations, "relations")
     return seen, symmetric(relations)
 
 

@@ -11,6 +11,9 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Rounds after which an iteration writes what it has gathered as one table, so that plans stay short.
+COMPACT_ROUNDS = 20
+
 _WRITTEN: dict[str, list[str]] = {}
 
 

@@ -335,6 +335,23 @@ def test_elevation_fills_to_a_fixed_point(spark):
     assert {r["node"]: r["ele"] for r in lanes.fill_elevation(n, 1.0).collect()} == {0: 5.0, 1: 5.0, 2: 5.0, 3: None}
 
 
+def test_elevation_fills_a_chain_of_more_than_100_nodes(spark):
+    n = spark.createDataFrame([(k, float(k), 0.0, None if k else 5.0) for k in range(103)], "node long, x double, y double, ele double")
+    assert lanes.fill_elevation(n, 1.0).where("ele = 5").count() == 103
+
+
+def test_splits_propagate_over_more_than_50_lines(spark):
+    nodes = spark.createDataFrame([(k, 0, 0.0, 3.5 * k, 1.0, 0.0) for k in range(53)], "graph long, node long, x double, y double, dx double, dy double")
+    seen, _ = lanes.propagate_splits(nodes, spark.createDataFrame([(0, 0)], "graph long, node long"), 1.5, 6.0, 0.3)
+    assert {(r["graph"], r["round"]) for r in seen.collect()} == {(k, k) for k in range(53)}
+
+
+def test_hops_reach_all_nodes_or_as_many_steps_as_asked(spark):
+    edges, start = spark.createDataFrame([(k, k + 1) for k in range(54)], "src long, dst long"), spark.createDataFrame([(0,)], "node long")
+    assert {(r["node"], r["hop"]) for r in graphs.hops(edges, start).collect()} == {(k, k) for k in range(55)}
+    assert graphs.hops(edges, start, 3).count() == 4
+
+
 def test_rectangle_lines_and_annotations(spark):
     shape = spark.createDataFrame([(1, [(0.0, 0.0), (4.0, 0.0), (4.0, 1.0), (0.0, 1.0)])], "graph long, corners array<struct<x:double,y:double>>")
     r = lanes.rectangle_lines(shape).first()
