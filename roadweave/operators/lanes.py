@@ -6,9 +6,11 @@ from itertools import count
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 
 from roadweave.functions import geometry as g
 from roadweave.operators import grid
+from roadweave.operators.graphs import undirected
 from roadweave.storage import COMPACT_ROUNDS, materialize
 
 # Type and subtype of a line class in the output map.
@@ -158,27 +160,48 @@ def symmetric(relations: DataFrame) -> DataFrame:
     return relations.select("graph", "node", "other_graph", "other_node").unionByName(back).distinct()
 
 
-def propagate_splits(nodes: DataFrame, sources: DataFrame, least: float, most: float, tolerance: float, max_degrees: float = 70.0) -> tuple[DataFrame, DataFrame]:
-    """Splits spread breadth-first across neighbouring graphs (L3, L4).
+def _close_nodes(nodes: DataFrame, edges: DataFrame, steps: int) -> DataFrame:
+    """(other_graph, other_node, close): the nodes of a graph at most ``steps`` from each, itself too."""
+    both = materialize(undirected(edges), "close-edges")
+    near = nodes.select("graph", "node", F.col("node").alias("at")).distinct()
+    for _ in range(steps):
+        on = near.join(both.withColumnRenamed("src", "at"), ["graph", "at"]).select("graph", "node", F.col("dst").alias("at"))
+        near = materialize(near.unionByName(on).distinct(), "close-nodes")
+    return near.groupBy(F.col("graph").alias("other_graph"), F.col("node").alias("other_node")).agg(F.collect_set("at").alias("close"))
 
-    ``nodes`` is (graph, node, x, y, dx, dy), ``sources`` (graph, node). Each
-    round the frontier looks across its direction for nodes of other graphs
-    between ``least`` and ``most`` away; of each graph the candidate nearest
-    the scan line counts (O3), and its direction may differ by ``max_degrees``.
+
+def propagate_splits(nodes: DataFrame, sources: DataFrame, least: float, most: float, tolerance: float, max_degrees: float = 70.0, edges: DataFrame | None = None, min_node_path_len: int = 5) -> tuple[DataFrame, DataFrame]:
+    """Splits spread breadth-first across neighbouring lines (L3, L4).
+
+    ``nodes`` is (graph, node, x, y, dx, dy), ``sources`` (graph, node),
+    ``edges`` (graph, src, dst). Each round the frontier looks across its
+    direction for nodes of any graph, its own too, between ``least`` and
+    ``most`` away, whose direction may differ by ``max_degrees``. Of each graph
+    the candidate nearest the scan line counts (O3, Q22), and each further one
+    that is ``min_node_path_len`` or more steps from all those taken: lines
+    that merge elsewhere (G14). Without ``edges`` no candidate is known to be
+    far from another, and the first of each graph counts.
     Rounds end when no new node is found. Returns all split nodes with their
     round, and the symmetric relations.
     """
     nodes = materialize(nodes.where("graph is not null and node is not null"), "split-nodes")
+    close = None if edges is None else materialize(_close_nodes(nodes, edges, min_node_path_len - 1), "close-nodes")
     seen = frontier = materialize(nodes.join(sources.distinct(), ["graph", "node"], "left_semi").select("graph", "node", F.lit(0).alias("round")), "splits")
     relations = None
     for k in count(1):
         here = frontier.select("graph", "node").join(nodes, ["graph", "node"])
-        hit = grid.scan_line(here, nodes, least, most, tolerance).where("l.graph <> r.graph")
+        hit = grid.scan_line(here, nodes, least, most, tolerance).where("l.graph <> r.graph or l.node <> r.node")
         turn = g.angle_between(F.col("l.dx"), F.col("l.dy"), F.col("r.dx"), F.col("r.dy"))
         hit = hit.where(F.least(turn, F.pi() - turn) <= F.radians(F.lit(max_degrees)))
-        w = Window.partitionBy("l.graph", "l.node", "r.graph").orderBy(F.col("off") * F.col("d"), "r.node")
-        best = hit.withColumn("__k", F.row_number().over(w)).where("__k = 1")
-        found = materialize(best.select(F.col("l.graph").alias("graph"), F.col("l.node").alias("node"), F.col("r.graph").alias("other_graph"), F.col("r.node").alias("other_node")), "relations")
+        hit = hit.select(F.col("l.graph").alias("graph"), F.col("l.node").alias("node"), F.col("r.graph").alias("other_graph"), F.col("r.node").alias("other_node"), (F.col("off") * F.col("d")).alias("far"))
+        if close is None:
+            best = hit.groupBy("graph", "node", "other_graph").agg(F.min_by("other_node", F.struct("far", "other_node")).alias("other_node"))
+        else:
+            ranked = F.sort_array(F.collect_list(F.struct("far", "other_node", "close")))
+            none = F.array().cast(ArrayType(nodes.schema["node"].dataType))
+            taken = F.aggregate(ranked, none, lambda got, c: F.when(F.arrays_overlap(got, c["close"]), got).otherwise(F.concat(got, F.array(c["other_node"]))))
+            best = hit.join(close, ["other_graph", "other_node"]).groupBy("graph", "node", "other_graph").agg(taken.alias("__t")).withColumn("other_node", F.explode("__t"))
+        found = materialize(best.select("graph", "node", "other_graph", "other_node"), "relations")
         relations = found if relations is None else relations.unionByName(found)
         new = found.select(F.col("other_graph").alias("graph"), F.col("other_node").alias("node")).distinct().join(seen, ["graph", "node"], "left_anti")
         frontier = materialize(new.withColumn("round", F.lit(k)), "splits")

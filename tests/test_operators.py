@@ -346,6 +346,18 @@ def test_splits_propagate_over_more_than_50_lines(spark):
     assert {(r["graph"], r["round"]) for r in seen.collect()} == {(k, k) for k in range(53)}
 
 
+def test_splits_reach_parallel_lines_of_one_graph(spark):
+    at = lambda graph, first, y: [(graph, first + i, float(i), y, 1.0, 0.0) for i in range(10)]
+    nodes = spark.createDataFrame(at(0, 0, 3.5) + at(0, 10, 0.0) + at(1, 0, 1.75), "graph long, node long, x double, y double, dx double, dy double")
+    edges = spark.createDataFrame([(k, a + i, a + i + 1) for k, a in ((0, 0), (0, 10), (1, 0)) for i in range(9)] + [(0, 0, 10)], "graph long, src long, dst long")
+    start = lambda graph, node: spark.createDataFrame([(graph, node)], "graph long, node long")
+    found = lambda out: {tuple(r) for r in out[1].collect()}
+    assert found(lanes.propagate_splits(nodes.where("graph = 0"), start(0, 8), 1.5, 4.0, 0.3)) == {(0, 8, 0, 18), (0, 18, 0, 8)}
+    # a line between the arms of the fork cuts both, but only one where they are fewer than five steps apart
+    assert {(1, 8, 0, 8), (1, 8, 0, 18)} <= found(lanes.propagate_splits(nodes, start(1, 8), 1.5, 2.0, 0.3, edges=edges))
+    assert found(lanes.propagate_splits(nodes, start(1, 1), 1.5, 2.0, 0.3, edges=edges)) == {(1, 1, 0, 1), (0, 1, 1, 1)}
+
+
 def test_hops_reach_all_nodes_or_as_many_steps_as_asked(spark):
     edges, start = spark.createDataFrame([(k, k + 1) for k in range(54)], "src long, dst long"), spark.createDataFrame([(0,)], "node long")
     assert {(r["node"], r["hop"]) for r in graphs.hops(edges, start).collect()} == {(k, k) for k in range(55)}
