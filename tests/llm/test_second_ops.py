@@ -123,37 +123,57 @@ def test_lm_probabilities_add_up_to_one():
     assert np.exp(lp).sum() == pytest.approx(1.0, abs=1e-4)
 
 
-def test_lm_scores_do_not_depend_on_company():
+def test_lm_scores_do_not_depend_on_company(monkeypatch):
     v = small_vocabulary()
     p = lm.initial(v)
     rng = np.random.default_rng(1)
     docs = [rng.integers(0, v.symbols - 1, n) for n in (1, 5, 33, 64, 200, 7)]
     together = lm.score_symbols(p, v, docs)
     assert together == pytest.approx([lm.score_symbols(p, v, [d])[0] for d in docs], rel=1e-4)
+    monkeypatch.setattr(lm, "SCORED", 2)
+    assert together == pytest.approx(lm.score_symbols(p, v, docs), rel=1e-4)
     h, last, by_hand = np.zeros((1, lm.HIDDEN), np.float32), np.array([v.symbols - 1]), 0.0
     for s in docs[4]:
-        h = lm.step(p, last, h)[4]
+        h = lm.step(p, last, h)
         by_hand += lm.output(p, v, h, np.array([s]))[0][0]
         last = np.array([s])
     assert together[4] == pytest.approx(by_hand, rel=1e-4)
 
 
-def test_lm_gradients_are_those_of_the_loss(monkeypatch):
+def test_lm_gradients_are_those_of_the_loss():
+    """Of the output, and through time of the recurrence, by finite differences in double precision."""
     v = small_vocabulary()
     p = {k: x.astype(np.float64) for k, x in lm.initial(v).items()}
-    h = np.random.default_rng(3).normal(0, 1, (5, lm.HIDDEN))
-    y, w = np.array([0, 3, 40, 60, 90]), np.full(5, 0.2)
-    grads = {k: np.zeros_like(x) for k, x in p.items()}
-    _, dh = lm.output(p, v, h, y, grads, w)
-    loss = lambda: -(lm.output(p, v, h, y)[0] * w).sum()
-    for array, g, at in ((p["c"], grads["c"], (2, 5)), (p["cb"], grads["cb"], (1,)), (p["w"], grads["w"], (0, 3, 3)), (h, dh, (1, 2))):
-        old = array[at]
-        array[at] = old + 1e-5
-        up = loss()
-        array[at] = old - 1e-5
-        down = loss()
-        array[at] = old
-        assert g[at] == pytest.approx((up - down) / 2e-5, rel=1e-3, abs=1e-7)
+    rng = np.random.default_rng(3)
+    s = rng.integers(0, v.symbols - 1, (7, 4))
+    s[0, 0] = s[3, 1] = v.symbols - 1
+    y = rng.integers(0, v.symbols - 1, (7, 4))
+    live = np.ones((7, 4), bool)
+    live[5:, 2] = False
+    begin = rng.normal(0, 0.5, (4, lm.HIDDEN))
+
+    def loss():
+        h, total = begin, 0.0
+        for t in range(7):
+            h = lm.step(p, s[t], np.where((s[t] == v.symbols - 1)[:, None], 0.0, h))
+            total -= (lm.output(p, v, h, y[t])[0] * live[t]).sum()
+        return total / live.sum()
+
+    grads, after = lm.backward(p, v, s, y, live, begin)
+    h = begin
+    for t in range(7):
+        h = lm.step(p, s[t], np.where((s[t] == v.symbols - 1)[:, None], 0.0, h))
+    assert after == pytest.approx(h, rel=1e-9)
+    for name, g in grads.items():
+        for at in rng.choice(np.flatnonzero(g), min(25, np.count_nonzero(g)), replace=False):
+            at = np.unravel_index(at, g.shape)
+            old = p[name][at]
+            p[name][at] = old + 1e-5
+            up = loss()
+            p[name][at] = old - 1e-5
+            down = loss()
+            p[name][at] = old
+            assert g[at] == pytest.approx((up - down) / 2e-5, rel=1e-4, abs=1e-8), name
 
 
 def test_lm_training_learns_order():
@@ -180,9 +200,21 @@ def test_every_training_document_teaches_the_network(spark):
     docs = spark.createDataFrame([(k, f"word{k} " * 5) for k in range(24)], "doc_id long, text string")
     train = F.col("doc_id") != 7
     v = lm.learn_vocabulary(lm.count_words(docs, train))
-    before, after = lm.initial(v)["x"], lm.fit(docs, train, v)["x"]
+    coded = lm.encode(docs, train, v)
+    before, after = lm.initial(v)["x"], lm.fit(coded, v)["x"]
     assert len(v.head) == 24
-    assert all((before[s] != after[s]).any() for w, s in v.head.items() if w != lm.END)
+    assert all((before[:, s] != after[:, s]).any() for w, s in v.head.items() if w != lm.END)
+
+
+def test_lm_chunks_and_words_do_not_change_the_counts(spark, monkeypatch):
+    words = [f"w{k}" for k in range(900)]
+    docs = spark.createDataFrame([(k, " ".join(words[k : k + 300])) for k in range(0, 600, 7)] + [(1, "new A a"), (1, "new A a"), (None, "w1")], "doc_id long, text string")
+    train = F.col("doc_id") % 3 != 1
+    whole = {r["doc_id"]: tuple(r) for r in lm.train_and_score(docs, train)[0].collect()}
+    monkeypatch.setattr(lm, "CHUNK_BYTES", 3000)
+    for r in lm.train_and_score(docs.repartition(3), train)[0].collect():
+        assert tuple(r)[:3] == whole[r["doc_id"]][:3] and r["base_score"] == pytest.approx(whole[r["doc_id"]][3])
+    assert whole[1] == (1, 4, 1, pytest.approx(whole[1][3]), pytest.approx(whole[1][4]))
 
 
 # WARC
