@@ -39,7 +39,7 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once to the shared folder and read back."""
     spark = df.sparkSession
     path = new_path(spark, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
