@@ -9,6 +9,7 @@ for certain.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache, partial
 
@@ -41,51 +42,79 @@ def masks(radius: int = RADIUS, bits: int = 64) -> list[int]:
     return max((by_stride(s) for s in range(1, n + 1)), key=lambda m: min(x.bit_count() for x in m))
 
 
-def fingerprint(text: bytes | None, shingle: int = SHINGLE) -> int:
-    """The unsigned 64-bit SimHash of a text; 0 without words."""
+def shingles(text: bytes | None, size: int) -> list[bytes]:
+    """All runs of ``size`` words, A-Z lower-cased, repeats too; fewer words are one run, none are none."""
+    words = (text or b"").lower().split()
+    if len(words) <= size:
+        return [b" ".join(words)] if words else []
+    return list(map(b" ".join, zip(*[words[i:] for i in range(size)], strict=False)))
+
+
+def _majority(digests: np.ndarray, weights: np.ndarray | None = None) -> np.ndarray:
+    """Bytes whose bits are set in over half of the digests' (n, bytes) weight."""
+    ones = np.zeros(8 * digests.shape[1], np.int64)
+    for at in range(0, len(digests), 4096):
+        bits = np.unpackbits(digests[at : at + 4096], axis=1, bitorder="little")
+        ones += bits.sum(0, dtype=np.int64) if weights is None else weights[at : at + 4096] @ bits
+    return np.packbits(2 * ones > (len(digests) if weights is None else weights.sum()), bitorder="little")
+
+
+def fingerprint(text: bytes | None, shingle: int = SHINGLE, most: int | None = None) -> int:
+    """The unsigned 64-bit SimHash of a text; 0 without words.
+
+    With ``most``, a shingle that is repeated counts so many times at most, so
+    that no word speaks for the whole text.
+    """
     import xxhash
 
-    words = (text or b"").lower().split()
-    if not words:
+    parts, weights = shingles(text, shingle), None
+    if not parts:
         return 0
-    if len(words) <= shingle:
-        parts = [b" ".join(words)]
-    else:
-        parts = map(b" ".join, zip(*[words[i:] for i in range(shingle)], strict=False))
-    h = np.fromiter(map(partial(xxhash.xxh64_intdigest, seed=SEED), parts), np.uint64, max(1, len(words) - shingle + 1))
-    ones = np.zeros(64, np.int64)
-    for at in range(0, len(h), 4096):
-        block = h[at : at + 4096].astype("<u8").view(np.uint8).reshape(-1, 8)
-        ones += np.unpackbits(block, axis=1, bitorder="little").sum(0, dtype=np.int64)
-    return int(np.packbits(2 * ones > len(h), bitorder="little").view("<u8")[0])
-
-
-def fingerprints(docs: DataFrame, text: str = "text", shingle: int = SHINGLE, check_shingle: int | None = None) -> DataFrame:
-    """``docs`` with ``__fp``, the fingerprint as a signed long, and ``__check``, that of other shingles or 0; whole texts, null as empty."""
-
-    @F.pandas_udf("fp long, check long")
+    if most is not None:
+        counts = Counter(parts)
+        parts, weights = list(counts), np.minimum(np.fromiter(counts.values(), np.int64, len(counts)), most)
+    h = np.fromiter(map(partial(xxhash.xxh64_intdigest, seed=SEED), parts), np.uint64, len(parts))
+    return int(_majority(h.astype("<u8").view(np.uint8).reshape(-1, 8), weights).view("<u8")[0])
+
+
+def wide_fingerprint(text: bytes | None, shingle: int) -> tuple[int, int]:
+    """Two unsigned halves of a 128-bit SimHash; 0 without words."""
+    import xxhash
+
+    parts = shingles(text, shingle)
+    if not parts:
+        return 0, 0
+    h = np.frombuffer(b"".join(map(partial(xxhash.xxh128_digest, seed=SEED), parts)), np.uint8).reshape(-1, 16)
+    low, high = _majority(h).view("<u8")
+    return int(low), int(high)
+
+
+def fingerprints(docs: DataFrame, text: str = "text", shingle: int = SHINGLE, most: int | None = None, check_shingle: int | None = None) -> DataFrame:
+    """``docs`` with ``__fp``, the fingerprint as a signed long, and ``__check`` and ``__check2``, those of other shingles or 0; whole texts, null as empty."""
+
+    @F.pandas_udf("fp long, check long, check2 long")
     def run(texts: pd.Series) -> pd.DataFrame:
-        of = lambda n: np.fromiter((fingerprint(t, n) for t in texts), np.uint64, len(texts)).view(np.int64)
-        return pd.DataFrame({"fp": of(shingle), "check": of(check_shingle) if check_shingle else 0})
+        n = len(texts)
+        fps = np.fromiter((fingerprint(t, shingle, most) for t in texts), np.uint64, n)
+        wide = np.array([wide_fingerprint(t, check_shingle) if check_shingle else (0, 0) for t in texts], np.uint64).reshape(n, 2)
+        return pd.DataFrame({"fp": fps.view(np.int64), "check": wide[:, 0].view(np.int64), "check2": np.ascontiguousarray(wide[:, 1]).view(np.int64)})
 
     made = docs.withColumn("__made", run(F.col(text).cast("binary")))
-    return made.withColumns({"__fp": F.col("__made.fp"), "__check": F.col("__made.check")}).drop("__made")
+    return made.withColumns({"__fp": F.col("__made.fp"), "__check": F.col("__made.check"), "__check2": F.col("__made.check2")}).drop("__made")
 
 
 def hex16(fp: Column) -> Column:
     return F.lpad(F.lower(F.hex(fp)), 16, "0")
 
 
-def bucket_links(fps: np.ndarray, radius: int = RADIUS, checks: np.ndarray | None = None, check_radius: int = 64) -> np.ndarray:
-    """Tree edges (parent, child), as places in ``fps``, of the classes that links make.
+def bucket_links(fps: np.ndarray, radius: int = RADIUS) -> np.ndarray:
+    """Tree edges (parent, child), as places in ``fps``, of the classes that links of at most ``radius`` bits make.
 
-    A link is at most ``radius`` bits, and ``check_radius`` bits of ``checks``.
     A search that takes every fingerprint out of the rest once it is reached:
     linear edges, all links counted, none listed pair by pair. Each edge is a
     link itself.
     """
     fps = fps.astype(np.int64).view(np.uint64)
-    checks = None if checks is None else checks.astype(np.int64).view(np.uint64)
     rest = np.arange(len(fps))
     edges = []
     while len(rest):
@@ -93,8 +122,6 @@ def bucket_links(fps: np.ndarray, radius: int = RADIUS, checks: np.ndarray | Non
         while todo and len(rest):
             k = todo.pop()
             near = np.bitwise_count(fps[rest] ^ fps[k]) <= radius
-            if checks is not None and near.any():
-                near &= np.bitwise_count(checks[rest] ^ checks[k]) <= check_radius
             if near.any():
                 found = rest[near]
                 todo += found.tolist()
@@ -103,8 +130,36 @@ def bucket_links(fps: np.ndarray, radius: int = RADIUS, checks: np.ndarray | Non
     return np.concatenate(edges) if edges else np.zeros((0, 2), np.int64)
 
 
+def nearest_links(fps: np.ndarray, checks: np.ndarray, radius: int, check_radius: int) -> np.ndarray:
+    """Like ``bucket_links``, where a link also needs ``checks`` (n, 2) within ``check_radius``.
+
+    A class grows by its shortest link in bits of ``checks`` (a least spanning
+    tree), so that links which an exact comparison refuses later part no
+    documents that others hold together.
+    """
+    fps, checks = fps.astype(np.int64).view(np.uint64), np.ascontiguousarray(checks, np.int64).view(np.uint64)
+    rest = np.arange(len(fps))
+    far = np.uint16(999)
+    edges = []
+    while len(rest) > 1:
+        k, rest = int(rest[0]), rest[1:]
+        best, parent = np.full(len(rest), far), np.full(len(rest), k)
+        while len(rest):
+            near = np.flatnonzero(np.bitwise_count(fps[rest] ^ fps[k]) <= radius)
+            d = np.bitwise_count(checks[rest[near]] ^ checks[k]).sum(1, dtype=np.uint16)
+            closer = (d <= check_radius) & (d < best[near])
+            best[near[closer]], parent[near[closer]] = d[closer], k
+            j = int(best.argmin())
+            if best[j] == far:
+                break
+            k = int(rest[j])
+            edges.append((int(parent[j]), k))
+            rest, best, parent = (np.delete(x, j) for x in (rest, best, parent))
+    return np.array(edges, np.int64).reshape(-1, 2)
+
+
 def link_fingerprints(distinct: DataFrame, radius: int = RADIUS, check_radius: int | None = None) -> DataFrame:
-    """(a, a_check, b, b_check): links between distinct (fp, check) rows that hold all their classes together.
+    """(a, a_check, a_check2, b, b_check, b_check2): links between distinct (fp, check, check2) rows that hold all their classes together.
 
     A bucket gives the edges of a tree, and of those only the pairs that meet in
     no earlier table. A pair left out is connected by the tree of its first
@@ -113,25 +168,25 @@ def link_fingerprints(distinct: DataFrame, radius: int = RADIUS, check_radius: i
     """
     kept = np.array(masks(radius), np.uint64)
     tables = F.array(*[F.struct(F.lit(t).cast("short").alias("t"), F.col("fp").bitwiseAND(F.lit(m if m < 2**63 else m - 2**64)).alias("key")) for t, m in enumerate(masks(radius))])
-    rows = distinct.select("fp", "check", F.explode(tables).alias("x")).select("x.t", "x.key", "fp", "check")
-    names = ["a", "a_check", "b", "b_check"]
+    rows = distinct.select("fp", "check", "check2", F.explode(tables).alias("x")).select("x.t", "x.key", "fp", "check", "check2")
+    names = ["a", "a_check", "a_check2", "b", "b_check", "b_check2"]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: list[np.ndarray] = []
         held_key = None
 
         def first_met(e: np.ndarray, t: np.ndarray | int) -> np.ndarray:
-            differ = (e[:, 0] ^ e[:, 2]).view(np.uint64)
+            differ = (e[:, 0] ^ e[:, 3]).view(np.uint64)
             return e[((differ[:, None] & kept) == 0).argmax(1) == t] if len(e) else e
 
         def links(x: np.ndarray, t: int) -> np.ndarray:
-            e = bucket_links(x[:, 0], radius, None if check_radius is None else x[:, 1], check_radius or 64)
+            e = bucket_links(x[:, 0], radius) if check_radius is None else nearest_links(x[:, 0], x[:, 1:], radius, check_radius)
             return first_met(np.column_stack([x[e[:, 0]], x[e[:, 1]]]), t)
 
         for batch in batches:
             if not len(batch):
                 continue
-            t, key, x = batch["t"].to_numpy(), batch["key"].to_numpy(), batch[["fp", "check"]].to_numpy()
+            t, key, x = batch["t"].to_numpy(), batch["key"].to_numpy(), batch[["fp", "check", "check2"]].to_numpy()
             starts = np.flatnonzero(np.r_[True, (t[1:] != t[:-1]) | (key[1:] != key[:-1])])
             ends = np.r_[starts[1:], len(t)]
             edges = []
@@ -147,7 +202,7 @@ def link_fingerprints(distinct: DataFrame, radius: int = RADIUS, check_radius: i
                 a, b = x[starts[two]], x[starts[two] + 1]
                 near = np.bitwise_count((a[:, 0] ^ b[:, 0]).view(np.uint64)) <= radius
                 if check_radius is not None:
-                    near &= np.bitwise_count((a[:, 1] ^ b[:, 1]).view(np.uint64)) <= check_radius
+                    near &= np.bitwise_count((a[:, 1:] ^ b[:, 1:]).view(np.uint64)).sum(1) <= check_radius
                 edges.append(first_met(np.column_stack([a[near], b[near]]), t[starts[two]][near]))
                 edges += [links(x[starts[i] : ends[i]], t[starts[i]]) for i in np.flatnonzero(ends[:-1] - starts[:-1] > 2)]
             if edges and sum(map(len, edges)):
@@ -158,30 +213,86 @@ def link_fingerprints(distinct: DataFrame, radius: int = RADIUS, check_radius: i
     return rows.repartition("t", "key").sortWithinPartitions("t", "key").mapInPandas(run, ", ".join(f"{n} long" for n in names))
 
 
-def near_duplicates(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGLE, check_shingle: int | None = None, check_radius: int | None = None) -> DataFrame:
+NODE = ("fp", "check", "check2")
+
+
+def _node(prefix: str) -> Column:
+    return F.struct(F.col(prefix).alias("fp"), F.col(f"{prefix}_check").alias("check"), F.col(f"{prefix}_check2").alias("check2")).alias(prefix)
+
+
+def _edges(nodes: DataFrame, radius: int, check_radius: int | None) -> DataFrame:
+    edges = link_fingerprints(nodes.select(*NODE), radius, check_radius)
+    return materialize(edges.distinct().select(_node("a"), _node("b")), "simhash-edges")
+
+
+def near_duplicates(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGLE, most: int | None = None, check_shingle: int | None = None, check_radius: int | None = None) -> DataFrame:
     """(doc_id, __fp, component_id) for every row of ``docs``.
 
     component_id is the least doc_id that links of at most ``radius`` differing
-    bits reach; with ``check_shingle`` a link also needs fingerprints of those
-    shingles within ``check_radius``, so that a wide radius brings no strangers.
-    Equal texts share a fingerprint, so copies are one node; texts without words
-    have fingerprint 0 and are linked like any other. A null doc_id is never a
-    component_id unless a class has no other. An empty table gives an empty
-    result.
+    bits reach; with ``check_shingle`` a link also needs 128-bit fingerprints of
+    those shingles within ``check_radius``, so that a wide radius brings no
+    strangers. Equal texts share a fingerprint, so copies are one node; texts
+    without words have fingerprint 0 and are linked like any other. A null
+    doc_id is never a component_id unless a class has no other. An empty table
+    gives an empty result.
+    """
+    made = fingerprints(docs.select("doc_id", "text"), shingle=shingle, most=most, check_shingle=check_shingle)
+    rows = materialize(made.select("doc_id", "__fp", "__check", "__check2"), "simhash")
+    nodes = materialize(rows.groupBy(F.col("__fp").alias("fp"), F.col("__check").alias("check"), F.col("__check2").alias("check2")).agg(F.min("doc_id").alias("least")), "simhash-nodes")
+    edges = _edges(nodes, radius, check_radius if check_shingle else None)
+    of = connected_components(edges, "a", "b").select("node.*", "component")
+    least = of.join(nodes, list(NODE)).groupBy("component").agg(F.min("least").alias("component_id"))
+    classes = of.join(least, "component").select(*NODE, "component_id")
+    classes = nodes.join(classes, list(NODE), "left").select(F.col("fp").alias("__fp"), F.col("check").alias("__check"), F.col("check2").alias("__check2"), F.coalesce("component_id", "least").alias("component_id"))
+    return rows.join(classes, ["__fp", "__check", "__check2"]).drop("__check", "__check2")
+
+
+def overlap(a: bytes | None, b: bytes | None, shingle: int) -> float:
+    """Common shingles of two texts as a share of all; texts without words are alike."""
+    x, y = set(shingles(a, shingle)), set(shingles(b, shingle))
+    return len(x & y) / len(x | y) if x or y else 1.0
+
+
+def verified(edges: DataFrame, texts: DataFrame, shingle: int, least: float) -> DataFrame:
+    """Edges (a, b) between rows whose texts have at least ``least`` of their shingles in common.
+
+    ``texts`` is (rid, text), ``edges`` has a_rid and b_rid too. Only texts that
+    an edge names are carried to it.
+    """
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            ok = [overlap(x, y, shingle) >= least for x, y in zip(batch["a_text"], batch["b_text"], strict=True)]
+            yield batch.loc[ok, ["a_rid", "b_rid"]]
+
+    named = edges.select(F.col("a_rid").alias("rid")).unionAll(edges.select(F.col("b_rid").alias("rid"))).distinct()
+    held = materialize(texts.join(named, "rid", "left_semi").select("rid", F.col("text").cast("binary").alias("text")), "simhash-texts")
+    side = lambda k: held.select(F.col("rid").alias(f"{k}_rid"), F.col("text").alias(f"{k}_text"))
+    pairs = edges.select("a_rid", "b_rid").join(side("a"), "a_rid").join(side("b"), "b_rid").select("a_rid", "a_text", "b_rid", "b_text")
+    return pairs.mapInPandas(run, "a_rid long, b_rid long")
+
+
+def keep_one(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGLE, most: int | None = None, check_shingle: int = 5, check_radius: int = 26, least: float = 0.8) -> DataFrame:
+    """One row of each class of near-duplicates, all columns kept: that of the least doc_id.
+
+    Rows are candidates within ``radius`` bits and ``check_radius`` of 128 bits
+    of a fingerprint of ``check_shingle`` words; of those the ones stay linked
+    whose texts have at least ``least`` of these shingles in common, compared
+    exactly. Equal texts are one class, whatever their number; texts without
+    words are one class. Of rows with one doc_id that with the least hash of its
+    text stands first, of repeated rows any one; a null doc_id comes last. An
+    empty table gives an empty result.
     """
-    rows = materialize(fingerprints(docs.select("doc_id", "text"), shingle=shingle, check_shingle=check_shingle).select("doc_id", "__fp", "__check"), "simhash")
-    nodes = materialize(rows.groupBy(F.col("__fp").alias("fp"), F.col("__check").alias("check")).agg(F.min("doc_id").alias("least")), "simhash-nodes")
-    edges = link_fingerprints(nodes.select("fp", "check"), radius, check_radius if check_shingle else None)
-    edges = materialize(edges.distinct().select(F.struct(F.col("a").alias("fp"), F.col("a_check").alias("check")).alias("a"), F.struct(F.col("b").alias("fp"), F.col("b_check").alias("check")).alias("b")), "simhash-edges")
-    of = connected_components(edges, "a", "b").select("node.fp", "node.check", "component")
-    least = of.join(nodes, ["fp", "check"]).groupBy("component").agg(F.min("least").alias("component_id"))
-    classes = of.join(least, "component").select("fp", "check", "component_id")
-    classes = nodes.join(classes, ["fp", "check"], "left").select(F.col("fp").alias("__fp"), F.col("check").alias("__check"), F.coalesce("component_id", "least").alias("component_id"))
-    return rows.join(classes, ["__fp", "__check"]).drop("__check")
-
-
-def keep_one(docs: DataFrame, **options: int) -> DataFrame:
-    """One row of each class: that of the least doc_id, once if repeated; options as for ``near_duplicates``."""
-    classes = near_duplicates(docs, **options)
-    kept = classes.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
-    return docs.join(kept.withColumnRenamed("doc_id", "__keep"), F.col("doc_id").eqNullSafe(F.col("__keep")), "left_semi")
+    made = fingerprints(docs.withColumn("__rid", F.monotonically_increasing_id()), shingle=shingle, most=most, check_shingle=check_shingle)
+    rows = materialize(made, "simhash-rows")
+    rank = F.struct(F.isnull("doc_id").alias("none"), F.col("doc_id"), F.xxhash64("text").alias("tie"), F.col("__rid").alias("rid"))
+    nodes = rows.groupBy(F.col("__fp").alias("fp"), F.col("__check").alias("check"), F.col("__check2").alias("check2")).agg(F.min(rank).alias("first"))
+    nodes = materialize(nodes, "simhash-nodes")
+    edges = _edges(nodes, radius, check_radius)
+    at = lambda k: nodes.select(F.struct(*NODE).alias(k), F.col("first.rid").alias(f"{k}_rid"))
+    edges = materialize(edges.join(at("a"), "a").join(at("b"), "b").select("a_rid", "b_rid"), "simhash-pairs")
+    links = materialize(verified(edges, rows.select(F.col("__rid").alias("rid"), "text"), check_shingle, least), "simhash-links")
+    of = connected_components(links, "a_rid", "b_rid").select(F.col("node").alias("rid"), "component")
+    firsts = nodes.select("first").join(of, F.col("first.rid") == F.col("rid"), "left").select("first", F.coalesce("component", "first.rid").alias("component"))
+    kept = firsts.groupBy("component").agg(F.min("first").alias("first")).select(F.col("first.rid").alias("__rid"))
+    return rows.join(kept, "__rid", "left_semi").select(*docs.columns)

@@ -4,6 +4,7 @@ import hashlib
 import zlib
 from collections import defaultdict
 
+import numpy as np
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -204,8 +205,11 @@ def test_simhash_against_all_pairs(spark, sf, odd, none):
     got = {r["doc_id"]: r["component_id"] for r in simhash.near_duplicates(clash(odd)).collect()}
     assert got[7] == 1 and got[2] == got[3] == got[4] == 2
     assert simhash.near_duplicates(odd).count() == len(ODD)
-    kept = simhash.keep_one(odd).select("doc_id").distinct().collect()
-    assert {r[0] for r in kept} == {1, 2, None, 5, 6}
+    kept = simhash.keep_one(clash(odd))
+    assert kept.columns == clash(odd).columns
+    # 7 has the words of 1, two of them in capitals; repeated rows and texts without words are one class each
+    assert sorted(str(r["doc_id"]) for r in kept.collect()) == ["1", "2", "5", "6", "None"]
+    assert simhash.keep_one(none).count() == 0
     assert simhash.near_duplicates(none).count() == 0
 
 
@@ -217,7 +221,7 @@ def test_covering_links_dense_group(spark):
     fps = {i: base ^ sum(1 << b for b in rng.sample(range(64), rng.randint(0, 6))) for i in range(400)} | {i: rng.getrandbits(64) for i in range(400, 600)}
     want = classes(fps)
     signed = lambda x: x - 2**64 if x >= 2**63 else x
-    df = spark.createDataFrame([(signed(f), 0) for f in set(fps.values())], "fp long, check long").repartition(5)
+    df = spark.createDataFrame([(signed(f), 0, 0) for f in set(fps.values())], "fp long, check long, check2 long").repartition(5)
     from roadweave.operators.components import connected_components
 
     edges = simhash.link_fingerprints(df).select("a", "b")
@@ -245,12 +249,29 @@ def test_masks_cover_the_radius(radius):
 
 
 def test_wide_radius_needs_the_check(spark):
-    base = "the quick brown fox jumps over a lazy dog while seven wizards hex " * 12
-    words = base.split()
-    near = " ".join(words[:40] + ["changed"] + words[41:])
-    far = " ".join(reversed(words))
-    docs = spark.createDataFrame([(5, base), (3, near), (8, far), (9, base)], "doc_id long, text string")
-    options = {"radius": 6, "shingle": 2, "check_shingle": 5, "check_radius": 18}
-    got = {r["doc_id"]: r["component_id"] for r in simhash.near_duplicates(docs, **options).collect()}
-    assert got == {5: 3, 3: 3, 9: 3, 8: 8}
-    assert sorted(r["doc_id"] for r in simhash.keep_one(docs, **options).collect()) == [3, 8]
+    words = [f"w{k}" for k in range(150)]
+    base, far = " ".join(words), " ".join(reversed(words))
+    near, loose = " ".join(words[:40] + ["changed"] + words[41:]), " ".join(w if k % 12 else "changed" for k, w in enumerate(words))
+    docs = spark.createDataFrame([(5, base), (3, near), (8, far), (9, base), (5, "another text of the same id"), (7, loose)], "doc_id long, text string")
+    options = {"radius": 6, "shingle": 1, "most": 4, "check_shingle": 5, "check_radius": 26}
+    got = {r["doc_id"]: r["component_id"] for r in simhash.near_duplicates(docs.where("text not like 'another%'"), **options).collect()}
+    assert (got[5], got[3], got[9], got[8]) == (3, 3, 3, 8)
+    # a document of which 8 in 10 shingles are not common stays, and so does another text of a doc_id that goes
+    assert sorted(r["doc_id"] for r in simhash.keep_one(docs, **options).collect()) == [3, 5, 7, 8]
+
+
+def test_least_spanning_links_equal_all_links():
+    rng = np.random.default_rng(4)
+    base = rng.integers(0, 2**63, (6, 3))
+    x = np.concatenate([b ^ (rng.integers(0, 2**63, (30, 3)) & rng.integers(0, 2**63, (30, 3)) & rng.integers(0, 2**63, (30, 3)) & rng.integers(0, 2**63, (30, 3)) & rng.integers(0, 2**63, (30, 3))) for b in base])
+    bits = lambda a, b: sum(int(p ^ q).bit_count() for p, q in zip(a, b, strict=True))
+    linked = lambda i, j: bits(x[i, :1], x[j, :1]) <= 4 and bits(x[i, 1:], x[j, 1:]) <= 8
+    edges = simhash.nearest_links(x[:, 0], x[:, 1:], 4, 8)
+    assert len(edges) and all(linked(i, j) for i, j in edges)
+    label = list(range(len(x)))
+    whole = list(range(len(x)))
+    for of, pairs in ((label, edges.tolist()), (whole, [(i, j) for i in range(len(x)) for j in range(i) if linked(i, j)])):
+        for _ in range(len(x)):
+            for i, j in pairs:
+                of[i] = of[j] = min(of[i], of[j])
+    assert label == whole and len(edges) == len(x) - len(set(label))
