@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roadweave.storage import materialize
+from roadweave.storage import materialize, release
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -35,7 +35,8 @@ def connected_components(edges: DataFrame, left: str = "src", right: str = "dst"
     current = materialize(current, "edges")
     mark = None
     for _ in range(max_rounds):
-        current = materialize(_small_star(_large_star(current)), "star")
+        before, current = current, materialize(_small_star(_large_star(current)), "star")
+        release(before)
         row = current.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if (now := tuple(row)) == mark:
             break

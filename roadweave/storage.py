@@ -6,6 +6,7 @@ readable after any executor is lost.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -18,12 +19,14 @@ _WRITTEN: dict[str, list[str]] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; a temporary one only where it is unset."""
+    """The folder named by ``spark.checkpoint.dir``; where it is unset, a temporary one on a single machine, else an error."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if base:
         return base.rstrip("/")
     current = spark.sparkContext.getCheckpointDir()
     if not current:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise RuntimeError("executors need a shared folder: set spark.checkpoint.dir")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="roadweave-"))
         current = spark.sparkContext.getCheckpointDir()
     return current.rstrip("/")
@@ -40,7 +43,14 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = new_path(spark, name)
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.written_at = path
+    return out
+
+
+def release(df: DataFrame) -> None:
+    """Delete a table of ``materialize`` that no later plan reads."""
+    discard(df.sparkSession, df.written_at)
 
 
 def discard(spark: SparkSession, path: str) -> None:
@@ -48,6 +58,8 @@ def discard(spark: SparkSession, path: str) -> None:
     jvm = spark.sparkContext._jvm
     target = jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+    if path in (written := _WRITTEN.get(spark.sparkContext.applicationId, [])):
+        written.remove(path)
 
 
 def sweep(spark: SparkSession) -> int:
