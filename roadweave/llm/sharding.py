@@ -3,7 +3,8 @@
 Pass one scatters rows into shards and, inside each shard, into buckets small
 enough for memory, both by seeded hashes. Pass two orders each bucket by a
 Fisher-Yates permutation whose draws are seeded hashes too, so that a lost
-executor's work comes out the same when it is done again.
+executor's work comes out the same when it is done again. The bucket follows
+from a row's place in the input, so copies of a row are scattered like others.
 
 Law ``key``: the shard is the one whose hash with ``doc_id`` is greatest
 (rendezvous hashing), so doc_id and the shard count alone decide it, and one
@@ -17,8 +18,6 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Rows that one Fisher-Yates permutation covers at most; its array is built in memory.
-BLOCK_ROWS = 2048
 SEED = 20240611
 
 
@@ -57,32 +56,30 @@ def shard(
 
     ``size`` is the bytes of a row; buckets hold about ``bucket_bytes`` or
     ``bucket_rows``, whichever is less. Columns named shard or slot are replaced.
-    Repeated rows and repeated ids share a shard and have slots of their own;
-    an empty table gives an empty result.
+    Repeated rows and repeated ids share a shard, are spread over its buckets
+    and have slots of their own; null ids and texts are sharded like others; an
+    empty table gives an empty result. ``docs`` must come in the same order when
+    it is read again, as files and materialized tables do; the shard follows
+    from the id alone, the slot from the order too.
     """
     kept = [c for c in docs.columns if c not in ("shard", "slot")]
     n, total = docs.agg(F.count("*"), F.coalesce(F.sum(size), F.lit(0))).first()
     subs = max(1, math.ceil(total / n_shards / bucket_bytes), math.ceil(n / n_shards / bucket_rows))
-    key = F.col(id_col)
-    order = F.xxhash64(F.lit(seed), F.lit("order"), key, F.crc32(F.coalesce(size.cast("string"), F.lit(""))))
-    placed = docs.withColumns({"__shard": shard_of(key, n_shards, seed), "__order": order}).withColumn("__sub", F.pmod(F.xxhash64(F.lit(seed + 1), F.col("__order")), F.lit(subs)).cast("int"))
+    drawn = F.xxhash64(F.lit(seed), F.monotonically_increasing_id())
+    placed = docs.select(*kept, shard_of(F.col(id_col), n_shards, seed).alias("__shard"), drawn.alias("__order")).withColumn("__sub", F.pmod(F.xxhash64(F.lit(seed + 1), "__order"), F.lit(subs)).cast("int"))
 
     counts = placed.groupBy("__shard", "__sub").agg(F.count("*").alias("__n"))
     before = Window.partitionBy("__shard").orderBy("__sub").rowsBetween(Window.unboundedPreceding, -1)
-    block_n = lambda b: F.least(F.lit(BLOCK_ROWS), F.col("__n") - b * BLOCK_ROWS).cast("int")
-    perms = F.transform(
-        F.sequence(F.lit(0), F.floor((F.col("__n") - 1) / BLOCK_ROWS).cast("int")),
-        lambda b: permutation(block_n(b), F.lit(seed), F.col("__shard"), F.col("__sub"), b),
-    )
-    buckets = counts.withColumn("__base", F.coalesce(F.sum("__n").over(before), F.lit(0))).select("__shard", "__sub", "__base", perms.alias("__perms"))
+    # each bucket's permutation is made where its rows are, by the task that orders them
+    buckets = counts.withColumn("__base", F.coalesce(F.sum("__n").over(before), F.lit(0))).repartition("__shard", "__sub")
+    buckets = buckets.select("__shard", "__sub", "__base", permutation(F.col("__n").cast("int"), F.lit(seed), F.col("__shard"), F.col("__sub")).alias("__order_of"))
 
-    inside = Window.partitionBy("__shard", "__sub").orderBy("__order", key)
-    row = (F.row_number().over(inside) - 1).alias("__row")
-    block = F.floor(F.col("__row") / BLOCK_ROWS).cast("int")
-    slot = F.col("__base") + block * BLOCK_ROWS + F.element_at(F.element_at("__perms", block + 1), (F.col("__row") % BLOCK_ROWS).cast("int") + 1)
-    return placed.select("*", row).join(buckets, ["__shard", "__sub"]).select(*kept, F.col("__shard").alias("shard"), slot.cast("long").alias("slot"))
+    inside = Window.partitionBy("__shard", "__sub").orderBy("__order")
+    rows = placed.withColumn("__row", F.row_number().over(inside))
+    slot = F.col("__base") + F.element_at("__order_of", F.col("__row"))
+    return rows.join(buckets.hint("merge"), ["__shard", "__sub"]).select(*kept, F.col("__shard").alias("shard"), slot.cast("long").alias("slot"))
 
 
 def write_shards(sharded: DataFrame, path: str, files: int) -> None:
-    """One folder a shard, rows in slot order, in about ``files`` files."""
+    """One folder a shard, rows in slot order, in about ``files`` files; an empty table writes none."""
     sharded.repartitionByRange(files, "shard", "slot").sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)
