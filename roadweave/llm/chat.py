@@ -1,15 +1,21 @@
 """Chat formatting in budgeted, turn-aligned windows.
 
-Prefix sums of turn tokens say in which window a turn starts. Every window
-keeps the system turn, repeats a limited history of earlier turns, and masks
-what it repeats: each assistant turn is a training target once.
+Prefix sums of turn tokens choose the windows: a window takes turns until the
+next would pass its room. Every window keeps the system turn, repeats a limited
+history of earlier turns, and masks what it repeats: each assistant turn is a
+training target once.
 
-    <|bos|><|turn|>role
+    <|turn|>role
     text<|end|>
-    ...<|eos|>
+    ...
 
 Control strings inside texts and roles get a backslash after their first
 character, and a backslash is doubled, so that reading back is exact.
+
+Texts cross the network once for the windows and once to be read back. A
+conversation is cut into ranges of turn numbers, so that a very long one is
+formatted by many tasks; what a range needs of the ones before it (the system
+turn, a few short turns of history, a count) travels by itself.
 """
 
 from __future__ import annotations
@@ -28,12 +34,9 @@ HISTORY_TURNS = 2
 HISTORY_TOKENS = 128
 #: Tokens that a turn's marks and role take.
 MARK_TOKENS = 4
-#: Turns of a conversation whose prefix sum is made in one task.
+#: Turn numbers of a conversation that are formatted together, by one task.
 BLOCK_TURNS = 256
 
-WINDOW = "conv_id, window, text, mask, turns"
-
-
 def escape(text: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(text, r"\\", r"\\\\"), CONTROL, r"$1\\")
 
@@ -47,20 +50,42 @@ def turn_tokens(text: Column) -> Column:
     return (F.regexp_count(text, F.lit(TOKEN)) + MARK_TOKENS).cast("long")
 
 
-def numbered(turns: DataFrame, tokens: Column) -> DataFrame:
-    """Turns with ``i``, their place in the conversation from 0, and ``start``, the tokens before them.
+def _null_safe(col: str, like: DataFrame) -> tuple[Column, Column]:
+    """Two columns that are never null and tell a key from all others, null too."""
+    return F.coalesce(F.col(col), F.lit("0").cast(like.schema[col].dataType)).alias("__c"), F.isnull(col).alias("__n")
+
+
+KEY = ["__c", "__n", "__block"]
+
 
-    A conversation is cut into ranges of turn numbers, so a very long one is
-    summed by many tasks; only its ranges' totals meet in one.
+def _ranges(turns: DataFrame) -> DataFrame:
+    """One row a conversation and range of turn numbers, with its turns in order."""
+    text = lambda c: F.coalesce(F.col(c), F.lit("")).alias(c)
+    # never null, so that both uses of the ranges have one plan and share its exchange
+    block = F.coalesce(F.floor(F.col("turn") / BLOCK_TURNS).cast("long"), F.lit(-1).cast("long")).alias("__block")
+    turn = F.struct("turn", text("role"), text("text"), turn_tokens(F.coalesce("text", F.lit(""))).alias("tokens"))
+    return turns.select(*_null_safe("conv_id", turns), block, turn.alias("t")).groupBy(*KEY).agg(F.sort_array(F.collect_list("t")).alias("p"))
+
+
+def _edges(ranges: DataFrame, budget: int, history_turns: int, history_tokens: int, system_role: str) -> DataFrame:
+    """What each range needs of the conversation before it.
+
+    ``first``: whether it is the first range; ``system``: the system turn that
+    all windows keep; ``before``: the last turns before the range, without the
+    text of those too long to be repeated; ``i0``: turns before it.
     """
-    rows = turns.withColumn("tokens", tokens).withColumn("block", F.floor(F.coalesce(F.col("turn"), F.lit(-1)) / BLOCK_TURNS))
-    totals = rows.groupBy("conv_id", "block").agg(F.count("*").alias("n"), F.sum("tokens").alias("t"))
-    upto = Window.partitionBy("conv_id").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    totals = totals.select(F.col("conv_id").alias("c"), F.col("block").alias("b"), F.coalesce(F.sum("n").over(upto), F.lit(0)).alias("i0"), F.coalesce(F.sum("t").over(upto), F.lit(0)).alias("t0"))
-    inside = Window.partitionBy("conv_id", "block").orderBy(F.col("turn").asc_nulls_first(), "role", "text")
-    rows = rows.withColumn("__i", F.row_number().over(inside) - 1).withColumn("__t", F.sum("tokens").over(inside.rowsBetween(Window.unboundedPreceding, 0)) - F.col("tokens"))
-    joined = rows.join(totals, F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("block") == F.col("b")))
-    return joined.select("conv_id", "role", "text", "tokens", (F.col("__i") + F.col("i0")).alias("i"), (F.col("__t") + F.col("t0")).alias("start"))
+    p = F.col("p")
+    head = F.when((p[0]["role"] == system_role) & (p[0]["tokens"] <= budget // 2), p[0])
+    end = lambda q: F.transform(F.slice(q, F.greatest(F.size(q) - history_turns + 1, F.lit(1)), F.lit(history_turns)), lambda t: F.struct(F.when(t["tokens"] <= history_tokens, t["role"]).alias("role"), F.when(t["tokens"] <= history_tokens, t["text"]).alias("text"), t["tokens"].alias("tokens")))
+    body = F.slice(p, F.lit(2), F.size(p))
+    x = ranges.select(*KEY, F.size("p").alias("n"), head.alias("head"), end(p).alias("end"), F.when(head.isNotNull(), end(body)).alias("end_of_first"))
+    conv = Window.partitionBy("__c", "__n").orderBy("__block")
+    upto = conv.rowsBetween(Window.unboundedPreceding, 0)
+    x = x.withColumn("first", F.row_number().over(conv) == 1)
+    x = x.withColumn("end", F.when(F.col("first") & F.col("head").isNotNull(), F.col("end_of_first")).otherwise(F.col("end")))
+    none = F.slice("end", F.lit(1), F.lit(0))
+    before = F.concat(*[F.coalesce(F.lag("end", k).over(conv), none) for k in range(history_turns, 0, -1)]) if history_turns else none
+    return x.select(*[F.col(c).alias(f"e{c}") for c in KEY], "first", F.first("head").over(upto).alias("system"), before.alias("before"), (F.sum("n").over(upto) - F.col("n")).alias("i0"))
 
 
 def windows(
@@ -75,63 +100,78 @@ def windows(
 
     ``mask`` lists the spans that bear loss as (offset, length) in code points
     of ``text``; ``turns`` tells of each formatted turn its place i in the
-    conversation and whether it is a repeat. A window holds the turns that
-    start in its stretch of half the room left by the system turn and history;
-    a turn longer than that stretch has a window of its own, the only kind
-    that can exceed the budget. Texts are never cut. Null texts and roles are
-    empty; turns of equal number are ordered by role and text; a null conv_id
-    is a conversation; an empty table gives an empty result.
+    conversation and whether it is a repeat. A window takes turns of one range
+    of turn numbers as long as they fit into what system turn and history leave
+    of ``budget``; a longer turn has a window of its own, the only kind that can
+    exceed the budget. Texts are never cut. A leading system turn of more than
+    half the budget is a turn like others and not kept. Null texts and roles are
+    empty; turns of equal number are ordered by role and text, null numbers come
+    first; a null conv_id is a conversation; an empty table gives an empty
+    result.
     """
-    clean = turns.select("conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
-    rows = numbered(clean, turn_tokens(F.col("text")))
-    # a leading system turn is the one retained; it never shares the stretches
-    is_system = (F.col("i") == 0) & (F.col("role") == system_role)
-    rows = rows.withColumn("system", is_system)
-    system = rows.where("system").select(F.col("conv_id").alias("c"), F.col("tokens").alias("system_tokens"), F.struct("i", "role", "text").alias("system_turn"))
-    rows = rows.join(system, F.col("conv_id").eqNullSafe(F.col("c")), "left").drop("c")
-    taken = F.coalesce(F.col("system_tokens"), F.lit(0))
-    stretch = F.greatest(F.lit(1), F.floor((F.lit(budget - history_tokens) - taken) / 2))
-    at = F.col("start") - taken
-    rows = rows.withColumn("cell", F.when(F.col("system"), F.lit(-1)).otherwise(F.floor(at / stretch))).withColumn("own", (F.col("tokens") > stretch).cast("int"))
-    only_system = rows.where("system").select("conv_id", F.lit(-1).cast("long").alias("cell"), F.lit(0).alias("own"), F.lit(True).alias("fresh"), "i", "role", "text")
-    fresh = rows.where("not system").select("conv_id", "cell", "own", F.lit(True).alias("fresh"), "i", "role", "text")
-
-    firsts = rows.where("not system").groupBy("conv_id", "cell", "own").agg(F.min("i").alias("first"), F.min("start").alias("first_start"), F.first("system_turn").alias("system_turn"))
-    kept = firsts.where("system_turn is not null").select("conv_id", "cell", "own", (F.col("first") == 1).alias("fresh"), "system_turn.*")
+    ranges = _ranges(turns)
+    edges = _edges(ranges, budget, history_turns, history_tokens, system_role)
+    x = ranges.join(edges.hint("merge"), [F.col(c) == F.col(f"e{c}") for c in KEY])
+    skip = F.when(F.col("first") & F.col("system").isNotNull(), 1).otherwise(0)
+    x = x.withColumn("skip", skip).withColumn("body", F.slice("p", F.col("skip") + 1, F.size("p"))).withColumn("i0", F.col("i0") + F.col("skip"))
+    # prefix sums: a window ends before the turn that would pass its room
+    room = F.greatest(F.lit(1), F.lit(budget - history_tokens) - F.coalesce(F.col("system.tokens"), F.lit(0))).cast("long")
+    begin = F.struct(F.lit(0).cast("long").alias("sum"), (-room - 1).alias("start"), F.expr("cast(array() as array<int>)").alias("at"))
+
+    def take(a: Column, t: Column, room: Column) -> Column:
+        full = a["sum"] + t["tokens"] - a["start"] > room
+        return F.struct((a["sum"] + t["tokens"]).alias("sum"), F.when(full, a["sum"]).otherwise(a["start"]).alias("start"), F.concat(a["at"], F.array(F.when(full, 1).otherwise(0))).alias("at"))
+
+    x = x.withColumn("room", room).withColumn("starts", F.aggregate("body", begin, lambda a, t: take(a, t, F.col("room")), lambda a: a["at"]))
+    x = x.withColumn("firsts", F.filter(F.sequence(F.lit(0), F.size("body")), lambda k: (k == F.size("body")) | (F.get(F.col("starts"), k) == 1)))
     # a conversation of nothing but its system turn still has a window
-    lone = only_system.join(firsts.select(F.col("conv_id").alias("c")).distinct(), F.col("conv_id").eqNullSafe(F.col("c")), "left_anti")
-    wanted = firsts.select(F.col("conv_id").alias("c"), "cell", "own", "first_start", F.explode(F.sequence(F.col("first") - history_turns, F.col("first") - 1)).alias("j")).where("j >= 0")
-    earlier = rows.where("not system").select("conv_id", "i", "role", "text", "start")
-    history = earlier.join(wanted, F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("i") == F.col("j"))).where(F.col("first_start") - F.col("start") <= history_tokens).select("conv_id", "cell", "own", F.lit(False).alias("fresh"), "i", "role", "text")
-
-    pieces = fresh.unionByName(kept).unionByName(history).unionByName(lone)
-    shown = F.concat(F.lit(OPEN), escape(F.col("role")), F.lit("\n"), escape(F.col("text")), F.lit(CLOSE))
-    head = F.length(F.concat(F.lit(OPEN), escape(F.col("role")), F.lit("\n")))
-    pieces = pieces.select("conv_id", "cell", "own", F.struct("i", F.col("fresh"), shown.alias("shown"), head.alias("head"), F.length(escape(F.col("text"))).alias("size"), (F.col("fresh") & (F.col("role") == target_role)).alias("target")).alias("p"))
-    made = pieces.groupBy("conv_id", "cell", "own").agg(F.sort_array(F.collect_list("p")).alias("p"))
-    order = lambda x, y: x + y
-    offset = lambda k: F.aggregate(F.slice("p", F.lit(1), k), F.lit(0), lambda a, x: order(a, F.length(x["shown"])))
-    mask = F.filter(F.transform("p", lambda x, k: F.when(x["target"], F.struct((offset(k) + x["head"]).alias("offset"), x["size"].alias("length")))), lambda x: x.isNotNull())
-    return made.select("conv_id", F.struct("cell", "own").alias("window"), F.array_join(F.transform("p", lambda x: x["shown"]), "").alias("text"), mask.alias("mask"), F.transform("p", lambda x: F.struct(x["i"].alias("i"), (~x["fresh"]).alias("repeated"))).alias("turns"))
+    spans = F.when(F.size("body") == 0, F.array(F.struct(F.lit(0).alias("lo"), F.lit(0).alias("hi")))).otherwise(F.transform(F.slice("firsts", F.lit(1), F.size("firsts") - 1), lambda lo, k: F.struct(lo.alias("lo"), F.get(F.col("firsts"), k + 1).alias("hi"))))
+    x = x.withColumn("w", F.explode(spans))
+    piece = lambda i, role, text, fresh, target: F.struct(i.cast("long").alias("i"), role.alias("role"), text.alias("text"), fresh.alias("fresh"), target.alias("target"))
+    fields = lambda q: F.transform(q, lambda t: F.struct(t["role"].alias("role"), t["text"].alias("text"), t["tokens"].alias("tokens")))
+    earlier = F.concat("before", fields(F.slice("body", F.lit(1), F.col("w.lo"))))
+    x = x.withColumn("earlier", earlier).withColumn("earlier", F.slice("earlier", F.greatest(F.size("earlier") - history_turns + 1, F.lit(1)), F.lit(history_turns)))
+    reach = lambda k: F.aggregate(F.slice("earlier", k + 1, F.size("earlier")), F.lit(0).cast("long"), lambda a, t: a + t["tokens"])
+    at = F.col("i0") + F.col("w.lo")
+    history = F.filter(F.transform("earlier", lambda t, k: F.when(reach(k) <= history_tokens, piece(at - F.size("earlier") + k, t["role"], t["text"], F.lit(False), F.lit(False)))), lambda t: t.isNotNull())
+    own = F.transform(F.slice("body", F.col("w.lo") + 1, F.col("w.hi") - F.col("w.lo")), lambda t, k: piece(at + k, t["role"], t["text"], F.lit(True), t["role"] == target_role))
+    opens = F.col("first") & (F.col("w.lo") == 0)
+    system = F.when(F.col("system").isNotNull(), F.array(piece(F.lit(0), F.col("system.role"), F.col("system.text"), opens, opens & (F.col("system.role") == target_role)))).otherwise(F.slice(own, F.lit(1), F.lit(0)))
+    x = x.select("__c", "__n", F.struct(F.col("__block").alias("range"), F.col("w.lo").alias("first")).alias("window"), F.concat(system, history, own).alias("p"))
+    shown = F.transform("p", lambda t: F.struct(F.concat(F.lit(OPEN), escape(t["role"]), F.lit("\n")).alias("head"), escape(t["text"]).alias("body")))
+    x = x.withColumn("shown", shown).withColumn("lengths", F.transform("shown", lambda t: F.length(t["head"]) + F.length(t["body"]) + len(CLOSE)))
+    offset = lambda k: F.aggregate(F.slice("lengths", F.lit(1), k), F.lit(0), lambda a, n: a + n)
+    mask = F.filter(F.transform("p", lambda t, k: F.when(t["target"], F.struct((offset(k) + F.length(F.get(F.col("shown"), k)["head"])).alias("offset"), F.length(F.get(F.col("shown"), k)["body"]).alias("length")))), lambda m: m.isNotNull())
+    text = F.array_join(F.transform("shown", lambda t: F.concat(t["head"], t["body"], F.lit(CLOSE))), "")
+    return x.select(F.when(~F.col("__n"), F.col("__c")).alias("conv_id"), "window", text.alias("text"), mask.alias("mask"), F.transform("p", lambda t: F.struct(t["i"].alias("i"), (~t["fresh"]).alias("repeated"))).alias("turns"))
 
 
 def read_back(formatted: DataFrame) -> DataFrame:
     """One row a conversation, from the windows' text and masks alone.
 
     n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars; ``turns``
-    says only which formatted turns are repeats.
+    says only which formatted turns are repeats. What bears loss is carried as
+    spans of the plain turns. A digest is of a whole conversation, so one
+    conversation's turns meet in one row here. An empty table gives an empty
+    result.
     """
-    bodies = F.transform(F.split(F.col("text"), r"\Q" + CLOSE + r"\E", -1), lambda x: F.substr(x, F.lit(len(OPEN) + 1)))
-    parts = F.filter(F.transform(F.slice(bodies, F.lit(1), F.size("turns")), lambda x, k: F.when(~F.col("turns")[k]["repeated"], F.struct(F.col("turns")[k]["i"].alias("i"), _plain(x).alias("turn")))), lambda x: x.isNotNull())
-    loss = F.transform("mask", lambda m: unescape(F.substr(F.col("text"), m["offset"] + 1, m["length"])))
-    first = F.array_min(F.transform(F.filter("turns", lambda t: ~t["repeated"]), lambda t: t["i"]))
-    per = formatted.select("conv_id", F.struct(first.alias("first"), parts.alias("parts"), F.array_join(loss, "").alias("loss")).alias("w"), F.length("text").alias("chars"))
-    all_ = per.groupBy("conv_id").agg(F.sort_array(F.collect_list("w")).alias("w"), F.sum("chars").cast("long").alias("formatted_chars"))
-    parts = F.flatten(F.transform("w", lambda x: x["parts"]))
-    x = all_.select("conv_id", "formatted_chars", F.size(parts).cast("long").alias("n_turns"), F.array_join(F.transform(parts, lambda p: p["turn"]), "").alias("turns"), F.array_join(F.transform("w", lambda p: p["loss"]), "").alias("loss"))
-    return x.select("conv_id", "n_turns", F.sha2(F.col("turns").cast("binary"), 256).alias("turns_sha256"), F.length("loss").cast("long").alias("loss_chars"), F.sha2(F.col("loss").cast("binary"), 256).alias("loss_sha256"), "formatted_chars")
+    x = formatted.withColumn("bodies", F.transform(F.split(F.col("text"), r"\Q" + CLOSE + r"\E", -1), lambda b: F.substr(b, F.lit(len(OPEN) + 1))))
+    x = x.withColumn("ends", F.aggregate("bodies", F.expr("cast(array(0) as array<int>)"), lambda a, b: F.concat(a, F.array(F.element_at(a, -1) + F.length(b) + len(OPEN) + len(CLOSE)))))
+
+    def spans(body: Column, k: Column) -> Column:
+        """The masked spans of a formatted turn as (offset, length) of its plain text."""
+        start = F.get(F.col("ends"), k) + len(OPEN)
+        mine = F.filter("mask", lambda m: (m["offset"] >= start) & (m["offset"] <= start + F.length(body)))
+        return F.transform(mine, lambda m: F.struct(F.length(unescape(F.substr(body, F.lit(1), m["offset"] - start))).alias("o"), F.length(unescape(F.substr(body, m["offset"] - start + 1, m["length"]))).alias("n")))
+
+    fresh = F.filter(F.transform("turns", lambda t, k: F.when(~t["repeated"], F.struct(t["i"].alias("i"), _plain(F.get(F.col("bodies"), k)).alias("turn"), spans(F.get(F.col("bodies"), k), k).alias("loss")))), lambda t: t.isNotNull())
+    per = x.select("conv_id", fresh.alias("w"), F.length("text").alias("chars"))
+    all_ = per.groupBy("conv_id").agg(F.sort_array(F.flatten(F.collect_list("w"))).alias("w"), F.sum("chars").cast("long").alias("formatted_chars"))
+    loss = F.array_join(F.transform("w", lambda t: F.array_join(F.transform(t["loss"], lambda m: F.substr(t["turn"], m["o"] + 1, m["n"])), "")), "")
+    y = all_.select("conv_id", "formatted_chars", F.size("w").cast("long").alias("n_turns"), F.array_join(F.transform("w", lambda t: t["turn"]), "").alias("turns"), loss.alias("loss"))
+    return y.select("conv_id", "n_turns", F.sha2(F.col("turns").cast("binary"), 256).alias("turns_sha256"), F.length("loss").cast("long").alias("loss_chars"), F.sha2(F.col("loss").cast("binary"), 256).alias("loss_sha256"), "formatted_chars")
 
 
 def _plain(body: Column) -> Column:
-    r"""role, \n, text, \n of one formatted turn; a role holds no line break once escaped only if it had none."""
+    r"""role, \n, text, \n of one formatted turn."""
     return F.concat(unescape(body), F.lit("\n"))
