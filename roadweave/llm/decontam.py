@@ -20,6 +20,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from roadweave.storage import materialize
+
 SHINGLE = 5
 #: Share of an item's five-word shingles that a passage must have.
 OVERLAP = 0.8
@@ -31,7 +33,7 @@ K1, B = 1.2, 0.75
 BLOCK = 16
 #: The share of items from which on a term is bounded only in sum.
 COMMON = 0.1
-#: Bytes of items in one index; larger benchmarks make several, asked in turn.
+#: Bytes of items in one index; a larger benchmark is asked slice by slice, one pass over the documents for each.
 SLICE_BYTES = 32 << 20
 #: Words whose passages are looked up together.
 BATCH_WORDS = 60_000
@@ -90,7 +92,7 @@ class Index:
         size = int(passage[-1]) + 1
         bound = np.bincount(passage, self.term_max[term], size)
         shared = np.bincount(passage, self.term_max[term] * self.common[term], size)
-        go = (bound >= THRESHOLD)[passage]
+        go = (bound >= THRESHOLD - 1e-9)[passage]
         passage, term = passage[go], term[go]
         rare = ~self.common[term]
         p, t = passage[rare], term[rare]
@@ -159,12 +161,61 @@ class Index:
         return [(*k, *v) for k, v in sorted(best.items())]
 
 
-def build(items: list[tuple[int, str | None]], slices: int = 1) -> list[Index]:
-    """Indexes of test items; items without words are never found."""
-    split = [(i, w) for i, t in items if (w := terms(t))]
-    df = Counter(t for _, w in split for t in set(w))
-    average = sum(len(w) for _, w in split) / max(1, len(split))
-    return [Index(part, df, len(split), average) for k in range(slices) if (part := split[k::slices])]
+def build(items: list[tuple[int, str | None]], df: dict[bytes, int] | None = None, n: int | None = None, average: float | None = None) -> Index | None:
+    """An index of test items; those without words are never found. Statistics are the items' own unless given."""
+    split = [(i, w) for i, t in sorted(items, key=lambda x: (x[0] is None, x[0], x[1] or "")) if (w := terms(t))]
+    if not split:
+        return None
+    df = df or Counter(t for _, w in split for t in set(w))
+    return Index(split, df, n or len(split), average or sum(len(w) for _, w in split) / len(split))
+
+
+def _item_terms(benchmark: DataFrame) -> DataFrame:
+    """(term binary, df, words): each distinct term of an item, and the item's length with its first."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = [(t, 1, len(w) if k == 0 else 0) for w in map(terms, batch["text"]) for k, t in enumerate(set(w))]
+            yield pd.DataFrame(rows, columns=["term", "df", "words"])
+
+    parts = benchmark.select("text").mapInPandas(run, "term binary, df long, words long")
+    return parts.groupBy("term").agg(F.sum("df").alias("df"), F.sum("words").alias("words"))
+
+
+def _slices(benchmark: DataFrame) -> Iterator[list[tuple]]:
+    """Items, ``SLICE_BYTES`` at a time; the driver holds one slice and one partition that it reads."""
+    held, size = [], 0
+    for r in benchmark.select("item_id", "text").toLocalIterator():
+        held.append((r["item_id"], r["text"]))
+        size += len((r["text"] or "").encode())
+        if size >= SLICE_BYTES:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
+
+
+def _search(docs: DataFrame, text: str, shared) -> DataFrame:
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        index = shared.value
+
+        def found(ids: list, texts: list) -> pd.DataFrame:
+            rows = [(ids[d], index.ids[i], *rest) for d, i, *rest in index.search(texts)]
+            return pd.DataFrame(rows, columns=[x.split()[0] for x in FOUND.split(", ")]).astype({"doc_id": "Int64", "item_id": "Int64"})
+
+        for batch in batches:
+            ids, texts, n = [], [], 0
+            for d, t in zip(batch["doc_id"].astype(object), batch["text"], strict=True):
+                ids.append(None if pd.isna(d) else int(d))
+                texts.append(terms(t))
+                n += len(texts[-1])
+                if n >= BATCH_WORDS:
+                    yield found(ids, texts)
+                    ids, texts, n = [], [], 0
+            if ids:
+                yield found(ids, texts)
+
+    return docs.select("doc_id", F.col(text).alias("text")).mapInPandas(run, FOUND)
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:
@@ -172,43 +223,41 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> D
 
     bm25 is a share of the item's score with itself. Passages are windows twice
     as long as the longest item, at every item's length, so that no item is
-    cut. Null and empty texts hold nothing; repeated documents have rows each;
-    an empty benchmark or table gives an empty result. The benchmark is read by
-    the driver, one bounded slice at a time where it is large.
+    cut. Null and empty texts hold nothing; repeated documents have rows each,
+    equal items too; an empty benchmark or table gives an empty result.
+
+    A benchmark of up to ``SLICE_BYTES`` is one index on every executor. A
+    larger one is asked a slice at a time: its term counts are made by the
+    cluster, the driver holds one slice and its counts, each slice's result is
+    written before the next is read, and each is one pass over the documents.
     """
     spark = docs.sparkSession
     size = benchmark.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    slices = int(size // SLICE_BYTES) + 1
-    items = sorted(((r["item_id"], r["text"]) for r in benchmark.select("item_id", "text").toLocalIterator()), key=lambda x: (x[0] is None, x[0], x[1] or ""))
+    if size <= SLICE_BYTES:
+        index = build([(r["item_id"], r["text"]) for r in benchmark.select("item_id", "text").collect()])
+        return _search(docs, text, spark.sparkContext.broadcast(index)) if index else spark.createDataFrame([], FOUND)
+    counts = materialize(_item_terms(benchmark), "item-terms")
+    words = counts.agg(F.sum("words")).first()[0]
+    n = benchmark.select("text").mapInPandas(lambda batches: (pd.DataFrame({"n": [sum(1 for t in b["text"] if terms(t))]}) for b in batches), "n long").agg(F.sum("n")).first()[0]
     out = None
-    for index in build(items, slices):
+    for items in _slices(benchmark):
+        mine = spark.createDataFrame([(t,) for t in {t for _, text_ in items for t in terms(text_)}], "term binary")
+        index = build(items, {bytes(r["term"]): r["df"] for r in counts.join(mine, "term", "left_semi").collect()}, n, words / max(1, n))
+        if index is None:
+            continue
         shared = spark.sparkContext.broadcast(index)
-
-        def run(batches: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
-            index = shared.value
-
-            def found(ids: list, texts: list) -> pd.DataFrame:
-                rows = [(ids[d], index.ids[i], *rest) for d, i, *rest in index.search(texts)]
-                return pd.DataFrame(rows, columns=[x.split()[0] for x in FOUND.split(", ")]).astype({"doc_id": "Int64", "item_id": "Int64"})
-
-            for batch in batches:
-                ids, texts, n = [], [], 0
-                for d, t in zip(batch["doc_id"].astype(object), batch["text"], strict=True):
-                    ids.append(None if pd.isna(d) else int(d))
-                    texts.append(terms(t))
-                    n += len(texts[-1])
-                    if n >= BATCH_WORDS:
-                        yield found(ids, texts)
-                        ids, texts, n = [], [], 0
-                if ids:
-                    yield found(ids, texts)
-
-        part = docs.select("doc_id", F.col(text).alias("text")).mapInPandas(run, FOUND)
+        part = materialize(_search(docs, text, shared), "contaminated")
+        shared.destroy()
         out = part if out is None else out.unionAll(part)
     return out if out is not None else spark.createDataFrame([], FOUND)
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """Documents that hold no test item, all columns kept."""
+    """Documents that hold no test item, all columns kept.
+
+    Rows of one doc_id are judged together: all go if one of them holds an
+    item; rows without an id are one such group. Null and empty texts hold
+    nothing. An empty table gives an empty result, an empty benchmark all rows.
+    """
     bad = contaminated(docs, benchmark).select(F.col("doc_id").alias("__bad")).distinct()
     return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("__bad")), "left_anti")
