@@ -22,9 +22,10 @@ SAMPLE_CHARS = 16_000
 SAMPLE_TEXTS = 32
 #: Texts are compressed in blocks, as a long text would soon be its own dictionary.
 BLOCK = 4096
-#: Margins, as shares of the smaller size, below which texts of at least REJECT_BYTES are rejected.
+#: A text is rejected where the two smallest sizes differ by less than this share of the smaller,
+#: a byte allowed for rounding: sizes are whole bytes, which is coarse for a short text.
 REJECT_MARGIN = 0.004
-REJECT_BYTES = 200
+ROUNDING = 1
 UNKNOWN = "und"
 
 #: ASCII other than letters reads as a space, so that marks, digits and layout weigh nothing.
@@ -93,7 +94,7 @@ class Classifier:
             return self.langs[0], 1.0, 1.0, True
         second = float(np.partition(sizes, 1)[1])
         margin = (second - sizes[best]) / sizes[best]
-        return self.langs[best], float(1.0 / odds.sum()), float(margin), bool(len(raw) < REJECT_BYTES or margin >= REJECT_MARGIN)
+        return self.langs[best], float(1.0 / odds.sum()), float(margin), bool(second - sizes[best] + ROUNDING >= REJECT_MARGIN * sizes[best])
 
 
 def identify(docs: DataFrame, model: dict[str, bytes], text: str = "text") -> DataFrame:
@@ -113,5 +114,3 @@ def identify(docs: DataFrame, model: dict[str, bytes], text: str = "text") -> Da
 
     kept = [c for c in docs.columns if c not in ("lang_pred", "score", "margin", "accepted")]
     return docs.select(*kept, run(F.col(text)).alias("__id")).select(*kept, "__id.lang_pred", "__id.score", "__id.margin", "__id.accepted")
-
-
