@@ -22,10 +22,10 @@ def fold(key: Column, n: int) -> Column:
 
 
 def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document in one of 24 shards, by the key law."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", (F.coalesce(F.octet_length("text"), F.lit(0)) + 8).cast("long").alias("size"), F.crc32(F.coalesce("text", F.lit(""))).alias("text_crc32"))
-    out = sharding.shard(docs, 24, F.col("size"))
-    return out.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", sharding.shard_of(F.col("doc_id"), 25).alias("grown_shard"))
+    """Every document, its text too, in one of 24 shards by the key law; the digest is of what comes out."""
+    size = (F.coalesce(F.octet_length("text"), F.lit(0)) + 8).cast("long")
+    out = sharding.shard(table(spark, sf_dir, "documents").select("doc_id", "text"), 24, size)
+    return out.select("doc_id", size.alias("size"), F.crc32(F.coalesce("text", F.lit(""))).alias("text_crc32"), F.lit("key").alias("law"), "shard", "slot", sharding.shard_of(F.col("doc_id"), 25).alias("grown_shard"))
 
 
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -45,33 +45,39 @@ def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 OP4_SQL = r"""
-with t as (
+with recursive t as (
   select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
   union all select -1, 0, 'user', '</s>[INST] ok [/INST]' union all select -1, 1, 'assistant', '</s>[INST] ok [/INST]'
 ), n as (
-  select *, row_number() over w - 1 as i, len(regexp_extract_all(text, '[\p{L}\p{N}]+|[^\p{L}\p{N}\s]')) + 4 as tokens,
+  select *, coalesce(floor(turn / 256.0)::bigint, -1) as block, row_number() over w - 1 as i, len(regexp_extract_all(text, '[\p{L}\p{N}]+|[^\p{L}\p{N}\s]')) + 4 as tokens,
     length(role) + length(text) + 8 + 1 + 8 + len(regexp_extract_all(role || text, '\\')) + len(regexp_extract_all(text, '[<\[](\||/?s>|/?INST\]|<?/?SYS)')) as chars
   from t window w as (partition by conv_id order by turn nulls first, role, text)
 ), s as (
-  select *, sum(tokens) over (partition by conv_id order by i) - tokens as start, i = 0 and role = 'system' as system from n
+  select *, i = 0 and role = 'system' and tokens <= 512 as system from n
 ), y as (
   select s.*, coalesce(x.tokens, 0) as taken, coalesce(x.chars, 0) as system_chars from s left join (select conv_id, tokens, chars from s where system) x on s.conv_id is not distinct from x.conv_id
-), c as (
-  select *, greatest(1, (1024 - 128 - taken) // 2) as stretch from y
-), p as (
-  select *, (start - taken) // stretch as cell, tokens > stretch as own from c where not system
+), b as (
+  select conv_id, block, i, tokens, chars, taken, system_chars, 1024 - 128 - taken as room, row_number() over (partition by conv_id, block order by i) as k from y where not system
+), g(conv_id, block, i, k, used, first) as (
+  select conv_id, block, i, k, tokens, i from b where k = 1
+  union all
+  select b.conv_id, b.block, b.i, b.k, case when g.used + b.tokens > b.room then b.tokens else g.used + b.tokens end, case when g.used + b.tokens > b.room then b.i else g.first end
+  from g join b on b.conv_id is not distinct from g.conv_id and b.block = g.block and b.k = g.k + 1
 ), w as (
-  select conv_id, cell, own, min(i) as first, min(start) as first_start, sum(chars) as chars, any_value(system_chars) as system_chars from p group by 1, 2, 3
+  select g.conv_id, g.first, sum(b.chars) as chars, any_value(b.system_chars) as system_chars from g join b on g.conv_id is not distinct from b.conv_id and g.i = b.i group by 1, 2
 ), h as (
-  select w.conv_id, w.cell, w.own, sum(p.chars) as chars from w join p on w.conv_id is not distinct from p.conv_id and p.i between w.first - 2 and w.first - 1 and w.first_start - p.start <= 128 group by 1, 2, 3
+  select w.conv_id, w.first, sum(case when p.i = w.first - 1 and p.tokens <= 128 or p.i = w.first - 2 and p.tokens + q.tokens <= 128 then p.chars else 0 end) as chars
+  from w join b p on w.conv_id is not distinct from p.conv_id and p.i between w.first - 2 and w.first - 1 join b q on w.conv_id is not distinct from q.conv_id and q.i = w.first - 1 group by 1, 2
 ), f as (
-  select w.conv_id, sum(w.chars + w.system_chars + coalesce(h.chars, 0)) as chars from w left join h on w.conv_id is not distinct from h.conv_id and w.cell = h.cell and w.own = h.own group by 1
+  select w.conv_id, sum(w.chars + w.system_chars + coalesce(h.chars, 0)) as chars from w left join h on w.conv_id is not distinct from h.conv_id and w.first = h.first group by 1
+), l as (
+  -- a system turn with no other turn of its range is a window by itself
+  select conv_id, chars from y where system and not exists (select 1 from b where b.conv_id is not distinct from y.conv_id and b.block = y.block)
 ), d as (
-  select conv_id, count(*) as n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' order by i)) as turns_sha256, coalesce(string_agg(text, '' order by i) filter (role = 'assistant'), '') as loss,
-    sum(case when system then chars else 0 end) as lone from y group by 1
+  select conv_id, count(*) as n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' order by i)) as turns_sha256, coalesce(string_agg(text, '' order by i) filter (role = 'assistant'), '') as loss from y group by 1
 )
-select d.conv_id, n_turns, turns_sha256, length(loss)::bigint as loss_chars, sha256(loss) as loss_sha256, coalesce(f.chars, d.lone)::bigint as formatted_chars
-from d left join f on d.conv_id is not distinct from f.conv_id
+select d.conv_id, n_turns, turns_sha256, length(loss)::bigint as loss_chars, sha256(loss) as loss_sha256, (coalesce(f.chars, 0) + coalesce(l.chars, 0))::bigint as formatted_chars
+from d left join f on d.conv_id is not distinct from f.conv_id left join l on d.conv_id is not distinct from l.conv_id
 """
 
 
@@ -143,7 +149,7 @@ def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Totals after all documents are inserted by words and revised to tokens, each batch sent twice."""
+    """Totals after all documents are inserted by words and revised to tokens; a second delivery by mistake is deleted again, and each batch is sent twice."""
     docs = table(spark, sf_dir, "documents").select("source", "lang", "text")
     none = F.lit(None)
     counted = materialize(tokencounts.count_tokens(docs.withColumn("words", word_count(F.col("text")))).select("source", "lang", "words", "n_tokens"), "token-counts")
@@ -151,8 +157,11 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     inserts = counted.select(F.lit("insert").alias("op"), "source", "lang", by_words.alias("tokenizer"), F.col("words").alias("n_tokens"), none.cast("string").alias("old_source"), none.cast("string").alias("old_lang"), none.cast("string").alias("old_tokenizer"), none.cast("long").alias("old_n_tokens"))
     revisions = counted.select(F.lit("revise").alias("op"), "source", "lang", by_tokens.alias("tokenizer"), "n_tokens", F.col("source").alias("old_source"), F.col("lang").alias("old_lang"), by_words.alias("old_tokenizer"), F.col("words").alias("old_n_tokens"))
     rollup = tokencounts.Rollup(spark, new_path(spark, "rollup"))
-    for batch, changes in (("load", inserts), ("load", inserts), ("retokenize", revisions), ("retokenize", revisions)):
+    deletes = inserts.withColumn("op", F.lit("delete"))
+    for batch, changes in (("load", inserts), ("again", inserts), ("retokenize", revisions), ("withdraw", deletes)):
+        rollup.commit(batch, changes)
         rollup.commit(batch, changes)
+    rollup.compact()
     return rollup.totals()
 
 
