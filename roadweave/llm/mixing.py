@@ -117,5 +117,5 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, cap: int = CAP, s
 
 
 def repeat(mixed: DataFrame) -> DataFrame:
-    """Each row as often as ``copies`` says; rows with none go."""
+    """Each row as often as ``copies`` says; rows with none or a null go; an empty table gives an empty result."""
     return mixed.where("copies > 0").withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).drop("__copy", "copies", "size", "source_size", "target")

@@ -17,9 +17,11 @@ DATE = "2024-01-01T00:00:00Z"
 HTTP_HEAD = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {}\r\n"
 
 _UNSEEN = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|template|noscript)\b.*?(?:</\1\s*>|\Z)", re.S | re.I)
-_BREAK = re.compile(r"</?(?:address|article|aside|blockquote|body|br|dd|div|dl|dt|footer|form|h[1-6]|head|header|hr|html|li|main|nav|ol|option|p|pre|section|table|td|th|title|tr|ul)\b[^>]*>", re.I)
-_TAG = re.compile(r"</?[a-zA-Z!?][^>]*>")
-_LINK = re.compile(r"<(a|img|link|script|iframe)\b[^>]*?\b(href|src)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+# a tag ends before the next one begins, so that a page of unclosed tags is gone through once
+_BREAK = re.compile(r"</?(?:address|article|aside|blockquote|body|br|dd|div|dl|dt|footer|form|h[1-6]|head|header|hr|html|li|main|nav|ol|option|p|pre|section|table|td|th|title|tr|ul)\b[^<>]*>", re.I)
+_TAG = re.compile(r"</?[a-zA-Z!?][^<>]*>")
+_LINK_TAG = re.compile(r"<(a|img|link|script|iframe)\b([^<>]*)", re.I)
+_TARGET = re.compile(r"\b(href|src)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _BLANK = re.compile(r"[ \t\r\f\v]+")
 _LINES = re.compile(r" *\n[ \n]*")
 
@@ -41,7 +43,9 @@ def plain_text(page: str) -> str:
 
 def outlinks(page: str) -> list[tuple[str, str]]:
     """(target, element/attribute) of each link, in order, comments left out."""
-    return [(entities.unescape(a or b or c).strip(), f"{tag.lower()}/@{attr.lower()}") for tag, attr, a, b, c in _LINK.findall(re.sub(r"<!--.*?-->", "", page, flags=re.S))]
+    tags = _LINK_TAG.finditer(re.sub(r"<!--.*?-->", "", page, flags=re.S))
+    found = [(tag[1], m) for tag in tags if (m := _TARGET.search(tag[2]))]
+    return [(entities.unescape(m[2] or m[3] or m[4] or "").strip(), f"{name.lower()}/@{m[1].lower()}") for name, m in found]
 
 
 def response(page_id: int | None, url: str | None, page: str | None) -> tuple:
@@ -78,7 +82,12 @@ def _mapped(df: DataFrame, columns: list[str], f) -> DataFrame:
 
 
 def responses(pages: DataFrame) -> DataFrame:
-    """One response record a page (page_id, url, html); repeated pages give repeated records."""
+    """One response record a page (page_id, url, html).
+
+    Repeated pages give repeated records; null ids stay null, null urls and
+    pages are empty; an empty table gives an empty result; other columns are
+    ignored.
+    """
     return _mapped(pages, ["page_id", "url", "html"], lambda r: [response(None if r[0] is None else int(r[0]), r[1], r[2])])
 
 
