@@ -19,7 +19,7 @@ def duck(sf):
 
 
 def rows(df: pd.DataFrame) -> list[tuple]:
-    text = lambda v: "" if v is None or isinstance(v, float) and v != v else f"{v:.6g}" if isinstance(v, float) else str(list(v)) if hasattr(v, "__iter__") and not isinstance(v, str) else str(v)
+    text = lambda v: str(list(v)) if hasattr(v, "__iter__") and not isinstance(v, str) else "" if pd.isna(v) else f"{v:.6g}" if isinstance(v, float) else str(v)
     return sorted(tuple(text(v) for v in r) for r in df[sorted(df.columns)].astype(object).itertuples(index=False))
 
 
