@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 from pyspark.sql import Column
@@ -57,41 +57,81 @@ class Pinhole:
         return rays / np.linalg.norm(rays, axis=1, keepdims=True)
 
 
+def pinhole_of(cameraData: dict) -> Pinhole:  # noqa: N803 (the name is the preset's)
+    """A camera from a preset's intrinsic and extrinsic sections."""
+    i, e = cameraData["intrinsic"], cameraData["extrinsic"]
+    return Pinhole(*(float(i[k]) for k in ("fx", "fy", "cx", "cy")), tuple(float(e[k]) for k in "xyz"), float(e["yaw"]), float(e["pitch"]), float(e["roll"]))
+
+
+#: Head axes (z ahead, y left, x down) of a multi-lens head to camera axes.
+HEAD_TO_CAMERA = np.array([[0.0, 0, -1], [0, 1, 0], [1, 0, 0]])
+
+
 @dataclass(frozen=True)
 class PanoramicHead(Pinhole):
-    """One camera of a rotating or multi-lens head: the head has a pose of its own on the vehicle (R2)."""
+    """One camera of a multi-lens head that turns with the vehicle (R2).
+
+    ``position`` is the camera's on the head, ``head_position`` the head's on the
+    vehicle. ``rotation_zyx`` are Euler angles in radians, x first and z last;
+    a frame's own rotation replaces them for the view and the head's position,
+    while the camera's place on the head keeps the built-in ones.
+    """
 
     head_position: tuple[float, float, float] = (0.0, 0.0, 0.0)
-    head_yaw: float = 0.0
+    rotation_zyx: tuple[float, float, float] = (0.0, 0.0, 0.0)
+    built_in_zyx: tuple[float, float, float] | None = None
+
+    def turned(self, rotation_zyx: tuple[float, float, float]) -> PanoramicHead:
+        """The camera at a frame's rotation."""
+        return replace(self, rotation_zyx=tuple(rotation_zyx), built_in_zyx=self.built_in_zyx or self.rotation_zyx)
 
     @property
     def extrinsics(self) -> np.ndarray:
-        turn = rotation(self.head_yaw, 0, 0)
-        r = TO_CAMERA @ rotation(self.yaw, self.pitch, self.roll).T @ turn.T
-        at = np.array(self.head_position) + turn @ np.array(self.position)
-        return np.column_stack([r, -r @ at])
+        # the head looks up: a quarter turn brings it level with the vehicle
+        level = rotation(0, -np.pi / 2, 0)
+        view, fixed = ((rotation(a[2], a[1], a[0]) @ level).T for a in (self.rotation_zyx, self.built_in_zyx or self.rotation_zyx))
+        shift = -view @ np.array(self.head_position) - fixed @ np.array(self.position)
+        return HEAD_TO_CAMERA @ np.column_stack([view, shift])
+
+
+def head_of(fx: float, fy: float, cx: float, cy: float, bugPosition, cameraPostion, cameraRotation) -> PanoramicHead:  # noqa: N803 (names and spelling are the preset's)
+    """A head's camera from a preset's parameters."""
+    return PanoramicHead(fx, fy, cx, cy, tuple(cameraPostion), head_position=tuple(bugPosition), rotation_zyx=tuple(cameraRotation))
 
 
 @dataclass(frozen=True)
 class BirdView:
-    """A ground window ahead of the vehicle as a raster: (x0, x1, left, right) metres, metres a pixel."""
+    """A ground window as a raster (R4): ``view`` is (nearest, furthest, -right, +left) in metres, metres a pixel, and (x, y) shear."""
 
     camera: Pinhole
     view: tuple[float, float, float, float]
     resolution: float
-    shear: float = 0.0
+    shear: tuple[float, float] | None = None
 
     @property
     def size(self) -> tuple[int, int]:
-        """(rows, cols)."""
-        x0, x1, left, right = self.view
-        return round((x1 - x0) / self.resolution), round((left - right) / self.resolution)
+        """(rows, cols), cut to whole pixels."""
+        near, far, right, left = self.view
+        return int((far - near) / self.resolution), int((left - right) / self.resolution)
+
+    @property
+    def world_to_pixel(self) -> np.ndarray:
+        """Ground (x, y, 1) to (col, row, 1): rows run towards the vehicle, columns to the right.
+
+        The first and last pixel lie on the window's edges, and the raster begins at 1.
+        """
+        near, far, right, left = self.view
+        rows, cols = self.size
+        sx, sy = (cols - 1) / abs(left - right), (rows - 1) / abs(far - near)
+        placed = np.array([[0, -sx, sx * left + 1], [-sy, 0, sy * far + 1], [0, 0, 1.0]])
+        if self.shear is None:
+            return placed
+        kx, ky = self.shear
+        return np.array([[1, kx, -kx * cols / 2], [ky, 1, -ky * rows / 2], [0, 0, 1.0]]) @ placed
 
     @property
     def pixel_to_world(self) -> np.ndarray:
-        """(col, row, 1) to ground (x, y, 1): rows run towards the vehicle, columns to the right."""
-        x0, x1, left, _ = self.view
-        return np.array([[-self.shear * self.resolution, -self.resolution, x1], [-self.resolution, 0, left], [0, 0, 1.0]])
+        return np.linalg.inv(self.world_to_pixel)
 
     @property
     def homography(self) -> np.ndarray:

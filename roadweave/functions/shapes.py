@@ -71,6 +71,46 @@ def clip_convex(subject: np.ndarray, clip: np.ndarray) -> np.ndarray:
     return np.array(out)
 
 
+def _crossings(a: np.ndarray, b: np.ndarray) -> list[tuple[float, float, int, int]]:
+    """(x, y, i, j) where side i of one ring crosses side j of another inside both."""
+    out = []
+    p, r = a, np.roll(a, -1, axis=0) - a
+    q, s = b, np.roll(b, -1, axis=0) - b
+    for i in range(len(a)):
+        n = r[i, 0] * s[:, 1] - r[i, 1] * s[:, 0]
+        d = q - p[i]
+        with np.errstate(divide="ignore", invalid="ignore"):
+            t = (d[:, 0] * s[:, 1] - d[:, 1] * s[:, 0]) / n
+            u = (d[:, 0] * r[i, 1] - d[:, 1] * r[i, 0]) / n
+        for j in np.flatnonzero((n != 0) & (t > 1e-12) & (t < 1 - 1e-12) & (u > 1e-12) & (u < 1 - 1e-12)):
+            out.append((*(p[i] + t[j] * r[i]), i, int(j)))
+    return out
+
+
+def is_simple(ring: np.ndarray) -> bool:
+    """Whether a ring of three points or more has an area and no sides that cross."""
+    return len(ring) >= 3 and polygon_area(ring) > 1e-12 and not _crossings(ring, ring)
+
+
+def common_area(a: np.ndarray, b: np.ndarray) -> float:
+    """The area that two simple rings have in common, by slabs between the heights of corners and crossings."""
+    if (a.max(0) <= b.min(0)).any() or (b.max(0) <= a.min(0)).any():
+        return 0.0
+    ys = np.unique(np.r_[a[:, 1], b[:, 1], [y for _, y, _, _ in _crossings(a, b)]])
+
+    def spans(ring: np.ndarray, y: float) -> np.ndarray:
+        nxt = np.roll(ring, -1, axis=0)
+        over = (ring[:, 1] > y) != (nxt[:, 1] > y)
+        p, q = ring[over], nxt[over]
+        return np.sort(p[:, 0] + (y - p[:, 1]) / (q[:, 1] - p[:, 1]) * (q[:, 0] - p[:, 0])).reshape(-1, 2)
+
+    total = 0.0
+    for lo, hi in zip(ys[:-1], ys[1:], strict=True):
+        y = (lo + hi) / 2
+        total += (hi - lo) * sum(max(0.0, min(q[1], p[1]) - max(q[0], p[0])) for p in spans(a, y) for q in spans(b, y))
+    return total
+
+
 def overlap_share(box: np.ndarray, other: np.ndarray) -> float:
     """The share of a box that another covers."""
     common = clip_convex(box, other)
@@ -111,12 +151,31 @@ def sector(points: np.ndarray, centre) -> float:
 
 
 def smooth(values: np.ndarray, strength: float) -> np.ndarray:
-    """A penalised spline through equally spaced values: least squares plus ``strength`` times squared second differences."""
+    """A penalised spline through equally spaced values: least squares plus ``strength`` times squared second differences.
+
+    The matrix has five diagonals; it is factored and solved along them, in time and memory linear in the values.
+    """
     n = len(values)
+    y = np.asarray(values, float)
     if n < 3 or strength <= 0:
-        return np.asarray(values, float)
-    d = np.diff(np.eye(n), 2, axis=0)
-    return np.linalg.solve(np.eye(n) + strength * d.T @ d, np.asarray(values, float))
+        return y
+    # diagonals of I + strength * D'D, D the second differences
+    inner = np.arange(n)
+    main = 1 + strength * (1.0 * (inner >= 2) + 4.0 * ((inner >= 1) & (inner <= n - 2)) + 1.0 * (inner <= n - 3))
+    one = -2.0 * strength * ((inner[:-1] <= n - 3) * 1.0 + (inner[:-1] >= 1) * 1.0)
+    two = np.full(n - 2, strength)
+    d, l1, l2, z = [0.0] * n, [0.0] * n, [0.0] * n, [0.0] * n
+    for i in range(n):
+        b = two[i - 2] if i >= 2 else 0.0
+        a = (one[i - 1] if i >= 1 else 0.0) - (b * l1[i - 1] if i >= 2 else 0.0)
+        l2[i] = b / d[i - 2] if i >= 2 else 0.0
+        l1[i] = a / d[i - 1] if i >= 1 else 0.0
+        d[i] = main[i] - l1[i] * a - l2[i] * b
+        z[i] = y[i] - (l1[i] * z[i - 1] if i >= 1 else 0.0) - (l2[i] * z[i - 2] if i >= 2 else 0.0)
+    x = [0.0] * n
+    for i in range(n - 1, -1, -1):
+        x[i] = z[i] / d[i] - (l1[i + 1] * x[i + 1] if i + 1 < n else 0.0) - (l2[i + 2] * x[i + 2] if i + 2 < n else 0.0)
+    return np.array(x)
 
 
 def label_blobs(mask: np.ndarray) -> np.ndarray:

@@ -10,8 +10,28 @@ from pyspark.sql import functions as F
 
 PIXEL = ["row", "col"]
 
-# Class ids 0 to 11, their colours as red, green, blue.
-PALETTE = [(0, 0, 0), (255, 255, 255), (0, 255, 0), (0, 0, 255), (255, 255, 0), (255, 0, 255), (0, 255, 255), (255, 128, 0), (128, 0, 255), (255, 0, 0), (128, 128, 128), (64, 64, 64)]
+# Colours of class ids 0 to 18 as red, green, blue.
+PALETTE = [
+    (0, 0, 0),
+    (255, 153, 51),
+    (255, 51, 255),
+    (0, 255, 0),
+    (255, 0, 0),
+    (190, 189, 127),
+    (116, 18, 29),
+    (149, 95, 32),
+    (184, 183, 153),
+    (0, 0, 255),
+    (68, 17, 81),
+    (255, 255, 255),
+    (61, 82, 213),
+    (0, 79, 45),
+    (181, 141, 182),
+    (108, 70, 117),
+    (190, 189, 127),
+    (255, 164, 32),
+    (49, 127, 67),
+]
 
 
 def nonzero(pixels: DataFrame) -> DataFrame:
@@ -164,13 +184,19 @@ def homography(pixels: DataFrame, rows: int, cols: int, h: list[list[float]]) ->
 def window_around(positions: DataFrame, pixels: DataFrame, half: int, by: list[str] | None = None) -> DataFrame:
     """The pixels within ``half`` of each position's (row, col), with their place in the window.
 
-    A window names its cells and meets the raster in an equi-join, so nothing
-    is scanned by range. Positions outside the raster have no row (Q10).
+    A window names the tiles, as large as itself, that it touches, four at most,
+    and meets the raster in an equi-join on them. Positions outside the raster
+    have no row (Q10).
     """
-    side = F.sequence(F.lit(-half), F.lit(half))
-    cells = positions.withColumn("__dr", F.explode(side)).withColumn("__dc", F.explode(side))
-    cells = cells.withColumnsRenamed({"row": "at_row", "col": "at_col"}).withColumns({"row": F.col("at_row") + F.col("__dr"), "col": F.col("at_col") + F.col("__dc")})
-    return cells.join(pixels, PIXEL).withColumnsRenamed({"__dr": "win_row", "__dc": "win_col"}).withColumns({"win_row": F.col("win_row") + half, "win_col": F.col("win_col") + half})
+    size = 2 * half + 1
+    tile = lambda c: F.floor(c / size).cast("int")
+    at = positions.withColumnsRenamed({"row": "at_row", "col": "at_col"})
+    for k in ("row", "col"):
+        at = at.withColumn(f"__{k}", F.explode(F.sequence(tile(F.col(f"at_{k}") - half), tile(F.col(f"at_{k}") + half))))
+    held = pixels.withColumns({"__row": tile(F.col("row")), "__col": tile(F.col("col"))})
+    x = at.join(held, ["__row", "__col", *(by or [])]).drop("__row", "__col")
+    x = x.withColumns({"win_row": F.col("row") - F.col("at_row") + half, "win_col": F.col("col") - F.col("at_col") + half})
+    return x.where(F.col("win_row").between(0, 2 * half) & F.col("win_col").between(0, 2 * half))
 
 
 def fit_window(low: Column, size: int, total: int) -> Column:

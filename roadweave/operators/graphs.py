@@ -128,19 +128,20 @@ def to_utm(nodes: DataFrame, ref_lat: float, ref_lon: float, ref_h: float = 0.0,
     return moved.withColumns({"x": east, "y": north}).drop("__lat", "__lon")
 
 
-def foreground_blobs(pixels: DataFrame) -> DataFrame:
-    """(row, col, blob, area): 8-connected blobs of distinct pixels.
+def foreground_blobs(pixels: DataFrame, by: list[str] | None = None) -> DataFrame:
+    """(by, row, col, blob, area): 8-connected blobs of distinct pixels, in each group.
 
     Each pixel asks only half of its neighbours, and pixels meet in an equi-join.
     """
-    p = pixels.select("row", "col").distinct()
+    keys = [*(by or []), "row", "col"]
+    p = pixels.select(*keys).distinct()
     steps = F.array(*[F.struct(F.lit(a).alias("r"), F.lit(b).alias("c")) for a, b in ((0, 1), (1, -1), (1, 0), (1, 1))])
-    asked = p.withColumn("s", F.explode(steps)).select(F.struct("row", "col").alias("src"), (F.col("row") + F.col("s.r")).alias("row"), (F.col("col") + F.col("s.c")).alias("col"))
-    edges = asked.join(p, ["row", "col"]).select("src", F.struct("row", "col").alias("dst"))
-    of = connected_components(edges).select(F.col("node.row").alias("row"), F.col("node.col").alias("col"), "component")
-    blobs = p.join(of, ["row", "col"], "left").withColumn("blob", F.coalesce("component", F.struct("row", "col"))).drop("component")
+    asked = p.withColumn("s", F.explode(steps)).select(F.struct(*keys).alias("src"), *(by or []), (F.col("row") + F.col("s.r")).alias("row"), (F.col("col") + F.col("s.c")).alias("col"))
+    edges = asked.join(p, keys).select("src", F.struct(*keys).alias("dst"))
+    of = connected_components(edges).select(*[F.col("node")[k].alias(k) for k in keys], "component")
+    blobs = p.join(of, keys, "left").withColumn("blob", F.coalesce("component", F.struct(*keys))).drop("component")
     area = blobs.groupBy("blob").agg(F.count("*").alias("area"))
-    return blobs.join(area, "blob").select("row", "col", "blob", "area")
+    return blobs.join(area, "blob").select(*keys, "blob", "area")
 
 
 def clean_junk(labels: DataFrame, min_area: int) -> DataFrame:
@@ -149,11 +150,16 @@ def clean_junk(labels: DataFrame, min_area: int) -> DataFrame:
     return labels.join(small, ["row", "col"], "left").withColumn("cls", F.when(F.col("__small"), 0).otherwise(F.col("cls"))).drop("__small")
 
 
-def erode(labels: DataFrame) -> DataFrame:
-    """Foreground pixels all of whose eight neighbours are foreground."""
+def erode(labels: DataFrame, by: list[str] | None = None, shape: tuple[int, int] | None = None) -> DataFrame:
+    """Foreground pixels all of whose eight neighbours are foreground (R15); with ``shape``, only neighbours inside it count."""
+    keys = [*(by or []), "row", "col"]
     p = labels.where("cls <> 0")
     side = F.array(*[F.lit(k) for k in (-1, 0, 1)])
-    asked = p.select("row", "col", "cls").withColumn("__r", F.explode(side)).withColumn("__c", F.explode(side))
-    asked = asked.select(F.col("row").alias("r0"), F.col("col").alias("c0"), "cls", (F.col("row") + F.col("__r")).alias("row"), (F.col("col") + F.col("__c")).alias("col"))
-    full = asked.join(p.select("row", "col"), ["row", "col"]).groupBy("r0", "c0", "cls").agg(F.count("*").alias("n")).where("n = 9")
-    return full.select(F.col("r0").alias("row"), F.col("c0").alias("col"), "cls")
+    asked = p.select(*keys, "cls").withColumn("__r", F.explode(side)).withColumn("__c", F.explode(side))
+    asked = asked.select(*(by or []), F.col("row").alias("r0"), F.col("col").alias("c0"), "cls", (F.col("row") + F.col("__r")).alias("row"), (F.col("col") + F.col("__c")).alias("col"))
+    wanted = F.lit(9)
+    if shape is not None:
+        inside = lambda c, n: F.lit(3) - (F.col(c) == 0).cast("int") - (F.col(c) == n - 1).cast("int")
+        wanted = inside("r0", shape[0]) * inside("c0", shape[1])
+    full = asked.join(p.select(*keys), keys).groupBy(*(by or []), "r0", "c0", "cls").agg(F.count("*").alias("n")).where(F.col("n") == wanted)
+    return full.select(*(by or []), F.col("r0").alias("row"), F.col("c0").alias("col"), "cls")

@@ -2,20 +2,32 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from dataclasses import dataclass
 from itertools import count
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType
 
 from roadweave.functions import geometry as g
+from roadweave.functions import shapes
 from roadweave.operators import grid
 from roadweave.operators.graphs import undirected
 from roadweave.storage import COMPACT_ROUNDS, materialize
 
-# Type and subtype of a line class in the output map.
-LINE_TYPES = {1: ("line_thin", "solid"), 2: ("line_thin", "dashed"), 3: ("line_thin", "solid_solid"), 4: ("line_thick", "solid"), 5: ("line_thick", "dashed"), 10: ("curbstone", "high"), 13: ("stop_line", "precedence"), 14: ("stop_line", "solid")}
-DEFAULT_TYPE = ("line_thin", "solid")
+# Type and subtype of a line class in the output map; other classes have none.
+LINE_TYPES = {
+    1: ("line_thin", "solid_solid"),
+    2: ("line_thin", "solid_dashed"),
+    3: ("line_thin", "solid"),
+    4: ("line_thin", "dashed"),
+    9: ("pedestrian_marking", ""),
+    13: ("traffic_sign", "de205"),
+    14: ("stop_line", ""),
+}
 
 
 def pair(lines: DataFrame, min_distance: float) -> DataFrame:
@@ -51,19 +63,101 @@ def distinct_lanes(lanes: DataFrame) -> DataFrame:
     return lanes.withColumn("__k", F.row_number().over(w)).where("__k = 1").drop("__k")
 
 
-def repair_holes(lines: DataFrame, lanes: DataFrame, max_nodes: int = 6, max_degrees: float = 5.0) -> DataFrame:
-    """(lane line, short line): a short line without a lane that continues a lane's line.
+def pair_by_relations(lines: DataFrame, relations: DataFrame, min_distance: float, sides: DataFrame | None = None) -> DataFrame:
+    """(right_ls, left_ls): lines whose two ends are split-related to the two ends of another.
+
+    ``lines`` is (ls, graph, first, last, cx, cy), ``relations`` (graph, node,
+    other_graph, other_node) both ways, ``sides`` (graph, node, side) of
+    annotated nodes. The line of least id is the main one, on the right unless
+    the other begins on the right of the road; centres are at least
+    ``min_distance`` apart; each lane comes once.
+    """
+    to = lambda end, name: lines.select("ls", "graph", F.col(end).alias("node")).join(relations, ["graph", "node"]).select("ls", F.col("other_graph").alias("g"), F.col("other_node").alias(name))
+    ends = to("first", "a").join(to("last", "b"), ["ls", "g"]).distinct()
+    way = lambda a, b: lines.select(F.col("ls").alias("other"), F.col("graph").alias("g"), F.col(a).alias("a"), F.col(b).alias("b"))
+    hit = ends.join(way("first", "last").unionByName(way("last", "first")), ["g", "a", "b"]).where("ls <> other").select("ls", "other")
+    hit = hit.select(F.least("ls", "other").alias("ls"), F.greatest("ls", "other").alias("other")).distinct()
+    centre = lambda k: lines.select(F.col("ls").alias(k), F.col("cx").alias(f"{k}_x"), F.col("cy").alias(f"{k}_y"))
+    hit = hit.join(centre("ls"), "ls").join(centre("other"), "other").where(g.distance(F.col("ls_x"), F.col("ls_y"), F.col("other_x"), F.col("other_y")) >= min_distance)
+    if sides is None:
+        return hit.select(F.col("ls").alias("right_ls"), F.col("other").alias("left_ls"))
+    first = lines.select(F.col("ls").alias("other"), "graph", F.col("first").alias("node")).join(sides, ["graph", "node"]).select("other", "side")
+    swap = F.coalesce(F.col("side") == "right", F.lit(False))
+    return hit.join(first, "other", "left").select(F.when(swap, F.col("other")).otherwise(F.col("ls")).alias("right_ls"), F.when(swap, F.col("ls")).otherwise(F.col("other")).alias("left_ls"))
+
+
+RINGS = "right_ls long, left_ls long, ring array<double>, area double, min_x double, min_y double, max_x double, max_y double"
+
+
+def lane_rings(lanes: DataFrame, lines: DataFrame) -> DataFrame:
+    """Lanes with the polygon between their sides (L7); a lane whose sides cross either way has none and goes.
+
+    ``lines`` is (ls, xy array<struct<x,y>>).
+    """
+    side = lambda k: lines.select(F.col("ls").alias(f"{k}_ls"), F.flatten(F.transform("xy", lambda p: F.array(p["x"], p["y"]))).alias(k))
+    both = lanes.select("right_ls", "left_ls").join(side("right"), "right_ls").join(side("left"), "left_ls").select("right_ls", "left_ls", "right", "left")
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = []
+            for r in batch.itertuples(index=False):
+                right, left = (np.asarray(x, float).reshape(-1, 2) for x in (r.right, r.left))
+                ring = next((x for x in (np.vstack([right, left]), np.vstack([right, left[::-1]])) if shapes.is_simple(x)), None)
+                if ring is not None:
+                    rows.append((r.right_ls, r.left_ls, ring.ravel().tolist(), shapes.polygon_area(ring), *ring.min(0), *ring.max(0)))
+            yield pd.DataFrame(rows, columns=[c.split()[0] for c in RINGS.split(", ")])
+
+    return both.mapInPandas(run, RINGS)
+
+
+def prune_lanes(lanes: DataFrame, lines: DataFrame, share: float = 0.3, cell: float = 20.0) -> DataFrame:
+    """Lanes without those that cover more than ``share`` of a smaller one (J17, L7); of equal ones both stay.
+
+    Polygons meet where their boxes share a cell; what two have in common is
+    computed on the polygons themselves.
+    """
+    rings = materialize(lane_rings(lanes, lines), "lane-rings")
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            over = [shapes.common_area(np.reshape(a, (-1, 2)), np.reshape(b, (-1, 2))) > share * area for a, b, area in zip(batch["l_ring"], batch["r_ring"], batch["area"], strict=True)]
+            yield batch.loc[over, ["right_ls", "left_ls"]]
 
-    ``lines`` is (ls, graph, cls, n, start_node, end_node, dx, dy). Ends meet in
-    an equi-join on graph, class and node; of several the least id is taken.
+    hit = grid.box_pairs(rings, rings, cell).where("l.area > r.area").select("l.right_ls", "l.left_ls", F.col("l.ring").alias("l_ring"), F.col("r.ring").alias("r_ring"), F.col("r.area").alias("area"))
+    out = hit.mapInPandas(run, "right_ls long, left_ls long").distinct()
+    return rings.select("right_ls", "left_ls").join(out, ["right_ls", "left_ls"], "left_anti")
+
+
+def repair_holes(lines: DataFrame, lanes: DataFrame, max_nodes: int = 6, max_degrees: float = 5.0) -> DataFrame:
+    """``lines`` with short ones that no lane uses merged into the lane line that they continue.
+
+    ``lines`` is (ls, graph, cls, nodes array, xy array<struct<x,y>>). A short
+    line of 2 to ``max_nodes`` nodes, of the graph and class of a lane's line,
+    that begins where that one ends or ends where it begins, and that runs in
+    its direction within ``max_degrees``, becomes part of it and is no line any
+    more. A short line takes the lane line of least id, its end before its
+    beginning; an end takes the short line of least id; again until none fits.
     """
-    used = lanes.select(F.col("right_ls").alias("ls")).unionByName(lanes.select(F.col("left_ls").alias("ls"))).distinct()
-    ends = lambda df: df.withColumn("node", F.explode(F.array_distinct(F.array("start_node", "end_node"))))
-    short = ends(lines.where(F.col("n") <= max_nodes).join(used, "ls", "left_anti")).select(F.col("ls").alias("short"), "graph", "cls", "node", F.col("dx").alias("sx"), F.col("dy").alias("sy"))
-    long = ends(lines.join(used, "ls", "left_semi")).select("ls", "graph", "cls", "node", "dx", "dy")
-    turn = g.angle_between(F.col("dx"), F.col("dy"), F.col("sx"), F.col("sy"))
-    hit = long.join(short, ["graph", "cls", "node"]).where(F.least(turn, F.pi() - turn) < F.radians(F.lit(max_degrees)))
-    return hit.groupBy("ls").agg(F.min("short").alias("short"))
+    used = materialize(lanes.select(F.col("right_ls").alias("ls")).unionByName(lanes.select(F.col("left_ls").alias("ls"))).distinct(), "lane-lines")
+    now = materialize(lines.select("ls", "graph", "cls", "nodes", "xy"), "lines")
+    first, last = lambda c: F.element_at(c, 1), lambda c: F.element_at(c, -1)
+    while True:
+        flat = now.where(F.size("nodes") >= 2).withColumns({"dx": last("xy")["x"] - first("xy")["x"], "dy": last("xy")["y"] - first("xy")["y"]})
+        ends = flat.select("ls", "graph", "cls", F.size("nodes").alias("n"), first("nodes").alias("first"), last("nodes").alias("last"), "dx", "dy")
+        short = ends.where(F.col("n") <= max_nodes).join(used, "ls", "left_anti").select(F.col("ls").alias("short"), "graph", "cls", F.col("first").alias("s_first"), F.col("last").alias("s_last"), F.col("dx").alias("sx"), F.col("dy").alias("sy"))
+        long = ends.join(used, "ls", "left_semi")
+        turn = g.angle_between(F.col("dx"), F.col("dy"), F.col("sx"), F.col("sy"))
+        after = long.join(short.withColumn("last", F.col("s_first")), ["graph", "cls", "last"]).where(turn < F.radians(F.lit(max_degrees))).select("ls", "short", F.lit(0).alias("before"))
+        before = long.join(short.withColumn("first", F.col("s_last")), ["graph", "cls", "first"]).where(turn < F.radians(F.lit(max_degrees))).select("ls", "short", F.lit(1).alias("before"))
+        pick = after.unionByName(before).groupBy("short").agg(F.min(F.struct("ls", "before")).alias("m")).select("short", "m.ls", "m.before").groupBy("ls", "before").agg(F.min("short").alias("short"))
+        pick = materialize(pick, "holes")
+        if pick.isEmpty():
+            return now
+        part = now.select(F.col("ls").alias("short"), F.struct("nodes", "xy").alias("part"))
+        join = pick.join(part, "short").groupBy("ls").agg(F.max(F.when(F.col("before") == 0, F.col("part"))).alias("after"), F.max(F.when(F.col("before") == 1, F.col("part"))).alias("before"))
+        whole = lambda c: F.concat(F.coalesce(F.slice(F.col("before")[c], F.lit(1), F.size(F.col("before")[c]) - 1), F.slice(c, F.lit(1), F.lit(0))), F.col(c), F.coalesce(F.slice(F.col("after")[c], F.lit(2), F.size(F.col("after")[c])), F.slice(c, F.lit(1), F.lit(0))))
+        kept = now.join(pick.select(F.col("short").alias("ls")), "ls", "left_anti").join(join, "ls", "left")
+        now = materialize(kept.select("ls", "graph", "cls", whole("nodes").alias("nodes"), whole("xy").alias("xy")), "lines")
 
 
 def annotate_side(nodes: DataFrame, cars: DataFrame, half_length: float, half_width: float, node_id: str, frame: str) -> DataFrame:
@@ -113,10 +207,10 @@ def both_sides(lanes: DataFrame, lines: DataFrame) -> DataFrame:
 
 
 def typed(lines: DataFrame) -> DataFrame:
-    """Lines with ``type`` and ``subtype`` by class."""
+    """Lines with ``type`` and ``subtype`` by class, null for a class that has none."""
     kinds = F.create_map(*[F.lit(x) for k, v in LINE_TYPES.items() for x in (k, F.struct(F.lit(v[0]).alias("t"), F.lit(v[1]).alias("s")))])
-    kind = F.try_element_at(kinds, F.col("cls"))
-    return lines.withColumns({"type": F.coalesce(kind["t"], F.lit(DEFAULT_TYPE[0])), "subtype": F.coalesce(kind["s"], F.lit(DEFAULT_TYPE[1]))})
+    kind = F.try_element_at(kinds, F.col("cls").cast("int"))
+    return lines.withColumns({"type": kind["t"], "subtype": kind["s"]})
 
 
 def elevated(points: DataFrame, default: float = 0.0, car_height: float = 0.0) -> DataFrame:
@@ -139,8 +233,10 @@ def rectangle_lines(shapes: DataFrame) -> DataFrame:
 
 
 def line_ends(line_nodes: DataFrame) -> DataFrame:
-    """(ls, n, first, last, cx, cy): ends and centre of linestrings (F17); rows are (ls, k, node, x, y)."""
-    return line_nodes.groupBy("ls").agg(F.count("*").alias("n"), F.min_by("node", "k").alias("first"), F.max_by("node", "k").alias("last"), F.avg("x").alias("cx"), F.avg("y").alias("cy"))
+    """(ls, n, first, last, cx, cy): ends of linestrings and the middle between them (F17); rows are (ls, k, node, x, y)."""
+    end = lambda pick, c: pick(c, "k")
+    mid = lambda c: (end(F.min_by, c) + end(F.max_by, c)) / 2
+    return line_nodes.groupBy("ls").agg(F.count("*").alias("n"), F.min_by("node", "k").alias("first"), F.max_by("node", "k").alias("last"), mid("x").alias("cx"), mid("y").alias("cy"))
 
 
 def annotate(nodes: DataFrame, lines: DataFrame, lanes: DataFrame) -> DataFrame:
@@ -170,41 +266,65 @@ def _close_nodes(nodes: DataFrame, edges: DataFrame, steps: int) -> DataFrame:
     return near.groupBy(F.col("graph").alias("other_graph"), F.col("node").alias("other_node")).agg(F.collect_set("at").alias("close"))
 
 
+def _arms(nodes: DataFrame, edges: DataFrame | None) -> DataFrame:
+    """``nodes`` with ``arms``: unit vectors to their neighbours, or their own direction where no edges are known."""
+    if edges is None:
+        ux, uy = g.unit(F.col("dx"), F.col("dy"))
+        return nodes.select("graph", "node", "x", "y", F.array(F.struct(ux.alias("x"), uy.alias("y"))).alias("arms"))
+    at = nodes.select("graph", F.col("node").alias("dst"), F.col("x").alias("ox"), F.col("y").alias("oy"))
+    ux, uy = g.unit(F.col("ox") - F.col("x"), F.col("oy") - F.col("y"))
+    arms = undirected(edges).join(at, ["graph", "dst"]).join(nodes.select("graph", F.col("node").alias("src"), "x", "y"), ["graph", "src"]).groupBy("graph", F.col("src").alias("node")).agg(F.collect_list(F.struct(ux.alias("x"), uy.alias("y"))).alias("arms"))
+    return nodes.select("graph", "node", "x", "y").join(arms, ["graph", "node"], "left")
+
+
 def propagate_splits(nodes: DataFrame, sources: DataFrame, least: float, most: float, tolerance: float, max_degrees: float = 70.0, edges: DataFrame | None = None, min_node_path_len: int = 5) -> tuple[DataFrame, DataFrame]:
     """Splits spread breadth-first across neighbouring lines (L3, L4).
 
-    ``nodes`` is (graph, node, x, y, dx, dy), ``sources`` (graph, node),
-    ``edges`` (graph, src, dst). Each round the frontier looks across its
-    direction for nodes of any graph, its own too, between ``least`` and
-    ``most`` away, whose direction may differ by ``max_degrees``. Of each graph
-    the candidate nearest the scan line counts (O3, Q22), and each further one
-    that is ``min_node_path_len`` or more steps from all those taken: lines
-    that merge elsewhere (G14). Without ``edges`` no candidate is known to be
-    far from another, and the first of each graph counts.
-    Rounds end when no new node is found. Returns all split nodes with their
-    round, and the symmetric relations.
+    ``nodes`` is (graph, node, x, y, dx, dy), ``sources`` (graph, node) with the
+    road's direction dx, dy, or with that of their nodes, ``edges`` (graph, src,
+    dst). The direction of a source travels with its split: each round the
+    frontier looks across it for nodes of any graph, its own too, between
+    ``least`` and ``most`` away, one of whose edges runs within ``max_degrees``
+    of it. A candidate beside a node that is split already gives way to that
+    one. Of each graph the candidate nearest the scan line counts (O3, Q22), and
+    each further one that is ``min_node_path_len`` or more steps from all those
+    taken: lines that merge elsewhere (G14). Without ``edges`` a node has its
+    own direction, and the first of each graph counts. A node that several
+    reach takes the direction of the least (graph, node). Rounds end when no new
+    node is found. Returns all split nodes with their round, and the symmetric
+    relations.
     """
     nodes = materialize(nodes.where("graph is not null and node is not null"), "split-nodes")
-    close = None if edges is None else materialize(_close_nodes(nodes, edges, min_node_path_len - 1), "close-nodes")
-    seen = frontier = materialize(nodes.join(sources.distinct(), ["graph", "node"], "left_semi").select("graph", "node", F.lit(0).alias("round")), "splits")
+    close = both = None
+    if edges is not None:
+        close = materialize(_close_nodes(nodes, edges, min_node_path_len - 1), "close-nodes")
+        both = materialize(undirected(edges), "split-edges")
+    right = materialize(_arms(nodes, edges), "split-arms")
+    own = sources if "dx" in sources.columns else sources.select("graph", "node").distinct().join(nodes.select("graph", "node", "dx", "dy"), ["graph", "node"])
+    begin = own.groupBy("graph", "node").agg(F.min(F.struct("dx", "dy")).alias("d")).join(nodes.select("graph", "node"), ["graph", "node"], "left_semi")
+    seen = frontier = materialize(begin.select("graph", "node", "d.dx", "d.dy", F.lit(0).alias("round")), "splits")
     relations = None
     for k in count(1):
-        here = frontier.select("graph", "node").join(nodes, ["graph", "node"])
-        hit = grid.scan_line(here, nodes, least, most, tolerance).where("l.graph <> r.graph or l.node <> r.node")
-        turn = g.angle_between(F.col("l.dx"), F.col("l.dy"), F.col("r.dx"), F.col("r.dy"))
-        hit = hit.where(F.least(turn, F.pi() - turn) <= F.radians(F.lit(max_degrees)))
-        hit = hit.select(F.col("l.graph").alias("graph"), F.col("l.node").alias("node"), F.col("r.graph").alias("other_graph"), F.col("r.node").alias("other_node"), (F.col("off") * F.col("d")).alias("far"))
+        here = frontier.select("graph", "node", "dx", "dy").join(nodes.select("graph", "node", "x", "y"), ["graph", "node"])
+        hit = grid.scan_line(here, right, least, most, tolerance).where("l.graph <> r.graph or l.node <> r.node")
+        ux, uy = g.unit(F.col("l.dx"), F.col("l.dy"))
+        along = F.exists(F.col("r.arms"), lambda a: F.abs(a["x"] * ux + a["y"] * uy) >= F.cos(F.radians(F.lit(max_degrees))) - 1e-12)
+        hit = hit.where(along).select(F.col("l.graph").alias("graph"), F.col("l.node").alias("node"), F.col("l.dx").alias("dx"), F.col("l.dy").alias("dy"), F.col("r.graph").alias("other_graph"), F.col("r.node").alias("other_node"), (F.col("off") * F.col("d")).alias("far"))
+        by = ["graph", "node", "dx", "dy", "other_graph"]
         if close is None:
-            best = hit.groupBy("graph", "node", "other_graph").agg(F.min_by("other_node", F.struct("far", "other_node")).alias("other_node"))
+            best = hit.groupBy(*by).agg(F.min_by("other_node", F.struct("far", "other_node")).alias("other_node"))
         else:
+            split = both.join(seen.select("graph", F.col("node").alias("dst")), ["graph", "dst"], "left_semi").groupBy(F.col("graph").alias("other_graph"), F.col("src").alias("other_node")).agg(F.min("dst").alias("__swap"))
+            hit = hit.join(split, ["other_graph", "other_node"], "left").withColumn("other_node", F.coalesce("__swap", "other_node")).where("graph <> other_graph or node <> other_node")
             ranked = F.sort_array(F.collect_list(F.struct("far", "other_node", "close")))
             none = F.array().cast(ArrayType(nodes.schema["node"].dataType))
             taken = F.aggregate(ranked, none, lambda got, c: F.when(F.arrays_overlap(got, c["close"]), got).otherwise(F.concat(got, F.array(c["other_node"]))))
-            best = hit.join(close, ["other_graph", "other_node"]).groupBy("graph", "node", "other_graph").agg(taken.alias("__t")).withColumn("other_node", F.explode("__t"))
-        found = materialize(best.select("graph", "node", "other_graph", "other_node"), "relations")
-        relations = found if relations is None else relations.unionByName(found)
-        new = found.select(F.col("other_graph").alias("graph"), F.col("other_node").alias("node")).distinct().join(seen, ["graph", "node"], "left_anti")
-        frontier = materialize(new.withColumn("round", F.lit(k)), "splits")
+            best = hit.join(close, ["other_graph", "other_node"]).groupBy(*by).agg(taken.alias("__t")).withColumn("other_node", F.explode("__t"))
+        found = materialize(best.select(*by, "other_node"), "relations")
+        pairs = found.select("graph", "node", "other_graph", "other_node")
+        relations = pairs if relations is None else relations.unionByName(pairs)
+        reached = found.groupBy(F.col("other_graph").alias("g"), F.col("other_node").alias("n")).agg(F.min_by(F.struct("dx", "dy"), F.struct("graph", "node")).alias("d")).select(F.col("g").alias("graph"), F.col("n").alias("node"), "d.dx", "d.dy")
+        frontier = materialize(reached.join(seen, ["graph", "node"], "left_anti").withColumn("round", F.lit(k)), "splits")
         if frontier.isEmpty():
             break
         seen = seen.unionByName(frontier)
@@ -213,6 +333,96 @@ def propagate_splits(nodes: DataFrame, sources: DataFrame, least: float, most: f
     return seen, symmetric(relations)
 
 
+def node_directions(nodes: DataFrame, edges: DataFrame) -> DataFrame:
+    """``nodes`` with dx, dy: from the first neighbour to the last, or to the only one; null where there is none."""
+    at = nodes.select("graph", F.col("node").alias("dst"), F.col("x").alias("ox"), F.col("y").alias("oy"))
+    far = undirected(edges).join(at, ["graph", "dst"]).groupBy("graph", F.col("src").alias("node")).agg(F.min(F.struct("dst", "ox", "oy")).alias("p"), F.max(F.struct("dst", "ox", "oy")).alias("q"))
+    one = F.col("p.dst") == F.col("q.dst")
+    dx, dy = (F.col(f"q.o{c}") - F.when(one, F.col(c)).otherwise(F.col(f"p.o{c}")) for c in "xy")
+    return nodes.join(far, ["graph", "node"], "left").withColumns({"dx": dx, "dy": dy}).drop("p", "q")
+
+
+@dataclass
+class Lanes:
+    """What the lane search finds: ``lines`` (ls, graph, cls, nodes, xy), ``lanes`` (right_ls, left_ls), split nodes and relations."""
+
+    lines: DataFrame
+    lanes: DataFrame
+    splits: DataFrame
+    relations: DataFrame
+
+
+def find_lanes(nodes: DataFrame, edges: DataFrame, min_lane_size: float = 1.5, max_lane_size: float = 6.0, tolerance: float = 0.5, ignore_classes: list[int] | None = None, max_corner_degrees: float | None = None, sides: DataFrame | None = None, min_center_distance: float = 2.0) -> Lanes:
+    """The lane search (L9): points of interest, splits, linestrings, lanes, without overlaps and holes.
+
+    ``nodes`` is (graph, node, x, y, cls and, for shapes, type), ``edges``
+    (graph, src, dst), ``sides`` as ``annotate_side`` gives them with the graph.
+    Nodes of ignored classes make no splits, and their lines no lanes.
+    """
+    from roadweave.operators import linegraph
+
+    nodes, edges = materialize(nodes, "lane-nodes"), materialize(edges, "lane-edges")
+    open_ = nodes.where(~F.col("cls").isin(list(ignore_classes or [])))
+    aimed = materialize(node_directions(nodes, edges).select("graph", "node", "x", "y", "dx", "dy").join(open_.select("graph", "node"), ["graph", "node"], "left_semi"), "lane-directions")
+    poi = linegraph.points_of_interest(nodes, edges, max_corner_degrees).select("graph", "node").distinct()
+    sources = poi.join(aimed, ["graph", "node"]).where("dx * dx + dy * dy > 0").select("graph", "node", "dx", "dy")
+    splits, relations = propagate_splits(aimed, sources, min_lane_size, max_lane_size, tolerance, edges=edges)
+    splits, relations = materialize(splits, "lane-splits"), materialize(relations, "lane-relations")
+    cut = materialize(linegraph.linestrings(linegraph.to_rows(nodes, edges), splits.where("round > 0").select("graph", "node")), "lane-lines")
+    cut = cut.withColumn("ls", F.xxhash64("graph", "line"))
+    steps = cut.select("ls", "graph", F.posexplode("nodes").alias("k", "node")).join(nodes.select("graph", "node", "x", "y"), ["graph", "node"])
+    xy = steps.groupBy("ls").agg(F.transform(F.sort_array(F.collect_list(F.struct("k", "x", "y"))), lambda p: F.struct(p["x"].alias("x"), p["y"].alias("y"))).alias("xy"))
+    lines = materialize(cut.join(xy, "ls").select("ls", "graph", "cls", "nodes", "xy"), "lane-lines")
+    end = lambda c, k: F.element_at(c, k)
+    valid = lines.where((F.size("nodes") >= 2) & ~F.col("cls").isin(list(ignore_classes or [])))
+    valid = valid.select("ls", "graph", end("nodes", 1).alias("first"), end("nodes", -1).alias("last"), *[((end("xy", 1)[c] + end("xy", -1)[c]) / 2).alias(f"c{c}") for c in "xy"])
+    found = materialize(prune_lanes(pair_by_relations(valid, relations, min_center_distance, sides), lines), "lanes")
+    return Lanes(repair_holes(lines, found), found, splits, relations)
+
+
+def _osm_id(*keys: Column) -> Column:
+    """A positive id that follows from its keys."""
+    return F.shiftrightunsigned(F.xxhash64(*keys), 1)
+
+
+def map_elements(found: Lanes, nodes: DataFrame, origin: tuple[float, float, float], ignore_classes: list[int] | None = None, car_height: float = 0.0) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Points (id, x, y, ele), ways (id, nodes, type, subtype) and lanelets (id, left_way, right_way, subtype, location) of the output map.
+
+    Points are relative to ``origin``, each node one point; a node without
+    elevation (column ``ele``) has the origin's. Lines of one node or of ignored
+    classes are left out, and lanes that lose a side with them.
+    """
+    kept = found.lines.where((F.size("nodes") >= 2) & ~F.col("cls").isin(list(ignore_classes or [])))
+    ways = typed(kept).select(_osm_id(F.lit("way"), F.col("ls")).alias("id"), F.transform("nodes", lambda n: _osm_id(F.lit("point"), F.col("graph"), n)).alias("nodes"), "type", "subtype")
+    ele = F.col("ele") if "ele" in nodes.columns else F.lit(None).cast("double")
+    named = kept.select("graph", F.explode("nodes").alias("node")).distinct().join(nodes.withColumn("ele", ele), ["graph", "node"])
+    points = elevated(named, origin[2], car_height).select(_osm_id(F.lit("point"), F.col("graph"), F.col("node")).alias("id"), (F.col("x") - origin[0]).alias("x"), (F.col("y") - origin[1]).alias("y"), (F.col("ele") - origin[2]).alias("ele"))
+    whole = both_sides(found.lanes, kept)
+    lanelets = whole.select(_osm_id(F.lit("lanelet"), F.col("right_ls"), F.col("left_ls")).alias("id"), _osm_id(F.lit("way"), F.col("left_ls")).alias("left_way"), _osm_id(F.lit("way"), F.col("right_ls")).alias("right_way"), F.lit("road").alias("subtype"), F.lit("urban").alias("location"))
+    return points, ways, lanelets
+
+
+# Classes of four-node shapes that become one middle line, or two lines and a lanelet of a subtype.
+ONE_LINE, TWO_LINES = (14,), {9: "walkway"}
+
+
+def shape_elements(shapes_: DataFrame, origin: tuple[float, float, float], make_lanelet: bool = True) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Points, ways and lanelets of rectangular shapes (graph, cls, corners): stop lines and crosswalks (L15); other classes give none."""
+    lines = rectangle_lines(shapes_).join(shapes_.select("graph", "cls"), "graph")
+    one = lines.where(F.col("cls").isin(*ONE_LINE)).select("graph", "cls", F.lit(0).alias("k"), F.col("middle").alias("line"))
+    two = lines.where(F.col("cls").isin(*TWO_LINES))
+    two = two.select("graph", "cls", F.lit(0).alias("k"), F.col("first_line").alias("line")).unionByName(two.select("graph", "cls", F.lit(1).alias("k"), F.col("second_line").alias("line")))
+    every = typed(one.unionByName(two))
+    point = lambda i: _osm_id(F.lit("corner"), F.col("graph"), F.col("k"), F.lit(i))
+    way = lambda k: _osm_id(F.lit("shape"), F.col("graph"), k)
+    at = lambda i: F.struct(point(i).alias("id"), (F.col("line")[i]["x"] - origin[0]).alias("x"), (F.col("line")[i]["y"] - origin[1]).alias("y"), F.lit(0.0).alias("ele"))
+    points = every.select(F.explode(F.array(at(0), at(1))).alias("p")).select("p.*")
+    ways = every.select(way(F.col("k")).alias("id"), F.array(point(0), point(1)).alias("nodes"), "type", "subtype")
+    kind = F.try_element_at(F.create_map(*[F.lit(x) for kv in TWO_LINES.items() for x in kv]), F.col("cls").cast("int"))
+    lets = every.where("k = 1").where(F.lit(make_lanelet)).select(_osm_id(F.lit("lanelet"), F.col("graph")).alias("id"), way(F.lit(0)).alias("left_way"), way(F.lit(1)).alias("right_way"), kind.alias("subtype"), F.lit("urban").alias("location"))
+    return points, ways, lets
+
+
 def is_ring_ordered(start_right: Column, end_right: Column, start_left: Column, end_left: Column) -> Column:
     """Whether two sides run the same way: like ends nearer than unlike ones (F18); points are structs x, y."""
     d = lambda p, q: g.distance(p["x"], p["y"], q["x"], q["y"])

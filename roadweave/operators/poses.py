@@ -96,6 +96,25 @@ def anchored(resolution: float, min_x: Column, min_y: Column, max_x: Column, max
     )
 
 
+def extents_json(resolution: float, left: Column, top: Column, right: Column, bottom: Column, offset_x: float = 0.0, offset_y: float = 0.0) -> Column:
+    """Extents as a JSON document (F16): anchors without their offsets, the offsets, and the size with them, (height, width)."""
+    height, width = top - bottom + 2 * offset_y, right - left + 2 * offset_x
+    corner = lambda x, y, dx, dy: F.struct(F.array(x, y).alias("point"), F.array(F.lit(dx), F.lit(dy)).alias("offset"))
+    pair = F.struct(corner(left, top, -offset_x, offset_y).alias("top_left"), corner(right, bottom, offset_x, -offset_y).alias("bottom_right"))
+    size = F.struct(F.array(height, width).alias("meter"), F.array((height / resolution).cast("int"), (width / resolution).cast("int")).alias("pixel"))
+    return F.to_json(F.struct(F.lit(resolution).alias("resolution"), pair.alias("anchors"), size.alias("extents")))
+
+
+EXTENTS_JSON = "resolution double, anchors struct<top_left:struct<point:array<double>,offset:array<double>>,bottom_right:struct<point:array<double>,offset:array<double>>>, extents struct<meter:array<double>,pixel:array<int>>"
+
+
+def extents_from_json(document: Column) -> Column:
+    """The struct that ``anchored`` gives, from such a document; null for another text."""
+    d = F.from_json(document, EXTENTS_JSON)
+    at = lambda corner, k: d["anchors"][corner]["point"][k] + d["anchors"][corner]["offset"][k]
+    return F.struct(d["resolution"].alias("resolution"), at("top_left", 0).alias("tl_x"), at("top_left", 1).alias("tl_y"), at("bottom_right", 0).alias("br_x"), at("bottom_right", 1).alias("br_y"), d["extents"]["pixel"][0].alias("h_px"), d["extents"]["pixel"][1].alias("w_px"))
+
+
 def multi_camera(frames: DataFrame, camera: str = "camera") -> DataFrame:
     """One row a frame: mean position over cameras and their images and headings in order."""
     part = F.struct(camera, "path", "heading")

@@ -8,21 +8,42 @@ from enum import Enum
 from typing import Any
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from roadweave.operators import blend, graphs, linegraph, poses
-from roadweave.plans.registry import lookup
+from roadweave.functions.camera import BirdView, Pinhole
+from roadweave.operators import blend, boxparser, graphs, lanes, linegraph, placement
+from roadweave.plans.registry import TableProcessor, lookup
 
 
+# Members of the options and how presets spell them.
 class AngleMode(Enum):
-    POSE = "pose"
+    GPS = "gps"
     ESTIMATED = "estimated"
+    ONLY_OFFSET = "only_offset"
+
+
+class SmoothMode(Enum):
+    NONE = "none"
+    ANGLE = "angle"
+    POSITION = "position"
+    ALL = "all"
 
 
 class BlendMode(Enum):
     SUM = "sum"
-    AVERAGE = "average"
-    ENHANCE = "enhance"
+    AVERAGE = "avg"
+    ENHANCE_OVERLAP = "overlap"
+
+
+#: Blends by their option.
+BLENDS = {BlendMode.SUM: "sum", BlendMode.AVERAGE: "average", BlendMode.ENHANCE_OVERLAP: "enhance"}
+
+
+def member(kind: type[Enum], text: Any) -> Enum:
+    """An option by its value or name, in any case (Q1); others are an error."""
+    found = [m for m in kind if str(text).lower() in (m.value, m.name.lower())]
+    if not found:
+        raise ValueError(f"no {kind.__name__} {text}; there are {[m.value for m in kind]}")
+    return found[0]
 
 
 @dataclass
@@ -35,22 +56,48 @@ class DatasetOptions:
     end: int = -1
 
 
+@dataclass
+class CameraOptions:
+    name: str = "Camera"
+    parameters: dict[str, Any] = field(default_factory=dict)
+
+
 @dataclass
 class BevOptions:
-    view_size: tuple[float, float] = (10.0, 20.0)
+    view_size: tuple[float, float, float, float] = (0.0, 10.0, -10.0, 10.0)
     resolution: float = 0.05
     offset_angle: float = 0.0
     center_of_rotation: tuple[int, int] | None = None
     mask_bev: bool = False
+    camera: CameraOptions = field(default_factory=CameraOptions)
+
+
+@dataclass
+class ModelOptions:
+    name: str | None = None
+    path: str = ""
+    num_classes: int | None = None
+    parameters: dict[str, Any] = field(default_factory=dict)
+    predict_size: tuple[int, int] = (384, 640)
+    checkpoint: str | None = None
 
 
 @dataclass
 class MappingOptions:
-    symmetric_offset: int = 0
+    symmetric_offset: float = 0
     split_after_frames: int = 100
     limit_chunks: int | None = None
     angle_mode: AngleMode = AngleMode.ESTIMATED
-    blend_mode: BlendMode = BlendMode.SUM
+    smooth_mode: SmoothMode = SmoothMode.NONE
+    blend_mode: BlendMode | None = None  # by the preset's mode
+    saveimages: bool = False
+    folder: str = "Images"
+
+
+@dataclass
+class ParserChoice:
+    name: str = "BoxImageParser"
+    parameters: dict[str, Any] = field(default_factory=dict)
 
 
 @dataclass
@@ -61,6 +108,7 @@ class GraphOptions:
     area_size: tuple[float, float] = (20.0, 20.0)
     min_area_size: int | None = None
     ignore_classes: list[int] = field(default_factory=list)
+    parser: ParserChoice = field(default_factory=ParserChoice)
 
 
 @dataclass
@@ -72,6 +120,9 @@ class StackItem:
 
 @dataclass
 class LaneOptions:
+    input_path: str = ""
+    output_file: str = ""
+    annotated_map_path: str | None = None
     zone_number: int = 33
     zone_letter: str = "N"
     car_height: float = 0.0
@@ -88,34 +139,49 @@ class Preset:
     output_root: str = "/app/output"
     dataset: DatasetOptions = field(default_factory=DatasetOptions)
     bev: BevOptions = field(default_factory=BevOptions)
+    model: ModelOptions = field(default_factory=ModelOptions)
     mapping: MappingOptions = field(default_factory=MappingOptions)
     graph: GraphOptions = field(default_factory=GraphOptions)
     stack: list[StackItem] = field(default_factory=list)
     min_nodes: int = 2
     lanes: LaneOptions = field(default_factory=LaneOptions)
 
+    @property
+    def blend(self) -> str:
+        """Classes are enhanced where frames overlap, colours averaged, unless the preset says otherwise."""
+        return BLENDS[self.mapping.blend_mode or (BlendMode.ENHANCE_OVERLAP if self.mode == "class" else BlendMode.AVERAGE)]
 
-def _fields(kind: type, values: dict) -> dict:
-    return {k: v for k, v in values.items() if k in kind.__dataclass_fields__}
+
+def _fields(kind: type, values: dict | None) -> dict:
+    return {k: tuple(v) if isinstance(v, list) and k in ("view_size", "center_of_rotation", "area_size", "predict_size") else v for k, v in (values or {}).items() if k in kind.__dataclass_fields__ and v is not None}
 
 
 def parse(document: str | dict) -> Preset:
-    """A preset from JSON; enumerations are parsed (Q1), unknown modes and processors are errors."""
+    """A preset from JSON; unknown modes, options, cameras, parsers and processors are errors, unknown keys are left out."""
     d = json.loads(document) if isinstance(document, str) else document
     mode = d.get("mode", "class")
     if mode not in ("class", "RGB"):
         raise ValueError(f"no mode {mode}")
-    m = _fields(MappingOptions, d.get("pixel-mapping", {}).get("parameters", {}))
-    for key, kind in (("angle_mode", AngleMode), ("blend_mode", BlendMode)):
+    mapping = d.get("pixel-mapping", {})
+    m = _fields(MappingOptions, mapping.get("parameters")) | _fields(MappingOptions, mapping.get("visualization"))
+    for key, kind in (("angle_mode", AngleMode), ("smooth_mode", SmoothMode), ("blend_mode", BlendMode)):
         if key in m:
-            m[key] = kind(str(m[key]).lower())
+            m[key] = member(kind, m[key])
+    bev = _fields(BevOptions, d.get("bev"))
+    if "camera" in bev:
+        bev["camera"] = CameraOptions(**_fields(CameraOptions, bev["camera"]))
+        lookup("camera", bev["camera"].name)
+    g = _fields(GraphOptions, d.get("graph-mapping"))
+    if "parser" in g:
+        g["parser"] = ParserChoice(**_fields(ParserChoice, g["parser"]))
+        lookup("parser", g["parser"].name)
     post = d.get("postprocessing", {})
     stack = [StackItem(x["processor"], x.get("parameters", {}), x.get("enabled", True)) for x in post.get("stack", [])]
     for item in stack:
         lookup("processor", item.processor)
     return Preset(
-        mode, d.get("output_root", "/app/output"), DatasetOptions(**_fields(DatasetOptions, d.get("dataset", {}))), BevOptions(**_fields(BevOptions, d.get("bev", {}))),
-        MappingOptions(**m), GraphOptions(**_fields(GraphOptions, d.get("graph-mapping", {}))), stack, max(2, post.get("min_nodes", 2)), LaneOptions(**_fields(LaneOptions, d.get("lanelet2", {}))),
+        mode, d.get("output_root", "/app/output"), DatasetOptions(**_fields(DatasetOptions, d.get("dataset"))), BevOptions(**bev), ModelOptions(**_fields(ModelOptions, d.get("model"))),
+        MappingOptions(**m), GraphOptions(**g), stack, max(2, post.get("min_nodes", 2)), LaneOptions(**_fields(LaneOptions, d.get("lanelet2"))),
     )
 
 
@@ -123,17 +189,72 @@ def to_json(p: Preset) -> str:
     return json.dumps(asdict(p), default=lambda x: x.value)
 
 
-def build_raster(observations: DataFrame, frames: DataFrame, p: Preset) -> DataFrame:
-    """Stage 2's map: observations (frame, row, col in map pixels, cls, weight) blended chunk by chunk."""
-    numbered = frames.select("frame", poses.chunk_of(F.col("frame"), p.mapping.split_after_frames).alias("chunk"))
-    if p.mapping.limit_chunks is not None:
-        numbered = numbered.where(F.col("chunk") < p.mapping.limit_chunks)
-    return blend.nonzero(blend.blend(observations.join(numbered, "frame"), p.mapping.blend_mode.value, ["chunk"]))
+def camera_of(p: Preset) -> Pinhole:
+    """The preset's camera."""
+    return lookup("camera", p.bev.camera.name)(**p.bev.camera.parameters)
+
+
+def bird_view(p: Preset) -> BirdView:
+    """The preset's view of the ground."""
+    return BirdView(camera_of(p), p.bev.view_size, p.bev.resolution)
+
+
+def parser_options(p: Preset) -> boxparser.ParserOptions:
+    """The preset's parser."""
+    return lookup("parser", p.graph.parser.name)(**p.graph.parser.parameters)
+
+
+def build_raster(observations: DataFrame, frames: DataFrame, p: Preset, smooth: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Stage 2's map and its chunks: observations (frame, row, col, cls, weight) of bird's-eye views, placed by the poses ``frames``.
+
+    With a smooth mode, ``frames`` also has smooth_x, smooth_y and smooth_heading.
+    """
+    rows, cols = bird_view(p).size if p.bev.camera.parameters else (int(round(a / p.bev.resolution)) for a in (p.bev.view_size[1] - p.bev.view_size[0], p.bev.view_size[3] - p.bev.view_size[2]))
+    m = p.mapping
+    if m.smooth_mode in (SmoothMode.POSITION, SmoothMode.ALL):
+        frames = frames.drop("x", "y").withColumnsRenamed({"smooth_x": "x", "smooth_y": "y"})
+    mode = m.angle_mode.value
+    if m.smooth_mode in (SmoothMode.ANGLE, SmoothMode.ALL) and m.angle_mode is not AngleMode.ONLY_OFFSET:
+        frames, mode = frames.drop("heading").withColumnRenamed("smooth_heading", "heading"), AngleMode.GPS.value
+    return placement.build_map(observations, frames, (rows, cols), p.bev.resolution, p.bev.center_of_rotation or (cols // 2, rows // 2), mode, p.bev.offset_angle, m.symmetric_offset, m.split_after_frames, m.limit_chunks, p.blend)
+
+
+def regions(pixels: DataFrame, chunks: DataFrame, frames: DataFrame, p: Preset) -> DataFrame:
+    """Stage 3's labelled windows round every position, cleaned of small blobs chunk by chunk."""
+    if p.graph.min_area_size is not None:
+        best = blend.best_class(pixels, ["chunk"]).where("cls <> 0")
+        small = graphs.foreground_blobs(best, ["chunk"]).where(blend.F.col("area") <= p.graph.min_area_size)
+        pixels = pixels.join(small.select("chunk", "row", "col"), ["chunk", "row", "col"], "left_anti")
+    at = placement.frame_angles(frames, p.mapping.angle_mode.value, 0.0)
+    return placement.region_labels(placement.regions(pixels, chunks, at, p.graph.area_size, p.bev.resolution), p.graph.ignore_classes)
 
 
 def clean_graphs(nodes: DataFrame, edges: DataFrame, p: Preset) -> tuple[DataFrame, DataFrame]:
-    """Stage 3's stack in order, then the final filter."""
+    """Stage 3's stack in order, then the final filter.
+
+    Processors of single graphs that follow each other are one pass; those that
+    see all graphs work on tables between them.
+    """
     stack = [lookup("processor", x.processor)(**x.parameters) for x in p.stack if x.enabled]
-    rows = linegraph.renumber(linegraph.process(linegraph.to_rows(nodes, edges), *stack))
-    kept = graphs.drop_small_graphs(linegraph.nodes_of(rows), p.min_nodes)
-    return kept, linegraph.edges_of(rows).join(kept.select("graph").distinct(), "graph", "left_semi")
+    held: list = []
+
+    def flush(nodes: DataFrame, edges: DataFrame) -> tuple[DataFrame, DataFrame]:
+        rows = linegraph.renumber(linegraph.process(linegraph.to_rows(nodes, edges), *held))
+        held.clear()
+        return linegraph.nodes_of(rows).drop("part"), linegraph.edges_of(rows).drop("part")
+
+    for item in stack:
+        if isinstance(item, TableProcessor):
+            nodes, edges = item.run(*(flush(nodes, edges) if held else (nodes, edges)))
+        else:
+            held.append(item)
+    if held or not stack:
+        nodes, edges = flush(nodes, edges)
+    kept = graphs.drop_small_graphs(nodes, p.min_nodes)
+    return kept, edges.join(kept.select("graph").distinct(), "graph", "left_semi")
+
+
+def find_lanes(nodes: DataFrame, edges: DataFrame, p: Preset) -> lanes.Lanes:
+    """Stage 4's lanes of cleaned graphs by the preset's options."""
+    o = p.lanes
+    return lanes.find_lanes(nodes, edges, o.min_lane_size, o.max_lane_size, o.search_tolerance, list(o.ignore_classes), o.max_corner_angle)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import importlib.util
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 from pathlib import Path
 from typing import Any, Protocol
 
@@ -12,7 +13,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from roadweave.functions import camera
-from roadweave.operators import blend, linegraph
+from roadweave.operators import blend, boxparser, graphs, linegraph
+from roadweave.sources import survey
 
 KINDS = ("source", "camera", "predictor", "model", "parser", "processor", "merge")
 _NAMES: dict[str, dict[str, Any]] = {k: {} for k in KINDS}
@@ -111,11 +113,78 @@ def _fill(main: DataFrame, other: DataFrame) -> DataFrame:
     return main.unionByName(o)
 
 
+@dataclass(frozen=True)
+class TableProcessor:
+    """A processor that sees all graphs at once: tables of nodes and edges to such tables."""
+
+    run: Callable[[DataFrame, DataFrame], tuple[DataFrame, DataFrame]]
+
+
+def head_connect(max_dist: float, ignore_shapes: bool = True, ignore_classes: list[int] | None = None, tails_only: bool = False) -> TableProcessor:
+    """Ends of lines joined to other graphs in range (G8); ids are unique in the merged graphs."""
+
+    def run(nodes: DataFrame, edges: DataFrame) -> tuple[DataFrame, DataFrame]:
+        moved, links = linegraph.connect_heads(nodes, edges, max_dist, ignore_classes, tails_only, ignore_shapes)
+        key = lambda g, n: F.xxhash64(g, n)
+        rest = nodes.drop("x", "y", "cls", "type").withColumnRenamed("graph", "old_graph")
+        out = moved.join(rest, ["old_graph", "node"]).withColumn("node", key("old_graph", "node"))
+        ends = links.select(key("src_graph", "src").alias("src"), key("dst_graph", "dst").alias("dst"))
+        made = ends.join(out.select("graph", F.col("node").alias("src")), "src").select("graph", "src", "dst")
+        return out.drop("old_graph"), made
+
+    return TableProcessor(run)
+
+
+def to_utm(ref_lat: float, ref_lon: float, ref_h: float = 0.0) -> TableProcessor:
+    """Nodes in local metres as UTM metres."""
+    return TableProcessor(lambda nodes, edges: (graphs.to_utm(nodes, ref_lat, ref_lon, ref_h), edges))
+
+
+def auto_circle(treshold: float | None = None, **parameters: Any) -> linegraph.Processor:
+    """Rings of circles (G5); presets spell the limit ``treshold``."""
+    return linegraph.auto_circle(**parameters, **({} if treshold is None else {"threshold": treshold}))
+
+
+def box_parser(window_height: int, overlap_pixels: int, resolution: float, max_horizontal_box_size: int | None = None, old_candidate_distance: float | None = None, min_box_area: int = 1, node_conn_mode: str = "multiple", debug: bool = False) -> boxparser.ParserOptions:
+    """The parser's options as presets name them; the first overlapping candidate only, or all of them (Q1)."""
+    if str(node_conn_mode).lower() not in ("single", "multiple"):
+        raise ValueError(f"no connection mode {node_conn_mode}")
+    return boxparser.ParserOptions(window_height, overlap_pixels, resolution, max_horizontal_box_size, old_candidate_distance, min_box_area, str(node_conn_mode).lower() == "single")
+
+
+# Names that presets use.
+_PRESET_NAMES = {
+    "processor": {
+        "AutoCircleProcessor": auto_circle,
+        "BiforcationRemoverProcessor": linegraph.fork_remove,
+        "BoxReplaceProcessor": linegraph.box_replace,
+        "CycleFlattenProcessor": linegraph.cycle_flatten,
+        "DeadEndRemoverProcessor": linegraph.dead_end_remove,
+        "DropTooShortProcessor": linegraph.drop_short,
+        "EnuToUtmProcessor": to_utm,
+        "FallbackClassProcessor": linegraph.fallback_class,
+        "FitReplaceProcessor": linegraph.fit_replace,
+        "HeadConnectorProcessor": head_connect,
+        "LineSmoothProcessor": linegraph.line_smooth,
+    },
+    "camera": {"Camera": camera.pinhole_of, "LadybugCamera": camera.head_of},
+    "parser": {"BoxImageParser": box_parser},
+    "predictor": {"RGBPredictor": ColourPredictor, "ModelPredictor": ModelPredictor},
+}
+for _kind, _items in _PRESET_NAMES.items():
+    for _name, _item in _items.items():
+        register(_kind, _name, _item)
 for _name in ("box_replace", "fit_replace", "cycle_flatten", "auto_circle", "line_smooth", "fork_remove", "dead_end_remove", "drop_short", "fallback_class"):
     register("processor", _name, getattr(linegraph, _name))
+register("processor", "head_connect", head_connect)
+register("processor", "to_utm", to_utm)
 register("camera", "pinhole", camera.Pinhole)
 register("camera", "panoramic_head", camera.PanoramicHead)
+register("parser", "boxes", boxparser.ParserOptions)
 register("predictor", "model", ModelPredictor)
 register("predictor", "colour", ColourPredictor)
 register("merge", "fill", _fill)
 register("merge", "stack", blend.stack_halves)
+register("source", "data_set", survey.data_set)
+register("source", "survey_set", survey.survey_set)
+register("source", "multi_camera", survey.multi_camera)

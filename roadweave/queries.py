@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from roadweave.functions import camera, geo
 from roadweave.functions import geometry as g
-from roadweave.operators import blend, boxparser, graphs, grid, lanes, linegraph, poses
+from roadweave.operators import blend, boxparser, graphs, grid, lanes, linegraph, placement, poses
 from roadweave.operators.components import connected_components
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -266,20 +266,20 @@ def mask_multiply(spark: SparkSession, sf_dir: str) -> DataFrame:
     return blend.mask(blend_sum(spark, sf_dir), cells.withColumn("alpha", ((F.col("row") + F.col("col")) % 3) / 2.0)).select("row", "col", "cls", "weight")
 
 
-@query(f"""with {SQL_PIXELS}, a as (select row, col, cls, sum(weight) as weight from px where frame % 3 = 0 group by 1, 2, 3), b as (select row, col, cls, sum(weight) as weight from px where frame % 3 = 1 group by 1, 2, 3)
+@query(f"""with {SQL_PIXELS}, a as (select row, col, cls, sum(weight) as weight from px where frame % 2 = 0 group by 1, 2, 3), b as (select row, col, cls, sum(weight) as weight from px where frame % 2 = 1 group by 1, 2, 3)
 select coalesce(a.row, b.row) as row, coalesce(a.col, b.col) as col, coalesce(a.cls, b.cls) as cls, coalesce(nullif(a.weight, 0), b.weight, 0) as weight
 from a full join b on a.row = b.row and a.col = b.col and a.cls = b.cls""")
 def merge_rasters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """U4: a second raster where the first is empty."""
-    part = lambda k: blend.blend(seen_pixels(spark, sf_dir).where(F.col("frame") % 3 == k), "sum")
+    """U4: a second raster, of odd frames, where the first, of even ones, is empty."""
+    part = lambda k: blend.blend(seen_pixels(spark, sf_dir).where(F.col("frame") % 2 == k), "sum")
     return blend.fill_empty(part(0), part(1))
 
 
-@query(f"""with {SQL_PIXELS}, {SQL_SUMS} select row, col, cls, weight from sums where cls = 1 union all select 99 - row, 49 - col, cls, weight from sums where cls = 2""")
+@query(f"""with {SQL_PIXELS}, {SQL_SUMS} select row, col, cls, weight from sums where cls <= 3 union all select 99 - row, 49 - col, cls, weight from sums where cls > 3""")
 def stack_rasters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One view above another turned by half a turn."""
     s = blend_sum(spark, sf_dir)
-    return blend.stack_halves(s.where("cls = 1"), s.where("cls = 2"), 50, 50)
+    return blend.stack_halves(s.where("cls <= 3"), s.where("cls > 3"), 50, 50)
 
 
 @query(f"with {SQL_PIXELS}, {SQL_SUMS} select floor(row * 0.3)::int as row, floor(col * 0.3)::int as col, cls, sum(weight) as weight from sums group by 1, 2, 3")
@@ -289,7 +289,7 @@ def coarse_raster(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""with {SQL_PIXELS}, {SQL_SUMS}, r as (select *, row_number() over (partition by row, col order by weight desc, cls) as k from sums),
-p(cls, r, g, b) as (values {", ".join(f"({i}, {a}, {b}, {c})" for i, (a, b, c) in enumerate(blend.PALETTE))})
+p(cls, r, g, b) as (values (0, 0, 0, 0), (1, 255, 153, 51), (2, 255, 51, 255), (3, 0, 255, 0), (4, 255, 0, 0), (5, 190, 189, 127), (6, 116, 18, 29), (7, 149, 95, 32), (8, 184, 183, 153), (9, 0, 0, 255))
 select row, col, cls, coalesce(p.r, 0) as r, coalesce(p.g, 0) as g, coalesce(p.b, 0) as b from r left join p using (cls) where k = 1""")
 def colour_raster(spark: SparkSession, sf_dir: str) -> DataFrame:
     """R12."""
@@ -343,9 +343,12 @@ def merge_line_area(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", blend.merge_heads(F.col("l_linenumber") % 3, F.col("l_suppkey") % 2, 11).alias("cls"))
 
 
-@query()
+@query(f"""with recursive {SQL_PIXELS}, {SQL_SUMS}, k as (select row, col, cls, row_number() over (partition by row, col order by weight desc, cls) as k from sums), p as (select row, col, case when cls >= 2 then cls else 0 end as cls from k where k = 1),
+f as (select row * 50 + col as id, row, col from p where cls <> 0), e as (select a.id as a, b.id as b from f a join f b on a.id <> b.id and abs(a.row - b.row) <= 1 and abs(a.col - b.col) <= 1),
+w(id, root) as (select id, id from f union select e.b, w.root from w join e on e.a = w.id where w.root < e.b), r as (select id, min(root) as blob from w group by 1), n as (select blob, count(*) as n from r group by 1)
+select row, col, case when cls <> 0 and n <= 3 then 0 else cls end as cls from p left join r on r.id = row * 50 + col left join n using (blob)""")
 def junk_removal(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Small foreground blobs become background (iterative: held against flood fill in tests)."""
+    """Small foreground blobs become background."""
     labels = pixel_argmax(spark, sf_dir).withColumn("cls", F.when(F.col("cls") >= 2, F.col("cls")).otherwise(0))
     return graphs.clean_junk(labels, 3)
 
@@ -586,8 +589,9 @@ def surviving_lanes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lanes.both_sides(pairs, table(spark, sf_dir, "orders").where("o_orderstatus = 'F'").select(F.col("o_orderkey").alias("ls")))
 
 
-@query(f"""with m(cls, type, subtype) as (values {", ".join(f"({k}, '{a}', '{b}')" for k, (a, b) in lanes.LINE_TYPES.items())})
-select l_orderkey, l_linenumber, coalesce(type, '{lanes.DEFAULT_TYPE[0]}') as type, coalesce(subtype, '{lanes.DEFAULT_TYPE[1]}') as subtype from lineitem left join m on cls = (l_partkey % 15)::int""")
+@query("""select l_orderkey, l_linenumber,
+  case l_partkey % 15 when 1 then 'line_thin' when 2 then 'line_thin' when 3 then 'line_thin' when 4 then 'line_thin' when 9 then 'pedestrian_marking' when 13 then 'traffic_sign' when 14 then 'stop_line' end as type,
+  case l_partkey % 15 when 1 then 'solid_solid' when 2 then 'solid_dashed' when 3 then 'solid' when 4 then 'dashed' when 9 then '' when 13 then 'de205' when 14 then '' end as subtype from lineitem""")
 def line_types(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Type and subtype of a class."""
     return lanes.typed(table(spark, sf_dir, "lineitem").withColumn("cls", (F.col("l_partkey") % 15).cast("int"))).select("l_orderkey", "l_linenumber", "type", "subtype")
@@ -709,7 +713,7 @@ def linestring_cuts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.groupBy("graph").agg(F.count("*").alias("lines"))
 
 
-@query(f"with {SQL_LINES} select l_orderkey as ls, count(*) as n, arg_min(l_partkey, k) as first, arg_max(l_partkey, k) as last, round(avg(l_quantity), 6) + 0.0 as cx, round(avg(l_discount), 6) + 0.0 as cy from li group by 1")
+@query(f"with {SQL_LINES} select l_orderkey as ls, count(*) as n, arg_min(l_partkey, k) as first, arg_max(l_partkey, k) as last, round((arg_min(l_quantity, k) + arg_max(l_quantity, k)) / 2, 6) + 0.0 as cx, round((arg_min(l_discount, k) + arg_max(l_discount, k)) / 2, 6) + 0.0 as cy from li group by 1")
 def line_ends(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ends and centre of linestrings."""
     rows = numbered_lines(spark, sf_dir).select(F.col("l_orderkey").alias("ls"), "k", F.col("l_partkey").alias("node"), F.col("l_quantity").alias("x"), F.col("l_discount").alias("y"))
@@ -745,12 +749,11 @@ def lane_sides(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lanes.orient(pairs, lines)
 
 
-@query("""with l as (select distinct l_orderkey as ls, unnest([l_suppkey, l_partkey % 100]) as node from lineitem where l_linenumber = 1)
+@query("""with l as (select distinct l_orderkey as ls, unnest([l_suppkey, l_partkey + 1000000]) as node from lineitem)
 select node, array_to_string(list_sort(list(distinct ls)), ',') as linestrings, array_to_string(list_sort(list(distinct ls // 2)), ',') as lanelets from l group by 1""")
 def node_annotations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Linestrings and lanes of every node; orders 2k and 2k+1 are the sides of lane k."""
-    li = table(spark, sf_dir, "lineitem").where("l_linenumber = 1")
-    ends = li.select(F.col("l_orderkey").alias("ls"), F.explode(F.array(F.col("l_suppkey"), F.col("l_partkey") % 100)).alias("node"))
+    ends = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("ls"), F.explode(F.array(F.col("l_suppkey"), F.col("l_partkey") + 1000000)).alias("node"))
     lines = ends.groupBy("ls").agg(F.lit(0).alias("graph"), F.collect_set("node").alias("nodes"))
     lane = F.floor(F.col("ls") / 2)
     sides = lines.select(lane.alias("lane"), (lane * 2).alias("right_ls"), (lane * 2 + 1).alias("left_ls")).distinct()
@@ -781,9 +784,14 @@ def graph_cleanup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lg.nodes_of(lg.renumber(rows)).drop("part")
 
 
-@query()
+@query(f"""with recursive {SQL_POINTS}, n as (select label as graph, vec_id as node, x, y, count(*) over (partition by label) as size, row_number() over (partition by label order by vec_id) as k from pts),
+h as (select * from n where size > 1 and (k = 1 or k = size)),
+c as (select a.graph, a.node, b.graph as g, row_number() over (partition by a.graph, a.node order by b.graph, b.node) as r from h a join n b on a.graph <> b.graph and sqrt((a.x-b.x)*(a.x-b.x)+(a.y-b.y)*(a.y-b.y)) <= 0.02),
+e as (select graph as a, g as b from c where r = 1 union select g, graph from c where r = 1),
+w(graph, root) as (select distinct graph, graph from n union select e.b, w.root from w join e on e.a = w.graph where w.root < e.b), m as (select graph, min(root) as merged from w group by 1)
+select graph as old_graph, node, merged as graph from n join m using (graph)""")
 def head_connection(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ends of lines joined until none is in range (iterative: fixtures in tests)."""
+    """Ends of lines joined until none is in range."""
     p = points(spark, sf_dir).select(F.col("label").alias("graph"), F.col("vec_id").alias("node"), "x", "y", F.lit(1).alias("cls"))
     w = Window.partitionBy("graph").orderBy("node")
     edges = p.withColumn("dst", F.lead("node").over(w)).where("dst is not null").select("graph", F.col("node").alias("src"), "dst")
@@ -801,9 +809,12 @@ def split_propagation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return seen
 
 
-@query()
+@query(f"""with recursive {SQL_POINTS}, {SQL_NEAR}, w(node, hop) as (select vec_id, 0 from pts where label % 2 = 0 union select ne.b, w.hop + 1 from w join ne on ne.a = w.node join pts on vec_id = ne.b where label % 2 <> 0 and w.hop < 60),
+h as (select node, min(hop) as hop from w group by 1), p as (select h.node, h.hop, min(q.node) as parent from h join ne on ne.a = h.node join h q on q.node = ne.b and q.hop = h.hop - 1 where h.hop > 0 group by 1, 2),
+v(node, hop, z) as (select vec_id, 0, z from pts where label % 2 = 0 union all select p.node, p.hop, v.z from v join p on p.parent = v.node and p.hop = v.hop + 1)
+select vec_id as node, round(v.z, 6) + 0.0 as ele from pts left join v on v.node = vec_id""")
 def elevation_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Elevations spread to a fixed point (iterative: fixtures in tests)."""
+    """Elevations spread to a fixed point; the SQL ends at 60 rounds, more than the test tables need."""
     p = points(spark, sf_dir).select(F.col("vec_id").alias("node"), "x", "y", F.when(F.col("label") % 2 == 0, F.col("z")).alias("ele"))
     return lanes.fill_elevation(p, 0.03).select("node", r6(F.col("ele")).alias("ele"))
 
@@ -811,8 +822,152 @@ def elevation_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def region_graphs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Boxes of a class raster folded into line graphs (sequential in a drive: fixtures in tests)."""
-    best = pixel_argmax(spark, sf_dir)
-    second = pixel_second_best(spark, sf_dir).withColumnRenamed("cls", "second")
-    region = best.join(second, ["row", "col"]).select(F.lit(0).cast("long").alias("drive"), F.lit(0).cast("long").alias("frame"), "row", "col", F.col("cls").alias("best"), "second", F.lit(0.0).alias("tl_x"), F.lit(0.0).alias("tl_y"))
+    seen = seen_pixels(spark, sf_dir).select((F.col("frame") % 3).alias("drive"), (F.floor(F.col("frame") / 3) % 4).alias("at"), F.col("frame"), "row", "col", "cls", "weight")
+    sums = seen.groupBy("drive", F.col("at").alias("frame"), "row", "col", "cls").agg(F.sum("weight").alias("weight"))
+    by = ["drive", "frame"]
+    region = blend.best_class(sums, by).withColumnRenamed("cls", "best").join(blend.second_best_class(sums, by).withColumnRenamed("cls", "second"), [*by, "row", "col"])
     o = boxparser.ParserOptions(window=16, overlap=8)
+    region = region.select("drive", "frame", "row", "col", "best", "second", F.lit(0.0).alias("tl_x"), (F.col("frame") * 0.4).alias("tl_y"))
     return boxparser.fold_drives(boxparser.find_boxes(region, o), o)
+
+
+# Frames on the map
+
+
+MAP = {"resolution": 0.25, "shape": (50, 50), "centre": (24.3, 25.4), "offset": 1.0}
+
+
+def survey_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as frames with a pose."""
+    k = F.col("o_orderkey")
+    return table(spark, sf_dir, "orders").select(k.alias("frame"), (F.col("o_custkey") % 97 * 0.31 + 0.013).alias("x"), (k % 89 * 0.29 + 0.007).alias("y"), F.radians(k * 7 % 360 + 3.3).alias("heading"))
+
+
+SQL_FRAMES = "fr as (select o_orderkey as frame, (o_custkey % 97) * 0.31::double + 0.013::double as x, (o_orderkey % 89) * 0.29::double + 0.007::double as y, radians((o_orderkey * 7 % 360) + 3.3::double) as heading from orders)"
+
+
+def sql_placed(chunk: str) -> str:
+    """The map by ``chunk``: every pixel near where a frame's pixel falls that reads this one."""
+    return f"""fc as (select *, {chunk} as chunk, heading + radians(-90.0::double) as angle from fr),
+an as (select chunk, min(x) - 7 as tl_x, max(y) + 7 as tl_y, max(x) + 7 as br_x, min(y) - 7 as br_y, trunc((max(y) + 7 - (min(y) - 7)) / 0.25)::int as h_px, trunc((max(x) + 7 - (min(x) - 7)) / 0.25)::int as w_px from fc group by 1),
+pl as (select chunk, px.row as v, px.col as u, cls, weight, cos(angle) as c, sin(angle) as s, (x - tl_x) / 0.25 as dx, (tl_y - y) / 0.25 as dy, h_px, w_px from px join fc using (frame) join an using (chunk)),
+cd as (select *, floor(c * (u - 24.3) + s * (v - 25.4) + dx)::int + a - 1 as i, floor(c * (v - 25.4) - s * (u - 24.3) + dy)::int + b - 1 as j from pl, (select range as a from range(4)), (select range as b from range(4))),
+mp as (select chunk, j::int as row, i::int as col, cls, sum(weight) as weight from cd where floor(c * (i - dx) - s * (j - dy) + 24.3::double + 0.5) = u and floor(s * (i - dx) + c * (j - dy) + 25.4::double + 0.5) = v and i >= 0 and i < w_px and j >= 0 and j < h_px group by 1, 2, 3, 4)"""
+
+
+def placed_frames(spark: SparkSession, sf_dir: str, chunk: Column) -> tuple[DataFrame, DataFrame]:
+    frames = placement.frame_angles(survey_frames(spark, sf_dir), "gps", -90.0).withColumn("chunk", chunk)
+    chunks = placement.anchors(frames, ["chunk"], *MAP["shape"], MAP["resolution"], MAP["offset"])
+    at = frames.select("frame", "chunk", "x", "y", "angle").join(chunks.drop("br_x", "br_y"), "chunk")
+    return blend.blend(placement.on_map(seen_pixels(spark, sf_dir), at, MAP["resolution"], MAP["centre"]), "sum", ["chunk"]), chunks
+
+
+@query(f"with {SQL_PIXELS}, {SQL_FRAMES}, {sql_placed('frame // 400')} select * from mp")
+def frames_on_map(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Frames turned by their heading, moved to their position, blended by chunk."""
+    return placed_frames(spark, sf_dir, F.floor(F.col("frame") / 400))[0]
+
+
+@query(f"""with {SQL_PIXELS}, {SQL_FRAMES}, {sql_placed('frame % 2')}, cu as (select c_custkey as frame, (c_custkey % 83) * 0.37::double + 0.003::double as x, (c_custkey % 71) * 0.33::double + 0.011::double as y from customer),
+hi as (select cu.*, an.*, min(tl_x) over w as lef, max(br_x) over w as rig, min(br_y) over w as low, max(tl_y) over w as hig from cu join an on x between tl_x and br_x and y between br_y and tl_y window w as (partition by frame)),
+wi as (select *, greatest(lef, least(x - 2.0, rig - 4.0)) as wx, least(hig, greatest(y + 2.0, low + 4.0)) as wy from hi),
+cu2 as (select frame, chunk, wx, wy, trunc((hig - wy) / 0.25 + 1e-9)::int - trunc((hig - tl_y) / 0.25 + 1e-9)::int as r0, trunc((wx - lef) / 0.25 + 1e-9)::int - trunc((tl_x - lef) / 0.25 + 1e-9)::int as c0 from wi),
+rg as (select frame, mp.row - r0 as row, mp.col - c0 as col, cls, wx, wy, sum(weight) as weight from cu2 join mp on mp.chunk = cu2.chunk and mp.row between r0 and r0 + 15 and mp.col between c0 and c0 + 15 group by 1, 2, 3, 4, 5, 6),
+bs as (select frame, row, col, wx, wy, arg_max(cls, (weight * case when cls = 7 then 0.2::double else 1.0::double end) * 1000 - cls) as cls from rg group by 1, 2, 3, 4, 5)
+select frame, count(*) as pixels, sum(case when cls in (2, 5) then 0 else cls end)::bigint as classes, sum(row * 31 + col)::bigint as places, round(min(wx), 6) + 0.0 as tl_x, round(min(wy), 6) + 0.0 as tl_y from bs group by 1""")
+def region_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labelled windows of the map round positions, over the chunks that hold them."""
+    pixels, chunks = placed_frames(spark, sf_dir, F.col("frame") % 2)
+    k = F.col("c_custkey")
+    at = table(spark, sf_dir, "customer").select(k.alias("frame"), (k % 83 * 0.37 + 0.003).alias("x"), (k % 71 * 0.33 + 0.011).alias("y"), F.lit(0.0).alias("angle"))
+    x = placement.region_labels(placement.regions(pixels, chunks, at, (4.0, 4.0), MAP["resolution"]), [2, 5], drivable=7)
+    return x.groupBy("frame").agg(F.count("*").alias("pixels"), F.sum("cls").cast("long").alias("classes"), F.sum(F.col("row") * 31 + F.col("col")).cast("long").alias("places"), r6(F.min("tl_x")).alias("tl_x"), r6(F.min("tl_y")).alias("tl_y"))
+
+
+@query(f"with {SQL_PIXELS} select frame // 4 as frame, row, col, cls, max(weight) as weight from px group by 1, 2, 3, 4")
+def camera_union(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Classes that any of a frame's cameras sees; four frames stand for cameras."""
+    return placement.combine_cameras(seen_pixels(spark, sf_dir).withColumn("frame", F.floor(F.col("frame") / 4)))
+
+
+@query(f"""with {SQL_PIXELS}, {SQL_FRAMES}, m as (select px.*, floor(cos(heading) * (col - 25) - sin(heading) * (row - 25) + 25.5) as mc, floor(sin(heading) * (col - 25) + cos(heading) * (row - 25) + 25.5) as mr from px join fr using (frame))
+select frame, row, col, cls from m where mc between 0 and 49 and mr between 0 and 49 and not (mr between 10 and 39 and mc between 18 and 31)""")
+def vehicle_mask(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The vehicle's own shape, turned by each frame's heading, hides what is under it."""
+    frames = survey_frames(spark, sf_dir).withColumn("angle", F.col("heading"))
+    return placement.mask_vehicle(seen_pixels(spark, sf_dir), frames, (50, 50), [(10, 40, 18, 32)]).select("frame", "row", "col", "cls")
+
+
+@query(f"""with recursive {SQL_PIXELS}, q as (select distinct frame % 20 as frame, row, col, cls from px), f as (select distinct frame, row, col, frame * 2500 + row * 50 + col as id from q where cls not in (7)),
+e as (select a.id as a, b.id as b from f a join f b on a.frame = b.frame and a.id <> b.id and abs(a.row - b.row) <= 1 and abs(a.col - b.col) <= 1),
+w(id, root) as (select id, id from f union select e.b, w.root from w join e on e.a = w.id where w.root < e.b), r as (select id, min(root) as blob from w group by 1), n as (select blob, count(*) as n from r group by 1),
+k as (select id from r join n using (blob) where n >= 4)
+select frame, row, col, cls from q where cls = 7 or frame * 2500 + row * 50 + col in (select id from k)""")
+def frame_cleanup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Blobs of fewer than four pixels go from each frame, the drivable class stays."""
+    px = seen_pixels(spark, sf_dir).select((F.col("frame") % 20).alias("frame"), "row", "col", "cls").distinct()
+    return placement.clean_frames(px, 4, 7)
+
+
+@query(f"""with {SQL_TRAJECTORY}, e as (select user_id, min(x) as a, min(y) as b, max(x) as c, max(y) as d from traj group by 1)
+select user_id, a as left_x, d as top_y, c as right_x, b as bottom_y, trunc((d - b) / 0.5)::int as h_px, trunc((c - a) / 0.5)::int as w_px, 0.5::double as resolution from e""")
+def extents_document(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F16: extents as a JSON document, and read from it again."""
+    e = poses.extents(trajectory(spark, sf_dir), ["user_id"])
+    doc = e.select("user_id", poses.extents_json(0.5, F.col("min_x"), F.col("max_y"), F.col("max_x"), F.col("min_y")).alias("doc"))
+    back = doc.select("user_id", poses.extents_from_json(F.col("doc")).alias("e"))
+    return back.select("user_id", F.col("e.tl_x").alias("left_x"), F.col("e.tl_y").alias("top_y"), F.col("e.br_x").alias("right_x"), F.col("e.br_y").alias("bottom_y"), "e.h_px", "e.w_px", "e.resolution")
+
+
+@query("""with l as (select l_orderkey as ls, l_orderkey % 7 as graph, min(l_partkey) as first, max(l_partkey) as last, avg(l_quantity) as cx, avg(l_tax) as cy from lineitem group by 1, 2),
+d as (select distinct l_suppkey % 7 as graph, l_partkey as node, (l_suppkey * 3 + 1) % 7 as other_graph, l_partkey + 1 as other_node from lineitem), r as (select * from d union select other_graph, other_node, graph, node from d),
+b as (select distinct l.ls, a.other_graph as g, a.other_node as f, z.other_node as t from l join r a on a.graph = l.graph and a.node = l.first join r z on z.graph = l.graph and z.node = l.last and z.other_graph = a.other_graph),
+p as (select distinct least(b.ls, m.ls) as right_ls, greatest(b.ls, m.ls) as left_ls from b join l m on m.graph = b.g and m.ls <> b.ls and ((m.first = b.f and m.last = b.t) or (m.first = b.t and m.last = b.f)))
+select right_ls, left_ls from p join l a on a.ls = right_ls join l b on b.ls = left_ls where sqrt((a.cx-b.cx)*(a.cx-b.cx)+(a.cy-b.cy)*(a.cy-b.cy)) >= 2""")
+def lanes_by_relations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines whose ends are split-related to the ends of another line."""
+    li = table(spark, sf_dir, "lineitem")
+    lines = li.groupBy(F.col("l_orderkey").alias("ls"), (F.col("l_orderkey") % 7).alias("graph")).agg(F.min("l_partkey").alias("first"), F.max("l_partkey").alias("last"), F.avg("l_quantity").alias("cx"), F.avg("l_tax").alias("cy"))
+    rel = li.select((F.col("l_suppkey") % 7).alias("graph"), F.col("l_partkey").alias("node"), ((F.col("l_suppkey") * 3 + 1) % 7).alias("other_graph"), (F.col("l_partkey") + 1).alias("other_node"))
+    return lanes.pair_by_relations(lines, lanes.symmetric(rel), 2.0)
+
+
+@query(f"""with {SQL_BOXES}, a as (select *, (max_x-min_x)*(max_y-min_y) as area from bx)
+select id from a where not exists (select 1 from a b where a.area > b.area and
+greatest(0, least(a.max_x, b.max_x) - greatest(a.min_x, b.min_x)) * greatest(0, least(a.max_y, b.max_y) - greatest(a.min_y, b.min_y)) > 0.3 * b.area + 1e-9)""")
+def lane_overlap_prune(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lanes as polygons between two lines; of two that overlap the larger goes, of equal ones none."""
+    b = part_boxes(spark, sf_dir)
+    at = lambda x, y: F.struct(F.col(x).alias("x"), F.col(y).alias("y"))
+    side = lambda k, y: b.select((F.col("id") * 2 + k).alias("ls"), F.array(at("min_x", y), at("max_x", y)).alias("xy"))
+    lines = side(0, "min_y").unionByName(side(1, "max_y"))
+    kept = lanes.prune_lanes(b.select((F.col("id") * 2).alias("right_ls"), (F.col("id") * 2 + 1).alias("left_ls")), lines, 0.3 + 1e-9, 40.0)
+    return kept.select((F.col("right_ls") / 2).cast("long").alias("id"))
+
+
+@query()
+def lane_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as lines side by side, searched for lanes, as elements of the map (iterative: fixtures in tests)."""
+    li = numbered_lines(spark, sf_dir)
+    nodes = li.select(F.col("l_orderkey").alias("graph"), F.col("k").cast("long").alias("node"), (F.col("k") * 3.0 + F.col("l_discount")).alias("x"), (F.col("l_orderkey") * 3.5 + F.col("l_tax")).alias("y"), F.lit(3).alias("cls"))
+    w = Window.partitionBy("graph").orderBy("node")
+    edges = nodes.withColumn("dst", F.lead("node").over(w)).where("dst is not null").select("graph", F.col("node").alias("src"), "dst")
+    found = lanes.find_lanes(nodes, edges, 1.5, 5.0, 0.5)
+    _, _, lanelets = lanes.map_elements(found, nodes, (0.0, 0.0, 0.0))
+    return lanelets
+
+
+@query(f"""with {SQL_BOXES}, c as (select id, case when id % 3 = 0 then 9 when id % 3 = 1 then 14 else 3 end as cls from bx)
+select id as graph, cls, case cls when 9 then 2 when 14 then 1 end::bigint as ways, case cls when 9 then 4 when 14 then 2 end::bigint as points, case cls when 9 then 1 else 0 end::bigint as lanelets from c where cls <> 3""")
+def shape_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Crosswalks as two lines and a walkway, stop lines as one line."""
+    b = part_boxes(spark, sf_dir)
+    at = lambda x, y: F.struct(F.col(x).alias("x"), F.col(y).alias("y"))
+    corners = F.array(at("min_x", "min_y"), at("max_x", "min_y"), at("max_x", "max_y"), at("min_x", "max_y"))
+    cls = F.when(F.col("id") % 3 == 0, 9).when(F.col("id") % 3 == 1, 14).otherwise(3)
+    shapes = b.select(F.col("id").alias("graph"), cls.alias("cls"), corners.alias("corners"))
+    _, ways, lets = lanes.shape_elements(shapes, (0.0, 0.0, 0.0))
+    key = lambda k: F.shiftrightunsigned(F.xxhash64(F.lit("shape"), F.col("graph"), F.lit(k)), 1)
+    named = shapes.select("graph", "cls", F.explode(F.array(key(0), key(1))).alias("id")).join(ways, "id")
+    left = lets.select(F.col("left_way").alias("id"), F.lit(1).alias("one"))
+    return named.join(left, "id", "left").groupBy("graph", "cls").agg(F.count("*").alias("ways"), F.sum(F.size("nodes")).cast("long").alias("points"), F.count("one").alias("lanelets"))

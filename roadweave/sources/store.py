@@ -86,7 +86,7 @@ def osm_elements(points: DataFrame, ways: DataFrame, lanelets: DataFrame) -> Dat
     lanelets (id, left_way, right_way, subtype).
     """
     text = lambda c: F.concat(F.lit('"'), F.regexp_replace(F.regexp_replace(F.regexp_replace(c.cast("string"), "&", "&amp;"), "<", "&lt;"), '"', "&quot;"), F.lit('"'))
-    tag = lambda k, c: F.concat(F.lit(f'<tag k="{k}" v='), text(c), F.lit("/>"))
+    tag = lambda k, c: F.coalesce(F.concat(F.lit(f'<tag k="{k}" v='), text(c), F.lit("/>")), F.lit(""))  # noqa: E731 (a null has no tag)
     node = F.concat(F.lit("<node id="), text(F.col("id")), F.lit(' visible="true" version="1" lat='), text(F.col("lat")), F.lit(" lon="), text(F.col("lon")), F.lit(">"), tag("ele", F.col("ele")), F.lit("</node>"))
     refs = F.array_join(F.transform("nodes", lambda n: F.concat(F.lit('<nd ref="'), n.cast("string"), F.lit('"/>'))), "")
     way = F.concat(F.lit("<way id="), text(F.col("id")), F.lit(' visible="true" version="1">'), refs, tag("type", F.col("type")), tag("subtype", F.col("subtype")), F.lit("</way>"))

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from roadweave.functions import camera, geo, shapes
 from roadweave.functions import geometry as g
-from roadweave.operators import blend, graphs, grid, lanes, linegraph, poses
+from roadweave.operators import blend, graphs, grid, lanes, linegraph, placement, poses
 from roadweave.operators.components import connected_components
 
 LOG = "sequence long, x double, heading double"
@@ -326,8 +326,81 @@ def test_lanes_pair_orient_and_repair(spark):
     assert sorted(map(tuple, pairs.collect())) == [(1, 2), (2, 3)]
     assert (3, 2) in {tuple(r) for r in lanes.orient(pairs, lines).collect()}
     assert lanes.distinct_lanes(spark.createDataFrame([(1, 2), (2, 1)], "right_ls long, left_ls long")).count() == 1
-    parts = spark.createDataFrame([(1, 0, 1, 30, 0, 30, 1.0, 0.0), (7, 0, 1, 4, 30, 34, 1.0, 0.01), (8, 0, 1, 4, 30, 35, 0.0, 1.0)], "ls long, graph long, cls int, n int, start_node long, end_node long, dx double, dy double")
-    assert [tuple(r) for r in lanes.repair_holes(parts, spark.createDataFrame([(1, 1)], "right_ls long, left_ls long")).collect()] == [(1, 7)]
+
+
+def test_holes_are_merged_head_to_tail_only(spark):
+    line = lambda ls, nodes, y=0.0, graph=0, cls=1, turn=1: (ls, graph, cls, nodes, [(float(n), y) for n in nodes][::turn])
+    rows = [
+        line(1, list(range(10, 30))), line(2, [29, 30, 31]), line(3, [31, 32]), line(4, [8, 9, 10]),  # after, after that, and before
+        line(5, [40, 29]), line(6, [29, 41], cls=2), line(7, [29, 42], graph=1), line(8, list(range(29, 39))),  # the other way, class, graph, too long
+    ]
+    df = spark.createDataFrame(rows, "ls long, graph long, cls int, nodes array<long>, xy array<struct<x:double,y:double>>")
+    got = {r["ls"]: r["nodes"] for r in lanes.repair_holes(df, spark.createDataFrame([(1, 1)], "right_ls long, left_ls long")).collect()}
+    assert got[1] == list(range(8, 33)) and set(got) == {1, 5, 6, 7, 8}
+    bent = [line(1, [0, 1, 2]), (2, 0, 1, [2, 3], [(2.0, 0.0), (3.0, 0.2)])]
+    df = spark.createDataFrame(bent, df.schema)
+    assert lanes.repair_holes(df, spark.createDataFrame([(1, 1)], "right_ls long, left_ls long")).count() == 2
+
+
+def test_common_area_of_any_rings():
+    rng = np.random.default_rng(2)
+    for _ in range(30):
+        a, b = (np.column_stack([np.cos(t), np.sin(t)]) * rng.uniform(0.3, 2, (9, 1)) + rng.normal(0, 0.4, 2) for t in [np.linspace(0, 2 * np.pi, 9, endpoint=False)] * 2)
+        assert shapes.is_simple(a) and shapes.common_area(a, a) == pytest.approx(shapes.polygon_area(a))
+        x, y = rng.uniform(-3, 3, (2, 40_000))
+        inside = lambda r: sum(((p[1] > y) != (q[1] > y)) & (x < p[0] + (y - p[1]) / (q[1] - p[1] + 1e-300) * (q[0] - p[0])) for p, q in zip(r, np.roll(r, -1, axis=0), strict=True)) % 2 == 1
+        assert shapes.common_area(a, b) == pytest.approx(36 * (inside(a) & inside(b)).mean(), abs=0.15)
+    assert not shapes.is_simple(np.array([[0, 0], [2, 2], [2, 0], [0, 2]], float))
+
+
+def test_smoothing_along_diagonals_equals_the_dense_solution():
+    for n in (3, 4, 5, 30):
+        y, d = np.random.default_rng(n).normal(size=n), np.diff(np.eye(n), 2, axis=0)
+        assert shapes.smooth(y, 7.0) == pytest.approx(np.linalg.solve(np.eye(n) + 7.0 * d.T @ d, y))
+    assert np.abs(shapes.smooth(np.tile([0.0, 1.0], 50_000), 50.0) - 0.5)[100:-100].max() < 0.01
+
+
+def road(spark, graphs_=4, n=14, gap=3.5, cls=1):
+    nodes = [(k, i, 2.0 * i, gap * k, cls) for k in range(graphs_) for i in range(n)]
+    edges = [(k, i, i + 1) for k in range(graphs_) for i in range(n - 1)]
+    return spark.createDataFrame(nodes, "graph long, node long, x double, y double, cls int"), spark.createDataFrame(edges, "graph long, src long, dst long")
+
+
+def test_lane_search_finds_the_lanes_of_a_road(spark):
+    nodes, edges = road(spark)
+    # the second line changes its class half-way, which cuts all lines there
+    nodes = nodes.withColumn("cls", F.when((F.col("graph") == 1) & (F.col("node") >= 7), 2).otherwise(F.col("cls")))
+    found = lanes.find_lanes(nodes, edges, 1.5, 5.0, 0.5)
+    assert found.splits.where("round > 0").count() > 0
+    at = {r["ls"]: (r["graph"], r["nodes"][0], r["nodes"][-1]) for r in found.lines.collect()}
+    pairs = {frozenset(at[x][0] for x in (r["right_ls"], r["left_ls"])) for r in found.lanes.collect()}
+    assert pairs == {frozenset({0, 1}), frozenset({1, 2}), frozenset({2, 3})}
+    for r in found.lanes.collect():
+        (_, a, b), (_, c, d) = at[r["right_ls"]], at[r["left_ls"]]
+        # at the change of class either of its two nodes is the cut
+        assert all(abs(p - q) <= 1 for p, q in zip(sorted((a, b)), sorted((c, d)), strict=True))
+    points, ways, lanelets = lanes.map_elements(found, nodes.withColumn("ele", F.lit(None).cast("double")), (100.0, 50.0, 7.0))
+    assert points.count() == 56 and points.agg(F.min("x"), F.max("ele")).first() == (-100.0, 0.0)
+    ids = {r["id"] for r in points.collect()}
+    assert all(set(r["nodes"]) <= ids for r in ways.collect()) and lanelets.count() == found.lanes.count() > 3
+    none = lanes.find_lanes(nodes, edges, 1.5, 5.0, 0.5, [1, 2])
+    assert none.lanes.count() == 0
+
+
+def test_the_direction_travels_with_the_split(spark):
+    # the middle line's own nodes have odd directions of their own, as on a noisy line
+    nodes, edges = road(spark, 3)
+    aimed = nodes.drop("cls").withColumns({"dx": F.when(F.col("graph") == 1, 0.0).otherwise(1.0), "dy": F.when(F.col("graph") == 1, 1.0).otherwise(0.0)})
+    seen, _ = lanes.propagate_splits(aimed, spark.createDataFrame([(0, 4, 1.0, 0.0)], "graph long, node long, dx double, dy double"), 1.5, 5.0, 0.5, edges=edges)
+    assert {(r["graph"], r["node"]) for r in seen.collect()} == {(0, 4), (1, 4), (2, 4)}
+
+
+def test_lane_sides_follow_annotations(spark):
+    lines = spark.createDataFrame([(1, 0, 0, 9, 0.0, 0.0), (2, 1, 5, 6, 0.0, 3.0)], "ls long, graph long, first long, last long, cx double, cy double")
+    rel = lanes.symmetric(spark.createDataFrame([(0, 0, 1, 5), (0, 9, 1, 6)], "graph long, node long, other_graph long, other_node long"))
+    sides = lambda s: spark.createDataFrame([(1, 5, s)], "graph long, node long, side string")
+    got = lambda *a: [tuple(r) for r in lanes.pair_by_relations(lines, rel, 2.0, *a).collect()]
+    assert got() == got(sides("left")) == [(1, 2)] and got(sides("right")) == [(2, 1)]
 
 
 def test_elevation_fills_to_a_fixed_point(spark):
@@ -375,7 +448,7 @@ def test_rectangle_lines_and_annotations(spark):
 
 def test_bird_view_agrees_with_projection(spark):
     cam = camera.Pinhole(500, 500, 320, 240, (0.5, 0.1, 1.6), 0.02, 0.05, 0.01)
-    bird = camera.BirdView(cam, (4.0, 24.0, 5.0, -5.0), 0.05)
+    bird = camera.BirdView(cam, (4.0, 24.0, -5.0, 5.0), 0.05)
     assert bird.size == (400, 200)
     px = np.array([[10.0, 20.0], [150.0, 399.0]])
     ground = np.column_stack([px, np.ones(2)]) @ bird.pixel_to_world.T
@@ -386,8 +459,90 @@ def test_bird_view_agrees_with_projection(spark):
     assert np.isnan(cam.project(np.array([[-5.0, 0, 0]]))).all() and 0 < bird.coverage(640, 480).mean() <= 1
     u, v = camera.project_columns(cam, F.lit(float(ground[0, 0])), F.lit(float(ground[0, 1])), F.lit(0.0))
     assert tuple(spark.range(1).select(u, v).first()) == pytest.approx(tuple(img[0]))
-    head = camera.PanoramicHead(500, 500, 320, 240, head_yaw=np.pi / 2)
-    assert np.isfinite(head.project(np.array([[0.0, 9.0, 1.0]]))).all()
+    # the window's furthest left corner is pixel 1, its nearest right one the last and one more
+    corner = lambda x, y: (bird.world_to_pixel @ [x, y, 1])[:2]
+    assert corner(24.0, 5.0) == pytest.approx([1, 1]) and corner(4.0, -5.0) == pytest.approx([200, 400])
+    sheared = camera.BirdView(cam, bird.view, 0.05, (0.1, 0.0))
+    assert (sheared.world_to_pixel @ [24.0, 5.0, 1])[:2] == pytest.approx([1 + 0.1 - 0.1 * 200 / 2, 1])
+
+
+def test_panoramic_head(spark):
+    head = camera.head_of(500, 500, 320, 240, [0, 0, 2.0], [0.1, 0, 0], [0.0, 0.0, 0.0])
+    # level: ahead of the vehicle is the depth axis of the image, left of it is left, up is up
+    ahead, left, up = (head.extrinsics[:, :3] @ v for v in np.eye(3))
+    assert ahead == pytest.approx([1, 0, 0]) or ahead == pytest.approx([0, 0, 1]) or ahead == pytest.approx([-1, 0, 0])
+    assert head.extrinsics[:, :3] @ head.extrinsics[:, :3].T == pytest.approx(np.eye(3))
+    turned = head.turned((0.0, 0.0, np.pi / 2))
+    assert turned.extrinsics[:, :3] != pytest.approx(head.extrinsics[:, :3])
+    # the camera's place on the head keeps the built-in rotation, the head's place on the vehicle turns with the view
+    shift = turned.extrinsics[:, 3] - camera.HEAD_TO_CAMERA @ (np.linalg.inv(camera.HEAD_TO_CAMERA) @ turned.extrinsics[:, :3] @ [0, 0, -2.0])
+    assert shift == pytest.approx(head.extrinsics[:, 3] - head.extrinsics[:, :3] @ [0, 0, -2.0])
+
+
+def warped(frame, angle, centre, at, shape):
+    """An inverse warp of a dense frame, pixel by pixel."""
+    out = {}
+    c, s = math.cos(angle), math.sin(angle)
+    for j in range(shape[0]):
+        for i in range(shape[1]):
+            u, v = i - at[0], j - at[1]
+            col, row = math.floor(c * u - s * v + centre[0] + 0.5), math.floor(s * u + c * v + centre[1] + 0.5)
+            if (row, col) in frame:
+                out[j, i] = frame[row, col]
+    return out
+
+
+@pytest.mark.parametrize("degrees", [0.0, 33.0, 90.0, 181.5])
+def test_frames_are_placed_as_an_inverse_warp_places_them(spark, degrees):
+    rng = random.Random(int(degrees))
+    frame = {(r, c): rng.randint(1, 4) for r in range(9) for c in range(14)}
+    obs = spark.createDataFrame([(3, r, c, k, 1.0) for (r, c), k in frame.items()], "frame int, row int, col int, cls int, weight double")
+    at = spark.createDataFrame([(3, 10.37, -4.11, math.radians(degrees), 8.0, 0.5, 60, 70)], "frame int, x double, y double, angle double, tl_x double, tl_y double, h_px int, w_px int")
+    got = {(r["row"], r["col"]): r["cls"] for r in placement.on_map(obs, at, 0.1, (7.2, 4.3)).collect()}
+    assert got == warped(frame, math.radians(degrees), (7.2, 4.3), ((10.37 - 8.0) / 0.1, (0.5 + 4.11) / 0.1), (60, 70))
+
+
+def test_angles_anchors_and_map_chunks(spark):
+    frames = spark.createDataFrame([(0, 0.0, 0.0, 0.5), (1, 1.0, 1.0, 0.6), (2, 1.0, 1.0, 0.7), (3, 0.0, 1.0, 0.8)], "frame int, x double, y double, heading double")
+    angle = lambda mode: [round(r["angle"], 6) for r in placement.frame_angles(frames, mode, -90.0).orderBy("frame").collect()]
+    q = math.pi / 2
+    assert angle("estimated") == [round(a - q, 6) for a in (0, math.pi / 4, 0, math.pi)]
+    assert angle("gps") == [round(a - q, 6) for a in (0.5, 0.6, 0.7, 0.8)] and set(angle("only_offset")) == {round(-q, 6)}
+    e = placement.anchors(frames.withColumn("chunk", F.lit(0)), ["chunk"], 50, 70, 0.1, 0.2).first()
+    assert (e["tl_x"], e["tl_y"], e["br_x"], e["br_y"], e["h_px"], e["w_px"]) == (-3.0, 3.0, 4.0, -2.0, 50, 70)
+    obs = spark.createDataFrame([(f, 25, 35, 1, 1.0) for f in range(4)], "frame int, row int, col int, cls int, weight double")
+    px, chunks = placement.build_map(obs, frames, (50, 70), 0.1, (35, 25), "only_offset", 0.0, 0.0, 2)
+    assert chunks.count() == 2 and px.agg(F.sum("weight")).first()[0] == 4.0
+    assert placement.build_map(obs, frames, (50, 70), 0.1, (35, 25), "only_offset", 0.0, 0.0, 2, 1)[0].select("chunk").distinct().count() == 1
+
+
+def test_regions_are_moved_into_the_map_or_fail(spark):
+    px = spark.createDataFrame([(0, r, c, 1, 1.0) for r in range(40) for c in range(60)], "chunk int, row int, col int, cls int, weight double")
+    chunks = spark.createDataFrame([(0, 0.0, 4.0, 6.0, 0.0, 40, 60)], "chunk int, tl_x double, tl_y double, br_x double, br_y double, h_px int, w_px int")
+    at = spark.createDataFrame([(1, 3.0, 2.0, 0.0), (2, 5.9, 3.9, 0.0), (3, 9.0, 2.0, 0.0)], "frame int, x double, y double, angle double")
+    got = placement.regions(px, chunks, at, (2.0, 1.0), 0.1)
+    assert {r["frame"]: (r["count"], round(r["x"], 6), round(r["y"], 6)) for r in got.groupBy("frame").agg(F.count("*").alias("count"), F.min("tl_x").alias("x"), F.min("tl_y").alias("y")).collect()} == {1: (200, 2.0, 2.5), 2: (200, 4.0, 4.0)}
+    assert got.agg(F.min("row"), F.max("row"), F.max("col")).first() == (0, 9, 19)
+    with pytest.raises(Exception, match="larger than the map"):
+        placement.regions(px, chunks, at, (2.0, 5.0), 0.1).collect()
+    mixed = spark.createDataFrame([(1, 0, 0, 0, 5.0), (1, 0, 0, 2, 0.2), (1, 0, 1, 7, 0.4), (1, 0, 2, 3, 0.05)], "frame int, row int, col int, cls int, weight double")
+    assert {r["col"]: r["cls"] for r in placement.region_labels(mixed, [], drivable=7).collect()} == {0: 2, 1: 0, 2: 0}
+
+
+def test_frames_are_cleaned_masked_and_turned(spark):
+    px = [(1, r, c, 1) for r in range(4) for c in range(4)] + [(1, 8, 8, 2), (1, 8, 9, 11), (2, 0, 0, 1)]
+    df = spark.createDataFrame(px, "frame int, row int, col int, cls int")
+    kept = placement.clean_frames(df, 10, 11)
+    assert kept.where("cls = 1").count() == 16 and kept.where("cls = 11").count() == 1 and kept.count() == 17
+    assert placement.clean_frames(df, 10, 11, (20, 20)).where("cls = 1").count() == 9
+    assert placement.clean_frames(df, None).count() == 19
+    w = df.withColumn("weight", F.lit(1.0))
+    back = placement.turned(placement.turned(w, (10, 10), 90.0), (10, 10), -90.0)
+    assert {tuple(r) for r in back.select("frame", "row", "col", "cls").collect()} <= {tuple(r) for r in df.collect()}
+    assert placement.cropped(w, 8, 10, 8, 10).select("row", "col").orderBy("col").collect()[1] == (0, 1)
+    frames = spark.createDataFrame([(1, math.pi / 2), (2, 0.0)], "frame int, angle double")
+    assert placement.mask_vehicle(df, frames, (10, 10), [(0, 4, 0, 4)]).where("frame = 1 and cls = 1").count() == 12
+    assert placement.mask_vehicle(df, frames, (10, 10), [(0, 4, 0, 4)]).where("frame = 2").count() == 0
 
 
 def test_natural_order(spark):
