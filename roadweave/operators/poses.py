@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from roadweave.functions import geometry as g
+from roadweave.storage import materialize
 
 
 def align(frames: DataFrame, log: DataFrame, values: list[str], on: str = "sequence", by: list[str] | None = None, order: str | None = None, wrap: tuple[str, ...] = ()) -> DataFrame:
@@ -15,18 +16,31 @@ def align(frames: DataFrame, log: DataFrame, values: list[str], on: str = "seque
     linear between the neighbours and clamped at the ends. Values named in
     ``wrap`` are angles in radians that turn the short way. Frames without any
     log row of their ``by`` group get nulls. One sort of the union by group;
-    no join.
+    no join. Without ``by``, ranges of ``on`` take the place of groups, and the
+    last log row before a range and the first after it are carried over.
     """
-    by = by or []
     order = order or on
     keep = [c for c in frames.columns if c not in values]
     point = F.struct(on, *values)
-    a = log.select(*by, F.col(on).alias("__t"), F.lit(0).alias("__k"), F.col(order).alias("__o"), point.alias("__p"), F.lit(None).cast(frames.select(F.struct(*keep)).schema[0].dataType).alias("__f"))
-    b = frames.select(*by, F.col(on).alias("__t"), F.lit(1).alias("__k"), F.col(order).alias("__o"), F.lit(None).cast(log.select(point).schema[0].dataType).alias("__p"), F.struct(*keep).alias("__f"))
-    w = Window.partitionBy(*by).orderBy("__t", "__k", "__o")
-    before = F.last("__p", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))
-    after = F.first("__p", ignorenulls=True).over(w.rowsBetween(0, Window.unboundedFollowing))
-    x = a.unionByName(b).withColumns({"__b": before, "__a": after}).where("__k = 1")
+    group = by or []
+    a = log.select(*group, F.col(on).alias("__t"), F.lit(0).alias("__k"), F.col(order).alias("__o"), point.alias("__p"), F.lit(None).cast(frames.select(F.struct(*keep)).schema[0].dataType).alias("__f"))
+    b = frames.select(*group, F.col(on).alias("__t"), F.lit(1).alias("__k"), F.col(order).alias("__o"), F.lit(None).cast(log.select(point).schema[0].dataType).alias("__p"), F.struct(*keep).alias("__f"))
+    both = a.unionByName(b)
+    if by:
+        carried = both.withColumns({"__last": F.lit(None).cast(a.schema["__p"].dataType), "__next": F.lit(None).cast(a.schema["__p"].dataType)})
+    else:
+        group = ["__range"]
+        both = materialize(both.repartitionByRange("__t", "__k", "__o").withColumn("__range", F.spark_partition_id()), "align")
+        rank = F.struct("__t", "__k", "__o")
+        ends = both.groupBy("__range").agg(*[f(F.when(F.col("__p").isNotNull(), F.struct(rank, "__p")))["__p"].alias(n) for f, n in ((F.max, "__l"), (F.min, "__n"))])
+        w = Window.orderBy("__range")
+        ends = ends.select("__range", F.last("__l", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1)).alias("__last"), F.first("__n", ignorenulls=True).over(w.rowsBetween(1, Window.unboundedFollowing)).alias("__next"))
+        # one row a range, as many as there are partitions
+        carried = both.join(F.broadcast(ends), "__range")
+    w = Window.partitionBy(*group).orderBy("__t", "__k", "__o")
+    before = F.coalesce(F.last("__p", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)), F.col("__last"))
+    after = F.coalesce(F.first("__p", ignorenulls=True).over(w.rowsBetween(0, Window.unboundedFollowing)), F.col("__next"))
+    x = carried.withColumns({"__b": before, "__a": after}).where("__k = 1")
     out = []
     for v in values:
         p, q = F.col("__b")[v], F.col("__a")[v]
@@ -54,8 +68,16 @@ def robust_direction(poses: DataFrame, order: list[str], by: list[str] | None =
 
 
 def frame_numbers(rows: DataFrame, order: list[str], by: list[str] | None = None) -> DataFrame:
-    """Adds ``frame``, counted from 0 in order."""
-    return rows.withColumn("frame", (F.row_number().over(Window.partitionBy(*(by or [])).orderBy(*order)) - 1).cast("int"))
+    """Adds ``frame``, counted from 0 in order; without ``by``, ranges are counted and numbered each by itself."""
+    if by:
+        return rows.withColumn("frame", (F.row_number().over(Window.partitionBy(*by).orderBy(*order)) - 1).cast("int"))
+    parts = materialize(rows.repartitionByRange(*order).withColumn("__range", F.spark_partition_id()), "frames")
+    counts = parts.groupBy("__range").agg(F.count("*").alias("__n"))
+    before = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select("__range", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__start"))
+    at = F.row_number().over(Window.partitionBy("__range").orderBy(*order)) - 1
+    # one row a range, as many as there are partitions
+    return parts.join(F.broadcast(starts), "__range").withColumn("frame", (F.col("__start") + at).cast("int")).select(*rows.columns, "frame")
 
 
 def frame_slice(frames: DataFrame, start: int = 0, end: int = -1) -> DataFrame:

@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roadweave.functions import geometry as g
+from roadweave.functions.shapes import smooth
 from roadweave.operators import poses
 
 LOG = "sequence long, x double, y double, z double, heading double, roll double, pitch double"
@@ -51,12 +56,18 @@ def data_set(spark: SparkSession, images: str, log: str, extension: str = "png",
     return poses.frame_slice(poses.frame_numbers(joined, ["sequence"]), start, end).select("frame", "sequence", "path", *VALUES)
 
 
-def survey_set(spark: SparkSession, images: str, log: str, extension: str = "jpg", start: int = 0, size: int = -1) -> DataFrame:
-    """Frames of a tab-separated log whose rows and images pair by position (S6); an error if their numbers differ."""
+def survey_set(spark: SparkSession, images: str, log: str, extension: str = "jpg", start: int = 0, size: int = -1, name_regex: str | None = None) -> DataFrame:
+    """Frames of a tab-separated log whose rows and images pair by position (S6); an error if their numbers differ.
+
+    Images whose name has no match of ``name_regex`` are left out. Rows are in
+    the order of the file, images in that of their names, digits as numbers.
+    """
     raw = spark.read.schema(TSV).option("sep", "\t").option("header", True).csv(log).withColumn("__at", F.monotonically_increasing_id())
-    rows = raw.withColumn("frame", (F.row_number().over(Window.orderBy("__at")) - 1).cast("int"))
+    rows = poses.frame_numbers(raw, ["__at"])
     files = spark.read.format("binaryFile").load(images).select("path").where(g.has_extension(F.col("path"), extension))
-    files = files.withColumn("frame", (F.row_number().over(Window.orderBy(g.natural_key(F.col("path")))) - 1).cast("int"))
+    if name_regex is not None:
+        files = files.where(F.regexp_extract("path", r"([^/]*)$", 1).rlike(name_regex))
+    files = poses.frame_numbers(files.withColumn("__key", g.natural_key(F.col("path"))), ["__key"]).drop("__key")
     if (n := rows.count()) != (m := files.count()):
         raise ValueError(f"{n} log rows for {m} images")
     clock = poses.epoch_seconds(F.substring("clock", 1, 14), millis=F.expr("try_cast(substring(clock, 15) as double)"))
@@ -73,18 +84,34 @@ def multi_camera(sets: dict[str, DataFrame]) -> DataFrame:
     return poses.multi_camera(rows)
 
 
-def decoded(spark: SparkSession, folder: str) -> DataFrame:
-    """(path, height, width, channels, data) of images, decoded by the JVM's reader."""
-    return spark.read.format("image").option("dropInvalid", True).load(folder).select(F.col("image.origin").alias("path"), "image.height", "image.width", F.col("image.nChannels").alias("channels"), "image.data")
+def decoded(spark: SparkSession, folder: str, size: tuple[int, int] | None = None) -> DataFrame:
+    """(path, height, width, channels, data) of images, decoded by the JVM's reader (S9); with ``size`` (height, width), resized to it, bilinear between pixel centres."""
+    raw = spark.read.format("image").option("dropInvalid", True).load(folder).select(F.col("image.origin").alias("path"), "image.height", "image.width", F.col("image.nChannels").alias("channels"), "image.data")
+    if size is None:
+        return raw
 
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            made = [resized(np.frombuffer(r.data, np.uint8).reshape(r.height, r.width, r.channels), size).tobytes() for r in batch.itertuples()]
+            yield batch.assign(height=size[0], width=size[1], data=made)
 
-def smoothed(frames: DataFrame, strength: float = 10.0, by: str = "track") -> DataFrame:
-    """Adds smooth_x, smooth_y and smooth_heading of each track, by a penalised spline."""
-    import numpy as np
-    import pandas as pd
+    return raw.mapInPandas(run, "path string, height int, width int, channels int, data binary")
 
-    from roadweave.functions.shapes import smooth
 
+def resized(image: np.ndarray, size: tuple[int, int]) -> np.ndarray:
+    """An image (height, width, channels) of bytes at another size, bilinear between pixel centres."""
+    out = image.astype(np.float64)
+    for axis, n in enumerate(size):
+        m = out.shape[axis]
+        at = np.clip((np.arange(n) + 0.5) * m / n - 0.5, 0, m - 1)
+        low = np.floor(at).astype(int)
+        part = (at - low).reshape([-1 if k == axis else 1 for k in range(3)])
+        out = np.take(out, low, axis) * (1 - part) + np.take(out, np.minimum(low + 1, m - 1), axis) * part
+    return np.clip(np.floor(out + 0.5), 0, 255).astype(np.uint8)
+
+
+def smoothed(frames: DataFrame, strength: float = 10.0, by: str = "track") -> DataFrame:
+    """Adds smooth_x, smooth_y and smooth_heading of each track, by a penalised spline."""
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("frame")
         x, y = (smooth(pdf[c].to_numpy(), strength) for c in "xy")

@@ -30,6 +30,20 @@ def test_poses_gap_clamp_and_duplicates(spark):
     assert abs(turned[15]) == pytest.approx(math.pi, abs=1e-6)
 
 
+def test_alignment_by_ranges_equals_that_by_one_group(spark):
+    rng = random.Random(6)
+    log = spark.createDataFrame([(rng.randint(0, 4000), rng.random(), k) for k in range(300)], "sequence long, x double, n long")
+    frames = spark.createDataFrame([(rng.randint(-50, 4050), k) for k in range(500)], "sequence long, n long")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        ranged = poses.align(frames, log, ["x"], order="n")
+        assert sorted(map(tuple, ranged.collect())) == sorted(tuple(r)[:3] for r in poses.align(frames.withColumn("d", F.lit(1)), log.withColumn("d", F.lit(1)), ["x"], by=["d"], order="n").select("sequence", "n", "x").collect())
+        numbered = poses.frame_numbers(frames, ["sequence", "n"])
+        assert [r["frame"] for r in numbered.orderBy("sequence", "n").collect()] == list(range(500))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
 def test_poses_without_log_are_null(spark):
     frames = spark.createDataFrame([(1,)], "sequence long")
     assert poses.align(frames, spark.createDataFrame([], "sequence long, x double"), ["x"]).first()["x"] is None

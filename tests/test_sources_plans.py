@@ -45,6 +45,13 @@ def test_images_decode_and_become_pixels(spark, drive):
     assert px.count() == 4 * 6 and px.where(F.col("path").endswith("cam_4.png")).agg(F.max("r")).first()[0] == 4
 
 
+def test_images_are_resized(spark, drive):
+    out = survey.decoded(spark, str(drive / "images"), (4, 6)).collect()
+    assert {(r["height"], r["width"], len(r["data"])) for r in out} == {(4, 6, 72)} and {x for r in out for x in r["data"]} == {1, 2, 4, 10}
+    ramp = np.arange(4, dtype=np.uint8).reshape(1, 4, 1) * 10
+    assert survey.resized(ramp, (1, 2)).ravel().tolist() == [5, 25] and survey.resized(ramp, (1, 8)).ravel().tolist() == [0, 3, 8, 13, 18, 23, 28, 30]
+
+
 def test_survey_set_counts_must_match(spark, drive):
     log = drive / "survey.tsv"
     log.write_text("id\tx\ty\tz\tyaw\troll\tpitch\tclock\n" + "".join(f"{k}\t{k}.0\t0\t0\t90\t0\t0\t20240101000000{k:03d}\n" for k in range(4)))
