@@ -37,14 +37,15 @@ def remove_dead_ends(edges: DataFrame) -> DataFrame:
     degree D loses its min(leaves, D - 2) leaves of least id. Graphs of two
     nodes or fewer have no fork and are kept.
     """
-    both = undirected(edges)
-    degree = degrees(edges)
-    leaf = degree.where("degree = 1").select("graph", F.col("node").alias("dst"))
-    fork = degree.where("degree > 2").select("graph", F.col("node").alias("src"), "degree")
-    spur = both.join(leaf, ["graph", "dst"]).join(fork, ["graph", "src"])
-    rank = F.row_number().over(Window.partitionBy("graph", "src").orderBy("dst"))
-    cut = spur.withColumn("k", rank).where("k <= degree - 2").select("graph", F.col("dst").alias("leaf"))
-    return both.where("src < dst").join(cut.withColumnRenamed("leaf", "src"), ["graph", "src"], "left_anti").join(cut.withColumnRenamed("leaf", "dst"), ["graph", "dst"], "left_anti").select("graph", "src", "dst")
+    arms = undirected(edges).withColumn("degree", F.count("*").over(Window.partitionBy("graph", "src")))
+    leaves = arms.where("degree = 1").select("graph", F.col("src").alias("leaf"), F.col("dst").alias("src"))
+    forks = arms.groupBy("graph", "src").agg(F.first("degree").alias("degree")).where("degree > 2")
+    spurs = leaves.join(forks, ["graph", "src"])
+    rank = F.row_number().over(Window.partitionBy("graph", "src").orderBy("leaf"))
+    cut = spurs.withColumn("k", rank).where("k <= degree - 2").select("graph", "leaf")
+    # a leaf that is cut has one edge, from it to its fork
+    gone = cut.select("graph", F.col("leaf").alias("src"))
+    return arms.where("src < dst").select("graph", "src", "dst").join(gone, ["graph", "src"], "left_anti").join(gone.withColumnRenamed("src", "dst"), ["graph", "dst"], "left_anti").select("graph", "src", "dst")
 
 
 def split_components(nodes: DataFrame, edges: DataFrame) -> DataFrame:

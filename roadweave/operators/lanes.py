@@ -160,17 +160,35 @@ def repair_holes(lines: DataFrame, lanes: DataFrame, max_nodes: int = 6, max_deg
         now = materialize(kept.select("ls", "graph", "cls", whole("nodes").alias("nodes"), whole("xy").alias("xy")), "lines")
 
 
-def annotate_side(nodes: DataFrame, cars: DataFrame, half_length: float, half_width: float, node_id: str, frame: str) -> DataFrame:
-    """(node, car, side): the side of the last frame whose box holds the node, right unless strictly left."""
-    hit = grid.in_oriented_box(nodes, cars, half_length, half_width)
-    side = F.when(F.col("across") > 0, "left").otherwise("right")
-    last = hit.groupBy(F.col("l")[node_id].alias("node")).agg(F.max_by(F.struct(F.col("r")[frame].alias("car"), side.alias("side")), F.col("r")[frame]).alias("m"))
+def annotate_side(nodes: DataFrame, cars: DataFrame, right_box: tuple[float, float] = (10.0, 10.0), left_box: tuple[float, float] = (10.0, 10.0), radius: float = 25.0, node_id: str = "node", frame: str = "frame") -> DataFrame:
+    """(node, car, side): the side of the last frame one of whose boxes holds the node.
+
+    Boxes are (reach to the side, length along the road), to the right and the
+    left of the car's line; what lies on the line or on an edge is in neither,
+    nor is what is further than ``radius`` from the car. ``cars`` has x, y and
+    ``heading``; a null heading has no boxes.
+    """
+    hit = grid.pairs_within(nodes, cars.where("heading is not null"), radius)
+    along, across = g.rotate(F.col("l.x") - F.col("r.x"), F.col("l.y") - F.col("r.y"), -F.col("r.heading"))
+    hit = hit.withColumns({"along": along, "across": across})
+    inside = lambda box, reach: (F.abs("along") < box[1] / 2) & (reach > 0) & (reach < box[0])
+    side = F.when(inside(right_box, -F.col("across")), "right").when(inside(left_box, F.col("across")), "left")
+    last = hit.withColumn("side", side).where("side is not null").groupBy(F.col("l")[node_id].alias("node")).agg(F.max_by(F.struct(F.col("r")[frame].alias("car"), "side"), F.col("r")[frame]).alias("m"))
     return last.select("node", "m.car", "m.side")
 
 
-def annotate_elevation(nodes: DataFrame, cars: DataFrame, half_length: float, half_width: float, node_id: str, gamma: float = 1.0) -> DataFrame:
-    """``nodes`` with ``ele``: distance-weighted mean of the cars' z; a car at the node itself decides; null where none is near."""
-    hit = grid.in_oriented_box(nodes, cars, half_length, half_width)
+def annotate_elevation(nodes: DataFrame, cars: DataFrame, box: tuple[float, float] = (20.0, 20.0), node_id: str = "node", gamma: float = 1.0, frame: str | None = None) -> DataFrame:
+    """``nodes`` with ``ele``: distance-weighted mean of the z of cars near them; a car at the node itself decides; null where none is near.
+
+    A car counts for the nodes inside its ``box`` (width, length), which turns
+    with it; with ``frame``, frames 0 and 1 count for all nodes within the
+    box's longer side, as they have no direction yet (Q20).
+    """
+    reach = max(box)
+    hit = grid.pairs_within(nodes, cars, reach)
+    along, across = g.rotate(F.col("l.x") - F.col("r.x"), F.col("l.y") - F.col("r.y"), -F.col("r.heading"))
+    inside = (F.abs(along) < box[1] / 2) & (F.abs(across) < box[0] / 2)
+    hit = hit.where(inside if frame is None else (F.col("r")[frame] < 2) | inside)
     exact = hit.where("d = 0").groupBy(F.col("l")[node_id].alias("node")).agg(F.avg("r.z").alias("at"))
     mean = grid.inverse_distance_mean(hit, F.col("l")[node_id], F.col("r.z"), gamma)
     x = nodes.join(mean.withColumnsRenamed({"node": node_id, "value": "__m"}), node_id, "left").join(exact.withColumnRenamed("node", node_id), node_id, "left")

@@ -404,12 +404,24 @@ def scanline_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""with {SQL_POINTS}, q as (select n.vec_id as node, c.vec_id as car, cos(-atan2(c.dy, c.dx)) * (n.x - c.x) - sin(-atan2(c.dy, c.dx)) * (n.y - c.y) as u, sin(-atan2(c.dy, c.dx)) * (n.x - c.x) + cos(-atan2(c.dy, c.dx)) * (n.y - c.y) as v from pts n, pts c),
-h as (select *, row_number() over (partition by node order by car desc) as k from q where abs(u) < 0.06 and abs(v) < 0.03)
+h as (select *, row_number() over (partition by node order by car desc) as k from q where (abs(u) < 0.06 and v > -0.03 and v < 0) or (abs(u) < 0.05 and v > 0 and v < 0.02))
 select node, car, case when v > 0 then 'left' else 'right' end as side from h where k = 1""")
 def side_annotation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The side of the last car whose box holds a node."""
     p = points(spark, sf_dir)
-    return lanes.annotate_side(p, p.withColumn("heading", g.angle(F.col("dx"), F.col("dy"))), 0.06, 0.03, "vec_id", "vec_id")
+    return lanes.annotate_side(p, p.withColumn("heading", g.angle(F.col("dx"), F.col("dy"))), (0.03, 0.12), (0.02, 0.1), 0.08, "vec_id", "vec_id")
+
+
+@query(f"""with {SQL_POINTS}, q as (select n.vec_id as node, c.vec_id as car, c.z, n.x + 0.004 - c.x as ox, n.y - 0.003 - c.y as oy, atan2(c.dy, c.dx) as h from pts n, pts c),
+r as (select *, sqrt(ox * ox + oy * oy) as d, cos(-h) * ox - sin(-h) * oy as u, sin(-h) * ox + cos(-h) * oy as v from q),
+m as (select node, sum(z / d) / sum(1 / d) as z from r where d <= 0.1 and (car < 2 or (abs(u) < 0.05 and abs(v) < 0.03)) group by 1)
+select vec_id, round(m.z, 6) + 0.0 as ele from pts left join m on node = vec_id""")
+def elevation_annotation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Elevation of nodes from the frames whose box holds them, from frames 0 and 1 by distance alone."""
+    p = points(spark, sf_dir)
+    nodes = p.withColumns({"x": F.col("x") + 0.004, "y": F.col("y") - 0.003})
+    cars = p.withColumns({"heading": g.angle(F.col("dx"), F.col("dy")), "frame": F.col("vec_id")})
+    return lanes.annotate_elevation(nodes, cars, (0.06, 0.1), "vec_id", 1.0, "frame").select("vec_id", r6(F.col("ele")).alias("ele"))
 
 
 @query(f"""with {SQL_POINTS}, q as (select n.vec_id as node, c.z, sqrt((n.x-c.x)*(n.x-c.x)+(n.y-c.y)*(n.y-c.y)) as d, cos(-atan2(c.dy, c.dx)) * (n.x - c.x) - sin(-atan2(c.dy, c.dx)) * (n.y - c.y) as u, sin(-atan2(c.dy, c.dx)) * (n.x - c.x) + cos(-atan2(c.dy, c.dx)) * (n.y - c.y) as v from pts n, pts c)
