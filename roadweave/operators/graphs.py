@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from itertools import count
 
 from pyspark.sql import Column, DataFrame, Window
@@ -92,13 +93,23 @@ def segments(rows: DataFrame, by: list[str], order: list[str], cls: str, cuts: C
 
 
 def consensus(directions: DataFrame, by: list[str], member: str, least: float = 0.95) -> DataFrame:
-    """The member of each group whose direction most others share within |dot| > ``least``; null unless one is ahead."""
-    other = directions.select(*by, F.col(member).alias("__m"), F.col("dx").alias("__x"), F.col("dy").alias("__y"))
-    near = directions.join(other, by).where(F.col(member) != F.col("__m"))
-    counts = directions.select(*by, member).join(near.where(F.abs(F.col("dx") * F.col("__x") + F.col("dy") * F.col("__y")) > least).groupBy(*by, member).agg(F.count("*").alias("n")), [*by, member], "left").withColumn("n", F.coalesce("n", F.lit(0)))
-    top = counts.groupBy(*by).agg(F.max("n").alias("votes"))
-    best = counts.join(top, by).where("n = votes").groupBy(*by).agg(F.max("votes").alias("votes"), F.when(F.count("*") == 1, F.min(member)).alias("winner"))
-    return best
+    """The member of each group whose direction most others share within |dot| > ``least``; null unless one is ahead.
+
+    Directions are unit vectors, either way alike: they are angles modulo half a
+    turn, and those near a member are a range of angles, counted by a window
+    instead of by pairs. A null direction is near none.
+    """
+    reach = math.acos(least) - 1e-12
+    theta = F.pmod(g.angle(F.col("dx"), F.col("dy")), F.lit(math.pi))
+    turns = F.explode(F.array(*[F.lit(k * math.pi) for k in (-1, 0, 1)])).alias("__turn")
+    spread = directions.where("dx is not null and dy is not null").select(*by, member, theta.alias("__t"), turns).withColumn("__t", F.col("__t") + F.col("__turn"))
+    keys = ", ".join(f"`{c}`" for c in by)
+    near = F.expr(f"count(*) over (partition by {keys} order by __t range between {reach!r}D preceding and {reach!r}D following)") - 1
+    counted = spread.withColumn("n", near).where("__turn = 0").select(*by, member, "n")
+    rest = directions.where("dx is null or dy is null").select(*by, member, F.lit(0).cast("long").alias("n"))
+    counts = counted.unionByName(rest)
+    top = F.max("n").over(Window.partitionBy(*by))
+    return counts.withColumn("votes", top).where("n = votes").groupBy(*by).agg(F.max("votes").alias("votes"), F.when(F.count("*") == 1, F.min(member)).alias("winner"))
 
 
 def sector_degrees(points: DataFrame, by: list[str]) -> DataFrame:

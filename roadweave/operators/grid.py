@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from roadweave.functions import geometry as g
+from roadweave.storage import materialize, release
 
 
 def _cell(x: Column, size: float) -> Column:
@@ -44,11 +45,39 @@ def nearest_k(left: DataFrame, right: DataFrame, radius: float, k: int, left_id:
 
 
 def nearest_in_group(left: DataFrame, right: DataFrame, group: list[str], left_id: str, right_id: str) -> DataFrame:
-    """Each left row's nearest right row of its group (J12): (left_id, right_id, d)."""
-    b = right.select(*group, F.col(right_id).alias("__id"), F.col("x").alias("__x"), F.col("y").alias("__y"))
-    d = g.distance(F.col("x"), F.col("y"), F.col("__x"), F.col("__y"))
-    best = left.join(b, group).where(F.col(left_id) != F.col("__id")).groupBy(left_id).agg(F.min(F.struct(d.alias("d"), F.col("__id").alias("id"))).alias("m"))
-    return best.select(left_id, F.col("m.id").alias("nearest"), F.col("m.d").alias("d"))
+    """Each left row's nearest right row of its group, the least id on ties (J12): (left_id, nearest, d).
+
+    Rows look round themselves, in a range that doubles each round for those
+    that have not found one, beginning near the mean distance between points; so
+    a group is never paired as a whole. Rows with no other of their group have
+    no row.
+    """
+    a = materialize(left.select(*group, F.col(left_id).alias("__id"), "x", "y").where("x is not null and y is not null"), "nearest-left")
+    b = materialize(right.select(*group, F.col(right_id).alias("__other"), F.col("x").alias("ox"), F.col("y").alias("oy")).where("ox is not null and oy is not null"), "nearest-right")
+    box = b.agg(*[f(c) for c in ("ox", "oy") for f in (F.min, F.max)], F.count("*")).first()
+    own = a.agg(*[f(c) for c in ("x", "y") for f in (F.min, F.max)]).first()
+    kind = f"`{left_id}` {left.schema[left_id].dataType.simpleString()}, nearest {right.schema[right_id].dataType.simpleString()}, d double"
+    if not box[4] or own[0] is None:
+        return left.sparkSession.createDataFrame([], kind)
+    span = max(max(box[1], own[1]) - min(box[0], own[0]), max(box[3], own[3]) - min(box[2], own[2]), 1e-9)
+    radius = span / max(1.0, box[4] ** 0.5)
+    # a row without another of its group would never be done
+    others = b.groupBy(*group).agg(F.count_distinct("__other").alias("__n"), F.min("__other").alias("__one"))
+    todo = materialize(a.join(others, group).where((F.col("__n") > 1) | (F.col("__one") != F.col("__id"))).select(*group, "__id", "x", "y"), "nearest-todo")
+    out = None
+    near = F.array(*[F.lit(k) for k in (-1, 0, 1)])
+    while True:
+        asked = todo.withColumn("__i", F.explode(F.transform(near, lambda k: _cell(F.col("x"), radius) + k))).withColumn("__j", F.explode(F.transform(near, lambda k: _cell(F.col("y"), radius) + k)))
+        held = b.withColumns({"__i": _cell(F.col("ox"), radius), "__j": _cell(F.col("oy"), radius)})
+        d = g.distance(F.col("x"), F.col("y"), F.col("ox"), F.col("oy"))
+        hit = asked.join(held, [*group, "__i", "__j"]).where("__id <> __other").withColumn("d", d).where(F.col("d") <= radius)
+        found = materialize(hit.groupBy("__id").agg(F.min(F.struct("d", "__other")).alias("m")).select(F.col("__id").alias(left_id), F.col("m.__other").alias("nearest"), F.col("m.d").alias("d")), "nearest")
+        out = found if out is None else out.unionByName(found)
+        rest = materialize(todo.join(found.select(F.col(left_id).alias("__id")), "__id", "left_anti"), "nearest-todo")
+        release(todo)
+        todo, radius = rest, 2 * radius
+        if todo.isEmpty():
+            return out
 
 
 def scan_line(left: DataFrame, right: DataFrame, least: float, most: float, tolerance: float, dx: str = "dx", dy: str = "dy") -> DataFrame:
