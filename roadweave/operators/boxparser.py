@@ -92,25 +92,37 @@ def find_boxes(regions: DataFrame, options: ParserOptions = ParserOptions()) ->
 
 @dataclass
 class DriveState:
-    """What a drive's fold carries: one node a box, its graph, and the boxes near the vehicle."""
+    """What a drive's fold carries: one node a box, edges, the boxes near the vehicle, and what has changed."""
 
-    nodes: list[dict] = field(default_factory=list)
-    parent: list[int] = field(default_factory=list)
-    edges: list[tuple[int, int]] = field(default_factory=list)
+    nodes: dict[int, dict] = field(default_factory=dict)
+    edges: set[tuple[int, int]] = field(default_factory=set)
     near: list[int] = field(default_factory=list)
-
-    def root(self, k: int) -> int:
-        while self.parent[k] != k:
-            self.parent[k] = self.parent[self.parent[k]]
-            k = self.parent[k]
-        return k
+    count: int = 0
+    changed: set[int] = field(default_factory=set)
+    new_edges: list[tuple[int, int]] = field(default_factory=list)
 
     def join(self, a: int, b: int) -> None:
-        if a == b or (a, b) in self.edges or (b, a) in self.edges:
-            return
-        self.edges.append((a, b))
-        x, y = sorted((self.root(a), self.root(b)))
-        self.parent[y] = x
+        edge = (min(a, b), max(a, b))
+        if a != b and edge not in self.edges:
+            self.edges.add(edge)
+            self.new_edges.append(edge)
+
+    def drain(self) -> tuple[list[int], list[tuple[int, int]]]:
+        """Nodes that are new or moved and edges that are new since the last call."""
+        out = sorted(self.changed), self.new_edges
+        self.changed, self.new_edges = set(), []
+        return out
+
+    def drain_rows(self) -> tuple[list[tuple], list[tuple[int, int]]]:
+        """The same with the nodes' values: (id, None, x, y, cls, fallback)."""
+        nodes, edges = self.drain()
+        return [(k, None, *map(float, self.nodes[k]["centre"]), int(self.nodes[k]["cls"]), int(self.nodes[k]["fallback"])) for k in nodes], edges
+
+    def forget(self) -> None:
+        """Keep only what the next frames can still meet."""
+        kept = set(self.near)
+        self.nodes = {k: self.nodes[k] for k in self.near}
+        self.edges = {e for e in self.edges if kept.issuperset(e)}
 
     def add(self, box: dict, o: ParserOptions, frame_nodes: list[int], slice_nodes: list[int], previous: list[int]) -> int:
         """Merge with a near earlier node, else connect to overlapping ones, else begin a graph."""
@@ -124,10 +136,12 @@ class DriveState:
                 if node["cls"] == box["cls"] and shapes.in_convex(centre, node["corners"]):
                     node["centre"] = (node["centre"] + centre) / 2
                     node["corners"] = (node["corners"] + box["corners"]) / 2
+                    self.changed.add(earlier[j])
                     return earlier[j]
-        k = len(self.nodes)
-        self.nodes.append({"centre": centre, "corners": box["corners"], "cls": box["cls"], "fallback": box["fallback"]})
-        self.parent.append(k)
+        k = self.count
+        self.count += 1
+        self.nodes[k] = {"centre": centre, "corners": box["corners"], "cls": box["cls"], "fallback": box["fallback"]}
+        self.changed.add(k)
         self.near.append(k)
         for n in dict.fromkeys([*earlier, *slice_nodes, *previous]):
             if n != k and shapes.convex_overlap(box["corners"], self.nodes[n]["corners"]):
@@ -152,12 +166,13 @@ class DriveState:
         self.near = [n for n in self.near if np.hypot(*(self.nodes[n]["centre"] - here)) <= reach]
 
     def graphs(self) -> dict[int, Graph]:
-        out: dict[int, Graph] = {}
-        for k, n in enumerate(self.nodes):
-            out.setdefault(self.root(k), Graph()).add(k, *map(float, n["centre"]), int(n["cls"]), int(n["fallback"]))
-        for a, b in self.edges:
-            out[self.root(a)].connect(a, b)
-        return out
+        """Connected parts by their least node."""
+        whole = Graph()
+        for k, n in sorted(self.nodes.items()):
+            whole.add(k, *map(float, n["centre"]), int(n["cls"]), int(n["fallback"]))
+        for a, b in sorted(self.edges):
+            whole.connect(a, b)
+        return {part[0]: whole.induced(part) for part in whole.components()}
 
 
 GRAPH_ROWS = "drive long, graph long, kind string, a long, b long, x double, y double, cls long, fallback long"

@@ -1,7 +1,7 @@
-"""Surveys as streams: poses aligned and boxes folded while a drive goes on.
+"""Surveys as streams: boxes folded while a drive goes on, extents by event time.
 
-State is kept by drive: the open graphs and the boxes near the vehicle. Boxes
-out of reach leave the search, not the result.
+State is kept by drive: the boxes near the vehicle and their edges, so it does
+not grow with the drive. What a frame adds is emitted as it is folded.
 """
 
 from __future__ import annotations
@@ -10,28 +10,58 @@ import pickle
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState
 
-from roadweave.operators.boxparser import DriveState, ParserOptions
+from roadweave.operators.boxparser import BOXES, DriveState, ParserOptions
+from roadweave.operators.components import connected_components
+from roadweave.storage import materialize
 
-UPDATES = "drive long, frames long, nodes long, edges long, graphs long, near long"
+UPDATES = "drive long, frame long, kind string, a long, b long, x double, y double, cls long, fallback long"
+COLUMNS = [c.split()[0] for c in UPDATES.split(", ")]
 
 
-def fold_stream(boxes: DataFrame, options: ParserOptions = ParserOptions()) -> DataFrame:
-    """A running count of each drive's graphs as frames of boxes arrive, in order within a batch."""
+def fold_stream(boxes: DataFrame, options: ParserOptions = ParserOptions(), hold: int = 0) -> DataFrame:
+    """Nodes and edges of each drive's graphs as frames of boxes arrive.
+
+    A node row is new, or moves the node of that id; edges come once. Frames are
+    folded in order: the last ``hold`` ones wait for stragglers, and a frame
+    that arrives after a later one was folded is a row of kind ``late`` and is
+    not folded. ``graphs_of`` makes graphs of the rows.
+    """
+    names = [c.split()[0] for c in BOXES.split(", ")]
 
     def run(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        frames, fold = (state.get[0], pickle.loads(state.get[1])) if state.exists else (0, DriveState())
-        pdf = pd.concat(batches)
-        for _, part in pdf.sort_values("frame").groupby("frame"):
+        last, waiting, fold = pickle.loads(state.get[0]) if state.exists else (-1, None, DriveState())
+        parts = [p[names] for p in batches]
+        pdf = pd.concat(parts if waiting is None else [waiting, *parts], ignore_index=True)
+        rows = [(key[0], int(f), "late", None, None, None, None, None, None) for f in sorted(pdf.loc[pdf["frame"] <= last, "frame"].unique())]
+        pdf = pdf[pdf["frame"] > last]
+        until = pdf["frame"].max() - hold
+        waiting = pdf[pdf["frame"] > until]
+        for frame, part in pdf[pdf["frame"] <= until].sort_values("frame").groupby("frame"):
             fold.frame(part, options)
-            frames += 1
-        state.update((frames, pickle.dumps(fold)))
-        yield pd.DataFrame([(key[0], frames, len(fold.nodes), len(fold.edges), len({fold.root(k) for k in range(len(fold.nodes))}), len(fold.near))], columns=[c.split()[0] for c in UPDATES.split(", ")])
+            nodes, edges = fold.drain_rows()
+            rows += [(key[0], int(frame), "node", *n) for n in nodes] + [(key[0], int(frame), "edge", a, b, None, None, None, None) for a, b in edges]
+            fold.forget()
+            last = int(frame)
+        state.update((pickle.dumps((last, waiting, fold)),))
+        yield pd.DataFrame(rows, columns=COLUMNS).astype({c: "Int64" for c in ("drive", "frame", "a", "b", "cls", "fallback")} | {"x": "float64", "y": "float64"})
+
+    return boxes.groupBy("drive").applyInPandasWithState(run, UPDATES, "fold binary", "append", "NoTimeout")
+
 
-    return boxes.groupBy("drive").applyInPandasWithState(run, UPDATES, "frames long, fold binary", "update", "NoTimeout")
+def graphs_of(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Nodes (drive, graph, node, x, y, cls, fallback) and edges (drive, graph, src, dst) of what ``fold_stream`` has emitted; a graph is named by its least node."""
+    rows = materialize(rows, "folded")
+    last = Window.partitionBy("drive", "a").orderBy(F.desc("frame"))
+    nodes = rows.where("kind = 'node'").withColumn("__k", F.row_number().over(last)).where("__k = 1").select("drive", F.col("a").alias("node"), "x", "y", "cls", "fallback")
+    edges = rows.where("kind = 'edge'").select("drive", F.col("a").alias("src"), F.col("b").alias("dst")).distinct()
+    of = connected_components(edges.select(F.struct("drive", F.col("src").alias("node")).alias("src"), F.struct("drive", F.col("dst").alias("node")).alias("dst")))
+    of = of.select(F.col("node.drive").alias("drive"), F.col("node.node").alias("node"), F.col("component.node").alias("graph"))
+    named = nodes.join(of, ["drive", "node"], "left").withColumn("graph", F.coalesce("graph", "node"))
+    return named.select("drive", "graph", "node", "x", "y", "cls", "fallback"), edges.join(named.select("drive", "graph", F.col("node").alias("src")), ["drive", "src"]).select("drive", "graph", "src", "dst")
 
 
 def stream_extents(positions: DataFrame, delay: str = "10 minutes", window: str = "5 minutes") -> DataFrame:

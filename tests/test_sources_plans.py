@@ -132,17 +132,24 @@ def test_long_rectangles_are_split():
 
 def test_fold_as_a_stream(spark, tmp_path):
     o = boxparser.ParserOptions(window=16, overlap=8)
-    boxes = boxparser.find_boxes(regions(spark), o)
-    boxes.where("frame < 2").write.parquet(str(tmp_path / "in/a"))
-    stream = spark.readStream.schema(boxes.schema).option("recursiveFileLookup", True).parquet(str(tmp_path / "in"))
-    q = drives.fold_stream(stream, o).writeStream.outputMode("update").format("memory").queryName("folded").option("checkpointLocation", str(tmp_path / "c")).start()
-    q.processAllAvailable()
-    boxes.where("frame >= 2").write.parquet(str(tmp_path / "in/b"))
-    q.processAllAvailable()
+    boxes = boxparser.find_boxes(regions(spark, 8), o)
+    q = None
+    for k, frames in enumerate(("frame in (0, 1, 2)", "frame in (3, 5)", "frame in (4, 6)", "frame in (1, 7)")):
+        boxes.where(frames).write.parquet(str(tmp_path / f"in/{k}"))
+        if q is None:
+            stream = spark.readStream.schema(boxes.schema).option("recursiveFileLookup", True).parquet(str(tmp_path / "in"))
+            q = drives.fold_stream(stream, o, hold=1).writeStream.outputMode("append").format("memory").queryName("folded").option("checkpointLocation", str(tmp_path / "c")).start()
+        q.processAllAvailable()
     q.stop()
-    last = spark.table("folded").orderBy(F.desc("frames")).first()
-    whole = boxparser.fold_drives(boxes, o)
-    assert (last["frames"], last["graphs"]) == (4, 1) and last["nodes"] == whole.where("kind = 'node'").count()
+    rows = spark.table("folded")
+    # frame 4 came while 5 was waiting; frame 1 came too late; 7 still waits
+    assert [r["frame"] for r in rows.where("kind = 'late'").collect()] == [1]
+    assert {r["frame"] for r in rows.where("kind = 'node'").collect()} <= set(range(7))
+    n, e = drives.graphs_of(rows)
+    whole = boxparser.fold_drives(boxes.where("frame < 7"), o)
+    at = lambda df, *c: sorted(tuple(round(x, 6) for x in r) for r in df.select(*c).collect())
+    assert at(n, "node", "x", "y") == at(whole.where("kind = 'node'"), "a", "x", "y") and n.select("graph").distinct().count() == 1
+    assert at(e, "src", "dst") == at(whole.where("kind = 'edge'"), "a", "b")
 
 
 def test_stream_extents(spark, tmp_path):
