@@ -57,7 +57,7 @@ def boxes_of(best: np.ndarray, second: np.ndarray, o: ParserOptions) -> list[tup
             for k in range(1, blobs.max(initial=0) + 1):
                 r, c = np.nonzero(blobs == k)
                 rect = shapes.min_area_rectangle(np.column_stack([c, r + lo]).astype(float))
-                if shapes.polygon_area(shapes.convex_hull(np.column_stack([c, r]))) < o.min_box_area:
+                if shapes.contour_area(blobs == k) < o.min_box_area:
                     continue
                 others = second[r + lo, c]
                 others = others[others != 0]

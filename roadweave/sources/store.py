@@ -96,14 +96,33 @@ def osm_elements(points: DataFrame, ways: DataFrame, lanelets: DataFrame) -> Dat
 
 
 def write_osm(elements: DataFrame, path: str, origin: tuple[float, float], zone: str, origin_format: str = "map metres") -> None:
-    """The map as one OSM file and its description (S18, Q28), written row by row by the driver."""
-    with open(path, "w", encoding="utf-8") as f:
-        f.write('<?xml version="1.0" encoding="UTF-8"?>\n<osm version="0.6" generator=' + quoteattr("roadweave") + ">\n")
-        for r in elements.orderBy("part", "id").select("value").toLocalIterator():
-            f.write(f"  {r['value']}\n")
-        f.write("</osm>\n")
-    with open(f"{path}.info.json", "w", encoding="utf-8") as f:
-        json.dump({"origin": list(origin), "origin_format": origin_format, "zone": zone}, f)
+    """The map as one OSM file and its description.
+
+    Executors write the elements in order, as parts of ``path``.parts; the
+    driver only joins these files in the store that holds them.
+    """
+    spark = elements.sparkSession
+    ends = spark.createDataFrame([(0, 0, '<?xml version="1.0" encoding="UTF-8"?>\n<osm version="0.6" generator=' + quoteattr("roadweave") + ">"), (9, 0, "</osm>")], "part int, id long, value string")
+    elements.unionByName(ends).orderBy("part", "id").select("value").write.mode("overwrite").text(f"{path}.parts")
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop
+    at = hadoop.fs.Path(f"{path}.parts")
+    fs = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    out = fs.create(hadoop.fs.Path(path), True)
+    for name in sorted(f.getPath().getName() for f in fs.listStatus(at)):
+        if name.startswith("part-"):
+            part = fs.open(hadoop.fs.Path(at, name))
+            hadoop.io.IOUtils.copyBytes(part, out, 1 << 20, False)
+            part.close()
+    out.close()
+    fs.delete(at, True)
+    info = fs.create(hadoop.fs.Path(f"{path}.info.json"), True)
+    info.write(bytearray(json.dumps({"origin": list(origin), "origin_format": origin_format, "zone": zone}).encode()))
+    info.close()
+
+
+def map_image(coloured: DataFrame) -> DataFrame:
+    """(map, image binary): all pixels of a stitched and coloured map as one PNG (S17), for a map that fits one task: coarsen it first."""
+    return chunk_images(coloured.withColumn("map", F.lit(0).cast("long")), "map")
 
 
 def image_pixels(images: DataFrame) -> DataFrame:

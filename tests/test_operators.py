@@ -367,6 +367,16 @@ def test_common_area_of_any_rings():
     assert not shapes.is_simple(np.array([[0, 0], [2, 2], [2, 0], [0, 2]], float))
 
 
+def test_contours_enclose_holes_and_cut_corners():
+    square = np.ones((4, 4), bool)
+    ring = square.copy()
+    ring[1:3, 1:3] = False
+    assert shapes.contour_area(square) == shapes.contour_area(ring) == 9.0
+    assert shapes.contour_area(np.eye(5, dtype=bool)) == shapes.contour_area(np.ones((1, 7), bool)) == 0.0
+    diamond = np.array([[0, 1, 0], [1, 1, 1], [0, 1, 0]], bool)
+    assert shapes.contour_area(diamond) == 2.0 and shapes.contour_area(np.zeros((2, 2), bool)) == 0.0
+
+
 def test_smoothing_along_diagonals_equals_the_dense_solution():
     for n in (3, 4, 5, 30):
         y, d = np.random.default_rng(n).normal(size=n), np.diff(np.eye(n), 2, axis=0)
