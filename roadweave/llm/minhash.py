@@ -24,8 +24,6 @@ SEED = 11
 ASKED = 48
 PER_LONG = 64 // LOW_BITS
 LONGS = BINS // PER_LONG
-#: Ranges of doc_id within which the next document is found by sorting.
-RANGES = 200
 
 _M = (1 << 64) - 1
 
@@ -117,20 +115,17 @@ def likeness(a: Column, b: Column) -> Column:
 def next_ids(ids: DataFrame) -> DataFrame:
     """(doc_id, next_id) in descending order of distinct ids, null last; the last is followed by the first.
 
-    Ids are cut into ranges by quantiles and sorted in each; only one row a range meets in one task.
+    Ids are cut into ranges, as many as the session's partitions, and sorted in
+    each; only one row a range meets in one task.
     """
-    step = [k / RANGES for k in range(1, RANGES)]
-    cuts = ids.agg(F.percentile_approx("doc_id", step, 10_000).alias("q")).first()["q"] or []
-    part = F.size(F.filter(F.lit(sorted(set(cuts))), lambda c: c < F.col("doc_id"))) if cuts else F.lit(0)
-    rows = ids.withColumn("part", F.when(F.col("doc_id").isNull(), -1).otherwise(part))
-    rows = materialize(rows, "ids")
+    order = F.col("doc_id").desc_nulls_last()
+    rows = materialize(ids.select("doc_id").repartitionByRange(order).withColumn("part", F.spark_partition_id()), "ids")
     firsts = rows.groupBy("part").agg(F.max("doc_id").alias("first"))
-    alone = Window.orderBy(F.col("part").desc())
+    alone = Window.orderBy("part")
     whole = alone.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     begins = F.struct("first")
     after = firsts.select("part", F.coalesce(F.lead(begins).over(alone), F.first(begins).over(whole))["first"].alias("after"))
-    inside = Window.partitionBy("part").orderBy(F.col("doc_id").desc_nulls_last())
-    rows = rows.withColumn("lead", F.lead(F.struct("doc_id")).over(inside))
+    rows = rows.withColumn("lead", F.lead(F.struct("doc_id")).over(Window.partitionBy("part").orderBy(order)))
     return rows.join(F.broadcast(after), "part").select("doc_id", F.when(F.col("lead").isNull(), F.col("after")).otherwise(F.col("lead")["doc_id"]).alias("next_id"))
 
 

@@ -304,11 +304,54 @@ def test_minhash_odd_rows(spark, odd, none):
     assert one["near_next"] == 1.0
 
 
-def test_next_ids_over_many_ranges(spark, monkeypatch):
-    ids = [3, 9, 10, 11, 400, 401, 7_000_000_000, -5]
-    got = {r["doc_id"]: r["next_id"] for r in minhash.next_ids(spark.createDataFrame([(i,) for i in ids], "doc_id long")).collect()}
-    order = sorted(ids, reverse=True)
-    assert got == dict(zip(order, order[1:] + order[:1], strict=True))
+def test_next_ids_over_many_ranges(spark):
+    for ids in ([3, 9, 10, 11, 400, 401, 7_000_000_000, -5, None], [4], list(range(0, 3000, 7))):
+        got = {r["doc_id"]: r["next_id"] for r in minhash.next_ids(spark.createDataFrame([(i,) for i in ids], "doc_id long").repartition(4)).collect()}
+        order = sorted((i for i in ids if i is not None), reverse=True) + [None] * (None in ids)
+        assert got == dict(zip(order, order[1:] + order[:1], strict=True))
+
+
+def fingerprint_by_hand(text):
+    """The fingerprint from its definition: bins, optimal densification, low bits; XXH64 of Spark's longs and strings."""
+    import struct
+
+    signed = lambda x: x - 2**64 if x >= 2**63 else x
+    w = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text).encode().split()
+    if not w:
+        return "0" * 256
+    each = [xxhash.xxh64_intdigest(x, seed=42) for x in w]
+
+    def chain(values):
+        h = 42
+        for v in values:
+            h = xxhash.xxh64_intdigest(struct.pack("<q", signed(v)), seed=h)
+        return h
+
+    runs = [chain(each[k : k + 5]) for k in range(len(w) - 4)] if len(w) >= 5 else None
+    if runs is None:
+        return None  # of fewer words the array is hashed as one; left to the other tests
+    bins = {}
+    for h in map(signed, runs):
+        b = (h >> 57) + 64
+        bins[b] = min(bins.get(b, h), h)
+    low = []
+    for b in range(128):
+        asked = [b, *[(b * (minhash._mix(2 * t + 11) % 128 | 1) + minhash._mix(2 * t + 1 + 11) % 128) % 128 for t in range(48)]]
+        hit = next((x for x in asked if x in bins), None)
+        if hit is None:
+            return None
+        low.append(bins[hit] & 255)
+    return "".join(f"{v:02x}" for v in low)
+
+
+def test_minhash_fingerprints_by_hand(spark, sf):
+    texts = {d["doc_id"]: d["text"] for d in load(spark, sf, "documents")}
+    seen = 0
+    for r in queries.op7_minhash(spark, sf).collect():
+        want = fingerprint_by_hand(texts[r["doc_id"]])
+        seen += want is not None
+        assert want is None or r["fingerprint"] == want
+    assert seen > 150
 
 
 # Token counts
