@@ -60,15 +60,19 @@ def hops(edges: DataFrame, sources: DataFrame, most: int | None = None) -> DataF
     """(node, hop): fewest steps from any source (src, dst edges; node sources).
 
     All nodes that can be reached, or those at most ``most`` steps away.
-    One join of the frontier a step, against nodes seen; the frontier is written
-    to the shared folder so that lineage stays short.
+    One join of the frontier a step. Neighbours of a frontier are in it, in the
+    one before or in the next, so only these two are compared with what is
+    reached, not all nodes seen; each frontier is written to the shared folder
+    so that lineage stays short.
     """
     both = edges.select("src", "dst").unionAll(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"))).where("src <> dst").distinct()
     both = materialize(both, "hop-edges")
     seen = frontier = materialize(sources.select("node").distinct().withColumn("hop", F.lit(0)), "hops")
+    before = None
     for k in count(1) if most is None else range(1, most + 1):
         reached = frontier.join(both, F.col("node") == F.col("src")).select(F.col("dst").alias("node")).distinct()
-        frontier = materialize(reached.join(seen, "node", "left_anti").withColumn("hop", F.lit(k)), "hops")
+        known = frontier.select("node") if before is None else frontier.select("node").unionAll(before.select("node"))
+        before, frontier = frontier, materialize(reached.join(known, "node", "left_anti").withColumn("hop", F.lit(k)), "hops")
         if frontier.isEmpty():
             break
         seen = seen.unionByName(frontier)

@@ -16,7 +16,7 @@ from roadweave.functions import geometry as g
 from roadweave.functions import shapes
 from roadweave.operators import grid
 from roadweave.operators.graphs import undirected
-from roadweave.storage import COMPACT_ROUNDS, materialize
+from roadweave.storage import COMPACT_ROUNDS, materialize, release
 
 # Type and subtype of a line class in the output map; other classes have none.
 LINE_TYPES = {
@@ -157,7 +157,9 @@ def repair_holes(lines: DataFrame, lanes: DataFrame, max_nodes: int = 6, max_deg
         join = pick.join(part, "short").groupBy("ls").agg(F.max(F.when(F.col("before") == 0, F.col("part"))).alias("after"), F.max(F.when(F.col("before") == 1, F.col("part"))).alias("before"))
         whole = lambda c: F.concat(F.coalesce(F.slice(F.col("before")[c], F.lit(1), F.size(F.col("before")[c]) - 1), F.slice(c, F.lit(1), F.lit(0))), F.col(c), F.coalesce(F.slice(F.col("after")[c], F.lit(2), F.size(F.col("after")[c])), F.slice(c, F.lit(1), F.lit(0))))
         kept = now.join(pick.select(F.col("short").alias("ls")), "ls", "left_anti").join(join, "ls", "left")
-        now = materialize(kept.select("ls", "graph", "cls", whole("nodes").alias("nodes"), whole("xy").alias("xy")), "lines")
+        before_round, now = now, materialize(kept.select("ls", "graph", "cls", whole("nodes").alias("nodes"), whole("xy").alias("xy")), "lines")
+        release(before_round)
+        release(pick)
 
 
 def annotate_side(nodes: DataFrame, cars: DataFrame, right_box: tuple[float, float] = (10.0, 10.0), left_box: tuple[float, float] = (10.0, 10.0), radius: float = 25.0, node_id: str = "node", frame: str = "frame") -> DataFrame:
@@ -209,7 +211,9 @@ def fill_elevation(nodes: DataFrame, radius: float, node_id: str = "node", neare
         found = materialize(found, "elevation-found")
         if found.isEmpty():
             break
-        current = materialize(current.join(found, node_id, "left").withColumn("ele", F.coalesce("ele", "__e")).drop("__e"), "elevation")
+        before, current = current, materialize(current.join(found, node_id, "left").withColumn("ele", F.coalesce("ele", "__e")).drop("__e"), "elevation")
+        release(before)
+        release(found)
     return current
 
 
