@@ -419,6 +419,69 @@ def test_the_direction_travels_with_the_split(spark):
     assert {(r["graph"], r["node"]) for r in seen.collect()} == {(0, 4), (1, 4), (2, 4)}
 
 
+def splits_by_hand(nodes, edges, sources, least, most, tolerance, max_degrees, path_len):
+    """The rules of the propagation, node by node, round by round."""
+    adj = defaultdict(set)
+    for gr, a, b in edges:
+        adj[gr, a].add(b)
+        adj[gr, b].add(a)
+
+    def close(gr, n):
+        seen, level = {n}, {n}
+        for _ in range(path_len - 1):
+            level = {m for k in level for m in adj[gr, k]} - seen
+            seen |= level
+        return seen
+
+    seen, relations = {}, set()
+    frontier = {k: nodes[k][2:] for k in sources}
+    for r in range(1000):
+        seen |= {k: r for k in frontier}
+        reached = {}
+        for (gr, n), (dx, dy) in sorted(frontier.items()):
+            x, y = nodes[gr, n][:2]
+            size = math.hypot(dx, dy)
+            ux, uy = dx / size, dy / size
+            found = defaultdict(list)
+            for (g2, m), (px, py, *_) in nodes.items():
+                d = math.hypot(px - x, py - y)
+                if (g2, m) == (gr, n) or not least <= d <= most:
+                    continue
+                along, across = (px - x) * ux + (py - y) * uy, (py - y) * ux - (px - x) * uy
+                off = math.hypot(along, max(0.0, abs(across) - most))
+                arms = [(nodes[g2, k][0] - px, nodes[g2, k][1] - py) for k in adj[g2, m]]
+                if off > tolerance or not any(abs(a * ux + b * uy) / math.hypot(a, b) >= math.cos(math.radians(max_degrees)) for a, b in arms):
+                    continue
+                beside = [k for k in adj[g2, m] if (g2, k) in seen]
+                to = min(beside) if beside else m
+                if (g2, to) != (gr, n):
+                    found[g2].append((off * d, to))
+            for g2, candidates in found.items():
+                taken = []
+                for _, m in sorted(candidates):
+                    if not close(g2, m) & set(taken):
+                        taken.append(m)
+                for m in taken:
+                    relations |= {(gr, n, g2, m), (g2, m, gr, n)}
+                    reached[g2, m] = min(reached.get((g2, m), ((gr, n), (dx, dy))), ((gr, n), (dx, dy)))
+        frontier = {k: v for k, (_, v) in reached.items() if k not in seen}
+        if not frontier:
+            return seen, relations
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_splits_equal_those_by_hand(spark, seed):
+    rng = random.Random(seed)
+    nodes = {(k, 20 * k + i): (1.5 * i + rng.uniform(-0.3, 0.3), 2.6 * k + rng.uniform(-0.4, 0.4), 1.0, rng.uniform(-0.2, 0.2)) for k in range(5) for i in range(12)}
+    edges = [(k, 20 * k + i, 20 * k + i + 1) for k in range(5) for i in range(11)]
+    sources = [(0, 3), (2, 48), (4, 91)]
+    want = splits_by_hand(nodes, edges, sources, 1.2, 4.5, 0.5, 70.0, 5)
+    df = spark.createDataFrame([(*k, *v) for k, v in nodes.items()], "graph long, node long, x double, y double, dx double, dy double")
+    seen, relations = lanes.propagate_splits(df, spark.createDataFrame(sources, "graph long, node long"), 1.2, 4.5, 0.5, edges=spark.createDataFrame(edges, "graph long, src long, dst long"))
+    assert {(r["graph"], r["node"]): r["round"] for r in seen.collect()} == want[0]
+    assert {tuple(r) for r in relations.collect()} == want[1] and len(want[0]) > 5
+
+
 def test_lane_sides_follow_annotations(spark):
     lines = spark.createDataFrame([(1, 0, 0, 9, 0.0, 0.0), (2, 1, 5, 6, 0.0, 3.0)], "ls long, graph long, first long, last long, cx double, cy double")
     rel = lanes.symmetric(spark.createDataFrame([(0, 0, 1, 5), (0, 9, 1, 6)], "graph long, node long, other_graph long, other_node long"))
