@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadweave.llm import chat, decontam, langid, lm, minhash, mixing, sharding, simhash, tokencounts, warc
+from roadweave.llm import chat, decontam, itemsets, langid, linededup, lm, merkle, minhash, mixing, sharding, simhash, tokencounts, warc
 from roadweave.llm.words import word_count
 from roadweave.storage import materialize, new_path
 
@@ -165,6 +165,124 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rollup.totals()
 
 
+def op11_itemsets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Closed itemsets of all sales and their rules."""
+    rows = table(spark, sf_dir, "sale_lines").select("sale_id", "item_id")
+    found = itemsets.closed_itemsets(rows, "sale_id", "item_id", least=5, share=20_000)
+    return itemsets.rules(found)
+
+
+OP11_SQL = r"""
+with recursive r as (
+  select distinct sale_id as t, item_id as i from sale_lines where sale_id is not null and item_id is not null
+), b as (select greatest(5, ceil(count(distinct t) / 20000.0)) as need, count(distinct t) as n from r),
+f as (select i, count(*) as n from r group by i having count(*) >= (select need from b)),
+k as (select r.t, r.i from r join f using (i)),
+s(items, tids) as (
+  select [i], list(t) from k group by i
+  union all
+  select list_append(x.items, k.i), list(k.t) from (select items, unnest(tids) as t from s) x join k on k.t = x.t and k.i > x.items[len(x.items)]
+  group by list_append(x.items, k.i) having count(*) >= (select need from b)
+), q as (
+  select items, len(tids) as support from s
+), u as (
+  select items, support, c, list_filter(items, lambda z: z <> c) as rest from (select items, support, unnest(items) as c from q where len(items) > 1)
+), z as (
+  select items, support from q where not exists (select 1 from u where u.rest = q.items and u.support = q.support)
+), v as (
+  select u.items, u.c, a.support as a, f.n as s, u.support from u join q a on a.items = u.rest join f on f.i = u.c
+), w as (
+  select items, count(*) as n_rules, arg_min(c, row(a, c)) as best_item, string_agg(c || ':' || a || ':' || s, ';' order by c) as text
+  from v where 100 * support >= 60 * a and support * (select n from b) > a * s group by 1
+)
+select array_to_string(z.items, ',') as items, len(z.items)::bigint as n_items, z.support::bigint as support, coalesce(w.n_rules, 0)::bigint as n_rules, w.best_item, sha256(coalesce(w.text, '')) as rules_sha256
+from z left join w on w.items = z.items
+"""
+
+
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's leaf, proof and root; half of the documents are checked against a text without line ends."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "n_chars", "text")
+    leaf = lambda text: merkle.leaf_hash(F.col("doc_id"), F.col("source"), F.col("lang"), F.col("n_chars"), text)
+    cut = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 2 == 0, F.lit(False))
+    rows = docs.select("doc_id", "source", leaf(F.col("text")).alias("leaf"), leaf(F.when(cut, F.translate("text", "\n", "")).otherwise(F.col("text"))).alias("seen"))
+    found, root = merkle.manifest(rows)
+    out = merkle.verify(found, root, F.col("seen"))
+    return out.select("doc_id", "leaf", "subroot", F.lit(root).alias("root"), merkle.proof_hash(F.col("path")).alias("proof_sha256"), "folded_root", "verified")
+
+
+OP12_SQL = r"""
+with recursive bits as (
+  -- eight steps a byte: the byte enters at the first of them
+  select doc_id, flatten(list_transform(range(1, length(doc_id::varchar) + 1), lambda i: [ascii(substr(doc_id::varchar, i, 1))::bigint, 0, 0, 0, 0, 0, 0, 0])) as x from (select distinct doc_id from documents where doc_id is not null)
+), crc as (
+  select doc_id, xor(list_reduce(list_prepend(4294967295::bigint, x), lambda c, b: xor(xor(c, b) >> 1, (xor(c, b) & 1) * 3988292384::bigint)), 4294967295::bigint) as crc from bits
+), d as (
+  select row_number() over () as r, d.*, coalesce(crc.crc % 2 = 0, false) as cut from documents d left join crc using (doc_id)
+), e as (
+  select r, doc_id, source,
+    coalesce(strlen(doc_id::varchar) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-') || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(n_chars::varchar) || ':' || n_chars, '-') as head,
+    text, case when cut then replace(text, chr(10), '') else text end as seen
+  from d
+), l as (
+  select r, doc_id, source, sha256(head || coalesce(strlen(text) || ':' || text, '-')) as leaf, sha256(head || coalesce(strlen(seen) || ':' || seen, '-')) as seen from e
+), g as (
+  select *, dense_rank() over (order by source nulls first) - 1 as gid, row_number() over (partition by source order by doc_id nulls first, leaf) - 1 as i from l
+), t(gid, k, i, n, h) as (
+  select gid, 0, i, count(*) over (partition by gid), leaf from g
+  union all
+  select gid, k + 1, i // 3, (n + 2) // 3, sha256(string_agg(h, '' order by i)) from t where n > 1 group by gid, k, n, i // 3
+), top as (
+  select gid, k, h from t where n = 1
+), s(k, i, n, h) as (
+  select 0, gid, count(*) over (), h from top
+  union all
+  select k + 1, i // 3, (n + 2) // 3, sha256(string_agg(h, '' order by i)) from s where n > 1 group by k, n, i // 3
+), own as (
+  select g.r, t.k, g.i // (3 ** t.k)::bigint as at from g join (select distinct gid, k from t where n > 1) t on t.gid = g.gid
+), sib as (
+  select own.r, own.k, coalesce(string_agg(t.h, '' order by t.i) filter (t.i < own.at), '') as a, coalesce(string_agg(t.h, '' order by t.i) filter (t.i > own.at), '') as b
+  from own join g on g.r = own.r join t on t.gid = g.gid and t.k = own.k and t.i // 3 = own.at // 3 group by 1, 2
+), above as (
+  select x.gid, x.k, coalesce(string_agg(s.h, '' order by s.i) filter (s.i < x.at), '') as a, coalesce(string_agg(s.h, '' order by s.i) filter (s.i > x.at), '') as b
+  from (select top.gid, m.k, top.gid // (3 ** m.k)::bigint as at from top, (select distinct k from s where n > 1) m) x join s on s.k = x.k and s.i // 3 = x.at // 3 group by 1, 2
+), way as (
+  select r, k, a, b from sib union all select g.r, 1000 + above.k, a, b from g join above on above.gid = g.gid
+), path as (
+  select r, row_number() over (partition by r order by k) as step, a, b from way
+), fold(r, step, h) as (
+  select r, 0, seen from g
+  union all
+  select f.r, f.step + 1, sha256(p.a || f.h || p.b) from fold f join path p on p.r = f.r and p.step = f.step + 1
+), last as (
+  select r, arg_max(h, step) as h from fold group by 1
+), proof as (
+  select r, sha256(string_agg(a || b, '' order by step)) as p from path group by 1
+), root as (select h as root from s where n = 1)
+select g.doc_id, g.leaf, top.h as subroot, root.root, coalesce(proof.p, sha256('')) as proof_sha256, last.h as folded_root, last.h = root.root as verified
+from g join top using (gid) join last using (r) left join proof using (r) cross join root
+"""
+
+
+def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the lines that an earlier document holds."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = linededup.with_kept(docs, linededup.dedup_lines(docs))
+    return out.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+OP13_SQL = r"""
+with d as (select row_number() over () as r, doc_id, string_split(coalesce(text, ''), chr(10)) as a from documents),
+l as (select r, doc_id, unnest(a) as line, generate_subscripts(a, 1) as p from d),
+k as (
+  select r, doc_id, line, p, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as key from l
+), o as (select key, min(doc_id) as least from k where length(key) >= 10 group by key),
+m as (select k.*, coalesce(o.least is not null and k.doc_id is distinct from o.least, false) as gone from k left join o on k.key = o.key)
+select any_value(doc_id) as doc_id, count(*) as n_lines, count(*) filter (gone) as n_dropped, sha256(coalesce(string_agg(line, chr(10) order by p) filter (not gone), '')) as kept_sha256
+from m group by r
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_sharding": op1_sharding,
@@ -177,8 +295,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_mixing": op8_mixing,
         "op9_token_counts": op9_token_counts,
         "op10_simhash": op10_simhash,
+        "op11_itemsets": op11_itemsets,
+        "op12_merkle": op12_merkle,
+        "op13_line_dedup": op13_line_dedup,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_chat_format": OP4_SQL, "op8_mixing": OP8_SQL}
+    return {"op4_chat_format": OP4_SQL, "op8_mixing": OP8_SQL, "op11_itemsets": OP11_SQL, "op12_merkle": OP12_SQL, "op13_line_dedup": OP13_SQL}
