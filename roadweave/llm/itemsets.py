@@ -41,27 +41,32 @@ class Itemsets:
     baskets: int
 
 
+def _hashes() -> list[Column]:
+    """Two hashes of a basket; those of a tidset are their sums without carry."""
+    return [F.xxhash64(F.lit(k), "t") for k in (1, 2)]
+
+
 def _xors() -> list[Column]:
-    return [F.bit_xor("h1").alias("x1"), F.bit_xor("h2").alias("x2")]
+    return [F.bit_xor(h).alias(f"x{k}") for k, h in enumerate(_hashes(), 1)]
 
 
 def _meet(rows: DataFrame, table: DataFrame, keys: list[str]) -> DataFrame:
     """Rows joined to a table of one row a key, a frequent key's rows in several parts."""
-    salted = rows.withColumn("__salt", F.pmod("h1", F.lit(SALTS)))
+    salted = rows.withColumn("__salt", F.pmod(F.xxhash64("t"), F.lit(SALTS)))
     held = table.withColumn("__salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
     return salted.join(held.hint("merge"), [*keys, "__salt"]).drop("__salt")
 
 
 def _tails(rows: DataFrame) -> DataFrame:
-    """(path, h1, h2, tail): each basket of a class dealt to its members' classes, with the members after each."""
+    """(path, t, tail): each basket of a class dealt to its members' classes, with the members after each."""
     at = F.explode(F.sequence(F.lit(1), F.size("tail") - 1))
     dealt = rows.where(F.size("tail") > 1).withColumn("__at", at)
-    return dealt.select(F.concat("path", F.array(F.element_at("tail", F.col("__at"))["item"])).alias("path"), "h1", "h2", F.slice("tail", F.col("__at") + 1, F.size("tail")).alias("tail"))
+    return dealt.select(F.concat("path", F.array(F.element_at("tail", F.col("__at"))["item"])).alias("path"), "t", F.slice("tail", F.col("__at") + 1, F.size("tail")).alias("tail"))
 
 
 def _counts(rows: DataFrame) -> DataFrame:
     """(path, m, n2, x1, x2): how many baskets of a class hold each member, and their hash."""
-    return rows.select("path", "h1", "h2", F.explode("tail").alias("m")).groupBy("path", "m").agg(F.count("*").alias("n2"), *_xors())
+    return rows.select("path", "t", F.explode("tail").alias("m")).groupBy("path", "m").agg(F.count("*").alias("n2"), *_xors())
 
 
 def _long_limit(baskets: DataFrame, need: int) -> int:
@@ -172,17 +177,17 @@ def closed_itemsets(rows: DataFrame, basket: str, item: str, least: int = 5, sha
     ``share`` times the mean basket, which bounds a basket's frequent items.
     """
     named = rows.select(F.col(basket).alias("t"), F.col(item).cast("long").alias("item")).where("t is not null and item is not null").distinct()
-    pairs = materialize(named.select("item", "t", F.xxhash64(F.lit(1), "t").alias("h1"), F.xxhash64(F.lit(2), "t").alias("h2")), "itemset-pairs")
+    pairs = materialize(named, "itemset-pairs")
     n_baskets = pairs.select("t").distinct().count()
     need = max(least, -(-n_baskets // share))
     frequent = materialize(pairs.groupBy("item").agg(F.count("*").alias("n"), *_xors()).where(F.col("n") >= need), "itemset-items")
     kept = _meet(pairs, frequent.select("item", "n"), ["item"])
-    baskets = kept.groupBy("t", "h1", "h2").agg(F.sort_array(F.collect_list(F.struct("n", "item"))).alias("items"))
-    baskets = materialize(baskets.where(F.size("items") > 1).drop("t"), "itemset-baskets")
+    baskets = kept.groupBy("t").agg(F.sort_array(F.collect_list(F.struct("n", "item"))).alias("items"))
+    baskets = materialize(baskets.where(F.size("items") > 1), "itemset-baskets")
 
     limit = _long_limit(baskets, need)
     none = F.expr("cast(array() as array<long>)")
-    tails = _tails(baskets.where(F.size("items") <= limit).select(none.alias("path"), "h1", "h2", F.col("items").alias("tail")))
+    tails = _tails(baskets.where(F.size("items") <= limit).select(none.alias("path"), "t", F.col("items").alias("tail")))
     counts = _counts(tails)
     long_ones = baskets.where(F.size("items") > limit)
     if n_long := long_ones.count():
@@ -207,13 +212,13 @@ def closed_itemsets(rows: DataFrame, basket: str, item: str, least: int = 5, sha
 def _long_baskets(long_ones: DataFrame, counts: DataFrame, least: int) -> tuple[DataFrame, DataFrame]:
     """(tails, counts) with the few long baskets: only pairs that can be frequent without them are looked up in them."""
     short = materialize(counts.where(F.col("n2") >= least), "itemset-pairs-short")
-    cells = long_ones.select("h1", "h2", F.explode("items").alias("m"))
-    left = cells.select(F.array(F.col("m.item")).alias("path"), "h1", "h2")
-    both = short.select("path", "m").join(left, "path").join(cells, ["h1", "h2", "m"]).select("path", "h1", "h2", "m")
+    cells = long_ones.select("t", F.explode("items").alias("m"))
+    left = cells.select(F.array(F.col("m.item")).alias("path"), "t")
+    both = short.select("path", "m").join(left, "path").join(cells, ["t", "m"]).select("path", "t", "m")
     both = materialize(both, "itemset-long")
     whole = short.unionByName(both.groupBy("path", "m").agg(F.count("*").alias("n2"), *_xors()))
     whole = whole.groupBy("path", "m").agg(F.sum("n2").alias("n2"), F.bit_xor("x1").alias("x1"), F.bit_xor("x2").alias("x2"))
-    return both.groupBy("path", "h1", "h2").agg(F.sort_array(F.collect_list("m")).alias("tail")), whole
+    return both.groupBy("path", "t").agg(F.sort_array(F.collect_list("m")).alias("tail")), whole
 
 
 def _level(classes: DataFrame, tails: DataFrame, counts: DataFrame, need: int, class_weight: int) -> tuple[list[DataFrame], tuple[DataFrame, DataFrame] | None]:
@@ -234,11 +239,12 @@ def _level(classes: DataFrame, tails: DataFrame, counts: DataFrame, need: int, c
 
     known = F.transform("members", lambda c: c["m"])
     rows = _meet(tails, held.where("kind <> 'leaf'").select("path", "kind", known.alias("known")), ["path"])
-    rows = rows.select("kind", "path", "h1", "h2", F.array_intersect("tail", "known").alias("tail")).where(F.size("tail") > 0)
+    rows = rows.select("kind", "path", "t", F.array_intersect("tail", "known").alias("tail")).where(F.size("tail") > 0)
     rows = materialize(rows, "itemset-rows")
     described = held.where("kind = 'search'").select(
         "path", F.transform(known, lambda m: m["item"]).alias("members"), F.transform(known, lambda m: m["n"]).alias("member_counts"), F.transform("prefix", lambda m: m["item"]).alias("prefix"), F.transform("prefix", lambda m: m["n"]).alias("prefix_counts"))
-    searched = rows.where("kind = 'search'").select("path", "h1", "h2", F.transform("tail", lambda m: m["item"]).alias("tail"))
+    h1, h2 = _hashes()
+    searched = rows.where("kind = 'search'").select("path", h1.alias("h1"), h2.alias("h2"), F.transform("tail", lambda m: m["item"]).alias("tail"))
     sets = searched.groupBy("path").cogroup(described.groupBy("path")).applyInPandas(_search(need), SETS)
     zipped = F.transform(F.arrays_zip("counts", "items"), lambda z: F.struct(z["counts"].alias("n"), z["items"].alias("item")))
     found.append(sets.select(zipped.alias("items"), "support", "x1", "x2"))
