@@ -37,6 +37,7 @@ MARK_TOKENS = 4
 #: Turn numbers of a conversation that are formatted together, by one task.
 BLOCK_TURNS = 256
 
+
 def escape(text: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(text, r"\\", r"\\\\"), CONTROL, r"$1\\")
 
@@ -67,7 +68,7 @@ def _ranges(turns: DataFrame) -> DataFrame:
     return turns.select(*_null_safe("conv_id", turns), block, turn.alias("t")).groupBy(*KEY).agg(F.sort_array(F.collect_list("t")).alias("p"))
 
 
-def _edges(ranges: DataFrame, budget: int, history_turns: int, history_tokens: int, system_role: str) -> DataFrame:
+def _edges(ranges: DataFrame, history_turns: int, history_tokens: int, system_role: str) -> DataFrame:
     """What each range needs of the conversation before it.
 
     ``first``: whether it is the first range; ``system``: the system turn that
@@ -75,7 +76,7 @@ def _edges(ranges: DataFrame, budget: int, history_turns: int, history_tokens: i
     text of those too long to be repeated; ``i0``: turns before it.
     """
     p = F.col("p")
-    head = F.when((p[0]["role"] == system_role) & (p[0]["tokens"] <= budget // 2), p[0])
+    head = F.when(p[0]["role"] == system_role, p[0])
     end = lambda q: F.transform(F.slice(q, F.greatest(F.size(q) - history_turns + 1, F.lit(1)), F.lit(history_turns)), lambda t: F.struct(F.when(t["tokens"] <= history_tokens, t["role"]).alias("role"), F.when(t["tokens"] <= history_tokens, t["text"]).alias("text"), t["tokens"].alias("tokens")))
     body = F.slice(p, F.lit(2), F.size(p))
     x = ranges.select(*KEY, F.size("p").alias("n"), head.alias("head"), end(p).alias("end"), F.when(head.isNotNull(), end(body)).alias("end_of_first"))
@@ -103,14 +104,15 @@ def windows(
     conversation and whether it is a repeat. A window takes turns of one range
     of turn numbers as long as they fit into what system turn and history leave
     of ``budget``; a longer turn has a window of its own, the only kind that can
-    exceed the budget. Texts are never cut. A leading system turn of more than
-    half the budget is a turn like others and not kept. Null texts and roles are
+    exceed the budget. Texts are never cut. A leading system turn is in every
+    window, however long: where it leaves no room, each other turn has a window
+    of its own with it. Null texts and roles are
     empty; turns of equal number are ordered by role and text, null numbers come
     first; a null conv_id is a conversation; an empty table gives an empty
     result.
     """
     ranges = _ranges(turns)
-    edges = _edges(ranges, budget, history_turns, history_tokens, system_role)
+    edges = _edges(ranges, history_turns, history_tokens, system_role)
     x = ranges.join(edges.hint("merge"), [F.col(c) == F.col(f"e{c}") for c in KEY])
     skip = F.when(F.col("first") & F.col("system").isNotNull(), 1).otherwise(0)
     x = x.withColumn("skip", skip).withColumn("body", F.slice("p", F.col("skip") + 1, F.size("p"))).withColumn("i0", F.col("i0") + F.col("skip"))

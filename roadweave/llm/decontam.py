@@ -11,6 +11,7 @@ and answer.
 
 from __future__ import annotations
 
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 from math import log
@@ -33,13 +34,17 @@ K1, B = 1.2, 0.75
 BLOCK = 16
 #: The share of items from which on a term is bounded only in sum.
 COMMON = 0.1
-#: Bytes of items in one index; a larger benchmark is asked slice by slice, one pass over the documents for each.
-SLICE_BYTES = 32 << 20
+#: Bytes of one index, in the driver and in each Python worker; a larger benchmark is asked slice by slice, one pass over the documents for each.
+INDEX_BYTES = 128 << 20
+#: What a word takes in the index at most, all its arrays and its term counted.
+WORD_BYTES = 256
 #: Words whose passages are looked up together.
 BATCH_WORDS = 60_000
 
 FOUND = "doc_id long, item_id long, bm25 double, overlap double, question_overlap double, answer_overlap double"
 
+#: What ``terms`` takes for a word.
+TERM = r"[A-Za-z0-9\x{80}-\x{10FFFF}]+"
 _WORDS = bytes(c if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
 
 
@@ -48,6 +53,14 @@ def terms(text: str | None) -> list[bytes]:
     return (text or "").lower().encode().translate(_WORDS).split()
 
 
+def shingle_hashes(words: list[bytes], size: int) -> np.ndarray:
+    """64-bit hashes of all runs of ``size`` words, in order."""
+    import xxhash
+
+    runs = zip(*[words[i:] for i in range(size)], strict=False)
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, map(b" ".join, runs)), np.uint64)
+
+
 def _spread(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """Concatenated ranges: starts[i] .. starts[i] + counts[i]."""
     ends = np.cumsum(counts)
@@ -59,17 +72,20 @@ class Index:
 
     def __init__(self, items: list[tuple[int, list[bytes]]], df: dict[bytes, int], n: int, average: float):
         self.ids = [i for i, _ in items]
-        self.words = [w for _, w in items]
-        self.longest = max([SHINGLE, *map(len, self.words)])
-        self.term = {}
-        rows = []
-        for k, w in enumerate(self.words):
+        self.lengths = [len(w) for _, w in items]
+        self.longest = max([SHINGLE, *self.lengths])
+        self.term: dict[bytes, int] = {}
+        terms_, places, weights = array("q"), array("q"), array("d")
+        for k, (_, w) in enumerate(items):
             weight = {t: log(1 + (n - df[t] + 0.5) / (df[t] + 0.5)) * c * (K1 + 1) / (c + K1 * (1 - B + B * len(w) / average)) for t, c in Counter(w).items()}
             own = sum(weight.values())
-            rows += [(self.term.setdefault(t, len(self.term)), k, x / own) for t, x in weight.items()]
-        rows.sort()
-        self.post_term, self.post_item = np.array([r[0] for r in rows], np.int64), np.array([r[1] for r in rows], np.int64)
-        self.post_weight = np.array([r[2] for r in rows], np.float64)
+            for t, x in weight.items():
+                terms_.append(self.term.setdefault(t, len(self.term)))
+                places.append(k)
+                weights.append(x / own)
+        terms_, places, weights = (np.array(x) for x in (terms_, places, weights))
+        order = np.lexsort((places, terms_))
+        self.post_term, self.post_item, self.post_weight = terms_[order], places[order], weights[order]
         self.n_blocks = len(items) // BLOCK + 1
         v = len(self.term)
         # blocks of a term, each with its postings' range and greatest weight
@@ -82,7 +98,7 @@ class Index:
         self.term_max = np.zeros(v)
         np.maximum.at(self.term_max, self.block_key // self.n_blocks, self.block_max)
         self.common = np.array([df[t] > max(1, COMMON * n) for t in self.term], bool)
-        self.shingles = [[b" ".join(w[i : i + SHINGLE]) for i in range(max(1, len(w) - SHINGLE + 1))] for w in self.words]
+        self.shingles = [shingle_hashes(w, min(SHINGLE, len(w))) for _, w in items]
 
     def retrieve(self, passage: np.ndarray, term: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(passage, item, score) of all scores at the threshold, from distinct (passage, term) pairs sorted by passage."""
@@ -120,14 +136,11 @@ class Index:
         good = score >= THRESHOLD - 1e-9
         return pair[good] // len(self.ids), pair[good] % len(self.ids), score[good]
 
-    def verify(self, item: int, passage: list[bytes]) -> tuple[float, float, float]:
-        """Overlap of the item, of its question and of its answer: its last third of shingles."""
-        want = self.shingles[item]
-        size = min(SHINGLE, len(self.words[item]))
-        have = {b" ".join(passage[i : i + size]) for i in range(len(passage) - size + 1)}
-        hit = [s in have for s in want]
-        cut = max(1, (2 * len(want) + 2) // 3)
-        part = lambda x: sum(x) / len(x) if x else 1.0
+    def verify(self, item: int, have: np.ndarray) -> tuple[float, float, float]:
+        """Overlap of the item, of its question and of its answer, its last third of shingles, with a passage's shingles."""
+        hit = np.isin(self.shingles[item], have)
+        cut = max(1, (2 * len(hit) + 2) // 3)
+        part = lambda x: float(x.mean()) if len(x) else 1.0
         return part(hit), part(hit[:cut]), part(hit[cut:])
 
     def search(self, docs: list[list[bytes]]) -> list[tuple[int, int, float, float, float, float]]:
@@ -153,8 +166,14 @@ class Index:
         distinct = np.unique(np.concatenate(pairs))
         passage, item, score = self.retrieve(distinct // len(self.term), distinct % len(self.term))
         best: dict[tuple[int, int], tuple] = {}
+        at, held = None, {}
         for p, i, s in zip(passage.tolist(), item.tolist(), score.tolist(), strict=True):
-            whole, question, answer = self.verify(i, docs[owners[p]][lows[p] : lows[p] + 2 * step])
+            if p != at:
+                at, held = p, {}
+            size = min(SHINGLE, self.lengths[i])
+            if size not in held:
+                held[size] = shingle_hashes(docs[owners[p]][lows[p] : lows[p] + 2 * step], size)
+            whole, question, answer = self.verify(i, held[size])
             if whole >= OVERLAP and min(question, answer) >= PART_OVERLAP:
                 key = (owners[p], i)
                 best[key] = max(best.get(key, (0,)), (s, whole, question, answer))
@@ -183,14 +202,15 @@ def _item_terms(benchmark: DataFrame) -> DataFrame:
 
 
 def _slices(benchmark: DataFrame) -> Iterator[list[tuple]]:
-    """Items, ``SLICE_BYTES`` at a time; the driver holds one slice and one partition that it reads."""
-    held, size = [], 0
+    """Items for one index after another; the driver holds one index's items and one partition that it reads."""
+    held, words = [], 0
     for r in benchmark.select("item_id", "text").toLocalIterator():
-        held.append((r["item_id"], r["text"]))
-        size += len((r["text"] or "").encode())
-        if size >= SLICE_BYTES:
+        n = len(terms(r["text"]))
+        if held and (words + n) * WORD_BYTES > INDEX_BYTES:
             yield held
-            held, size = [], 0
+            held, words = [], 0
+        held.append((r["item_id"], r["text"]))
+        words += n
     if held:
         yield held
 
@@ -226,14 +246,15 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> D
     cut. Null and empty texts hold nothing; repeated documents have rows each,
     equal items too; an empty benchmark or table gives an empty result.
 
-    A benchmark of up to ``SLICE_BYTES`` is one index on every executor. A
-    larger one is asked a slice at a time: its term counts are made by the
-    cluster, the driver holds one slice and its counts, each slice's result is
-    written before the next is read, and each is one pass over the documents.
+    A benchmark whose index is up to ``INDEX_BYTES`` is one index on every
+    executor. A larger one is asked a slice at a time: its term counts are made
+    by the cluster, the driver holds one slice and its counts, each slice's
+    result is written before the next is read, and each is one pass over the
+    documents. An item that is larger by itself is a slice of its own.
     """
     spark = docs.sparkSession
-    size = benchmark.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    if size <= SLICE_BYTES:
+    words = benchmark.agg(F.sum(F.regexp_count("text", F.lit(TERM)))).first()[0] or 0
+    if words * WORD_BYTES <= INDEX_BYTES:
         index = build([(r["item_id"], r["text"]) for r in benchmark.select("item_id", "text").collect()])
         return _search(docs, text, spark.sparkContext.broadcast(index)) if index else spark.createDataFrame([], FOUND)
     counts = materialize(_item_terms(benchmark), "item-terms")

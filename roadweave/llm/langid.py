@@ -11,7 +11,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Bytes of sample text in a language's dictionary: with the number of languages, the bound of the model.
@@ -22,10 +22,11 @@ SAMPLE_CHARS = 16_000
 SAMPLE_TEXTS = 32
 #: Texts are compressed in blocks, as a long text would soon be its own dictionary.
 BLOCK = 4096
-#: A text is rejected where the two smallest sizes differ by less than this share of the smaller,
-#: a byte allowed for rounding: sizes are whole bytes, which is coarse for a short text.
+#: A text is rejected where the two smallest sizes differ by less than this share of the smaller, and always where they are equal.
 REJECT_MARGIN = 0.004
-ROUNDING = 1
+#: Sizes are whole bytes. A text so short that a byte is more than the margin is measured more finely: by what it
+#: adds to so many samples of so many bytes of each language, besides its size with the dictionary.
+CONTEXTS, CONTEXT_BYTES = 16, 1024
 UNKNOWN = "und"
 
 #: ASCII other than letters reads as a space, so that marks, digits and layout weigh nothing.
@@ -38,21 +39,29 @@ def fit(docs: DataFrame, train: Column, text: str = "text", lang: str = "lang",
     """Dictionaries by language, from a sample of the rows where ``train`` holds.
 
     The sample is bounded by ``dict_bytes`` a language and chosen by a hash of
-    the key, so the same table gives the same model. Null languages and null or
-    empty texts teach nothing; no labelled row gives an empty model.
+    key and text, so the same table gives the same model. Repeated rows count
+    once, and null or repeated keys are told apart by their texts. Null
+    languages and null or empty texts teach nothing; no labelled row gives an
+    empty model. The driver receives about twice the dictionaries' bytes a
+    language; the number of languages is the model's own.
     """
-    rows = docs.where(train & F.col(lang).isNotNull() & (F.length(text) > 0)).select(F.col(lang).alias("lang"), F.substring(text, 1, SAMPLE_CHARS).alias("text"), (F.length(text) > SAMPLE_CHARS).alias("long"), F.pmod(F.xxhash64(F.lit(5), F.col(key)), F.lit(1 << 40)).alias("h"))
-    totals = {(r["lang"], r["long"]): (r["size"], r["n"]) for r in rows.groupBy("lang", "long").agg(F.sum(F.octet_length("text")).alias("size"), F.count("*").alias("n")).collect()}
+    whole = F.col(text)
+    rows = docs.where(train & F.col(lang).isNotNull() & (F.length(whole) > 0)).select(F.col(lang).alias("lang"), F.substring(whole, 1, SAMPLE_CHARS).alias("text"), (F.length(whole) > SAMPLE_CHARS).alias("long"), F.pmod(F.xxhash64(F.lit(5), F.col(key), whole), F.lit(1 << 40)).alias("h"))
+    totals = {(r["lang"], r["long"]): (r["size"], r["n"]) for r in rows.groupBy("lang", "long").agg(F.avg(F.octet_length("text")).alias("size"), F.approx_count_distinct("h").alias("n")).collect()}
     # twice the bytes that are needed, and SAMPLE_TEXTS at least, so that chance leaves no language short
     need = 2 * (dict_bytes + SAMPLE_CHARS)
     picked = F.lit(False)
     for (k, long), (size, n) in totals.items():
-        if long and totals.get((k, False), (0, 0))[0] >= need:
+        short_size, short_n = totals.get((k, False), (0, 0))
+        if long and short_size * short_n >= need:
             continue
-        most = int((1 << 40) * min(1.0, max(need / size, SAMPLE_TEXTS / n)))
+        most = int((1 << 40) * min(1.0, 2 * max(need / size, SAMPLE_TEXTS) / n))
         picked = picked | ((F.col("lang") == k) & (F.col("long") == F.lit(long)) & (F.col("h") <= most))
+    once = rows.where(picked).groupBy("lang", "long", "h").agg(F.min("text").alias("text"))
+    before = Window.partitionBy("lang", "long").orderBy("h").rowsBetween(Window.unboundedPreceding, -1)
+    once = once.withColumn("before", F.coalesce(F.sum(F.octet_length("text")).over(before), F.lit(0))).where(F.col("before") < need).drop("before")
     model: dict[str, bytes] = {}
-    for r in sorted(rows.where(picked).collect(), key=lambda r: (r["lang"], r["long"], r["h"], r["text"])):
+    for r in sorted(once.collect(), key=lambda r: (r["lang"], r["long"], r["h"])):
         have = model.get(r["lang"], b"")
         if len(have) < dict_bytes:
             model[r["lang"]] = have + plain(r["text"])[: dict_bytes - len(have)] + b" "
@@ -77,10 +86,18 @@ class Classifier:
             d = zstandard.ZstdCompressionDict(model[k], dict_type=zstandard.DICT_TYPE_RAWCONTENT)
             d.precompute_compress(compression_params=params)
             self.packers.append(zstandard.ZstdCompressor(dict_data=d, compression_params=params).compress)
+        self.pack = zstandard.ZstdCompressor(compression_params=params).compress
+        steps = {k: max(1, len(model[k]) // CONTEXTS) for k in self.langs}
+        parts = [[model[k][i * steps[k] :][:CONTEXT_BYTES] for i in range(CONTEXTS)] for k in self.langs]
+        self.contexts = [[(c, len(self.pack(c))) for c in cs] for cs in parts]
 
     def sizes(self, text: bytes) -> np.ndarray:
+        """What each language makes of a text: bytes with its dictionary, and with its samples where a byte is coarse."""
         blocks = [text[i : i + BLOCK] for i in range(0, len(text), BLOCK)] if len(text) > BLOCK else [text]
-        return np.array([sum(len(p(b)) for b in blocks) for p in self.packers], dtype=np.float64)
+        sizes = np.array([sum(len(p(b)) for b in blocks) for p in self.packers], dtype=np.float64)
+        if sizes.min() * REJECT_MARGIN < 1:
+            sizes = (sizes + [sum(len(self.pack(c + text)) - n for c, n in cs) for cs in self.contexts]) / (1 + CONTEXTS)
+        return sizes
 
     def classify(self, text: str | None) -> tuple[str, float, float, bool]:
         """Language, score, margin, accepted; a text without letters is unknown."""
@@ -94,7 +111,7 @@ class Classifier:
             return self.langs[0], 1.0, 1.0, True
         second = float(np.partition(sizes, 1)[1])
         margin = (second - sizes[best]) / sizes[best]
-        return self.langs[best], float(1.0 / odds.sum()), float(margin), bool(second - sizes[best] + ROUNDING >= REJECT_MARGIN * sizes[best])
+        return self.langs[best], float(1.0 / odds.sum()), float(margin), bool(margin > 0 and margin >= REJECT_MARGIN)
 
 
 def identify(docs: DataFrame, model: dict[str, bytes], text: str = "text") -> DataFrame:

@@ -99,8 +99,8 @@ def kept_text(text: Column, drops: Column) -> Column:
 def with_kept(docs: DataFrame, found: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with n_lines, n_dropped and kept, the text without its dropped lines; columns so named are replaced."""
     names = [c for c in docs.columns if c not in ("n_lines", "n_dropped", "kept")]
-    bitmaps = found.select(F.col("doc.id").alias("__id"), F.col("doc.text").alias("__hash"), F.col("n_dropped").alias("__n"), "drops")
+    bitmaps = found.select(F.col("doc.id").alias("__id"), F.col("doc.text").alias("__hash"), F.col("n_dropped").alias("__n"), F.col("drops").alias("__drops"))
     held = docs.select(*names, F.xxhash64(F.lit(11), text).alias("__text_hash"))
     # a null id has no partner in a plain join, and a null-safe one would be no equi-join on the hash alone
     joined = held.join(bitmaps.hint("merge"), (held["__text_hash"] == bitmaps["__hash"]) & held[id_col].eqNullSafe(bitmaps["__id"]), "left")
-    return joined.select(*names, F.size(lines(F.col(text))).cast("long").alias("n_lines"), F.coalesce("__n", F.lit(0)).cast("long").alias("n_dropped"), kept_text(F.col(text), F.col("drops")).alias("kept"))
+    return joined.select(*names, F.size(lines(F.col(text))).cast("long").alias("n_lines"), F.coalesce("__n", F.lit(0)).cast("long").alias("n_dropped"), kept_text(F.col(text), F.col("__drops")).alias("kept"))

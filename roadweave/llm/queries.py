@@ -53,11 +53,11 @@ with recursive t as (
     length(role) + length(text) + 8 + 1 + 8 + len(regexp_extract_all(role || text, '\\')) + len(regexp_extract_all(text, '[<\[](\||/?s>|/?INST\]|<?/?SYS)')) as chars
   from t window w as (partition by conv_id order by turn nulls first, role, text)
 ), s as (
-  select *, i = 0 and role = 'system' and tokens <= 512 as system from n
+  select *, i = 0 and role = 'system' as system from n
 ), y as (
   select s.*, coalesce(x.tokens, 0) as taken, coalesce(x.chars, 0) as system_chars from s left join (select conv_id, tokens, chars from s where system) x on s.conv_id is not distinct from x.conv_id
 ), b as (
-  select conv_id, block, i, tokens, chars, taken, system_chars, 1024 - 128 - taken as room, row_number() over (partition by conv_id, block order by i) as k from y where not system
+  select conv_id, block, i, tokens, chars, taken, system_chars, greatest(1, 1024 - 128 - taken) as room, row_number() over (partition by conv_id, block order by i) as k from y where not system
 ), g(conv_id, block, i, k, used, first) as (
   select conv_id, block, i, k, tokens, i from b where k = 1
   union all

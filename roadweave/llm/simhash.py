@@ -10,7 +10,7 @@ for certain.
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache, partial
 
 import numpy as np
@@ -24,6 +24,8 @@ from roadweave.storage import materialize
 SHINGLE = 3
 RADIUS = 3
 SEED = 42
+#: Partners of a node that are compared at first.
+FIRST_RANKS = 8
 
 
 @lru_cache
@@ -130,35 +132,88 @@ def bucket_links(fps: np.ndarray, radius: int = RADIUS) -> np.ndarray:
     return np.concatenate(edges) if edges else np.zeros((0, 2), np.int64)
 
 
-def nearest_links(fps: np.ndarray, checks: np.ndarray, radius: int, check_radius: int) -> np.ndarray:
-    """Like ``bucket_links``, where a link also needs ``checks`` (n, 2) within ``check_radius``.
+def first_met(differ: np.ndarray, kept: np.ndarray, t: int) -> np.ndarray:
+    """Which pairs, by the bits in which they differ, meet in table ``t`` and in no earlier one."""
+    alive = np.arange(len(differ))
+    for mask in kept[:t]:
+        if not len(alive):
+            break
+        alive = alive[(differ[alive] & mask) != 0]
+    out = np.zeros(len(differ), bool)
+    out[alive] = True
+    return out
 
-    A class grows by its shortest link in bits of ``checks`` (a least spanning
-    tree), so that links which an exact comparison refuses later part no
-    documents that others hold together.
+
+def ranked_links(x: np.ndarray, component: np.ndarray, kept: np.ndarray, t: int, radius: int, check_radius: int, low: int, high: int) -> tuple[np.ndarray, bool]:
+    """(pairs of places in ``x``, whether more are left) of a bucket of (fingerprint, check, check) rows.
+
+    A row's partners are those within both radii that it meets in no earlier
+    table, by bits of check. It names the ones from rank ``low`` up to ``high``
+    that are of another component. Ranks are the same in every round.
     """
-    fps, checks = fps.astype(np.int64).view(np.uint64), np.ascontiguousarray(checks, np.int64).view(np.uint64)
-    rest = np.arange(len(fps))
-    far = np.uint16(999)
-    edges = []
-    while len(rest) > 1:
-        k, rest = int(rest[0]), rest[1:]
-        best, parent = np.full(len(rest), far), np.full(len(rest), k)
-        while len(rest):
-            near = np.flatnonzero(np.bitwise_count(fps[rest] ^ fps[k]) <= radius)
-            d = np.bitwise_count(checks[rest[near]] ^ checks[k]).sum(1, dtype=np.uint16)
-            closer = (d <= check_radius) & (d < best[near])
-            best[near[closer]], parent[near[closer]] = d[closer], k
-            j = int(best.argmin())
-            if best[j] == far:
-                break
-            k = int(rest[j])
-            edges.append((int(parent[j]), k))
-            rest, best, parent = (np.delete(x, j) for x in (rest, best, parent))
-    return np.array(edges, np.int64).reshape(-1, 2)
-
-
-def link_fingerprints(distinct: DataFrame, radius: int = RADIUS, check_radius: int | None = None) -> DataFrame:
+    fps, checks = x[:, 0].astype(np.int64).view(np.uint64), np.ascontiguousarray(x[:, 1:], np.int64).view(np.uint64)
+    if (component == component[0]).all():
+        return np.zeros((0, 2), np.int64), False
+    found, more = [], False
+    for at in range(0, len(x), 256):
+        differ = fps[at : at + 256, None] ^ fps[None]
+        i, j = np.nonzero(np.bitwise_count(differ) <= radius)
+        keep = i + at != j
+        i, j = i[keep], j[keep]
+        d = np.bitwise_count(checks[i + at] ^ checks[j]).sum(1, dtype=np.uint16)
+        near = np.flatnonzero(d <= check_radius)
+        near = near[first_met(differ[i[near], j[near]], kept, t)]
+        i, j, d = i[near], j[near], d[near]
+        order = np.lexsort((j, d, i))
+        i, j = i[order], j[order]
+        starts = np.flatnonzero(np.r_[True, i[1:] != i[:-1]]) if len(i) else np.zeros(0, np.int64)
+        rank = np.arange(len(i)) - np.repeat(starts, np.diff(np.r_[starts, len(i)]))
+        apart = component[i + at] != component[j]
+        more |= bool((apart & (rank >= high)).any())
+        named = apart & (rank >= low) & (rank < high)
+        found.append(np.column_stack([np.minimum(i[named] + at, j[named]), np.maximum(i[named] + at, j[named])]))
+    pairs = np.concatenate(found)
+    return np.unique(pairs, axis=0) if len(pairs) else pairs, more
+
+
+def _tables(rows: DataFrame, radius: int, *others: str) -> DataFrame:
+    """(t, key, fp, check, check2, others): each row once a table."""
+    tables = F.array(*[F.struct(F.lit(t).cast("short").alias("t"), F.col("fp").bitwiseAND(F.lit(m if m < 2**63 else m - 2**64)).alias("key")) for t, m in enumerate(masks(radius))])
+    return rows.select("fp", "check", "check2", *others, F.explode(tables).alias("x")).select("x.t", "x.key", "fp", "check", "check2", *others)
+
+
+def _buckets(batches: Iterator[pd.DataFrame], columns: list[str]) -> Iterator[tuple[list[tuple[int, int, np.ndarray]], pd.DataFrame]]:
+    """Whole buckets of batches sorted by (t, key): those of two rows as one table, larger ones (t, key, rows) by themselves."""
+    held: list[np.ndarray] = []
+    held_key = None
+    for batch in batches:
+        if not len(batch):
+            continue
+        t, key, x = batch["t"].to_numpy(), batch["key"].to_numpy(), batch[columns].to_numpy()
+        starts = np.flatnonzero(np.r_[True, (t[1:] != t[:-1]) | (key[1:] != key[:-1])])
+        ends = np.r_[starts[1:], len(t)]
+        large = []
+        if held_key == (t[0], key[0]):
+            held.append(x[: ends[0]])
+            starts, ends = starts[1:], ends[1:]
+        two = pd.DataFrame(columns=["t", "i", "j"])
+        if len(starts):
+            if sum(map(len, held)) > 1:
+                large.append((*held_key, np.concatenate(held)))
+            held, held_key = [x[starts[-1] :]], (t[-1], key[-1])
+            sizes = ends[:-1] - starts[:-1]
+            pair = starts[np.flatnonzero(sizes == 2)]
+            two = t[pair], x[pair], x[pair + 1]
+            large += [(t[starts[i]], key[starts[i]], x[starts[i] : ends[i]]) for i in np.flatnonzero(sizes > 2)]
+            yield large, two
+    if sum(map(len, held)) > 1:
+        yield [(*held_key, np.concatenate(held))], None
+
+
+PAIR = ["a", "a_check", "a_check2", "b", "b_check", "b_check2"]
+
+
+def link_fingerprints(distinct: DataFrame, radius: int = RADIUS) -> DataFrame:
     """(a, a_check, a_check2, b, b_check, b_check2): links between distinct (fp, check, check2) rows that hold all their classes together.
 
     A bucket gives the edges of a tree, and of those only the pairs that meet in
@@ -167,62 +222,59 @@ def link_fingerprints(distinct: DataFrame, radius: int = RADIUS, check_radius: i
     lost, and a class costs about its size, not its size times the tables.
     """
     kept = np.array(masks(radius), np.uint64)
-    tables = F.array(*[F.struct(F.lit(t).cast("short").alias("t"), F.col("fp").bitwiseAND(F.lit(m if m < 2**63 else m - 2**64)).alias("key")) for t, m in enumerate(masks(radius))])
-    rows = distinct.select("fp", "check", "check2", F.explode(tables).alias("x")).select("x.t", "x.key", "fp", "check", "check2")
-    names = ["a", "a_check", "a_check2", "b", "b_check", "b_check2"]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: list[np.ndarray] = []
-        held_key = None
-
-        def first_met(e: np.ndarray, t: np.ndarray | int) -> np.ndarray:
-            differ = (e[:, 0] ^ e[:, 3]).view(np.uint64)
-            return e[((differ[:, None] & kept) == 0).argmax(1) == t] if len(e) else e
-
-        def links(x: np.ndarray, t: int) -> np.ndarray:
-            e = bucket_links(x[:, 0], radius) if check_radius is None else nearest_links(x[:, 0], x[:, 1:], radius, check_radius)
-            return first_met(np.column_stack([x[e[:, 0]], x[e[:, 1]]]), t)
-
-        for batch in batches:
-            if not len(batch):
-                continue
-            t, key, x = batch["t"].to_numpy(), batch["key"].to_numpy(), batch[["fp", "check", "check2"]].to_numpy()
-            starts = np.flatnonzero(np.r_[True, (t[1:] != t[:-1]) | (key[1:] != key[:-1])])
-            ends = np.r_[starts[1:], len(t)]
+        for large, two in _buckets(batches, ["fp", "check", "check2"]):
             edges = []
-            if held_key == (t[0], key[0]):
-                held.append(x[: ends[0]])
-                starts, ends = starts[1:], ends[1:]
-            if len(starts):
-                if sum(map(len, held)) > 1:
-                    edges.append(links(np.concatenate(held), held_key[0]))
-                held, held_key = [x[starts[-1] :]], (t[-1], key[-1])
-                # pairs are compared all at once, larger buckets one by one
-                two = np.flatnonzero(ends[:-1] - starts[:-1] == 2)
-                a, b = x[starts[two]], x[starts[two] + 1]
+            if two is not None:
+                t, a, b = two
                 near = np.bitwise_count((a[:, 0] ^ b[:, 0]).view(np.uint64)) <= radius
-                if check_radius is not None:
-                    near &= np.bitwise_count((a[:, 1:] ^ b[:, 1:]).view(np.uint64)).sum(1) <= check_radius
-                edges.append(first_met(np.column_stack([a[near], b[near]]), t[starts[two]][near]))
-                edges += [links(x[starts[i] : ends[i]], t[starts[i]]) for i in np.flatnonzero(ends[:-1] - starts[:-1] > 2)]
-            if edges and sum(map(len, edges)):
-                yield pd.DataFrame(np.concatenate(edges), columns=names)
-        if sum(map(len, held)) > 1 and len(e := links(np.concatenate(held), held_key[0])):
-            yield pd.DataFrame(e, columns=names)
+                e = np.column_stack([a[near], b[near]])
+                differ = (e[:, 0] ^ e[:, 3]).view(np.uint64)
+                edges.append(e[((differ[:, None] & kept) == 0).argmax(1) == t[near]] if len(e) else e)
+            for t, _, x in large:
+                e = bucket_links(x[:, 0], radius)
+                e = np.column_stack([x[e[:, 0]], x[e[:, 1]]])
+                edges.append(e[first_met((e[:, 0] ^ e[:, 3]).view(np.uint64), kept, t)])
+            if sum(map(len, edges)):
+                yield pd.DataFrame(np.concatenate(edges), columns=PAIR)
 
-    return rows.repartition("t", "key").sortWithinPartitions("t", "key").mapInPandas(run, ", ".join(f"{n} long" for n in names))
+    rows = _tables(distinct, radius)
+    return rows.repartition("t", "key").sortWithinPartitions("t", "key").mapInPandas(run, ", ".join(f"{n} long" for n in PAIR))
 
 
-NODE = ("fp", "check", "check2")
+def candidates(rows: DataFrame, radius: int, check_radius: int, low: int, high: int) -> DataFrame:
+    """(t, key, a.., b..): of each bucket the links of rank ``low`` to ``high`` between components; a row with a null a marks a bucket that has more.
 
+    ``rows`` is (t, key, fp, check, check2, component), the whole of each bucket.
+    """
+    kept = np.array(masks(radius), np.uint64)
+    names = ["t", "key", *PAIR]
 
-def _node(prefix: str) -> Column:
-    return F.struct(F.col(prefix).alias("fp"), F.col(f"{prefix}_check").alias("check"), F.col(f"{prefix}_check2").alias("check2")).alias(prefix)
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for large, two in _buckets(batches, ["fp", "check", "check2", "component"]):
+            edges, left = [], []
+            if two is not None and low == 0:
+                t, a, b = two
+                near = (np.bitwise_count((a[:, 0] ^ b[:, 0]).view(np.uint64)) <= radius) & (np.bitwise_count((a[:, 1:3] ^ b[:, 1:3]).view(np.uint64)).sum(1) <= check_radius) & (a[:, 3] != b[:, 3])
+                t, a, b = t[near], a[near, :3], b[near, :3]
+                ok = (((a[:, 0] ^ b[:, 0]).view(np.uint64)[:, None] & kept) == 0).argmax(1) == t if len(a) else np.zeros(0, bool)
+                edges.append(np.column_stack([a[ok], b[ok]]))
+            for t, key, x in large:
+                e, more = ranked_links(x[:, :3], x[:, 3], kept, int(t), radius, check_radius, low, high)
+                edges.append(np.column_stack([x[e[:, 0], :3], x[e[:, 1], :3]]))
+                if more:
+                    left.append((t, key))
+            if n := sum(map(len, edges)):
+                found = np.concatenate(edges)
+                yield pd.DataFrame(found, columns=PAIR).assign(t=np.zeros(n, np.int16), key=np.zeros(n, np.int64))[names]
+            if left:
+                yield pd.DataFrame(left, columns=["t", "key"]).reindex(columns=names).astype({c: "Int64" for c in PAIR})
+
+    return rows.repartition("t", "key").sortWithinPartitions("t", "key").mapInPandas(run, "t short, key long, " + ", ".join(f"{n} long" for n in PAIR))
 
 
-def _edges(nodes: DataFrame, radius: int, check_radius: int | None) -> DataFrame:
-    edges = link_fingerprints(nodes.select(*NODE), radius, check_radius)
-    return materialize(edges.distinct().select(_node("a"), _node("b")), "simhash-edges")
+NODE = ("fp", "check", "check2")
 
 
 def near_duplicates(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGLE, most: int | None = None, check_shingle: int | None = None, check_radius: int | None = None) -> DataFrame:
@@ -238,12 +290,17 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGL
     """
     made = fingerprints(docs.select("doc_id", "text"), shingle=shingle, most=most, check_shingle=check_shingle)
     rows = materialize(made.select("doc_id", "__fp", "__check", "__check2"), "simhash")
-    nodes = materialize(rows.groupBy(F.col("__fp").alias("fp"), F.col("__check").alias("check"), F.col("__check2").alias("check2")).agg(F.min("doc_id").alias("least")), "simhash-nodes")
-    edges = _edges(nodes, radius, check_radius if check_shingle else None)
-    of = connected_components(edges, "a", "b").select("node.*", "component")
-    least = of.join(nodes, list(NODE)).groupBy("component").agg(F.min("least").alias("component_id"))
-    classes = of.join(least, "component").select(*NODE, "component_id")
-    classes = nodes.join(classes, list(NODE), "left").select(F.col("fp").alias("__fp"), F.col("check").alias("__check"), F.col("check2").alias("__check2"), F.coalesce("component_id", "least").alias("component_id"))
+    nodes = rows.groupBy(F.col("__fp").alias("fp"), F.col("__check").alias("check"), F.col("__check2").alias("check2")).agg(F.min("doc_id").alias("least"))
+    nodes = materialize(nodes.withColumn("rid", F.monotonically_increasing_id()), "simhash-nodes")
+    if check_shingle:
+        links = linked(nodes.select(*NODE, "rid"), radius, check_radius)
+        of = connected_components(links, "a_rid", "b_rid").select(F.col("node").alias("rid"), "component")
+    else:
+        edges = materialize(link_fingerprints(nodes.select(*NODE), radius).select("a", "b").distinct(), "simhash-edges")
+        of = connected_components(edges, "a", "b").join(nodes.select(F.col("fp").alias("node"), "rid"), "node").select("rid", "component")
+    least = of.join(nodes, "rid").groupBy("component").agg(F.min("least").alias("component_id"))
+    classes = nodes.join(of.join(least, "component").select("rid", "component_id"), "rid", "left")
+    classes = classes.select(F.col("fp").alias("__fp"), F.col("check").alias("__check"), F.col("check2").alias("__check2"), F.coalesce("component_id", "least").alias("component_id"))
     return rows.join(classes, ["__fp", "__check", "__check2"]).drop("__check", "__check2")
 
 
@@ -272,13 +329,43 @@ def verified(edges: DataFrame, texts: DataFrame, shingle: int, least: float) ->
     return pairs.mapInPandas(run, "a_rid long, b_rid long")
 
 
+def linked(nodes: DataFrame, radius: int, check_radius: int, verify: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """(a_rid, b_rid): links that hold all classes of links together; ``verify`` keeps of candidate pairs those that are links.
+
+    ``nodes`` is (fp, check, check2, rid). The nearest partners of each node are
+    compared first; what they join is one component, and only pairs of different
+    components are compared after that, rank by rank, until no candidate is
+    left. So a class costs about its size, and none is parted by a candidate
+    that is refused.
+    """
+    rid = nodes.select(F.struct(*NODE).alias("node"), "rid")
+    at = lambda k: rid.select(F.col("node").alias(f"n_{k}"), F.col("rid").alias(f"{k}_rid"))
+    node = lambda k: F.struct(F.col(k).alias("fp"), F.col(f"{k}_check").alias("check"), F.col(f"{k}_check2").alias("check2")).alias(f"n_{k}")
+    buckets = _tables(nodes.withColumn("component", F.col("rid")), radius, "component")
+    links, low, high = None, 0, FIRST_RANKS
+    while True:
+        found = materialize(candidates(buckets, radius, check_radius, low, high), "simhash-candidates")
+        edges = found.where("a is not null").select(node("a"), node("b")).distinct()
+        new = materialize(edges.join(at("a"), "n_a").join(at("b"), "n_b").select("a_rid", "b_rid"), "simhash-pairs")
+        if verify is not None:
+            new = materialize(verify(new), "simhash-links")
+        links = new if links is None else links.unionAll(new)
+        left = materialize(found.where("a is null").select("t", "key"), "simhash-open")
+        if left.isEmpty():
+            return links
+        of = connected_components(links, "a_rid", "b_rid").select(F.col("node").alias("rid"), "component")
+        named = nodes.join(of, "rid", "left").select(*NODE, F.coalesce("component", "rid").alias("component"))
+        buckets = _tables(named, radius, "component").join(left, ["t", "key"], "left_semi")
+        low, high = high, high * 8
+
+
 def keep_one(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGLE, most: int | None = None, check_shingle: int = 5, check_radius: int = 26, least: float = 0.8) -> DataFrame:
     """One row of each class of near-duplicates, all columns kept: that of the least doc_id.
 
     Rows are candidates within ``radius`` bits and ``check_radius`` of 128 bits
     of a fingerprint of ``check_shingle`` words; of those the ones stay linked
     whose texts have at least ``least`` of these shingles in common, compared
-    exactly. Equal texts are one class, whatever their number; texts without
+    exactly; no link is lost for one that is refused. Equal texts are one class, whatever their number; texts without
     words are one class. Of rows with one doc_id that with the least hash of its
     text stands first, of repeated rows any one; a null doc_id comes last. An
     empty table gives an empty result.
@@ -288,10 +375,8 @@ def keep_one(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGLE, most
     rank = F.struct(F.isnull("doc_id").alias("none"), F.col("doc_id"), F.xxhash64("text").alias("tie"), F.col("__rid").alias("rid"))
     nodes = rows.groupBy(F.col("__fp").alias("fp"), F.col("__check").alias("check"), F.col("__check2").alias("check2")).agg(F.min(rank).alias("first"))
     nodes = materialize(nodes, "simhash-nodes")
-    edges = _edges(nodes, radius, check_radius)
-    at = lambda k: nodes.select(F.struct(*NODE).alias(k), F.col("first.rid").alias(f"{k}_rid"))
-    edges = materialize(edges.join(at("a"), "a").join(at("b"), "b").select("a_rid", "b_rid"), "simhash-pairs")
-    links = materialize(verified(edges, rows.select(F.col("__rid").alias("rid"), "text"), check_shingle, least), "simhash-links")
+    texts = rows.select(F.col("__rid").alias("rid"), "text")
+    links = linked(nodes.select(*NODE, F.col("first.rid").alias("rid")), radius, check_radius, lambda pairs: verified(pairs, texts, check_shingle, least))
     of = connected_components(links, "a_rid", "b_rid").select(F.col("node").alias("rid"), "component")
     firsts = nodes.select("first").join(of, F.col("first.rid") == F.col("rid"), "left").select("first", F.coalesce("component", "first.rid").alias("component"))
     kept = firsts.groupBy("component").agg(F.min("first").alias("first")).select(F.col("first.rid").alias("__rid"))

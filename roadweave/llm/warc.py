@@ -41,9 +41,18 @@ def plain_text(page: str) -> str:
     return _LINES.sub("\n", _BLANK.sub(" ", entities.unescape(text).replace("\xa0", " "))).strip()
 
 
+def without_comments(page: str) -> str:
+    """A page without its comments; one that is never closed is text. Each comment is looked for from where the last one ended."""
+    out, at = [], 0
+    while (begin := page.find("<!--", at)) >= 0 and (end := page.find("-->", begin + 4)) >= 0:
+        out.append(page[at:begin])
+        at = end + 3
+    return "".join(out) + page[at:]
+
+
 def outlinks(page: str) -> list[tuple[str, str]]:
     """(target, element/attribute) of each link, in order, comments left out."""
-    tags = _LINK_TAG.finditer(re.sub(r"<!--.*?-->", "", page, flags=re.S))
+    tags = _LINK_TAG.finditer(without_comments(page))
     found = [(tag[1], m) for tag in tags if (m := _TARGET.search(tag[2]))]
     return [(entities.unescape(m[2] or m[3] or m[4] or "").strip(), f"{name.lower()}/@{m[1].lower()}") for name, m in found]
 

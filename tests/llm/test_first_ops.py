@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 from roadweave.llm import chat, langid, mixing, queries, sharding, simhash
 from tests_support import DOCS, ODD, clash
 
+DOC_LANG = "doc_id long, text string, lang string"
+
+
 @pytest.fixture
 def odd(spark):
     return spark.createDataFrame(ODD, DOCS)
@@ -88,6 +91,28 @@ def test_a_language_of_long_texts_only_beside_one_of_short_texts_is_learnt(spark
     assert {(r["lang"], r["lang_pred"]) for r in langid.identify(docs, model).collect()} == {("en", "en"), ("de", "de")}
 
 
+def test_language_sample_of_null_and_repeated_keys(spark):
+    english, german = "the road turns left behind the old bridge and then ", "hinter der alten Brücke biegt die Straße nach links ab und dann "
+    rows = [(None, f"{english * 3} {k}", "en") for k in range(2000)] + [(None, f"{german * 3} {k}", "de") for k in range(2000)]
+    model = langid.fit(spark.createDataFrame(rows, DOC_LANG), F.lit(True))
+    assert set(model) == {"en", "de"} and all(len(v) >= langid.DICT_BYTES for v in model.values())
+    # one key for all rows of a language, one text in most rows of another
+    rows = [(7, f"{german * 3} {k}", "de") for k in range(300)] + [(k, english * 3, "en") for k in range(3000)] + [(9, f"{english} number {k}", "en") for k in range(50)]
+    docs = spark.createDataFrame(rows, DOC_LANG)
+    model = langid.fit(docs, F.lit(True))
+    assert set(model) == {"en", "de"} and b"number" in langid.plain(model["en"].decode()) and langid.fit(docs.repartition(7), F.lit(True)) == model
+
+
+def test_ties_and_narrow_margins_are_rejected(spark):
+    model = langid.fit(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"), F.lit(True))
+    classifier = langid.Classifier(model)
+    for text in ("hi", "xyz xyz xyz", "q"):
+        sizes = np.sort(classifier.sizes(langid.plain(text)))
+        assert classifier.classify(text)[3] == (sizes[1] > sizes[0] and sizes[1] - sizes[0] >= langid.REJECT_MARGIN * sizes[0])
+    same = langid.Classifier({"aa": b"one two three four " * 50, "bb": b"one two three four " * 50})
+    assert [same.classify(t)[3] for t in ("one two", "one two three four " * 40, "another text")] == [False] * 3
+
+
 def by_hand(turns):
     convs = defaultdict(list)
     for r in turns:
@@ -129,6 +154,13 @@ def test_chat_odd_turns_budget_and_repeats(spark):
     assert chat.read_back(chat.windows(turns.limit(0))).count() == 0
 
 
+def test_a_long_system_turn_is_in_every_window(spark):
+    rows = [(1, 0, "system", "rule " * 900), *[(1, k, "user" if k % 2 else "assistant", f"turn {k} " + "w " * 30) for k in range(1, 9)]]
+    made = chat.windows(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()
+    assert len(made) == 8 and all(r["text"].startswith("<|turn|>system\nrule rule ") for r in made)
+    assert sum(not t["repeated"] for r in made for t in r["turns"]) == 9
+
+
 def test_mix_near_targets(spark, sf, odd, none):
     out = queries.op8_mixing(spark, sf).collect()
     of = defaultdict(list)
@@ -260,18 +292,64 @@ def test_wide_radius_needs_the_check(spark):
     assert sorted(r["doc_id"] for r in simhash.keep_one(docs, **options).collect()) == [3, 5, 7, 8]
 
 
-def test_least_spanning_links_equal_all_links():
+def test_ranked_links_in_rounds_equal_all_links():
     rng = np.random.default_rng(4)
     base = rng.integers(0, 2**63, (6, 3))
-    x = np.concatenate([b ^ (rng.integers(0, 2**63, (30, 3)) & rng.integers(0, 2**63, (30, 3)) & rng.integers(0, 2**63, (30, 3)) & rng.integers(0, 2**63, (30, 3)) & rng.integers(0, 2**63, (30, 3))) for b in base])
+    blur = lambda: rng.integers(0, 2**63, (60, 3)) & rng.integers(0, 2**63, (60, 3)) & rng.integers(0, 2**63, (60, 3)) & rng.integers(0, 2**63, (60, 3)) & rng.integers(0, 2**63, (60, 3))
+    x = np.concatenate([b ^ blur() for b in base])
     bits = lambda a, b: sum(int(p ^ q).bit_count() for p, q in zip(a, b, strict=True))
-    linked = lambda i, j: bits(x[i, :1], x[j, :1]) <= 4 and bits(x[i, 1:], x[j, 1:]) <= 8
-    edges = simhash.nearest_links(x[:, 0], x[:, 1:], 4, 8)
-    assert len(edges) and all(linked(i, j) for i, j in edges)
-    label = list(range(len(x)))
-    whole = list(range(len(x)))
-    for of, pairs in ((label, edges.tolist()), (whole, [(i, j) for i in range(len(x)) for j in range(i) if linked(i, j)])):
-        for _ in range(len(x)):
-            for i, j in pairs:
-                of[i] = of[j] = min(of[i], of[j])
-    assert label == whole and len(edges) == len(x) - len(set(label))
+    kept = np.array(simhash.masks(4), np.uint64)
+    want = {(j, i) for i in range(len(x)) for j in range(i) if bits(x[i, :1], x[j, :1]) <= 4 and bits(x[i, 1:], x[j, 1:]) <= 8 and int(x[i, 0] ^ x[j, 0]) & int(kept[0]) == 0}
+    apart = np.arange(len(x))
+    for first in (1, 4, 500):
+        got, low, high, more = set(), 0, first, True
+        while more:
+            pairs, more = simhash.ranked_links(x, apart, kept, 0, 4, 8, low, high)
+            got |= set(map(tuple, pairs.tolist()))
+            low, high = high, high * 8
+        assert got == want and len(want) > 100
+    assert simhash.ranked_links(x, np.zeros(len(x)), kept, 0, 4, 8, 0, 8) == (pytest.approx(np.zeros((0, 2))), False)
+    # in a later table only pairs count that no earlier one has
+    later, _ = simhash.ranked_links(x, apart, kept, 3, 4, 8, 0, 500)
+    assert all(all(int(x[i, 0] ^ x[j, 0]) & int(m) for m in kept[:3]) for i, j in later.tolist())
+
+
+def near_copies(rng, groups, size, words=160, change=0.035):
+    """Groups of texts each of which changes some words of one text; many pairs are near 0.8, on either side."""
+    out = []
+    for g in range(groups):
+        base = [f"g{g}w{rng.randrange(400)}" for _ in range(words)]
+        out += [" ".join(w if rng.random() > change * rng.random() else f"x{rng.randrange(9999)}" for w in base) for _ in range(rng.randrange(2, size))]
+    return out
+
+
+@pytest.mark.parametrize("first", [1, 8])
+def test_no_link_is_lost_for_one_that_is_refused(spark, monkeypatch, first):
+    import random
+
+    monkeypatch.setattr(simhash, "FIRST_RANKS", first)
+    texts = near_copies(random.Random(8), 25, 14)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    made = [(simhash.fingerprint(t.encode(), 1, 4), simhash.wide_fingerprint(t.encode(), 5), set(simhash.shingles(t.encode(), 5))) for t in texts]
+    linked, refused = defaultdict(set), 0
+    for i, (f, w, s) in enumerate(made):
+        for j in range(i):
+            g, v, r = made[j]
+            if (f ^ g).bit_count() <= 6 and sum((p ^ q).bit_count() for p, q in zip(w, v, strict=True)) <= 28:
+                if len(s & r) >= 0.8 * len(s | r):
+                    linked[i].add(j)
+                    linked[j].add(i)
+                else:
+                    refused += 1
+    assert refused > 50
+
+    def least(i):
+        seen, todo = {i}, [i]
+        while todo:
+            new = linked[todo.pop()] - seen
+            seen |= new
+            todo += new
+        return min(seen)
+
+    kept = simhash.keep_one(docs, radius=6, shingle=1, most=4, check_shingle=5, check_radius=28, least=0.8)
+    assert {r["doc_id"] for r in kept.collect()} == {i for i in range(len(texts)) if least(i) == i}
