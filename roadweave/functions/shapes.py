@@ -111,6 +111,51 @@ def common_area(a: np.ndarray, b: np.ndarray) -> float:
     return total
 
 
+def is_convex(ring: np.ndarray) -> bool:
+    """Whether a simple ring turns one way only."""
+    d = np.roll(ring, -1, axis=0) - ring
+    n = np.roll(d, -1, axis=0)
+    turn = d[:, 0] * n[:, 1] - d[:, 1] * n[:, 0]
+    return bool((turn >= -1e-12).all() or (turn <= 1e-12).all())
+
+
+def common_areas(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The areas that pairs of convex rings (n, corners, 2) have in common, all pairs at once.
+
+    The common part's corners are corners of one ring inside the other and
+    crossings of sides; in order round their middle they give the area.
+    """
+    a, b = (np.where((_signed(x) < 0)[:, None, None], x[:, ::-1], x) for x in (a, b))
+    p, r, q, s = a, np.roll(a, -1, axis=1) - a, b, np.roll(b, -1, axis=1) - b
+    cross = lambda u, v: u[..., 0] * v[..., 1] - u[..., 1] * v[..., 0]
+
+    def within(points: np.ndarray, at: np.ndarray, side: np.ndarray) -> np.ndarray:
+        return (cross(side[:, None], points[:, :, None] - at[:, None]) >= -1e-12).all(2)
+
+    d = q[:, None] - p[:, :, None]
+    n = cross(r[:, :, None], s[:, None])
+    with np.errstate(divide="ignore", invalid="ignore"):
+        t, u = cross(d, s[:, None]) / n, cross(d, r[:, :, None]) / n
+    crosses = (np.abs(n) > 1e-15) & (t >= 0) & (t <= 1) & (u >= 0) & (u <= 1)
+    meet = p[:, :, None] + np.where(crosses, t, 0.0)[..., None] * r[:, :, None]
+    points = np.concatenate([p, q, meet.reshape(len(a), -1, 2)], axis=1)
+    valid = np.concatenate([within(p, q, s), within(q, p, r), crosses.reshape(len(a), -1)], axis=1)
+    count = valid.sum(1)
+    middle = np.where(valid[..., None], points, 0.0).sum(1) / np.maximum(count, 1)[:, None]
+    local = points - middle[:, None]
+    angle = np.where(valid, np.arctan2(local[..., 1], local[..., 0]), np.inf)
+    order = np.argsort(angle, axis=1)
+    local = np.take_along_axis(np.where(valid[..., None], local, 0.0), order[..., None], axis=1)
+    # points left out repeat the first one, so that they enclose nothing
+    local = np.where((np.arange(local.shape[1]) < count[:, None])[..., None], local, local[:, :1])
+    return np.where(count > 2, np.abs(_signed(local)), 0.0)
+
+
+def _signed(rings: np.ndarray) -> np.ndarray:
+    nxt = np.roll(rings, -1, axis=1)
+    return (rings[..., 0] * nxt[..., 1] - rings[..., 1] * nxt[..., 0]).sum(1) / 2
+
+
 def overlap_share(box: np.ndarray, other: np.ndarray) -> float:
     """The share of a box that another covers."""
     common = clip_convex(box, other)
@@ -204,23 +249,143 @@ def contour_area(mask: np.ndarray) -> float:
     return float((four == 4).sum() + (four == 3).sum() / 2)
 
 
-def label_blobs(mask: np.ndarray) -> np.ndarray:
-    """8-connected blobs of a dense mask, numbered from 1 in reading order; 0 elsewhere."""
+def label_blobs(mask: np.ndarray, corners: bool = True) -> np.ndarray:
+    """Blobs of a dense mask, numbered from 1 in reading order; 0 elsewhere. With ``corners`` diagonal neighbours touch.
+
+    Runs of a row are joined to the runs above that they touch (union-find), so
+    work goes with the runs, not the pixels.
+    """
+    mask = np.asarray(mask, bool)
+    edge = np.diff(np.pad(mask, ((0, 0), (1, 1))).astype(np.int8), axis=1)
+    row, start = np.nonzero(edge == 1)
+    end = np.nonzero(edge == -1)[1]
+    parent = list(range(len(row)))
+
+    def find(k: int) -> int:
+        while parent[k] != k:
+            parent[k] = parent[parent[k]]
+            k = parent[k]
+        return k
+
+    reach = 1 if corners else 0
+    first = np.searchsorted(row, np.arange(mask.shape[0] + 1))
+    for r in range(1, mask.shape[0]):
+        i, j = first[r - 1], first[r]
+        while i < first[r] and j < first[r + 1]:
+            if start[i] < end[j] + reach and start[j] < end[i] + reach:
+                a, b = find(i), find(j)
+                parent[max(a, b)] = min(a, b)
+            if end[i] < end[j]:
+                i += 1
+            else:
+                j += 1
+    roots = np.fromiter((find(k) for k in range(len(row))), np.int64, len(row))
+    number = np.unique(roots, return_inverse=True)[1] + 1 if len(row) else roots
     out = np.zeros(mask.shape, int)
-    k = 0
-    for r, c in zip(*np.nonzero(mask), strict=True):
-        if out[r, c]:
-            continue
-        k += 1
-        out[r, c] = k
-        todo = deque([(r, c)])
-        while todo:
-            y, x = todo.popleft()
-            for i in range(max(0, y - 1), min(mask.shape[0], y + 2)):
-                for j in range(max(0, x - 1), min(mask.shape[1], x + 2)):
-                    if mask[i, j] and not out[i, j]:
-                        out[i, j] = k
-                        todo.append((i, j))
+    for r, a, b, k in zip(row, start, end, number, strict=True):
+        out[r, a:b] = k
+    return out
+
+
+#: Neighbours clockwise from the left, as the row axis points down.
+_AROUND = [(0, -1), (-1, -1), (-1, 0), (-1, 1), (0, 1), (1, 1), (1, 0), (1, -1)]
+
+
+def outer_border(blobs: np.ndarray, k: int) -> np.ndarray:
+    """(x, y) of the border pixels of blob ``k``, followed clockwise from its first pixel in reading order.
+
+    The walk ends when it leaves the first pixel by the way it left it first; a
+    pixel that the border passes twice is there twice.
+    """
+    first = np.flatnonzero(blobs.ravel() == k)
+    if not len(first):
+        return np.zeros((0, 2))
+    whole = np.pad(blobs == k, 1)
+    at = begin = (int(first[0]) // blobs.shape[1] + 1, int(first[0]) % blobs.shape[1] + 1)
+    came, first_way, out = 0, None, []
+    while True:
+        for turn in range(8):
+            way = (came + turn) % 8
+            to = at[0] + _AROUND[way][0], at[1] + _AROUND[way][1]
+            if whole[to]:
+                break
+        else:
+            return np.array([[at[1] - 1, at[0] - 1]], float)
+        if at == begin and way == first_way:
+            return np.array(out, float)
+        if first_way is None:
+            first_way = way
+        out.append((at[1] - 1, at[0] - 1))
+        # look on from the last empty neighbour seen
+        at, came = to, (way + 6) % 8 if way % 2 == 0 else (way + 5) % 8
+
+
+def outer_contours(mask: np.ndarray) -> list[np.ndarray]:
+    """Borders of the blobs that lie in no hole of another, in reading order of their first pixels."""
+    blobs = label_blobs(mask)
+    around = label_blobs(~np.pad(np.asarray(mask, bool), 1), corners=False)
+    out = []
+    for k in range(1, blobs.max(initial=0) + 1):
+        at = int(np.flatnonzero(blobs.ravel() == k)[0])
+        # left of a blob's first pixel is what surrounds it
+        if around[at // blobs.shape[1] + 1, at % blobs.shape[1]] == around[0, 0]:
+            out.append(outer_border(blobs, k))
+    return out
+
+
+def rectangle(points: np.ndarray) -> tuple[np.ndarray, float, float, float]:
+    """(centre, width, height, angle) of the smallest rectangle round the points.
+
+    The width runs at ``angle``, in (0, 90] degrees from x towards y, and the
+    height across it: of an upright rectangle the height is its extent in x.
+    """
+    corners = min_area_rectangle(points)
+    u, v = corners[1] - corners[0], corners[2] - corners[1]
+    centre = corners.mean(0)
+    along = u if np.hypot(*u) > 0 else np.array([-v[1], v[0]])
+    angle = np.degrees(np.arctan2(along[1], along[0])) % 180
+    width, height = float(np.hypot(*u)), float(np.hypot(*v))
+    if not 1e-9 < angle <= 90 + 1e-9:
+        angle, width, height = (angle + 90) % 180, height, width
+    return centre, width, height, float(min(angle, 90.0)) if np.hypot(*u) + np.hypot(*v) > 0 else 90.0
+
+
+def corners_of(centre: np.ndarray, width: float, height: float, angle: float) -> np.ndarray:
+    """Corners of a rectangle in a fixed order, so that two boxes can be averaged corner by corner."""
+    e = np.array([np.cos(np.radians(angle)), np.sin(np.radians(angle))]) * width / 2
+    f = np.array([-np.sin(np.radians(angle)), np.cos(np.radians(angle))]) * height / 2
+    return centre + np.array([f - e, -e - f, e - f, e + f])
+
+
+def under_rectangle(shape: tuple[int, int], centre: np.ndarray, width: float, height: float, angle: float) -> tuple[np.ndarray, np.ndarray]:
+    """(rows, columns) of the pixels whose centres lie in a rectangle, its sides too; row by row between its sides."""
+    c, s = np.cos(np.radians(angle)), np.sin(np.radians(angle))
+    half_y = (abs(s) * width + abs(c) * height) / 2
+    rows = np.arange(max(0, int(np.ceil(centre[1] - half_y - 1e-6))), min(shape[0] - 1, int(np.floor(centre[1] + half_y + 1e-6))) + 1)
+    dy = rows - centre[1]
+    lo, hi = np.full(len(rows), -np.inf), np.full(len(rows), np.inf)
+    # |dx c + dy s| <= width / 2 and |dy c - dx s| <= height / 2
+    for a, b, half in ((c, dy * s, width / 2 + 1e-6), (-s, dy * c, height / 2 + 1e-6)):
+        if abs(a) < 1e-9:
+            lo[np.abs(b) > half] = np.inf
+        else:
+            x1, x2 = (-half - b) / a, (half - b) / a
+            lo, hi = np.maximum(lo, np.minimum(x1, x2)), np.minimum(hi, np.maximum(x1, x2))
+    first = np.clip(np.ceil(lo + centre[0]), 0, shape[1]).astype(int)
+    last = np.clip(np.floor(hi + centre[0]), -1, shape[1] - 1).astype(int)
+    n = np.maximum(0, last - first + 1)
+    return np.repeat(rows, n), np.repeat(first - (np.cumsum(n) - n), n) + np.arange(n.sum())
+
+
+def turned_raster(image: np.ndarray, turn: float, centre: tuple[float, float]) -> np.ndarray:
+    """An image of the same size turned by ``turn`` radians, counter-clockwise as seen, about ``centre`` (x, y); nearest pixel, 0 beyond."""
+    r, c = np.indices(image.shape)
+    dx, dy = c - centre[0], r - centre[1]
+    x = np.floor(centre[0] + np.cos(turn) * dx - np.sin(turn) * dy + 0.5 + 1e-9).astype(int)
+    y = np.floor(centre[1] + np.sin(turn) * dx + np.cos(turn) * dy + 0.5 + 1e-9).astype(int)
+    ok = (x >= 0) & (x < image.shape[1]) & (y >= 0) & (y < image.shape[0])
+    out = np.zeros_like(image)
+    out[ok] = image[y[ok], x[ok]]
     return out
 
 

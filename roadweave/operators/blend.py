@@ -100,6 +100,30 @@ def majority(rows: DataFrame, by: list[str], cls: str = "cls", without_backgroun
     return counted.groupBy(*by).agg(F.max_by(cls, F.struct("n", -F.col(cls))).alias("cls"))
 
 
+def under_rectangles(boxes: DataFrame) -> DataFrame:
+    """(box, row, col): the pixels whose centres lie in each rotated rectangle, its sides too.
+
+    ``boxes`` is (box, cx, cy, width, height, angle): the width runs at
+    ``angle`` degrees from x towards y, in pixels. A rectangle becomes a row a
+    scan line, and a scan line its pixels between the sides.
+    """
+    tiny = 1e-6
+    c, s = F.cos(F.radians("angle")), F.sin(F.radians("angle"))
+    half_y = (F.abs(s) * F.col("width") + F.abs(c) * F.col("height")) / 2 + tiny
+    lines = boxes.withColumn("row", F.explode(F.when(F.floor(F.col("cy") + half_y) >= F.ceil(F.col("cy") - half_y), F.sequence(F.ceil(F.col("cy") - half_y), F.floor(F.col("cy") + half_y)))))
+    dy = F.col("row") - F.col("cy")
+
+    def span(a: Column, b: Column, half: Column) -> tuple[Column, Column]:
+        wide = F.when(F.abs(b) > half, F.lit(float("inf")))
+        x1, x2 = F.try_divide(-half - b, a), F.try_divide(half - b, a)
+        flat = F.abs(a) < 1e-9
+        return F.when(flat, F.coalesce(wide, F.lit(float("-inf")))).otherwise(F.least(x1, x2)), F.when(flat, F.lit(float("inf"))).otherwise(F.greatest(x1, x2))
+
+    (lo1, hi1), (lo2, hi2) = span(c, dy * s, F.col("width") / 2 + tiny), span(-s, dy * c, F.col("height") / 2 + tiny)
+    spans = lines.withColumns({"__lo": F.greatest(lo1, lo2) + F.col("cx"), "__hi": F.least(hi1, hi2) + F.col("cx")}).where("__lo <= __hi and ceil(__lo) <= floor(__hi)")
+    return spans.select("box", F.col("row").cast("int").alias("row"), F.explode(F.sequence(F.ceil("__lo").cast("int"), F.floor("__hi").cast("int"))).alias("col"))
+
+
 def stitch(chunks: DataFrame, anchors: DataFrame, mode: str = "sum") -> DataFrame:
     """Chunks (chunk, row, col, cls, weight) moved to a common anchor and blended in chunk order.
 
@@ -207,21 +231,26 @@ def fit_window(low: Column, size: int, total: int) -> Column:
 
 
 def slices(height: int, window: int, overlap: int) -> list[tuple[int, int]]:
-    """(start, end) of horizontal windows that overlap."""
+    """(start, end) of the horizontal windows of a raster.
+
+    As many windows as the height holds whole steps; the last one goes to the
+    end, so it may be shorter or longer than the others. A raster lower than one
+    step has none.
+    """
     if not 0 <= overlap < window:
         raise ValueError("the overlap must be smaller than the window")
-    out, at = [], 0
-    while True:
-        out.append((at, min(at + window, height)))
-        if at + window >= height:
-            return out
-        at += window - overlap
+    step = window - overlap
+    n = int(height / step)
+    return [(k * step, height if k == n - 1 else min(k * step + window, height)) for k in range(n)]
 
 
 def in_slices(pixels: DataFrame, height: int, window: int, overlap: int) -> DataFrame:
-    """Pixels with ``slice``, once for each window that holds them."""
+    """Pixels of the first ``height`` rows with ``slice``, once for each window that holds them."""
     step = window - overlap
     last = len(slices(height, window, overlap)) - 1
+    if last < 0:
+        return pixels.where("false").withColumn("slice", F.lit(0))
+    pixels = pixels.where(F.col("row").between(0, height - 1))
     first = F.greatest(F.lit(0), F.ceil((F.col("row") - window + 1) / F.lit(step))).cast("int")
     return pixels.withColumn("slice", F.explode(F.sequence(F.least(first, F.lit(last)), F.least(F.floor(F.col("row") / step).cast("int"), F.lit(last)))))
 

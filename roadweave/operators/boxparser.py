@@ -1,4 +1,4 @@
-"""Regions to line graphs: windows, blobs, rectangles, and an ordered fold over frames.
+"""Regions to line graphs: windows, contours, rectangles, and an ordered fold over frames.
 
 Finding boxes is parallel over frames; connecting them depends on the order of
 frames, so a drive is one fold, and drives are parallel.
@@ -11,12 +11,13 @@ from dataclasses import dataclass, field
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from roadweave.functions import shapes
 from roadweave.operators.blend import slices
 from roadweave.operators.linegraph import Graph
 
-BOXES = "drive long, frame long, slice int, contour int, box int, cls long, fallback long, cx double, cy double, corners array<double>"
+BOXES = "drive long, frame long, slice int, contour int, box int, cls long, fallback long, cx double, cy double, corners array<double>, x double, y double, reach double"
 
 
 @dataclass(frozen=True)
@@ -33,58 +34,80 @@ class ParserOptions:
     nearest: int = 3
 
 
-def split_long(rect: np.ndarray, most: float) -> list[np.ndarray]:
-    """A rectangle cut along its longer side into pieces of at most ``most``, each half over the next."""
-    if np.linalg.norm(rect[1] - rect[0]) < np.linalg.norm(rect[2] - rect[1]):
-        rect = np.roll(rect, -1, axis=0)
-    length = np.linalg.norm(rect[1] - rect[0])
-    if length <= most:
-        return [rect]
-    n = int(np.ceil(length / (most / 2))) - 1
-    at = np.linspace(0, length - most, n) if n > 1 else np.array([0.0])
-    side = (rect[1] - rect[0]) / length
-    return [np.array([rect[0] + side * a, rect[0] + side * (a + most), rect[3] + side * (a + most), rect[3] + side * a]) for a in at]
+def split_wide(rect: tuple, step: float, overlap: float) -> list[tuple]:
+    """A rectangle (centre, width, height, angle) cut along its height into as many pieces as it holds whole steps.
+
+    A piece is one part of the height and ``overlap`` more; pieces go against
+    the height's direction.
+    """
+    centre, width, height, angle = rect
+    n = int(height / step)
+    part = height / n
+    along = np.array([-np.sin(np.radians(angle)), np.cos(np.radians(angle))])
+    return [(centre + along * (height / 2 - part * (k + 0.5)), width, part + overlap, angle) for k in range(n)]
+
+
+def class_under(labels: np.ndarray, rect: tuple) -> int:
+    """The most frequent class other than background under a rectangle, the lowest on ties, 0 if there is none."""
+    values, counts = np.unique(labels[shapes.under_rectangle(labels.shape, *rect)], return_counts=True)
+    values, counts = values[values != 0], counts[values != 0]
+    return int(values[counts.argmax()]) if len(values) else 0
 
 
 def boxes_of(best: np.ndarray, second: np.ndarray, o: ParserOptions) -> list[tuple[int, int, int, int, int, np.ndarray]]:
-    """(slice, contour, box, cls, fallback, corners in pixels) of a region's two label images."""
+    """(slice, contour, box, cls, fallback, corners in pixels) of a region's two label images.
+
+    A contour goes round all foreground that hangs together, whatever its
+    classes; each piece of it takes the class that most of its pixels have.
+    """
     out = []
     most = o.max_box_pixels or 2 * o.window
     for s, (lo, hi) in enumerate(slices(best.shape[0], o.window, o.overlap)):
-        part = best[lo:hi]
-        for cls in [int(c) for c in np.unique(part) if c]:
-            blobs = shapes.label_blobs(part == cls)
-            for k in range(1, blobs.max(initial=0) + 1):
-                r, c = np.nonzero(blobs == k)
-                rect = shapes.min_area_rectangle(np.column_stack([c, r + lo]).astype(float))
-                if shapes.contour_area(blobs == k) < o.min_box_area:
-                    continue
-                others = second[r + lo, c]
-                others = others[others != 0]
-                values, counts = np.unique(others, return_counts=True)
-                fallback = int(values[counts.argmax()]) if len(values) else 0
-                out += [(s, k, b, cls, fallback, piece) for b, piece in enumerate(split_long(rect, most))]
+        part, other = best[lo:hi], second[lo:hi]
+        for k, border in enumerate(shapes.outer_contours(part != 0)):
+            if shapes.polygon_area(border) < o.min_box_area:
+                continue
+            rect = shapes.rectangle(border)
+            pieces = split_wide(rect, o.window - o.overlap, o.overlap) if rect[2] >= most else [rect]
+            for b, piece in enumerate(pieces):
+                # between two arms of a contour a piece can hold no pixel of it
+                if cls := class_under(part, piece):
+                    out.append((s, k, b, cls, class_under(other, piece), shapes.corners_of(*piece) + (0, lo)))
     return out
 
 
 def find_boxes(regions: DataFrame, options: ParserOptions = ParserOptions()) -> DataFrame:
     """Boxes of every region, in world metres.
 
-    ``regions`` has a row a pixel: drive, frame, row, col, best, second, tl_x,
-    tl_y. A region is bounded by its window; frames are independent.
+    ``regions`` has a row a pixel: drive, frame, row, col, best, second, and
+    where it lies: x, y (metres) of the pixel centre_row, centre_col, the
+    vehicle's own. With ``turn`` the raster is turned by so many radians about
+    that pixel before it is parsed, so that lines run upwards, and its boxes are
+    turned back. tl_x, tl_y instead are the metres of the first pixel. A region
+    is bounded by its window; frames are independent.
     """
     o = options
+    zero = F.lit(0.0)
+    if "x" not in regions.columns:
+        regions = regions.withColumns({"x": F.col("tl_x"), "y": F.col("tl_y"), "centre_row": zero, "centre_col": zero})
+    if "turn" not in regions.columns:
+        regions = regions.withColumn("turn", zero)
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         shape = int(pdf["row"].max()) + 1, int(pdf["col"].max()) + 1
         best, second = np.zeros(shape, int), np.zeros(shape, int)
         best[pdf["row"], pdf["col"]] = pdf["best"]
         second[pdf["row"], pdf["col"]] = pdf["second"]
-        x0, y0 = float(pdf["tl_x"].iloc[0]), float(pdf["tl_y"].iloc[0])
+        at = pdf.iloc[0]
+        centre, turn = np.array([float(at["centre_col"]), float(at["centre_row"])]), float(at["turn"] or 0.0)
+        if turn:
+            best, second = (shapes.turned_raster(v, turn, centre) for v in (best, second))
+        back = np.array([[np.cos(turn), -np.sin(turn)], [np.sin(turn), np.cos(turn)]])
+        here, reach = (float(at["x"]), float(at["y"])), max(shape) * o.resolution
         rows = []
         for s, k, b, cls, fallback, corners in boxes_of(best, second, o):
-            world = np.column_stack([x0 + corners[:, 0] * o.resolution, y0 - corners[:, 1] * o.resolution])
-            rows.append((int(pdf["drive"].iloc[0]), int(pdf["frame"].iloc[0]), s, k, b, cls, fallback, *world.mean(0).tolist(), world.ravel().tolist()))
+            world = here + (corners - centre) @ back.T * (o.resolution, -o.resolution)
+            rows.append((int(at["drive"]), int(at["frame"]), s, k, b, cls, fallback, *world.mean(0).tolist(), world.ravel().tolist(), *here, reach))
         return pd.DataFrame(rows, columns=[c.split()[0] for c in BOXES.split(", ")])
 
     return regions.groupBy("drive", "frame").applyInPandas(run, BOXES)
@@ -92,11 +115,12 @@ def find_boxes(regions: DataFrame, options: ParserOptions = ParserOptions()) ->
 
 @dataclass
 class DriveState:
-    """What a drive's fold carries: one node a box, edges, the boxes near the vehicle, and what has changed."""
+    """What a drive's fold carries: a node a box, edges, the boxes near the vehicle, those of the last window, and what has changed."""
 
     nodes: dict[int, dict] = field(default_factory=dict)
     edges: set[tuple[int, int]] = field(default_factory=set)
     near: list[int] = field(default_factory=list)
+    previous: list[int] = field(default_factory=list)
     count: int = 0
     changed: set[int] = field(default_factory=set)
     new_edges: list[tuple[int, int]] = field(default_factory=list)
@@ -120,50 +144,63 @@ class DriveState:
 
     def forget(self) -> None:
         """Keep only what the next frames can still meet."""
-        kept = set(self.near)
-        self.nodes = {k: self.nodes[k] for k in self.near}
+        kept = {*self.near, *self.previous}
+        self.nodes = {k: self.nodes[k] for k in sorted(kept)}
         self.edges = {e for e in self.edges if kept.issuperset(e)}
 
-    def add(self, box: dict, o: ParserOptions, frame_nodes: list[int], slice_nodes: list[int], previous: list[int]) -> int:
-        """Merge with a near earlier node, else connect to overlapping ones, else begin a graph."""
-        centre = np.array([box["cx"], box["cy"]])
-        earlier = [n for n in self.near if n not in frame_nodes]
-        if earlier:
-            at = np.array([self.nodes[n]["centre"] for n in earlier])
-            d = np.hypot(*(at - centre).T)
-            for j in np.argsort(d, kind="stable")[: o.nearest]:
-                node = self.nodes[earlier[j]]
-                if node["cls"] == box["cls"] and shapes.in_convex(centre, node["corners"]):
-                    node["centre"] = (node["centre"] + centre) / 2
-                    node["corners"] = (node["corners"] + box["corners"]) / 2
-                    self.changed.add(earlier[j])
-                    return earlier[j]
+    def add(self, box: dict, o: ParserOptions, earlier: list[int], contour: list[int]) -> tuple[int, bool]:
+        """(node, whether it is new).
+
+        A box whose centre lies in one of the ``earlier`` nodes' boxes, the
+        nearest first, is merged with it, whatever their classes: both are
+        averaged. Else it is a node, connected to every box that it overlaps of
+        the earlier ones, its contour's and the last window's, in this order.
+        """
+        centre, corners = np.array([box["cx"], box["cy"]]), box["corners"]
+        for n in earlier:
+            node = self.nodes[n]
+            if shapes.in_convex(centre, node["corners"]):
+                node["centre"], node["corners"] = (node["centre"] + centre) / 2, (node["corners"] + corners) / 2
+                self.changed.add(n)
+                return n, False
         k = self.count
         self.count += 1
-        self.nodes[k] = {"centre": centre, "corners": box["corners"], "cls": box["cls"], "fallback": box["fallback"]}
+        self.nodes[k] = {"centre": centre, "corners": corners, "cls": box["cls"], "fallback": box["fallback"]}
         self.changed.add(k)
-        self.near.append(k)
-        for n in dict.fromkeys([*earlier, *slice_nodes, *previous]):
-            if n != k and shapes.convex_overlap(box["corners"], self.nodes[n]["corners"]):
+        for n in dict.fromkeys([*earlier, *contour, *self.previous]):
+            if shapes.convex_overlap(corners, self.nodes[n]["corners"]):
                 self.join(k, n)
                 if o.single:
                     break
-        return k
+        return k, True
 
     def frame(self, boxes: pd.DataFrame, o: ParserOptions) -> None:
-        """Fold one frame in; then boxes beyond reach of the vehicle are no longer looked at."""
-        seen: list[int] = []
-        previous: list[int] = []
+        """Fold one frame in; then earlier boxes beyond the raster's longer side from the vehicle are no longer looked at.
+
+        Nearest boxes are those of earlier frames, by where they were when the
+        frame began, within ``old_distance``. A frame without boxes changes
+        nothing.
+        """
+        held = list(self.near)
+        at = np.array([self.nodes[n]["centre"] for n in held]).reshape(-1, 2)
+        most = o.old_distance or o.window * o.resolution
+        new: list[int] = []
         for _, part in boxes.sort_values(["slice", "contour", "box"]).groupby("slice"):
             current: list[int] = []
-            for r in part.to_dict("records"):
-                r["corners"] = np.array(r["corners"]).reshape(-1, 2)
-                current.append(self.add(r, o, seen, current, previous))
-                seen.append(current[-1])
-            previous = current
-        here = boxes[["cx", "cy"]].mean().to_numpy()
-        reach = (o.old_distance or o.window * o.resolution) + float(np.ptp(boxes[["cx", "cy"]].to_numpy(), axis=0).max(initial=0))
-        self.near = [n for n in self.near if np.hypot(*(self.nodes[n]["centre"] - here)) <= reach]
+            for _, contour in part.groupby("contour"):
+                inside: list[int] = []
+                for r in contour.to_dict("records"):
+                    r["corners"] = np.array(r["corners"]).reshape(-1, 2)
+                    d = np.hypot(*(at - (r["cx"], r["cy"])).T)
+                    earlier = [held[j] for j in np.argsort(d, kind="stable")[: o.nearest] if d[j] < most]
+                    k, is_new = self.add(r, o, earlier, inside)
+                    inside.append(k)
+                    new += [k] if is_new else []
+                current += inside
+            self.previous = current
+        here = boxes[["x", "y"]].iloc[0].to_numpy(float)
+        reach = float(boxes["reach"].iloc[0])
+        self.near = [n for n, d in zip(held, np.hypot(*(at - here).T), strict=True) if d <= reach] + new
 
     def graphs(self) -> dict[int, Graph]:
         """Connected parts by their least node."""

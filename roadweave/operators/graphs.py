@@ -5,10 +5,12 @@ from __future__ import annotations
 import math
 from itertools import count
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from roadweave.functions import geo
+from roadweave.functions import geo, shapes
 from roadweave.functions import geometry as g
 from roadweave.operators.components import connected_components
 from roadweave.storage import COMPACT_ROUNDS, materialize
@@ -56,6 +58,37 @@ def split_components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     return nodes.join(named, ["graph", "node"], "left").withColumn("part", F.coalesce("part", "node"))
 
 
+def pair_hops(edges: DataFrame, pairs: DataFrame, most: int) -> DataFrame:
+    """(a, b, hop): fewest steps between the two nodes of each pair, of the pairs at most ``most`` steps apart.
+
+    The search goes from both ends, half the way from each, so it looks at the
+    nodes within half of ``most`` of an end and never at a whole graph. Ends
+    that many pairs name are searched once. ``edges`` is (src, dst), either way;
+    repeated pairs come once, a node is no step from itself, null ends give no
+    row.
+    """
+    both = edges.select("src", "dst").unionAll(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"))).where("src <> dst").distinct()
+    both = materialize(both, "hop-edges")
+    asked = materialize(pairs.select("a", "b").where("a is not null and b is not null").distinct(), "hop-pairs")
+
+    def ball(end: str, steps: int) -> DataFrame:
+        frontier = materialize(asked.select(F.col(end).alias("end")).distinct().select("end", F.col("end").alias("node"), F.lit(0).alias("d")), "ball")
+        seen, before = frontier, None
+        for k in range(1, steps + 1):
+            reached = frontier.join(both, F.col("node") == F.col("src")).select("end", F.col("dst").alias("node")).distinct()
+            known = frontier.select("end", "node") if before is None else frontier.select("end", "node").unionAll(before.select("end", "node"))
+            before, frontier = frontier, materialize(reached.join(known, ["end", "node"], "left_anti").withColumn("d", F.lit(k)), "ball")
+            if frontier.isEmpty():
+                break
+            seen = seen.unionByName(frontier)
+        return seen
+
+    left = ball("a", (most + 1) // 2).withColumnsRenamed({"end": "a", "d": "da"})
+    right = ball("b", most // 2).withColumnsRenamed({"end": "b", "d": "db"})
+    met = asked.join(left, "a").join(right, ["b", "node"])
+    return met.groupBy("a", "b").agg(F.min(F.col("da") + F.col("db")).alias("hop"))
+
+
 def hops(edges: DataFrame, sources: DataFrame, most: int | None = None) -> DataFrame:
     """(node, hop): fewest steps from any source (src, dst edges; node sources).
 
@@ -144,18 +177,43 @@ def to_utm(nodes: DataFrame, ref_lat: float, ref_lon: float, ref_h: float = 0.0,
     return moved.withColumns({"x": east, "y": north}).drop("__lat", "__lon")
 
 
-def foreground_blobs(pixels: DataFrame, by: list[str] | None = None) -> DataFrame:
+def foreground_blobs(pixels: DataFrame, by: list[str] | None = None, tile: int = 512) -> DataFrame:
     """(by, row, col, blob, area): 8-connected blobs of distinct pixels, in each group.
 
-    Each pixel asks only half of its neighbours, and pixels meet in an equi-join.
+    Labelled in two levels: each tile by itself, in one task of bounded size;
+    then only labels that touch across a tile's border are components of each
+    other. A blob is named by its least pixel.
     """
-    keys = [*(by or []), "row", "col"]
-    p = pixels.select(*keys).distinct()
+    by = by or []
+    keys = [*by, "row", "col"]
+    number = lambda c: F.floor(F.col(c) / tile).cast("int")
+    p = pixels.select(*keys).distinct().withColumns({"__i": number("row"), "__j": number("col")})
+    kept = {c: pixels.schema[c].dataType for c in keys}
+    schema = ", ".join([*[f"`{c}` {kept[c].simpleString()}" for c in keys], f"r0 {kept['row'].simpleString()}", f"c0 {kept['col'].simpleString()}"])
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        r, c = pdf["row"].to_numpy(), pdf["col"].to_numpy()
+        dense = np.zeros((int(r.max() - r.min()) + 1, int(c.max() - c.min()) + 1), bool)
+        dense[r - r.min(), c - c.min()] = True
+        labels = shapes.label_blobs(dense)
+        first = np.unique(labels.ravel(), return_index=True)[1][-labels.max() :]
+        mine = first[labels[r - r.min(), c - c.min()] - 1]
+        return pdf[keys].assign(r0=mine // dense.shape[1] + r.min(), c0=mine % dense.shape[1] + c.min())
+
+    local = materialize(p.groupBy(*by, "__i", "__j").applyInPandas(run, schema), "tile-blobs")
+    least = F.struct(*by, F.col("r0").alias("row"), F.col("c0").alias("col"))
+    edge = lambda c, k: F.pmod(F.col(c), F.lit(tile)) == k
     steps = F.array(*[F.struct(F.lit(a).alias("r"), F.lit(b).alias("c")) for a, b in ((0, 1), (1, -1), (1, 0), (1, 1))])
-    asked = p.withColumn("s", F.explode(steps)).select(F.struct(*keys).alias("src"), *(by or []), (F.col("row") + F.col("s.r")).alias("row"), (F.col("col") + F.col("s.c")).alias("col"))
-    edges = asked.join(p, keys).select("src", F.struct(*keys).alias("dst"))
-    of = connected_components(edges).select(*[F.col("node")[k].alias(k) for k in keys], "component")
-    blobs = p.join(of, keys, "left").withColumn("blob", F.coalesce("component", F.struct(*keys))).drop("component")
+    rim = local.where(edge("row", tile - 1) | edge("col", tile - 1) | edge("col", 0)).select(*keys, least.alias("src"), F.explode(steps).alias("s"))
+    asked = rim.select(*by, "src", "row", "col", (F.col("row") + F.col("s.r")).alias("to_row"), (F.col("col") + F.col("s.c")).alias("to_col"))
+    crosses = (F.floor(F.col("row") / tile) != F.floor(F.col("to_row") / tile)) | (F.floor(F.col("col") / tile) != F.floor(F.col("to_col") / tile))
+    asked = asked.where(crosses).select(*by, "src", F.col("to_row").cast(kept["row"]).alias("row"), F.col("to_col").cast(kept["col"]).alias("col"))
+    met = local.where(edge("row", 0) | edge("col", 0) | edge("col", tile - 1)).select(*keys, least.alias("dst"))
+    touching = materialize(asked.join(met, keys).select("src", "dst").distinct(), "tile-edges")
+    blobs = local.select(*keys, least.alias("blob"))
+    if not touching.isEmpty():
+        of = connected_components(touching).select(F.col("node").alias("blob"), "component")
+        blobs = blobs.join(of, "blob", "left").select(*keys, F.coalesce("component", "blob").alias("blob"))
     area = blobs.groupBy("blob").agg(F.count("*").alias("area"))
     return blobs.join(area, "blob").select(*keys, "blob", "area")
 

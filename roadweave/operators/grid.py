@@ -130,17 +130,63 @@ def box_pairs(left: DataFrame, right: DataFrame, cell: float) -> DataFrame:
 
 
 def prune_overlaps(boxes: DataFrame, cell: float, share: float = 0.3, box_id: str = "id") -> DataFrame:
-    """Boxes without those that overlap a smaller one by more than ``share`` of it.
-
-    Of two equally large boxes the one with the greater id goes.
-    """
+    """Boxes without those that overlap a smaller one by more than ``share`` of it; of equal ones both stay."""
     area = lambda s: (F.col(s)["max_x"] - F.col(s)["min_x"]) * (F.col(s)["max_y"] - F.col(s)["min_y"])
     sides = lambda s: tuple(F.col(s)[k] for k in ("min_x", "min_y", "max_x", "max_y"))
-    hit = box_pairs(boxes, boxes, cell).where(F.struct(area("l"), F.col("l")[box_id]) > F.struct(area("r"), F.col("r")[box_id]))
+    hit = box_pairs(boxes, boxes, cell).where(area("l") > area("r"))
     out = hit.where(g.overlap_area(sides("l"), sides("r")) > share * area("r")).select(F.col("l")[box_id].alias(box_id)).distinct()
     return boxes.join(out, box_id, "left_anti")
 
 
+def rotated(boxes: DataFrame) -> DataFrame:
+    """Boxes (cx, cy, width, height, angle in radians, the width's) with the axis-aligned extents that hold them."""
+    c, s = F.abs(F.cos("angle")), F.abs(F.sin("angle"))
+    hx, hy = (c * F.col("width") + s * F.col("height")) / 2, (s * F.col("width") + c * F.col("height")) / 2
+    return boxes.withColumns({"min_x": F.col("cx") - hx, "max_x": F.col("cx") + hx, "min_y": F.col("cy") - hy, "max_y": F.col("cy") + hy})
+
+
+def _axes(s: str) -> list[tuple[Column, Column, Column]]:
+    """The box's two directions, each with half its extent there."""
+    a = F.col(f"{s}.angle")
+    return [(F.cos(a), F.sin(a), F.col(f"{s}.width") / 2), (-F.sin(a), F.cos(a), F.col(f"{s}.height") / 2)]
+
+
+def _reach(s: str, ux: Column, uy: Column) -> Column:
+    """Half of what a box covers along a direction."""
+    (ax, ay, aw), (bx, by, bw) = _axes(s)
+    return aw * F.abs(ax * ux + ay * uy) + bw * F.abs(bx * ux + by * uy)
+
+
+def rotated_pairs(left: DataFrame, right: DataFrame, cell: float, tiny: float = 1e-9) -> DataFrame:
+    """(l, r): rotated boxes that overlap in part (J8, P13); one inside the other, or equal to it, does not count, nor does touching.
+
+    Boxes as ``rotated`` takes them. Extents meet in cells; two boxes overlap if
+    no direction of theirs separates them, and one holds the other if it reaches
+    farther along both of its own.
+    """
+    hit = box_pairs(rotated(left), rotated(right), cell)
+    dx, dy = F.col("r.cx") - F.col("l.cx"), F.col("r.cy") - F.col("l.cy")
+    apart, held = F.lit(False), []
+    for s, o in (("l", "r"), ("r", "l")):
+        holds = F.lit(True)
+        for ux, uy, half in _axes(s):
+            gap, other = F.abs(dx * ux + dy * uy), _reach(o, ux, uy)
+            apart = apart | (gap >= half + other - tiny)
+            holds = holds & (gap + other <= half + tiny)
+        held.append(holds)
+    return hit.where(~apart & ~held[0] & ~held[1])
+
+
+def points_in_rotated(points: DataFrame, boxes: DataFrame, cell: float) -> DataFrame:
+    """(p, b): points strictly inside rotated boxes (J9, P12); points have x, y, boxes as ``rotated`` takes them."""
+    hit = points_in_boxes(points, rotated(boxes), cell)
+    dx, dy = F.col("p.x") - F.col("b.cx"), F.col("p.y") - F.col("b.cy")
+    inside = F.lit(True)
+    for ux, uy, half in _axes("b"):
+        inside = inside & (F.abs(dx * ux + dy * uy) < half - 1e-9)
+    return hit.where(inside)
+
+
 def inverse_distance_mean(pairs: DataFrame, by: Column, value: Column, gamma: float = 1.0) -> DataFrame:
     """(node, value): mean of neighbours weighted by 1/d**gamma (A10); pairs at no distance have no weight."""
     w = 1 / F.pow(F.nullif(F.col("d"), F.lit(0.0)), F.lit(gamma))

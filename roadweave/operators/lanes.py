@@ -14,7 +14,7 @@ from pyspark.sql.types import ArrayType
 
 from roadweave.functions import geometry as g
 from roadweave.functions import shapes
-from roadweave.operators import grid
+from roadweave.operators import graphs, grid
 from roadweave.operators.graphs import undirected
 from roadweave.storage import COMPACT_ROUNDS, materialize, release
 
@@ -87,6 +87,8 @@ def pair_by_relations(lines: DataFrame, relations: DataFrame, min_distance: floa
 
 
 RINGS = "right_ls long, left_ls long, ring array<double>, area double, min_x double, min_y double, max_x double, max_y double"
+#: Convex rings of so many corners at most are compared all at once.
+FEW_CORNERS = 12
 
 
 def lane_rings(lanes: DataFrame, lines: DataFrame) -> DataFrame:
@@ -113,18 +115,37 @@ def lane_rings(lanes: DataFrame, lines: DataFrame) -> DataFrame:
 def prune_lanes(lanes: DataFrame, lines: DataFrame, share: float = 0.3, cell: float = 20.0) -> DataFrame:
     """Lanes without those that cover more than ``share`` of a smaller one (J17, L7); of equal ones both stay.
 
-    Polygons meet where their boxes share a cell; what two have in common is
-    computed on the polygons themselves.
+    Only names and boxes meet in cells; a pair goes on if the boxes have so much
+    in common, and then the polygons decide. Where both fill their boxes, the
+    boxes do.
     """
     rings = materialize(lane_rings(lanes, lines), "lane-rings")
+    box = ["min_x", "min_y", "max_x", "max_y"]
+    width, height = F.col("max_x") - F.col("min_x"), F.col("max_y") - F.col("min_y")
+    slim = rings.select("right_ls", "left_ls", "area", *box, (F.col("area") >= width * height * (1 - 1e-12)).alias("whole"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            over = [shapes.common_area(np.reshape(a, (-1, 2)), np.reshape(b, (-1, 2))) > share * area for a, b, area in zip(batch["l_ring"], batch["r_ring"], batch["area"], strict=True)]
-            yield batch.loc[over, ["right_ls", "left_ls"]]
-
-    hit = grid.box_pairs(rings, rings, cell).where("l.area > r.area").select("l.right_ls", "l.left_ls", F.col("l.ring").alias("l_ring"), F.col("r.ring").alias("r_ring"), F.col("r.area").alias("area"))
-    out = hit.mapInPandas(run, "right_ls long, left_ls long").distinct()
+            a, b = (batch[k].map(lambda r: np.reshape(r, (-1, 2))).to_list() for k in ("l_ring", "r_ring"))
+            common = np.zeros(len(batch))
+            fast = [k for k in range(len(a)) if len(a[k]) <= FEW_CORNERS and len(b[k]) <= FEW_CORNERS and shapes.is_convex(a[k]) and shapes.is_convex(b[k])]
+            sizes = np.array([(len(a[k]), len(b[k])) for k in fast]).reshape(-1, 2)
+            for m, n in np.unique(sizes, axis=0):
+                same = [k for k, z in zip(fast, sizes, strict=True) if tuple(z) == (m, n)]
+                common[same] = shapes.common_areas(np.array([a[k] for k in same]), np.array([b[k] for k in same]))
+            for k in set(range(len(a))) - set(fast):
+                common[k] = shapes.common_area(a[k], b[k])
+            yield batch.loc[common > share * batch["area"].to_numpy(), ["right_ls", "left_ls"]]
+
+    sides = lambda s: tuple(F.col(s)[k] for k in box)
+    hit = grid.box_pairs(slim, slim, cell).where((F.col("l.area") > F.col("r.area")) & (g.overlap_area(sides("l"), sides("r")) > share * F.col("r.area")))
+    hit = materialize(hit.select("l.right_ls", "l.left_ls", F.col("r.right_ls").alias("o_right"), F.col("r.left_ls").alias("o_left"), F.col("r.area").alias("area"), (F.col("l.whole") & F.col("r.whole")).alias("sure")), "lane-pairs")
+    out = hit.where("sure").select("right_ls", "left_ls")
+    rest = hit.where("not sure").join(out.distinct(), ["right_ls", "left_ls"], "left_anti")
+    mine = rings.select("right_ls", "left_ls", F.col("ring").alias("l_ring"))
+    other = rings.select(F.col("right_ls").alias("o_right"), F.col("left_ls").alias("o_left"), F.col("ring").alias("r_ring"))
+    rest = rest.join(mine, ["right_ls", "left_ls"]).join(other, ["o_right", "o_left"]).select("right_ls", "left_ls", "l_ring", "r_ring", "area")
+    out = out.unionByName(rest.mapInPandas(run, "right_ls long, left_ls long")).distinct()
     return rings.select("right_ls", "left_ls").join(out, ["right_ls", "left_ls"], "left_anti")
 
 
@@ -278,14 +299,17 @@ def symmetric(relations: DataFrame) -> DataFrame:
     return relations.select("graph", "node", "other_graph", "other_node").unionByName(back).distinct()
 
 
-def _close_nodes(nodes: DataFrame, edges: DataFrame, steps: int) -> DataFrame:
-    """(other_graph, other_node, close): the nodes of a graph at most ``steps`` from each, itself too."""
-    both = materialize(undirected(edges), "close-edges")
-    near = nodes.select("graph", "node", F.col("node").alias("at")).distinct()
-    for _ in range(steps):
-        on = near.join(both.withColumnRenamed("src", "at"), ["graph", "at"]).select("graph", "node", F.col("dst").alias("at"))
-        near = materialize(near.unionByName(on).distinct(), "close-nodes")
-    return near.groupBy(F.col("graph").alias("other_graph"), F.col("node").alias("other_node")).agg(F.collect_set("at").alias("close"))
+def _close_nodes(hit: DataFrame, edges: DataFrame, steps: int) -> DataFrame:
+    """(other_graph, other_node, close): of the candidates of one source and graph those at most ``steps`` from each, itself too."""
+    by = ["graph", "node", "other_graph"]
+    # candidates lie across one source, between two distances: few, however large the graph
+    seen = hit.select(*by, "other_node").distinct()
+    beside = seen.join(seen.withColumnRenamed("other_node", "__to"), by).where("other_node <> __to").select("other_graph", "other_node", "__to").distinct()
+    node = lambda g, n: F.struct(F.col(g).alias("graph"), F.col(n).alias("node"))
+    near = graphs.pair_hops(edges.select(node("graph", "src").alias("src"), node("graph", "dst").alias("dst")), beside.select(node("other_graph", "other_node").alias("a"), node("other_graph", "__to").alias("b")), steps)
+    whole = near.select(F.col("a.graph").alias("other_graph"), F.col("a.node").alias("other_node"), F.col("b.node").alias("at"))
+    whole = whole.unionByName(seen.select("other_graph", "other_node", F.col("other_node").alias("at")).distinct())
+    return whole.groupBy("other_graph", "other_node").agg(F.collect_set("at").alias("close"))
 
 
 def _arms(nodes: DataFrame, edges: DataFrame | None) -> DataFrame:
@@ -317,9 +341,8 @@ def propagate_splits(nodes: DataFrame, sources: DataFrame, least: float, most: f
     relations.
     """
     nodes = materialize(nodes.where("graph is not null and node is not null"), "split-nodes")
-    close = both = None
+    both = None
     if edges is not None:
-        close = materialize(_close_nodes(nodes, edges, min_node_path_len - 1), "close-nodes")
         both = materialize(undirected(edges), "split-edges")
     right = materialize(_arms(nodes, edges), "split-arms")
     own = sources if "dx" in sources.columns else sources.select("graph", "node").distinct().join(nodes.select("graph", "node", "dx", "dy"), ["graph", "node"])
@@ -333,11 +356,13 @@ def propagate_splits(nodes: DataFrame, sources: DataFrame, least: float, most: f
         along = F.exists(F.col("r.arms"), lambda a: F.abs(a["x"] * ux + a["y"] * uy) >= F.cos(F.radians(F.lit(max_degrees))) - 1e-12)
         hit = hit.where(along).select(F.col("l.graph").alias("graph"), F.col("l.node").alias("node"), F.col("l.dx").alias("dx"), F.col("l.dy").alias("dy"), F.col("r.graph").alias("other_graph"), F.col("r.node").alias("other_node"), (F.col("off") * F.col("d")).alias("far"))
         by = ["graph", "node", "dx", "dy", "other_graph"]
-        if close is None:
+        if both is None:
             best = hit.groupBy(*by).agg(F.min_by("other_node", F.struct("far", "other_node")).alias("other_node"))
         else:
             split = both.join(seen.select("graph", F.col("node").alias("dst")), ["graph", "dst"], "left_semi").groupBy(F.col("graph").alias("other_graph"), F.col("src").alias("other_node")).agg(F.min("dst").alias("__swap"))
-            hit = hit.join(split, ["other_graph", "other_node"], "left").withColumn("other_node", F.coalesce("__swap", "other_node")).where("graph <> other_graph or node <> other_node")
+            hit = hit.join(split, ["other_graph", "other_node"], "left").withColumn("other_node", F.coalesce("__swap", "other_node")).where("graph <> other_graph or node <> other_node").drop("__swap")
+            hit = materialize(hit, "split-candidates")
+            close = _close_nodes(hit, both, min_node_path_len - 1)
             ranked = F.sort_array(F.collect_list(F.struct("far", "other_node", "close")))
             none = F.array().cast(ArrayType(nodes.schema["node"].dataType))
             taken = F.aggregate(ranked, none, lambda got, c: F.when(F.arrays_overlap(got, c["close"]), got).otherwise(F.concat(got, F.array(c["other_node"]))))
@@ -355,15 +380,6 @@ def propagate_splits(nodes: DataFrame, sources: DataFrame, least: float, most: f
     return seen, symmetric(relations)
 
 
-def node_directions(nodes: DataFrame, edges: DataFrame) -> DataFrame:
-    """``nodes`` with dx, dy: from the first neighbour to the last, or to the only one; null where there is none."""
-    at = nodes.select("graph", F.col("node").alias("dst"), F.col("x").alias("ox"), F.col("y").alias("oy"))
-    far = undirected(edges).join(at, ["graph", "dst"]).groupBy("graph", F.col("src").alias("node")).agg(F.min(F.struct("dst", "ox", "oy")).alias("p"), F.max(F.struct("dst", "ox", "oy")).alias("q"))
-    one = F.col("p.dst") == F.col("q.dst")
-    dx, dy = (F.col(f"q.o{c}") - F.when(one, F.col(c)).otherwise(F.col(f"p.o{c}")) for c in "xy")
-    return nodes.join(far, ["graph", "node"], "left").withColumns({"dx": dx, "dy": dy}).drop("p", "q")
-
-
 @dataclass
 class Lanes:
     """What the lane search finds: ``lines`` (ls, graph, cls, nodes, xy), ``lanes`` (right_ls, left_ls), split nodes and relations."""
@@ -381,16 +397,16 @@ def find_lanes(nodes: DataFrame, edges: DataFrame, min_lane_size: float = 1.5, m
     (graph, src, dst), ``sides`` as ``annotate_side`` gives them with the graph.
     Nodes of ignored classes make no splits, and their lines no lanes.
     """
-    from roadweave.operators import linegraph
+    from roadweave.operators import linegraph, lineorder
 
     nodes, edges = materialize(nodes, "lane-nodes"), materialize(edges, "lane-edges")
     open_ = nodes.where(~F.col("cls").isin(list(ignore_classes or [])))
-    aimed = materialize(node_directions(nodes, edges).select("graph", "node", "x", "y", "dx", "dy").join(open_.select("graph", "node"), ["graph", "node"], "left_semi"), "lane-directions")
+    aimed = materialize(lineorder.robust_directions(nodes, edges).select("graph", "node", "x", "y", "dx", "dy").join(open_.select("graph", "node"), ["graph", "node"], "left_semi"), "lane-directions")
     poi = linegraph.points_of_interest(nodes, edges, max_corner_degrees).select("graph", "node").distinct()
     sources = poi.join(aimed, ["graph", "node"]).where("dx * dx + dy * dy > 0").select("graph", "node", "dx", "dy")
     splits, relations = propagate_splits(aimed, sources, min_lane_size, max_lane_size, tolerance, edges=edges)
     splits, relations = materialize(splits, "lane-splits"), materialize(relations, "lane-relations")
-    cut = materialize(linegraph.linestrings(linegraph.to_rows(nodes, edges), splits.where("round > 0").select("graph", "node")), "lane-lines")
+    cut = materialize(lineorder.linestrings(nodes, edges, splits.where("round > 0").select("graph", "node")), "lane-lines")
     cut = cut.withColumn("ls", F.xxhash64("graph", "line"))
     steps = cut.select("ls", "graph", F.posexplode("nodes").alias("k", "node")).join(nodes.select("graph", "node", "x", "y"), ["graph", "node"])
     xy = steps.groupBy("ls").agg(F.transform(F.sort_array(F.collect_list(F.struct("k", "x", "y"))), lambda p: F.struct(p["x"].alias("x"), p["y"].alias("y"))).alias("xy"))

@@ -405,31 +405,6 @@ def renumber(rows: DataFrame) -> DataFrame:
     return rows.withColumn("graph", F.xxhash64("graph", "part")).withColumn("part", F.lit(0).cast("long"))
 
 
-def linestrings(rows: DataFrame, splits: DataFrame | None = None) -> DataFrame:
-    """(graph, line, nodes, cls): graphs cut at class changes, forks, ends and generated splits.
-
-    ``splits`` is (graph, node).
-    """
-    marked = rows
-    if splits is not None:
-        extra = splits.select(F.col("graph").cast("long"), F.lit(0).cast("long").alias("part"), F.lit("cut").alias("kind"), F.col("node").cast("long").alias("a"), *[F.lit(None).cast(t).alias(c) for c, t in (("b", "long"), ("x", "double"), ("y", "double"), ("cls", "long"), ("fallback", "long"), ("type", "string"))])
-        marked = rows.unionByName(extra)
-
-    def run(group: pa.Table) -> pa.Table:
-        group = group.to_pylist()
-        g = from_rows(group)
-        lines = lines_of(g, cuts={r["a"] for r in group if r["kind"] == "cut"}, by_class=True)
-        n = len(lines)
-        return pa.table({
-            "graph": pa.array([group[0]["graph"]] * n, pa.int64()),
-            "line": pa.array(range(n), pa.int64()),
-            "nodes": pa.array(lines, pa.list_(pa.int64())),
-            "cls": pa.array([g.nodes[x[-1] if len(x) == 2 else x[1]][2] for x in lines], pa.int64()),
-        })
-
-    return marked.groupBy("graph").applyInArrow(run, "graph long, line long, nodes array<long>, cls long")
-
-
 def points_of_interest(nodes: DataFrame, edges: DataFrame, max_corner_deg: float | None = None) -> DataFrame:
     """(graph, node, reason): ends, forks, class changes and, with a limit, corners; boxes have none (L2)."""
     from roadweave.functions import geometry as geo

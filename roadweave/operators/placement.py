@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from roadweave.functions import geometry as g
 from roadweave.operators import blend, graphs, poses
+from roadweave.storage import materialize
 
 #: Half the diagonal of a pixel, and a little more.
 HALF_DIAGONAL = 0.7072
@@ -124,22 +125,13 @@ def clean_frames(pixels: DataFrame, min_block_area: int | None = 20, drivable: i
     return pixels.where(plain).unionByName(pixels.where(~plain).join(kept, ["frame", "row", "col"], "left_semi"))
 
 
-def regions(pixels: DataFrame, chunks: DataFrame, frames: DataFrame, size: tuple[float, float], resolution: float, rotation_offset: float = -90.0, cell: float = 100.0) -> DataFrame:
-    """Windows of the map round positions, moved to lie inside it.
-
-    ``pixels`` (chunk, row, col, cls, weight), ``chunks`` as ``anchors`` gives
-    them, ``frames`` (frame, x, y, angle). A position looks at all chunks that
-    hold it, their weights added; one that no chunk holds has no row (Q10); a
-    window that does not fit is an error. Result: (frame, row, col, cls, weight)
-    in the window, ``tl_x``, ``tl_y``, the vehicle's pixel ``at_row``, ``at_col``,
-    and ``to_vertical``, the radians that turn it upright. Windows meet pixels in
-    an equi-join on tiles as large as a window.
-    """
+def _windows(pixels: DataFrame, chunks: DataFrame, places: DataFrame, size: tuple[float, float], resolution: float, cell: float) -> tuple[DataFrame, DataFrame]:
+    """(place, row, col, cls, weight) of the windows round ``places`` (place, x, y), and (place, tl_x, tl_y, at_row, at_col)."""
     from roadweave.operators import grid
 
     boxes = chunks.select("chunk", "tl_x", "tl_y", F.col("tl_x").alias("min_x"), F.col("br_y").alias("min_y"), F.col("br_x").alias("max_x"), F.col("tl_y").alias("max_y"))
-    hit = grid.points_in_boxes(frames.select("frame", "x", "y", "angle"), boxes, cell).select("p.*", "b.*")
-    whole = Window.partitionBy("frame")
+    hit = grid.points_in_boxes(places, boxes, cell).select("p.*", "b.*")
+    whole = Window.partitionBy("place")
     hit = hit.withColumns({"left": F.min("min_x").over(whole), "right": F.max("max_x").over(whole), "low": F.min("min_y").over(whole), "high": F.max("max_y").over(whole)})
     w, h = map(float, size)
     fits = (F.col("right") - F.col("left") >= w - 1e-9) & (F.col("high") - F.col("low") >= h - 1e-9)
@@ -149,25 +141,77 @@ def regions(pixels: DataFrame, chunks: DataFrame, frames: DataFrame, size: tuple
     cut = lambda c: (c / resolution + 1e-9).cast("int")
     n_rows, n_cols = int(h / resolution + 1e-9), int(w / resolution + 1e-9)
     hit = hit.withColumns({"row0": cut(F.col("high") - F.col("win_y")) - cut(F.col("high") - F.col("tl_y")), "col0": cut(F.col("win_x") - F.col("left")) - cut(F.col("tl_x") - F.col("left"))})
-    hit = hit.select("frame", "chunk", "row0", "col0", F.col("win_x").alias("tl_x"), F.col("win_y").alias("tl_y"), cut(F.col("win_y") - F.col("y")).alias("at_row"), cut(F.col("x") - F.col("win_x")).alias("at_col"), (-F.col("angle") - F.radians(F.lit(rotation_offset))).alias("to_vertical"))
+    hit = materialize(hit.select("place", "chunk", "row0", "col0", F.col("win_x").alias("tl_x"), F.col("win_y").alias("tl_y"), cut(F.col("win_y") - F.col("y")).alias("at_row"), cut(F.col("x") - F.col("win_x")).alias("at_col")), "windows")
     tile = lambda c, n: F.floor(c / n).cast("int")
-    asked = hit.withColumn("__i", F.explode(F.sequence(tile(F.col("row0"), n_rows), tile(F.col("row0") + n_rows - 1, n_rows)))).withColumn("__j", F.explode(F.sequence(tile(F.col("col0"), n_cols), tile(F.col("col0") + n_cols - 1, n_cols))))
+    asked = hit.select("place", "chunk", "row0", "col0", F.explode(F.sequence(tile(F.col("row0"), n_rows), tile(F.col("row0") + n_rows - 1, n_rows))).alias("__i")).withColumn("__j", F.explode(F.sequence(tile(F.col("col0"), n_cols), tile(F.col("col0") + n_cols - 1, n_cols))))
     held = pixels.withColumns({"__i": tile(F.col("row"), n_rows), "__j": tile(F.col("col"), n_cols)})
-    x = asked.join(held, ["chunk", "__i", "__j"]).withColumns({"row": F.col("row") - F.col("row0"), "col": F.col("col") - F.col("col0")})
+    x = asked.join(held, ["chunk", "__i", "__j"]).select("place", (F.col("row") - F.col("row0")).alias("row"), (F.col("col") - F.col("col0")).alias("col"), "cls", "weight")
     x = x.where(F.col("row").between(0, n_rows - 1) & F.col("col").between(0, n_cols - 1))
-    return x.groupBy("frame", "row", "col", "cls", "tl_x", "tl_y", "at_row", "at_col", "to_vertical").agg(F.sum("weight").alias("weight"))
+    # one exchange by place serves the sums here and what is made of each pixel's classes after them
+    sums = x.repartition("place").groupBy("place", "row", "col", "cls").agg(F.sum("weight").alias("weight"))
+    return sums, hit.groupBy("place").agg(*[F.first(c).alias(c) for c in ("tl_x", "tl_y", "at_row", "at_col")])
+
+
+def _placed(frames: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(place, x, y), each position once, and the frames with their place."""
+    place = F.xxhash64("x", "y").alias("place")
+    named = frames.select("frame", "x", "y", "angle", place)
+    return named.groupBy("place").agg(F.first("x").alias("x"), F.first("y").alias("y")), named
+
+
+def _with_frames(rows: DataFrame, at: DataFrame, frames: DataFrame, rotation_offset: float) -> DataFrame:
+    upright = (-F.col("angle") - F.radians(F.lit(rotation_offset))).alias("to_vertical")
+    named = frames.select("frame", "place", "x", "y", upright).join(at, "place")
+    return rows.join(named, "place").drop("place")
+
 
+def regions(pixels: DataFrame, chunks: DataFrame, frames: DataFrame, size: tuple[float, float], resolution: float, rotation_offset: float = -90.0, cell: float = 100.0) -> DataFrame:
+    """Windows of the map round positions, moved to lie inside it.
 
-def region_labels(windows: DataFrame, ignore_classes: list[int] | None = None, background: float = 0.1, drivable: int | None = None, drivable_factor: float = 0.2) -> DataFrame:
-    """The best class of each pixel of ``regions``; background weighs as much everywhere, ignored classes become it."""
+    ``pixels`` (chunk, row, col, cls, weight), ``chunks`` as ``anchors`` gives
+    them, ``frames`` (frame, x, y, angle). A position looks at all chunks that
+    hold it, their weights added; one that no chunk holds has no row (Q10); a
+    window that does not fit is an error. Result: (frame, row, col, cls, weight)
+    in the window, the position ``x``, ``y``, the window's ``tl_x``, ``tl_y``,
+    the vehicle's pixel ``at_row``, ``at_col``, and ``to_vertical``, the radians
+    that turn it upright. Windows meet pixels in an equi-join on tiles as large
+    as a window; frames at one position share its window.
+    """
+    places, named = _placed(frames)
+    sums, at = _windows(pixels, chunks, places, size, resolution, cell)
+    return _with_frames(sums, at, named, rotation_offset)
+
+
+def labelled_regions(pixels: DataFrame, chunks: DataFrame, frames: DataFrame, size: tuple[float, float], resolution: float, ignore_classes: list[int] | None = None, drivable: int | None = None, second: bool = False, rotation_offset: float = -90.0, cell: float = 100.0) -> DataFrame:
+    """``regions`` as labels, cls and, with ``second``, the class that comes next (A6): each window is labelled once, for all its frames."""
+    places, named = _placed(frames)
+    sums, at = _windows(pixels, chunks, places, size, resolution, cell)
+    return _with_frames(region_labels(sums, ignore_classes, drivable=drivable, second=second), at, named, rotation_offset)
+
+
+def region_labels(windows: DataFrame, ignore_classes: list[int] | None = None, background: float = 0.1, drivable: int | None = None, drivable_factor: float = 0.2, second: bool = False) -> DataFrame:
+    """The best class of each pixel of ``regions``; background weighs as much everywhere, ignored classes become it.
+
+    With ``second`` also the class that is best once that one weighs nothing:
+    background where no other outweighs it.
+    """
     keys = [c for c in windows.columns if c not in ("cls", "weight")]
     weight: Column = F.col("weight")
     if drivable is not None:
         weight = F.when(F.col("cls") == drivable, weight * drivable_factor).otherwise(weight)
-    best = F.max(F.when(F.col("cls") != 0, F.struct(weight.alias("w"), (-F.col("cls")).alias("c"))))
-    picked = windows.groupBy(*keys).agg(best.alias("b"))
-    label = F.when(F.col("b.w") > background, -F.col("b.c")).otherwise(0)
-    return blend.ignore_classes(picked.select(*keys, label.alias("cls")), ignore_classes or [])
+    ranked = F.when(F.col("cls") != 0, F.struct(weight.alias("w"), (-F.col("cls")).alias("c")))
+    ignored = F.col("cls").isin(list(ignore_classes or []))
+    if not second:
+        picked = windows.groupBy(*keys).agg(F.max(ranked).alias("b"))
+        label = F.when(F.col("b.w") > background, -F.col("b.c")).otherwise(0)
+        return blend.ignore_classes(picked.select(*keys, label.alias("cls")), ignore_classes or [])
+    picked = windows.groupBy(*keys).agg(F.reverse(F.array_sort(F.collect_list(ranked))).alias("a"))
+    first, after = F.get("a", F.lit(0)), F.get("a", F.lit(1))
+    label = F.when(first["w"] > background, -first["c"]).otherwise(0)
+    # once the best class weighs nothing: background, unless another weighs more, or was background the best
+    after = F.when(first["w"] > background, F.when(after["w"] > background, -after["c"])).when(first["w"] > 0, -first["c"])
+    labels = picked.select(*keys, label.alias("cls"), F.coalesce(after, F.lit(0)).alias("second"))
+    return labels.withColumns({"cls": F.when(ignored, 0).otherwise(F.col("cls")), "second": F.when(ignored, 0).otherwise(F.col("second"))})
 
 
 def turned(pixels: DataFrame, shape: tuple[int, int], degrees: float) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from roadweave.functions import camera, geo
 from roadweave.functions import geometry as g
-from roadweave.operators import blend, boxparser, graphs, grid, lanes, linegraph, placement, poses
+from roadweave.operators import blend, boxparser, graphs, grid, lanes, linegraph, lineorder, placement, poses
 from roadweave.operators.components import connected_components
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -321,11 +321,30 @@ def region_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     return blend.window_around(at, flat, 2).groupBy("o_orderkey").agg(F.count("*").alias("pixels"), F.sum("weight").alias("weight"))
 
 
-@query(f"""with {SQL_PIXELS}, {SQL_SUMS}, s(slice, a, b) as (values {", ".join(f"({k}, {a}, {b})" for k, (a, b) in enumerate(blend.slices(50, 16, 6)))})
+@query(f"""with {SQL_PIXELS}, {SQL_SUMS}, s(slice, a, b) as (values (0, 0, 20), (1, 14, 34), (2, 28, 50))
 select slice, count(*) as pixels, sum(weight) as weight from sums join s on row >= a and row < b group by 1""")
 def window_slices(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Overlapping horizontal windows."""
-    return blend.in_slices(blend_sum(spark, sf_dir), 50, 16, 6).groupBy("slice").agg(F.count("*").alias("pixels"), F.sum("weight").alias("weight"))
+    """Three windows of 20 rows, 6 of them shared, the last one to row 49."""
+    return blend.in_slices(blend_sum(spark, sf_dir), 50, 20, 6).groupBy("slice").agg(F.count("*").alias("pixels"), F.sum("weight").alias("weight"))
+
+
+SQL_RECTANGLES = "re as (select p_partkey as box, (p_partkey * 7919 % 4800 / 100.0)::double as cx, (p_partkey * 104729 % 4700 / 100.0)::double as cy, (1 + p_size % 9)::double as width, (1 + p_partkey % 13)::double as height, radians(p_partkey * 31 % 180) as turn from part)"
+
+
+def part_rectangles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts as rotated rectangles on a raster of 50 rows and columns; the angle in degrees."""
+    k = F.col("p_partkey")
+    return table(spark, sf_dir, "part").select(k.alias("box"), (k * 7919 % 4800 / 100).alias("cx"), (k * 104729 % 4700 / 100).alias("cy"), (1 + F.col("p_size") % 9).cast("double").alias("width"), (1 + k % 13).cast("double").alias("height"), (k * 31 % 180).cast("double").alias("angle"))
+
+
+@query(f"""with {SQL_PIXELS}, {SQL_SUMS}, {SQL_RECTANGLES}, k as (select row, col, cls, row_number() over (partition by row, col order by weight desc, cls) as k from sums), l as (select row, col, cls from k where k = 1 and cls <> 0),
+h as (select box, cls, count(*) as n from re join l on abs((col - cx) * cos(turn) + (row - cy) * sin(turn)) <= width / 2 + 1e-6 and abs((row - cy) * cos(turn) - (col - cx) * sin(turn)) <= height / 2 + 1e-6 group by 1, 2)
+select box, arg_max(cls, n * 1000 - cls) as cls, sum(n)::bigint as pixels from h group by 1""")
+def rectangle_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The class that most pixels under each rotated rectangle have, background left out."""
+    under = blend.under_rectangles(part_rectangles(spark, sf_dir)).join(pixel_argmax(spark, sf_dir).where("cls <> 0"), ["row", "col"])
+    by = under.groupBy("box").agg(F.count("*").alias("pixels"))
+    return blend.majority(under, ["box"]).join(by, "box").select("box", "cls", "pixels")
 
 
 @query(f"""with {SQL_PIXELS}, {SQL_SUMS}, w as (select row, col, cls, case when cls = 7 then weight * 0.2::double when cls = 1 then 0.1::double else weight end as weight from sums), r as (select *, row_number() over (partition by row, col order by weight desc, cls) as k from w)
@@ -443,7 +462,7 @@ def part_boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""with {SQL_BOXES}, a as (select *, (max_x-min_x)*(max_y-min_y) as area from bx)
-select id from a where not exists (select 1 from a b where (a.area, a.id) > (b.area, b.id) and
+select id from a where not exists (select 1 from a b where a.area > b.area and
 greatest(0, least(a.max_x, b.max_x) - greatest(a.min_x, b.min_x)) * greatest(0, least(a.max_y, b.max_y) - greatest(a.min_y, b.min_y)) > 0.3 * b.area)""")
 def box_overlap_prune(spark: SparkSession, sf_dir: str) -> DataFrame:
     """J17, L7."""
@@ -459,6 +478,36 @@ def box_overlaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grid.box_pairs(b, b, 40.0).where("l.id < r.id").where(g.boxes_overlap(sides("l"), sides("r"))).select(F.col("l.id").alias("a"), F.col("r.id").alias("b"))
 
 
+def turned_boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts as rotated boxes, spread in proportion to their number."""
+    k = F.col("p_partkey")
+    return table(spark, sf_dir, "part").select(k.alias("id"), (k * 3).cast("double").alias("cx"), (k * 91 % 60).cast("double").alias("cy"), (2 + F.col("p_size")).cast("double").alias("width"), (3 + k % 17).cast("double").alias("height"), F.radians((k * 31 % 180).cast("double")).alias("angle"))
+
+
+@query("""with co as (select p_partkey as id, (p_partkey * 3)::double as cx, (p_partkey * 91 % 60)::double as cy, (2 + p_size) / 2.0::double as w, (3 + p_partkey % 17) / 2.0::double as h, cos(radians(p_partkey * 31 % 180)) as c, sin(radians(p_partkey * 31 % 180)) as s from part),
+k as (select id, cx, cy, w, h, c, s, cx + x * w * c - y * h * s as px, cy + x * w * s + y * h * c as py from co, (values (1, 1), (1, -1), (-1, 1), (-1, -1)) as v(x, y)),
+p as (select a.id as a, b.id as b, a.cx as acx, a.cy as acy, a.c as ac, a.s as as_, a.w as aw, a.h as ah, b.cx as bcx, b.cy as bcy, b.c as bc, b.s as bs, b.w as bw, b.h as bh from co a join co b on a.id < b.id and abs(a.cx - b.cx) < 70 and abs(a.cy - b.cy) < 70),
+q as (select p.a, p.b, max(case when k.id = p.a then (px - bcx) * bc + (py - bcy) * bs end) as a1, min(case when k.id = p.a then (px - bcx) * bc + (py - bcy) * bs end) as a0, max(case when k.id = p.a then (py - bcy) * bc - (px - bcx) * bs end) as a3, min(case when k.id = p.a then (py - bcy) * bc - (px - bcx) * bs end) as a2,
+max(case when k.id = p.b then (px - acx) * ac + (py - acy) * as_ end) as b1, min(case when k.id = p.b then (px - acx) * ac + (py - acy) * as_ end) as b0, max(case when k.id = p.b then (py - acy) * ac - (px - acx) * as_ end) as b3, min(case when k.id = p.b then (py - acy) * ac - (px - acx) * as_ end) as b2,
+any_value(aw) as aw, any_value(ah) as ah, any_value(bw) as bw, any_value(bh) as bh from p join k on k.id in (p.a, p.b) group by 1, 2)
+select a, b from q where a0 < bw - 1e-9 and a1 > -bw + 1e-9 and a2 < bh - 1e-9 and a3 > -bh + 1e-9 and b0 < aw - 1e-9 and b1 > -aw + 1e-9 and b2 < ah - 1e-9 and b3 > -ah + 1e-9
+and not (a0 >= -bw - 1e-9 and a1 <= bw + 1e-9 and a2 >= -bh - 1e-9 and a3 <= bh + 1e-9) and not (b0 >= -aw - 1e-9 and b1 <= aw + 1e-9 and b2 >= -ah - 1e-9 and b3 <= ah + 1e-9)""")
+def rotated_overlaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rotated boxes that overlap in part, by separating axes."""
+    b = turned_boxes(spark, sf_dir)
+    return grid.rotated_pairs(b, b, 64.0).where("l.id < r.id").select(F.col("l.id").alias("a"), F.col("r.id").alias("b"))
+
+
+@query("""with b as (select p_partkey as id, (p_partkey * 3)::double as cx, (p_partkey * 91 % 60)::double as cy, (2 + p_size) / 2.0::double as w, (3 + p_partkey % 17) / 2.0::double as h, cos(radians(p_partkey * 31 % 180)) as c, sin(radians(p_partkey * 31 % 180)) as s from part),
+h as (select p.id, b.id as box, row_number() over (partition by p.id order by b.id) as k from b p join b on p.id <> b.id and abs(p.cx - b.cx) < 40 and abs(p.cy - b.cy) < 40 and abs((p.cx - b.cx) * b.c + (p.cy - b.cy) * b.s) < b.w - 1e-9 and abs((p.cy - b.cy) * b.c - (p.cx - b.cx) * b.s) < b.h - 1e-9)
+select id, box from h where k = 1""")
+def centre_in_rotated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first rotated box that holds another's centre, its edge not counted."""
+    b = turned_boxes(spark, sf_dir)
+    hit = grid.points_in_rotated(b.select("id", F.col("cx").alias("x"), F.col("cy").alias("y")), b, 64.0).where("p.id <> b.id")
+    return hit.groupBy(F.col("p.id").alias("id")).agg(F.min("b.id").alias("box"))
+
+
 @query(f"""with {SQL_BOXES}, c as (select id, (min_x+max_x)/2 as x, (min_y+max_y)/2 as y from bx), h as (select c.id, b.id as box, row_number() over (partition by c.id order by b.id) as k from c join bx b on c.id <> b.id and c.x > b.min_x and c.x < b.max_x and c.y > b.min_y and c.y < b.max_y)
 select id, box from h where k = 1""")
 def centre_in_box(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -518,11 +567,59 @@ def components(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p.join(connected_components(near_edges(spark, sf_dir)), "node", "left").select("node", F.coalesce("component", "node").alias("component"))
 
 
-@query(f"""with recursive {SQL_POINTS}, {SQL_NEAR}, w(node, hop) as (select min(vec_id), 0 from pts union select ne.b, w.hop + 1 from w join ne on ne.a = w.node where w.hop < 40) select node, min(hop) as hop from w group by 1""")
+SQL_ROADS = """ev as (select user_id, event_id, value as x, (epoch_us(ts) // 1000000 % 3600)::double as y, row_number() over w as k, lead(event_id) over w as nxt from events window w as (partition by user_id order by event_id)),
+ed as (select event_id as a, nxt as b from ev where nxt is not null union select f.event_id, t.event_id from ev f join ev t on f.k = 1 and t.user_id = f.user_id // 2 and t.user_id <> f.user_id and t.k = 1 + f.user_id % 3),
+ar as (select a, b from ed union select b, a from ed), de as (select a as node, count(*) as degree from ar group by 1)"""
+
+
+def road_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as a road network of one graph: a user's events are a line, which begins at one of the user of half the number."""
+    w = Window.partitionBy("user_id").orderBy("event_id")
+    ev = table(spark, sf_dir, "events").select("user_id", "event_id", F.row_number().over(w).alias("k"), F.lead("event_id").over(w).alias("nxt"))
+    along = ev.where("nxt is not null").select(F.col("event_id").alias("src"), F.col("nxt").alias("dst"))
+    half = ev.where("k = 1").select(F.col("event_id").alias("src"), F.floor(F.col("user_id") / 2).cast("long").alias("__u"), (1 + F.col("user_id") % 3).alias("__k"), "user_id")
+    to = ev.select(F.col("user_id").alias("__u"), F.col("k").alias("__k"), F.col("event_id").alias("dst"))
+    roads = along.unionByName(half.join(to, ["__u", "__k"]).where("user_id <> __u").select("src", "dst"))
+    return roads.select(F.lit(0).cast("long").alias("graph"), F.col("src").cast("long").alias("src"), F.col("dst").cast("long").alias("dst"))
+
+
+SQL_WALK = "wa(first, second, prev, here, k) as (select ar.a, ar.b, ar.a, ar.b, 1 from ar join de on de.node = ar.a and degree <> 2 union all select first, second, here, ar.b, wa.k + 1 from wa join de on de.node = here and degree = 2 join ar on ar.a = here and ar.b <> prev)"
+
+
+@query(f"""with recursive {SQL_ROADS}, {SQL_WALK}, z as (select first, second, here as last, prev as before from wa join de on node = here and degree <> 2 where row(first, second) < row(here, prev)),
+o as (select wa.first, wa.second, wa.k, wa.here as node from wa join z on z.first = wa.first and z.second = wa.second)
+select first, second, k::bigint as k, node from o union all select first, second, 0, first from z""")
+def line_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nodes of the network's lines in order, by pointer doubling; a ring would be missing in the SQL, and the network has none."""
+    return lineorder.line_order(road_edges(spark, sf_dir)).select("first", "second", "k", "node")
+
+
+@query(f"""with recursive {SQL_ROADS}, {SQL_WALK}, e as (select wa.first as fork, wa.second as "to", greatest(1, wa.k - case when d.degree > 2 then 1 else 0 end)::bigint as nodes from wa join de d on d.node = here and d.degree <> 2 join de f on f.node = wa.first and f.degree > 2),
+k as (select *, row_number() over (partition by fork order by nodes desc, "to") as k from e)
+select distinct least(fork, "to") as src, greatest(fork, "to") as dst from k where k > 2 and nodes <= 12""")
+def fork_cuts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The edges that fork removal cuts, of branches of at most twelve nodes."""
+    return lineorder.fork_cuts(road_edges(spark, sf_dir), 12).select("src", "dst")
+
+
+@query(f"""with recursive {SQL_ROADS}, pa as (select event_id as a, lead(event_id, 5) over (partition by user_id order by event_id) as b from ev union select e.event_id, o.event_id from ev e join ev o on o.user_id = e.user_id // 2 and o.k = e.k),
+r(a, node, d) as (select distinct a, a, 0 from pa where b is not null union select r.a, ar.b, d + 1 from r join ar on ar.a = node where d < 12)
+select pa.a, pa.b, min(d)::bigint as hop from pa join r on r.a = pa.a and r.node = pa.b group by 1, 2""")
+def pair_hops(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Steps between given pairs of the network's nodes, of those at most twelve apart."""
+    w = Window.partitionBy("user_id").orderBy("event_id")
+    ev = table(spark, sf_dir, "events").select("user_id", F.col("event_id").cast("long").alias("a"), F.row_number().over(w).alias("k"), F.lead(F.col("event_id").cast("long"), 5).over(w).alias("b"))
+    half = ev.select(F.floor(F.col("user_id") / 2).cast("long").alias("__u"), "k", "a").join(ev.select(F.col("user_id").alias("__u"), "k", F.col("a").alias("b")), ["__u", "k"])
+    return graphs.pair_hops(road_edges(spark, sf_dir), ev.select("a", "b").unionByName(half.select("a", "b")), 12).select("a", "b", F.col("hop").cast("long").alias("hop"))
+
+
+@query(f"""with recursive {SQL_ROADS}, sh as (select event_id as a, event_id // 2 as b from events where event_id > 0), al as (select a, b from ar union select a, b from sh union select b, a from sh), w(node, hop) as (select min(event_id), 0 from events union select al.b, w.hop + 1 from w join al on al.a = w.node where w.hop < 40)
+select node, min(hop) as hop from w group by 1""")
 def hop_distance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Fewest steps from the first point; the SQL ends at 40, more than the test tables need."""
-    start = points(spark, sf_dir).agg(F.min("vec_id").alias("node"))
-    return graphs.hops(near_edges(spark, sf_dir), start)
+    """Fewest steps from the first event in a network with short cuts; the SQL ends at 40, more than its depth."""
+    k = F.col("event_id").cast("long")
+    short = table(spark, sf_dir, "events").where("event_id > 0").select(k.alias("src"), F.floor(k / 2).cast("long").alias("dst"))
+    return graphs.hops(road_edges(spark, sf_dir).select("src", "dst").unionByName(short), table(spark, sf_dir, "events").agg(F.min(k).alias("node")))
 
 
 @query("with r as (select *, row_number() over (partition by l_orderkey order by l_extendedprice desc, l_linenumber)::int as rank from lineitem) select l_orderkey, l_linenumber, rank from r where rank <= 2")
@@ -721,7 +818,7 @@ def points_of_interest(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"with {SQL_PATHS} select graph, 1 + sum(case when k > 1 and next_cls is not null and next_cls <> cls then 1 else 0 end)::bigint as lines from pa where n > 1 group by 1")
 def linestring_cuts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Linestrings that each graph is cut into."""
-    out = linegraph.linestrings(linegraph.to_rows(*order_paths(spark, sf_dir)))
+    out = lineorder.linestrings(*order_paths(spark, sf_dir))
     return out.groupBy("graph").agg(F.count("*").alias("lines"))
 
 
@@ -892,7 +989,7 @@ def region_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     pixels, chunks = placed_frames(spark, sf_dir, F.col("frame") % 2)
     k = F.col("c_custkey")
     at = table(spark, sf_dir, "customer").select(k.alias("frame"), (k % 83 * 0.37 + 0.003).alias("x"), (k % 71 * 0.33 + 0.011).alias("y"), F.lit(0.0).alias("angle"))
-    x = placement.region_labels(placement.regions(pixels, chunks, at, (4.0, 4.0), MAP["resolution"]), [2, 5], drivable=7)
+    x = placement.labelled_regions(pixels, chunks, at, (4.0, 4.0), MAP["resolution"], [2, 5], drivable=7)
     return x.groupBy("frame").agg(F.count("*").alias("pixels"), F.sum("cls").cast("long").alias("classes"), F.sum(F.col("row") * 31 + F.col("col")).cast("long").alias("places"), r6(F.min("tl_x")).alias("tl_x"), r6(F.min("tl_y")).alias("tl_y"))
 
 

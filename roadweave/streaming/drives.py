@@ -53,14 +53,14 @@ def fold_stream(boxes: DataFrame, options: ParserOptions = ParserOptions(), hold
 
 
 def graphs_of(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Nodes (drive, graph, node, x, y, cls, fallback) and edges (drive, graph, src, dst) of what ``fold_stream`` has emitted; a graph is named by its least node."""
+    """Nodes (drive, graph, node, x, y, cls, fallback) and edges (drive, graph, src, dst) of what ``fold_stream`` has emitted; a graph is named by its least node, and graphs of one node go."""
     rows = materialize(rows, "folded")
     last = Window.partitionBy("drive", "a").orderBy(F.desc("frame"))
     nodes = rows.where("kind = 'node'").withColumn("__k", F.row_number().over(last)).where("__k = 1").select("drive", F.col("a").alias("node"), "x", "y", "cls", "fallback")
     edges = rows.where("kind = 'edge'").select("drive", F.col("a").alias("src"), F.col("b").alias("dst")).distinct()
     of = connected_components(edges.select(F.struct("drive", F.col("src").alias("node")).alias("src"), F.struct("drive", F.col("dst").alias("node")).alias("dst")))
     of = of.select(F.col("node.drive").alias("drive"), F.col("node.node").alias("node"), F.col("component.node").alias("graph"))
-    named = nodes.join(of, ["drive", "node"], "left").withColumn("graph", F.coalesce("graph", "node"))
+    named = nodes.join(of, ["drive", "node"])
     return named.select("drive", "graph", "node", "x", "y", "cls", "fallback"), edges.join(named.select("drive", "graph", F.col("node").alias("src")), ["drive", "src"]).select("drive", "graph", "src", "dst")
 
 

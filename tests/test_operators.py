@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from roadweave.functions import camera, geo, shapes
 from roadweave.functions import geometry as g
-from roadweave.operators import blend, graphs, grid, lanes, linegraph, placement, poses
+from roadweave.operators import blend, graphs, grid, lanes, linegraph, lineorder, placement, poses
 from roadweave.operators.components import connected_components
 
 LOG = "sequence long, x double, heading double"
@@ -88,12 +88,6 @@ def test_window_fits_or_fails(spark):
         blend.fit_window(F.lit(0), 11, 10)
 
 
-def test_slices_cover_and_overlap():
-    for h, w, o in ((50, 16, 6), (10, 16, 4), (32, 32, 16), (33, 16, 15)):
-        s = blend.slices(h, w, o)
-        assert s[0][0] == 0 and s[-1][1] == h and all(a[1] - b[0] == o for a, b in zip(s, s[1:], strict=False))
-
-
 @settings(max_examples=5, deadline=None)
 @given(st.integers(0, 10_000))
 def test_grid_equals_brute_force(spark, seed):
@@ -300,7 +294,7 @@ def test_linestrings_cut_at_class_forks_and_splits(spark):
         a.nodes[k] = (*a.nodes[k][:2], 4, None)
     nodes, edges = tables(spark, [a, line(5)])
     got = defaultdict(list)
-    for r in linegraph.linestrings(linegraph.to_rows(nodes, edges), spark.createDataFrame([(1, 2)], "graph long, node long")).collect():
+    for r in lineorder.linestrings(nodes, edges, spark.createDataFrame([(1, 2)], "graph long, node long")).collect():
         got[r["graph"]].append((list(r["nodes"]), r["cls"]))
     assert sorted(got[1]) == [([0, 1, 2], 1), ([2, 3, 4], 1)]
     assert len(got[0]) == 2

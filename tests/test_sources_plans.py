@@ -123,13 +123,6 @@ def test_parser_links_one_line(spark):
     assert e >= n - 1 > 2
 
 
-def test_long_rectangles_are_split():
-    rect = np.array([[0, 0], [100, 0], [100, 4], [0, 4]], float)
-    parts = boxparser.split_long(rect, 30)
-    assert parts[0][0][0] == 0 and parts[-1][1][0] == pytest.approx(100)
-    assert all(a[1][0] > b[0][0] for a, b in zip(parts, parts[1:], strict=False))
-
-
 def test_fold_as_a_stream(spark, tmp_path):
     o = boxparser.ParserOptions(window=16, overlap=8)
     boxes = boxparser.find_boxes(regions(spark, 8), o)
