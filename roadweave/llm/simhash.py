@@ -144,23 +144,25 @@ def first_met(differ: np.ndarray, kept: np.ndarray, t: int) -> np.ndarray:
     return out
 
 
-def ranked_links(x: np.ndarray, component: np.ndarray, kept: np.ndarray, t: int, radius: int, check_radius: int, low: int, high: int) -> tuple[np.ndarray, bool]:
-    """(pairs of places in ``x``, whether more are left) of a bucket of (fingerprint, check, check) rows.
+def ranked_links(x: np.ndarray, component: np.ndarray, asking: np.ndarray, kept: np.ndarray, t: int, radius: int, check_radius: int, low: int, high: int) -> tuple[np.ndarray, np.ndarray]:
+    """(pairs of places in ``x``, places that have more) of a bucket of (fingerprint, check, check) rows.
 
     A row's partners are those within both radii that it meets in no earlier
-    table, by bits of check. It names the ones from rank ``low`` up to ``high``
-    that are of another component. Ranks are the same in every round.
+    table, by bits of check. Each place in ``asking`` names the ones from rank
+    ``low`` up to ``high`` that are of another component. Ranks are the same in
+    every round.
     """
     fps, checks = x[:, 0].astype(np.int64).view(np.uint64), np.ascontiguousarray(x[:, 1:], np.int64).view(np.uint64)
+    found, more = [np.zeros((0, 2), np.int64)], [np.zeros(0, np.int64)]
     if (component == component[0]).all():
-        return np.zeros((0, 2), np.int64), False
-    found, more = [], False
-    for at in range(0, len(x), 256):
-        differ = fps[at : at + 256, None] ^ fps[None]
+        return found[0], more[0]
+    for block in range(0, len(asking), 256):
+        here = asking[block : block + 256]
+        differ = fps[here, None] ^ fps[None]
         i, j = np.nonzero(np.bitwise_count(differ) <= radius)
-        keep = i + at != j
+        keep = here[i] != j
         i, j = i[keep], j[keep]
-        d = np.bitwise_count(checks[i + at] ^ checks[j]).sum(1, dtype=np.uint16)
+        d = np.bitwise_count(checks[here[i]] ^ checks[j]).sum(1, dtype=np.uint16)
         near = np.flatnonzero(d <= check_radius)
         near = near[first_met(differ[i[near], j[near]], kept, t)]
         i, j, d = i[near], j[near], d[near]
@@ -168,12 +170,12 @@ def ranked_links(x: np.ndarray, component: np.ndarray, kept: np.ndarray, t: int,
         i, j = i[order], j[order]
         starts = np.flatnonzero(np.r_[True, i[1:] != i[:-1]]) if len(i) else np.zeros(0, np.int64)
         rank = np.arange(len(i)) - np.repeat(starts, np.diff(np.r_[starts, len(i)]))
-        apart = component[i + at] != component[j]
-        more |= bool((apart & (rank >= high)).any())
+        apart = component[here[i]] != component[j]
+        more.append(here[np.unique(i[apart & (rank >= high)])])
         named = apart & (rank >= low) & (rank < high)
-        found.append(np.column_stack([np.minimum(i[named] + at, j[named]), np.maximum(i[named] + at, j[named])]))
-    pairs = np.concatenate(found)
-    return np.unique(pairs, axis=0) if len(pairs) else pairs, more
+        a, b = here[i[named]], j[named]
+        found.append(np.column_stack([np.minimum(a, b), np.maximum(a, b)]))
+    return np.unique(np.concatenate(found), axis=0), np.concatenate(more)
 
 
 def _tables(rows: DataFrame, radius: int, *others: str) -> DataFrame:
@@ -244,15 +246,16 @@ def link_fingerprints(distinct: DataFrame, radius: int = RADIUS) -> DataFrame:
 
 
 def candidates(rows: DataFrame, radius: int, check_radius: int, low: int, high: int) -> DataFrame:
-    """(t, key, a.., b..): of each bucket the links of rank ``low`` to ``high`` between components; a row with a null a marks a bucket that has more.
+    """(t, key, a.., b..): of each bucket the links of rank ``low`` to ``high`` between components; a row with a null b marks a node that has more there.
 
-    ``rows`` is (t, key, fp, check, check2, component), the whole of each bucket.
+    ``rows`` is (t, key, fp, check, check2, component, asks), the whole of each
+    bucket; only rows that ask look for partners.
     """
     kept = np.array(masks(radius), np.uint64)
     names = ["t", "key", *PAIR]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for large, two in _buckets(batches, ["fp", "check", "check2", "component"]):
+        for large, two in _buckets(batches, ["fp", "check", "check2", "component", "asks"]):
             edges, left = [], []
             if two is not None and low == 0:
                 t, a, b = two
@@ -261,17 +264,19 @@ def candidates(rows: DataFrame, radius: int, check_radius: int, low: int, high:
                 ok = (((a[:, 0] ^ b[:, 0]).view(np.uint64)[:, None] & kept) == 0).argmax(1) == t if len(a) else np.zeros(0, bool)
                 edges.append(np.column_stack([a[ok], b[ok]]))
             for t, key, x in large:
-                e, more = ranked_links(x[:, :3], x[:, 3], kept, int(t), radius, check_radius, low, high)
+                e, more = ranked_links(x[:, :3], x[:, 3], np.flatnonzero(x[:, 4]), kept, int(t), radius, check_radius, low, high)
                 edges.append(np.column_stack([x[e[:, 0], :3], x[e[:, 1], :3]]))
-                if more:
-                    left.append((t, key))
+                if len(more):
+                    left.append(np.column_stack([np.full(len(more), t, np.int64), np.full(len(more), key, np.int64), x[more, :3]]))
             if n := sum(map(len, edges)):
                 found = np.concatenate(edges)
                 yield pd.DataFrame(found, columns=PAIR).assign(t=np.zeros(n, np.int16), key=np.zeros(n, np.int64))[names]
             if left:
-                yield pd.DataFrame(left, columns=["t", "key"]).reindex(columns=names).astype({c: "Int64" for c in PAIR})
+                yield pd.DataFrame(np.concatenate(left), columns=names[:5]).reindex(columns=names).astype({c: "Int64" for c in PAIR[3:]})
 
-    return rows.repartition("t", "key").sortWithinPartitions("t", "key").mapInPandas(run, "t short, key long, " + ", ".join(f"{n} long" for n in PAIR))
+    # few large buckets are dealt to as many tasks as there are, not joined by their bytes
+    parts = [int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))] if low else []
+    return rows.repartition(*parts, "t", "key").sortWithinPartitions("t", "key").mapInPandas(run, "t short, key long, " + ", ".join(f"{n} long" for n in PAIR))
 
 
 NODE = ("fp", "check", "check2")
@@ -341,21 +346,22 @@ def linked(nodes: DataFrame, radius: int, check_radius: int, verify: Callable[[D
     rid = nodes.select(F.struct(*NODE).alias("node"), "rid")
     at = lambda k: rid.select(F.col("node").alias(f"n_{k}"), F.col("rid").alias(f"{k}_rid"))
     node = lambda k: F.struct(F.col(k).alias("fp"), F.col(f"{k}_check").alias("check"), F.col(f"{k}_check2").alias("check2")).alias(f"n_{k}")
-    buckets = _tables(nodes.withColumn("component", F.col("rid")), radius, "component")
+    buckets = _tables(nodes.withColumns({"component": F.col("rid"), "asks": F.lit(1).cast("long")}), radius, "component", "asks")
     links, low, high = None, 0, FIRST_RANKS
     while True:
         found = materialize(candidates(buckets, radius, check_radius, low, high), "simhash-candidates")
-        edges = found.where("a is not null").select(node("a"), node("b")).distinct()
+        edges = found.where("b is not null").select(node("a"), node("b")).distinct()
         new = materialize(edges.join(at("a"), "n_a").join(at("b"), "n_b").select("a_rid", "b_rid"), "simhash-pairs")
         if verify is not None:
             new = materialize(verify(new), "simhash-links")
         links = new if links is None else links.unionAll(new)
-        left = materialize(found.where("a is null").select("t", "key"), "simhash-open")
+        left = materialize(found.where("b is null").select("t", "key", F.col("a").alias("fp"), F.col("a_check").alias("check"), F.col("a_check2").alias("check2")), "simhash-open")
         if left.isEmpty():
             return links
         of = connected_components(links, "a_rid", "b_rid").select(F.col("node").alias("rid"), "component")
         named = nodes.join(of, "rid", "left").select(*NODE, F.coalesce("component", "rid").alias("component"))
-        buckets = _tables(named, radius, "component").join(left, ["t", "key"], "left_semi")
+        buckets = _tables(named, radius, "component").join(left.select("t", "key").distinct(), ["t", "key"], "left_semi")
+        buckets = buckets.join(left.withColumn("asks", F.lit(1).cast("long")), ["t", "key", *NODE], "left").fillna(0, ["asks"])
         low, high = high, high * 8
 
 

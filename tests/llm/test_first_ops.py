@@ -302,16 +302,16 @@ def test_ranked_links_in_rounds_equal_all_links():
     want = {(j, i) for i in range(len(x)) for j in range(i) if bits(x[i, :1], x[j, :1]) <= 4 and bits(x[i, 1:], x[j, 1:]) <= 8}
     apart = np.arange(len(x))
     for first in (1, 4, 500):
-        got, low, high, more = set(), 0, first, True
-        while more:
-            pairs, more = simhash.ranked_links(x, apart, kept, 0, 4, 8, low, high)
+        got, low, high, more = set(), 0, first, apart
+        while len(more):
+            pairs, more = simhash.ranked_links(x, apart, more, kept, 0, 4, 8, low, high)
             got |= set(map(tuple, pairs.tolist()))
             low, high = high, high * 8
         assert got == want and len(want) > 100
-    pairs, more = simhash.ranked_links(x, np.zeros(len(x)), kept, 0, 4, 8, 0, 8)
-    assert not len(pairs) and not more
+    pairs, more = simhash.ranked_links(x, np.zeros(len(x)), apart, kept, 0, 4, 8, 0, 8)
+    assert not len(pairs) and not len(more)
     # in a later table only pairs count that no earlier one has
-    later, _ = simhash.ranked_links(x, apart, kept, 3, 4, 8, 0, 500)
+    later, _ = simhash.ranked_links(x, apart, apart, kept, 3, 4, 8, 0, 500)
     assert all(all(int(x[i, 0] ^ x[j, 0]) & int(m) for m in kept[:3]) for i, j in later.tolist())
 
 
