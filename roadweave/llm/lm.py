@@ -7,7 +7,7 @@ last bytes, where it follows their counts, and each such class has room for
 unseen words. So probabilities over all tokens add up to one.
 
 Training is truncated backpropagation through time in numpy: gradients stop at
-windows, the state does not. Workers train on parts of all training documents
+windows, the state goes on to the end of the document. Workers train on parts of all training documents
 and their weights are averaged. Scoring carries the state from
 window to window over a whole document.
 
@@ -49,8 +49,10 @@ SCORED_CELLS = 16 << 20
 RATE = 0.02
 #: Training passes over the documents once; each round takes its share and begins with the weights of the one before.
 ROUNDS = 2
-#: Training cuts documents into pieces of so many windows, so that lanes are of like length.
-PIECE_WINDOWS = 16
+#: Tokens of a document that are trained on in one go, with one state; a longer one goes on in another lane, from the start.
+LANE_TOKENS = 16_384
+#: Documents of more tokens are dealt to lanes before all others, the longest first, so that lanes are of like length.
+LONG_TOKENS = 1536
 #: Tokens that one worker trains on in a round, about.
 WORKER_TOKENS = 2_000_000
 #: UTF-8 bytes of the texts of a chunk, about; the last text is never cut.
@@ -306,11 +308,12 @@ def backward(p: dict[str, np.ndarray], v: Vocabulary, s: np.ndarray, y: np.ndarr
 
 
 def lanes_of(docs: list[np.ndarray], start: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(inputs, targets, lengths): pieces of documents one after another in ``STREAMS`` lanes, (time, lane)."""
-    piece = WINDOW * PIECE_WINDOWS
+    """(inputs, targets, lengths): whole documents one after another in ``STREAMS`` lanes, (time, lane)."""
+    parts = [d[i : i + LANE_TOKENS] for d in docs for i in range(0, len(d), LANE_TOKENS)]
+    long = sorted((d for d in parts if len(d) > LONG_TOKENS), key=len, reverse=True)
     lanes: list[list[np.ndarray]] = [[] for _ in range(STREAMS)]
     heap = [(0, k) for k in range(STREAMS)]
-    for d in (d[i : i + piece] for d in docs for i in range(0, len(d), piece)):
+    for d in [*long, *(d for d in parts if len(d) <= LONG_TOKENS)]:
         size, k = heap[0]
         lanes[k].append(d)
         heapreplace(heap, (size + len(d), k))

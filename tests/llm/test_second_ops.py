@@ -200,6 +200,21 @@ def test_lm_gradients_are_those_of_the_loss():
             assert g[at] == pytest.approx((up - down) / 2e-5, rel=1e-4, abs=1e-8), name
 
 
+def test_lm_documents_are_whole_in_their_lanes():
+    rng = np.random.default_rng(1)
+    docs = [np.arange(n, dtype=np.int32) + 10 * k for k, n in enumerate(rng.integers(1, 4000, 700))] + [np.arange(lm.LANE_TOKENS + 5, dtype=np.int32)]
+    inputs, target, sizes = lm.lanes_of(docs, 9_999_999)
+    begins = [(lane, t) for lane in range(lm.STREAMS) for t in range(sizes[lane]) if inputs[t, lane] == 9_999_999]
+    assert len(begins) == len(docs) + 1
+    seen = []
+    for (lane, t), (after, end) in zip(begins, [*begins[1:], (None, None)], strict=True):
+        stop = end if after == lane else sizes[lane]
+        assert (inputs[t + 1 : stop, lane] == target[t : stop - 1, lane]).all()
+        seen.append(tuple(target[t:stop, lane].tolist()))
+    assert sorted(seen) == sorted([*map(tuple, (d.tolist() for d in docs[:-1])), tuple(range(lm.LANE_TOKENS)), tuple(range(lm.LANE_TOKENS, lm.LANE_TOKENS + 5))])
+    assert sizes.max() * lm.STREAMS < 1.3 * sizes.sum()
+
+
 def test_lm_training_learns_order():
     v = small_vocabulary()
     docs = [np.array([0, 1] * 60 + [2]) for _ in range(40)]
