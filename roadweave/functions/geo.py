@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import math
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -84,3 +86,35 @@ def latlon_to_utm(lat: Column, lon: Column, zone: int | None = None) -> tuple[Co
     east = UTM_SCALE * n * (a + (1 - t + k) * F.pow(a, 3) / 6 + (5 - 18 * t + t * t + 72 * k - 58 * EP2) * F.pow(a, 5) / 120) + UTM_EASTING
     north = UTM_SCALE * (m + n * F.tan(la) * (a * a / 2 + (5 - t + 9 * k + 4 * k * k) * F.pow(a, 4) / 24 + (61 - 58 * t + t * t + 600 * k - 330 * EP2) * F.pow(a, 6) / 720))
     return east, F.when(lat < 0, north + 10_000_000.0).otherwise(north)
+
+
+def _let(value: Column, f: Callable[[Column], Column]) -> Column:
+    """``f`` of a value that is computed once, however often ``f`` names it."""
+    return F.element_at(F.transform(F.array(value), f), 1)
+
+
+def utm_to_latlon(east: Column, north: Column, zone: Column | int, northern: Column | bool = True) -> tuple[Column, Column]:
+    """Degrees of UTM metres, by the inverse transverse Mercator series from the footpoint latitude; back within a millimetre."""
+    e4, e6 = E2 * E2, E2 * E2 * E2
+    e1 = (1 - (1 - E2) ** 0.5) / (1 + (1 - E2) ** 0.5)
+    of = lambda v: v if isinstance(v, Column) else F.lit(v)
+    mu = (north - F.when(of(northern), 0.0).otherwise(10_000_000.0)) / UTM_SCALE / (A * (1 - E2 / 4 - 3 * e4 / 64 - 5 * e6 / 256))
+
+    def foot(m: Column) -> Column:
+        p = m + (3 * e1 / 2 - 27 * e1**3 / 32) * F.sin(2 * m) + (21 * e1**2 / 16 - 55 * e1**4 / 32) * F.sin(4 * m) + (151 * e1**3 / 96) * F.sin(6 * m) + (1097 * e1**4 / 512) * F.sin(8 * m)
+        return F.struct(p.alias("p"), m.alias("m"))
+
+    def parts(v: Column) -> Column:
+        p = v["p"]
+        n = _prime_vertical(F.sin(p))
+        r = A * (1 - E2) / F.pow(1 - E2 * F.sin(p) * F.sin(p), 1.5)
+        return F.struct(p.alias("p"), n.alias("n"), r.alias("r"), F.tan(p).alias("tan"), F.cos(p).alias("cos"), F.pow(F.tan(p), 2).alias("t"), (EP2 * F.cos(p) * F.cos(p)).alias("k"), ((east - UTM_EASTING) / (n * UTM_SCALE)).alias("d"))
+
+    def degrees(v: Column) -> Column:
+        t, k, d = v["t"], v["k"], v["d"]
+        lat = v["p"] - v["n"] * v["tan"] / v["r"] * (d * d / 2 - (5 + 3 * t + 10 * k - 4 * k * k - 9 * EP2) * F.pow(d, 4) / 24 + (61 + 90 * t + 298 * k + 45 * t * t - 252 * EP2 - 3 * k * k) * F.pow(d, 6) / 720)
+        lon = (d - (1 + 2 * t + k) * F.pow(d, 3) / 6 + (5 - 2 * k + 28 * t - 3 * k * k + 8 * EP2 + 24 * t * t) * F.pow(d, 5) / 120) / v["cos"]
+        return F.struct(F.degrees(lat).alias("lat"), F.degrees(lon).alias("lon"))
+
+    found = _let(mu, lambda m: _let(foot(m), lambda v: _let(parts(v), degrees)))
+    return found["lat"], found["lon"] + (of(zone) * 6 - 183)

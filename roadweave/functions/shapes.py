@@ -223,6 +223,69 @@ def smooth(values: np.ndarray, strength: float) -> np.ndarray:
     return np.array(x)
 
 
+def _basis(at: np.ndarray, knots: np.ndarray, degree: int) -> tuple[np.ndarray, np.ndarray]:
+    """(first, values): the degree + 1 B-splines that are not zero at each point."""
+    k = np.clip(np.searchsorted(knots, at, side="right") - 1, degree, len(knots) - degree - 2)
+    out = np.zeros((len(at), degree + 1))
+    out[:, 0] = 1.0
+    for j in range(1, degree + 1):
+        saved = np.zeros(len(at))
+        for r in range(j):
+            right, left = knots[k + r + 1] - at, at - knots[k + 1 - j + r]
+            part = out[:, r] / (right + left)
+            out[:, r] = saved + right * part
+            saved = left * part
+        out[:, j] = saved
+    return k - degree, out
+
+
+def smoothing_spline(at: np.ndarray, values: np.ndarray, residual: float) -> tuple[np.ndarray, np.ndarray]:
+    """(fitted, slope) of a cubic B-spline through (n, d) values at increasing places, squared deviations at most ``residual`` in all.
+
+    Least squares over few knots; spans that deviate more than their share get a
+    knot at their middle point, until the bound is met. Fewer than four points
+    are kept as they are.
+    """
+    at, values = np.asarray(at, float), np.asarray(values, float)
+    if (np.diff(at) <= 0).any():
+        raise ValueError("places must increase")
+    n = len(at)
+    if n < 4:
+        return values.copy(), np.gradient(values, at, axis=0) if n > 1 else np.zeros_like(values)
+    inner = np.zeros(0)
+    while True:
+        knots = np.r_[[at[0]] * 4, inner, [at[-1]] * 4]
+        first, weights = _basis(at, knots, 3)
+        m = len(knots) - 4
+        rows, cols = np.repeat(np.arange(n), 4), (first[:, None] + np.arange(4)).ravel()
+        # the normal matrix has seven diagonals; both sides are summed from four terms a point
+        normal, right = np.zeros((m, m)), np.zeros((m, values.shape[1]))
+        for a in range(4):
+            np.add.at(right, first + a, weights[:, [a]] * values)
+            for b in range(4):
+                np.add.at(normal, (first + a, first + b), weights[:, a] * weights[:, b])
+        c = np.linalg.solve(normal + np.eye(m) * 1e-13 * np.trace(normal), right)
+        fitted = np.zeros_like(values)
+        np.add.at(fitted, rows, weights.ravel()[:, None] * c[cols])
+        off = ((values - fitted) ** 2).sum(1)
+        if off.sum() <= residual:
+            break
+        ends = np.r_[0, np.searchsorted(at, inner), n - 1]
+        shares = np.array([off[a : b + 1].sum() for a, b in zip(ends[:-1], ends[1:], strict=True)])
+        wide = np.diff(ends) >= 4
+        if not wide.any():
+            # no span can be parted and still hold points enough: the values themselves
+            return values.copy(), np.gradient(values, at, axis=0)
+        split = wide & (shares >= min(off.sum() / len(shares), shares[wide].max()))
+        middle = (ends[:-1] + ends[1:]) // 2
+        inner = np.unique(np.r_[inner, at[middle[split]]])
+    steps = 3 * np.diff(c, axis=0) / (knots[4 : m + 3] - knots[1:m])[:, None]
+    first, weights = _basis(at, knots[1:-1], 2)
+    slope = np.zeros_like(values)
+    np.add.at(slope, np.repeat(np.arange(n), 3), weights.ravel()[:, None] * steps[(first[:, None] + np.arange(3)).ravel()])
+    return fitted, slope
+
+
 def contour_area(mask: np.ndarray) -> float:
     """The area inside the outer contour of a blob, which runs through pixel centres; holes belong to it.
 

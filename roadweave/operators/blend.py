@@ -195,6 +195,29 @@ def affine(pixels: DataFrame, rows: int, cols: int, m: tuple[float, float, float
     return grid.join(source, ["__r", "__c"]).drop("__r", "__c")
 
 
+def warp(pixels: DataFrame, frames: DataFrame, shape: tuple[int, int], by: str = "frame") -> DataFrame:
+    """Each frame's image seen through its own homography, interpolated between four pixels.
+
+    ``frames`` is (by, h), h the nine numbers, row by row, that take a target
+    (col, row, 1) to the source; ``pixels`` (by, row, col, values and classes).
+    A target pixel is the weighted sum of the sources round it, ``weight`` for
+    each class, or r, g and b; sources that are missing count nothing. Targets
+    are made by the engine and meet their sources in one equi-join.
+    """
+    rows, cols = shape
+    grid = frames.select(by, "h", F.explode(F.sequence(F.lit(0), F.lit(rows - 1))).alias("row")).select(by, "h", "row", F.explode(F.sequence(F.lit(0), F.lit(cols - 1))).alias("col"))
+    line = lambda k: F.col("h")[k] * F.col("col") + F.col("h")[k + 1] * F.col("row") + F.col("h")[k + 2]
+    depth = line(6)
+    at = grid.where(depth != 0).select(by, "row", "col", (line(0) / depth).alias("u"), (line(3) / depth).alias("v"))
+    corner = lambda i, j: F.struct((F.floor("v") + i).cast("int").alias("r"), (F.floor("u") + j).cast("int").alias("c"), ((F.col("v") - F.floor("v") if i else 1 - F.col("v") + F.floor("v")) * (F.col("u") - F.floor("u") if j else 1 - F.col("u") + F.floor("u"))).alias("w"))
+    asked = at.where((F.abs("u") < 1e6) & (F.abs("v") < 1e6)).select(by, "row", "col", F.explode(F.array(*[corner(i, j) for i in (0, 1) for j in (0, 1)])).alias("s")).where("s.w > 0")
+    asked = asked.select(by, "row", "col", F.col("s.r").alias("__r"), F.col("s.c").alias("__c"), F.col("s.w").alias("__w"))
+    values = [c for c in pixels.columns if c in ("weight", "r", "g", "b")]
+    kept = [c for c in pixels.columns if c not in (by, "row", "col", *values)]
+    seen = asked.join(pixels.withColumnsRenamed({"row": "__r", "col": "__c"}), [by, "__r", "__c"])
+    return seen.groupBy(by, "row", "col", *kept).agg(*[F.sum(F.col(c) * F.col("__w")).alias(c) for c in values])
+
+
 def homography(pixels: DataFrame, rows: int, cols: int, h: list[list[float]]) -> DataFrame:
     """The same warp by a perspective map of target (x=col, y=row) to source."""
     spark = pixels.sparkSession

@@ -50,10 +50,10 @@ def nearest_in_group(left: DataFrame, right: DataFrame, group: list[str], left_i
     Rows look round themselves, in a range that doubles each round for those
     that have not found one, beginning near the mean distance between points; so
     a group is never paired as a whole. Rows with no other of their group have
-    no row.
+    no row, nor have rows without a number for a place.
     """
-    a = materialize(left.select(*group, F.col(left_id).alias("__id"), "x", "y").where("x is not null and y is not null"), "nearest-left")
-    b = materialize(right.select(*group, F.col(right_id).alias("__other"), F.col("x").alias("ox"), F.col("y").alias("oy")).where("ox is not null and oy is not null"), "nearest-right")
+    a = materialize(left.select(*group, F.col(left_id).alias("__id"), "x", "y").where("x is not null and y is not null and not isnan(x) and not isnan(y)"), "nearest-left")
+    b = materialize(right.select(*group, F.col(right_id).alias("__other"), F.col("x").alias("ox"), F.col("y").alias("oy")).where("ox is not null and oy is not null and not isnan(ox) and not isnan(oy)"), "nearest-right")
     box = b.agg(*[f(c) for c in ("ox", "oy") for f in (F.min, F.max)], F.count("*")).first()
     own = a.agg(*[f(c) for c in ("x", "y") for f in (F.min, F.max)]).first()
     kind = f"`{left_id}` {left.schema[left_id].dataType.simpleString()}, nearest {right.schema[right_id].dataType.simpleString()}, d double"

@@ -12,8 +12,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType
 
+from roadweave.functions import geo, shapes
 from roadweave.functions import geometry as g
-from roadweave.functions import shapes
 from roadweave.operators import graphs, grid
 from roadweave.operators.graphs import undirected
 from roadweave.storage import COMPACT_ROUNDS, materialize, release
@@ -390,12 +390,13 @@ class Lanes:
     relations: DataFrame
 
 
-def find_lanes(nodes: DataFrame, edges: DataFrame, min_lane_size: float = 1.5, max_lane_size: float = 6.0, tolerance: float = 0.5, ignore_classes: list[int] | None = None, max_corner_degrees: float | None = None, sides: DataFrame | None = None, min_center_distance: float = 2.0) -> Lanes:
+def find_lanes(nodes: DataFrame, edges: DataFrame, min_lane_size: float = 1.5, max_lane_size: float = 6.0, tolerance: float = 0.5, ignore_classes: list[int] | None = None, max_corner_degrees: float | None = None, sides: DataFrame | None = None, min_center_distance: float = 2.0, min_node_path_len: int = 5) -> Lanes:
     """The lane search (L9): points of interest, splits, linestrings, lanes, without overlaps and holes.
 
     ``nodes`` is (graph, node, x, y, cls and, for shapes, type), ``edges``
     (graph, src, dst), ``sides`` as ``annotate_side`` gives them with the graph.
-    Nodes of ignored classes make no splits, and their lines no lanes.
+    Nodes of ignored classes make no splits, and their lines no lanes. Corners
+    split lines only where ``max_corner_degrees`` is given.
     """
     from roadweave.operators import linegraph, lineorder
 
@@ -404,7 +405,7 @@ def find_lanes(nodes: DataFrame, edges: DataFrame, min_lane_size: float = 1.5, m
     aimed = materialize(lineorder.robust_directions(nodes, edges).select("graph", "node", "x", "y", "dx", "dy").join(open_.select("graph", "node"), ["graph", "node"], "left_semi"), "lane-directions")
     poi = linegraph.points_of_interest(nodes, edges, max_corner_degrees).select("graph", "node").distinct()
     sources = poi.join(aimed, ["graph", "node"]).where("dx * dx + dy * dy > 0").select("graph", "node", "dx", "dy")
-    splits, relations = propagate_splits(aimed, sources, min_lane_size, max_lane_size, tolerance, edges=edges)
+    splits, relations = propagate_splits(aimed, sources, min_lane_size, max_lane_size, tolerance, edges=edges, min_node_path_len=min_node_path_len)
     splits, relations = materialize(splits, "lane-splits"), materialize(relations, "lane-relations")
     cut = materialize(lineorder.linestrings(nodes, edges, splits.where("round > 0").select("graph", "node")), "lane-lines")
     cut = cut.withColumn("ls", F.xxhash64("graph", "line"))
@@ -440,6 +441,12 @@ def map_elements(found: Lanes, nodes: DataFrame, origin: tuple[float, float, flo
     return points, ways, lanelets
 
 
+def on_globe(points: DataFrame, origin: tuple[float, float, float], zone: int, northern: bool = True) -> DataFrame:
+    """Points (id, x, y, ele) of ``map_elements`` as (id, lat, lon, ele), their metres being UTM of a zone."""
+    lat, lon = geo.utm_to_latlon(F.col("x") + origin[0], F.col("y") + origin[1], zone, northern)
+    return points.select("id", lat.alias("lat"), lon.alias("lon"), (F.col("ele") + origin[2]).alias("ele"))
+
+
 # Classes of four-node shapes that become one middle line, or two lines and a lanelet of a subtype.
 ONE_LINE, TWO_LINES = (14,), {9: "walkway"}
 

@@ -260,19 +260,26 @@ def lines_of(g: Graph, max_angle_deg: float | None = None, cuts: set[int] | None
 
 
 def line_smooth(smooth_coeff: float, smooth_shapes: bool = True, min_line_nodes: int = 4, max_angle_delta_deg: float = 60) -> Processor:
-    """Inner nodes of lines are smoothed; lines of ``min_line_nodes`` or fewer stay."""
+    """Inner nodes of lines move to a smoothing spline; lines of ``min_line_nodes`` or fewer stay, boxes and circles too.
+
+    The coefficient bounds a line's squared deviations in all; places are by the
+    length of its chords.
+    """
     if smooth_coeff <= 0:
         raise ValueError("the coefficient must be positive")
 
     def run(g: Graph) -> list[Graph]:
-        if g.type is not None and not smooth_shapes:
+        if g.type is not None and (not smooth_shapes or g.type in ("box", "circle")):
             return [g]
         out = g.induced(g.nodes)
         for line in lines_of(g, max_angle_delta_deg):
             if len(line) <= min_line_nodes:
                 continue
             xy = g.xy(line)
-            moved = np.column_stack([shapes.smooth(xy[:, k], smooth_coeff) for k in (0, 1)])
+            chords = np.hypot(*np.diff(xy, axis=0).T)
+            if not chords.all():
+                continue
+            moved, _ = shapes.smoothing_spline(np.r_[0.0, chords.cumsum()] / chords.sum(), xy, smooth_coeff)
             for n, (x, y) in list(zip(line, moved, strict=True))[1:-1]:
                 out.nodes[n] = (float(x), float(y), *g.nodes[n][2:])
         return [out]
@@ -426,7 +433,7 @@ def points_of_interest(nodes: DataFrame, edges: DataFrame, max_corner_deg: float
     return out.distinct()
 
 
-def connect_heads(nodes: DataFrame, edges: DataFrame, max_dist: float, ignore_classes: list[int] | None = None, tails_only: bool = False, ignore_shapes: bool = True, most: int = 50) -> tuple[DataFrame, DataFrame]:
+def connect_heads(nodes: DataFrame, edges: DataFrame, max_dist: float, ignore_classes: list[int] | None = None, tails_only: bool = False, ignore_shapes: bool = True) -> tuple[DataFrame, DataFrame]:
     """Ends of lines are joined to another graph in range until none is left.
 
     Each degree-1 node takes the graph of least id with an allowed node in
@@ -441,7 +448,8 @@ def connect_heads(nodes: DataFrame, edges: DataFrame, max_dist: float, ignore_cl
     cols = ["old_graph", "node", "graph", "x", "y", "cls"] + (["type"] if "type" in nodes.columns else [])
     now = materialize(nodes.withColumn("old_graph", F.col("graph")).select(*cols), "heads")
     link = materialize(edges.select(F.col("graph").alias("src_graph"), "src", F.col("graph").alias("dst_graph"), "dst"), "head-edges")
-    for _ in range(most):
+    # ends and allowed nodes only get fewer, so rounds end by themselves
+    while True:
         ends = link.select(F.col("src_graph").alias("old_graph"), F.col("src").alias("node")).unionAll(link.select("dst_graph", "dst"))
         heads = now.join(ends.groupBy("old_graph", "node").agg(F.count("*").alias("n")).where("n = 1").drop("n"), ["old_graph", "node"], "left_semi")
         if ignore_shapes and "type" in nodes.columns:

@@ -15,6 +15,7 @@ from roadweave.functions import camera, geo
 from roadweave.functions import geometry as g
 from roadweave.operators import blend, boxparser, graphs, grid, lanes, linegraph, lineorder, placement, poses
 from roadweave.operators.components import connected_components
+from roadweave.sources import store
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -83,7 +84,7 @@ R_GRAPH = 0.03
 
 @query(f"""
 with {SQL_TRAJECTORY}, u as (
-  select event_id, user_id, t, x, case event_type when 'view' then 0 else 1 end as k from traj where event_type in ('view', 'click')
+  select event_id, user_id, t, x, case event_type when 'view' then 0 else 1 end as k from traj
 ), w as (
   select *, case when k = 0 then {{'t': t, 'x': x}} end as p from u
 ), n as (
@@ -95,9 +96,9 @@ select event_id, user_id, round(case when b is null then a.x when a is null or b
   else b.x + (a.x - b.x) * coalesce((t - b.t)::double / nullif(a.t - b.t, 0), 0) end, 6) + 0.0 as aligned_x
 from n where k = 1""")
 def pose_align(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Clicks aligned to a log of views, user by user."""
+    """All other events aligned to a log of views, user by user."""
     t = trajectory(spark, sf_dir)
-    frames = t.where("event_type = 'click'").select("event_id", "user_id", "t")
+    frames = t.where("not event_type <=> 'view'").select("event_id", "user_id", "t")
     log = t.where("event_type = 'view'").select("event_id", "user_id", "t", "x")
     out = poses.align(frames, log, ["x"], on="t", by=["user_id"], order="event_id")
     return out.select("event_id", "user_id", r6(F.col("x")).alias("aligned_x"))
@@ -175,13 +176,13 @@ def multi_camera_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return poses.multi_camera(t).select(F.col("frame").alias("user_id"), r6(F.col("x")).alias("x"), r6(F.col("y")).alias("y"), F.size("cameras").cast("long").alias("cameras"))
 
 
-@query("""with a as (select user_id as frame, count(*) as n, max(value) as top from events where event_type = 'view' group by 1), b as (select user_id as frame, count(*) as n, max(value) as top from events where event_type = 'click' group by 1)
+@query("""with a as (select user_id as frame, count(*) as n, max(value) as top from events where event_type = 'view' group by 1), b as (select user_id as frame, count(*) as n, max(value) as top from events where event_type is distinct from 'view' group by 1)
 select a.frame, a.n as main_n, b.n as other_n, round(a.top - b.top, 6) + 0.0 as apart from a join b using (frame)""")
 def paired_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Frames that two sources share."""
     e = table(spark, sf_dir, "events")
-    of = lambda kind: e.where(F.col("event_type") == kind).groupBy(F.col("user_id").alias("frame")).agg(F.count("*").alias("n"), F.max("value").alias("top"))
-    x = poses.paired(of("view"), of("click"))
+    of = lambda kind: e.where(kind).groupBy(F.col("user_id").alias("frame")).agg(F.count("*").alias("n"), F.max("value").alias("top"))
+    x = poses.paired(of("event_type = 'view'"), of("not event_type <=> 'view'"))
     return x.select("frame", F.col("main.n").alias("main_n"), F.col("other.n").alias("other_n"), r6(F.col("main.top") - F.col("other.top")).alias("apart"))
 
 
@@ -321,6 +322,23 @@ def region_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     return blend.window_around(at, flat, 2).groupBy("o_orderkey").agg(F.count("*").alias("pixels"), F.sum("weight").alias("weight"))
 
 
+SQL_TURNS = "h as (select frame, 0.9 + frame % 3 * 0.05 as a, 0.1 - frame % 5 * 0.02 as b, frame % 7 * 0.5 as c, 0.02 * (frame % 4) as d, 1.0 - frame % 3 * 0.04 as e, frame % 2 * 0.25 as f, 0.001 * (frame % 6) as g from (select distinct frame from px))"
+
+
+@query(f"""with {SQL_PIXELS}, q as (select frame, row, col, cls, sum(weight) as weight from px group by 1, 2, 3, 4), {SQL_TURNS},
+t as (select frame, r as row, c2 as col, (a * c2 + b * r + c) / (g * c2 + 1) as u, (d * c2 + e * r + f) / (g * c2 + 1) as v from h, range(50) as x(r), range(50) as y(c2)),
+n as (select frame, row, col, floor(v)::int + i as sr, floor(u)::int + j as sc, (case i when 1 then v - floor(v) else 1 - v + floor(v) end) * (case j when 1 then u - floor(u) else 1 - u + floor(u) end) as w from t, (values (0, 0), (0, 1), (1, 0), (1, 1)) as k(i, j)),
+o as (select n.frame, n.row, n.col, cls, sum(weight * w) as weight from n join q on q.frame = n.frame and q.row = sr and q.col = sc where w > 0 group by 1, 2, 3, 4)
+select frame, cls, count(*) as pixels, round(sum(weight), 4) + 0.0 as weight, round(sum(weight * (row + 2 * col)), 2) + 0.0 as moment from o group by 1, 2""")
+def frame_warps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every frame's pixels through a homography of its own, interpolated."""
+    px = seen_pixels(spark, sf_dir).groupBy("frame", "row", "col", "cls").agg(F.sum("weight").alias("weight"))
+    k = F.col("frame")
+    h = F.array(0.9 + k % 3 * 0.05, 0.1 - k % 5 * 0.02, k % 7 * 0.5, 0.02 * (k % 4), 1.0 - k % 3 * 0.04, k % 2 * 0.25, 0.001 * (k % 6), F.lit(0.0), F.lit(1.0))
+    out = blend.warp(px, px.select("frame").distinct().withColumn("h", h), (50, 50))
+    return out.groupBy("frame", "cls").agg(F.count("*").alias("pixels"), (F.round(F.sum("weight"), 4) + 0.0).alias("weight"), (F.round(F.sum(F.col("weight") * (F.col("row") + 2 * F.col("col"))), 2) + 0.0).alias("moment"))
+
+
 @query(f"""with {SQL_PIXELS}, {SQL_SUMS}, s(slice, a, b) as (values (0, 0, 20), (1, 14, 34), (2, 28, 50))
 select slice, count(*) as pixels, sum(weight) as weight from sums join s on row >= a and row < b group by 1""")
 def window_slices(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -785,6 +803,20 @@ def utm_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     return places(spark, sf_dir).select("c_custkey", geo.utm_zone(F.col("lon")).alias("zone"), mm(east).alias("east"), mm(north).alias("north"))
 
 
+@query(f"select c_custkey as id, round({LAT}, 8) + 0.0 as lat, round({LON}, 8) + 0.0 as lon from customer")
+def map_file_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Places as UTM metres, written as elements of an OSM file and read from them: the degrees they began with."""
+    zone = geo.utm_zone(F.col("lon"))
+    east, north = geo.latlon_to_utm(F.col("lat"), F.col("lon"))
+    at = places(spark, sf_dir).select(F.col("c_custkey").alias("id"), (F.col("lat") >= 0).alias("up"), zone.alias("zone"), east.alias("x"), north.alias("y"))
+    lat, lon = geo.utm_to_latlon(F.col("x"), F.col("y"), F.col("zone"), F.col("up"))
+    points = at.select("id", lat.alias("lat"), lon.alias("lon"), F.lit(None).cast("double").alias("ele"))
+    ways = spark.createDataFrame([], "id long, nodes array<long>, type string, subtype string")
+    file = store.osm_elements(points, ways, spark.createDataFrame([], "id long, left_way long, right_way long, subtype string"))
+    part = lambda k: F.regexp_extract("value", f' {k}="([^"]*)"', 1)
+    return file.where("part = 1").select(part("id").cast("long").alias("id"), *[(F.round(part(k).cast("double"), 8) + 0.0).alias(k) for k in ("lat", "lon")])
+
+
 # Line graphs, lanes and cameras over the driver's tables
 
 

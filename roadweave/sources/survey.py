@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roadweave.functions import geometry as g
-from roadweave.functions.shapes import smooth
+from roadweave.functions.shapes import smoothing_spline
 from roadweave.operators import poses
 
 LOG = "sequence long, x double, y double, z double, heading double, roll double, pitch double"
@@ -110,13 +110,19 @@ def resized(image: np.ndarray, size: tuple[int, int]) -> np.ndarray:
     return np.clip(np.floor(out + 0.5), 0, 255).astype(np.uint8)
 
 
-def smoothed(frames: DataFrame, strength: float = 10.0, by: str = "track") -> DataFrame:
-    """Adds smooth_x, smooth_y and smooth_heading of each track, by a penalised spline."""
+def smoothed(frames: DataFrame, residual: float = 0.03, by: str = "track", time: str = "frame") -> DataFrame:
+    """Adds smooth_x, smooth_y and smooth_heading of each track.
+
+    A cubic spline over ``time``, which may be uneven, whose squared deviations
+    are ``residual`` a pose at most in the mean; the heading is its direction.
+    Two poses at one time are an error. A track is one task.
+    """
+
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("frame")
-        x, y = (smooth(pdf[c].to_numpy(), strength) for c in "xy")
-        d = np.arctan2(np.gradient(y), np.gradient(x)) if len(x) > 1 else np.zeros(len(x))
-        return pdf.assign(smooth_x=x, smooth_y=y, smooth_heading=d)
+        pdf = pdf.sort_values(time)
+        at = pdf[time].to_numpy(float)
+        xy, slope = smoothing_spline(at - at[0], pdf[["x", "y"]].to_numpy(float), residual * len(pdf))
+        return pdf.assign(smooth_x=xy[:, 0], smooth_y=xy[:, 1], smooth_heading=np.arctan2(slope[:, 1], slope[:, 0]))
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in frames.schema) + ", smooth_x double, smooth_y double, smooth_heading double"
     return frames.groupBy(by).applyInPandas(run, schema)

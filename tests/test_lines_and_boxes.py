@@ -9,7 +9,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from roadweave.functions import shapes
+from roadweave.functions import geo, shapes
 from roadweave.operators import blend, boxparser, graphs, grid, linegraph, lineorder, placement
 from roadweave.operators.boxparser import DriveState, ParserOptions
 
@@ -295,3 +295,47 @@ def test_second_class_of_a_region(spark):
     got = {r["col"]: (r["cls"], r["second"]) for r in placement.region_labels(w, [4], drivable=7, second=True).collect()}
     assert got == {0: (1, 2), 1: (0, 2), 2: (0, 0), 3: (0, 0), 4: (7, 1)}
     assert {r["col"]: r["cls"] for r in placement.region_labels(w, [4], drivable=7).collect()} == {k: v[0] for k, v in got.items()}
+
+
+def test_warps_of_each_frame_equal_bilinear_sums(spark):
+    rng = np.random.default_rng(9)
+    shape = (7, 9)
+    pixels = {(f, r, c): tuple(map(float, rng.integers(0, 255, 3))) for f in (0, 1, 2) for r in range(6) for c in range(8) if rng.random() < 0.9}
+    h = {0: [1, 0, 0, 0, 1, 0, 0, 0, 1], 1: [0.8, 0.1, 0.7, -0.1, 0.9, 1.3, 0.01, 0.02, 1.0], 2: [1, 0, 0, 0, 1, 0, -0.25, 0, 1.0]}
+    df = spark.createDataFrame([(*k, *v) for k, v in pixels.items()], "frame long, row int, col int, r double, g double, b double")
+    frames = spark.createDataFrame([(f, list(map(float, m))) for f, m in h.items()], "frame long, h array<double>")
+    want = {}
+    for f, m in h.items():
+        m = np.reshape(m, (3, 3))
+        for r in range(shape[0]):
+            for c in range(shape[1]):
+                u, v, w = m @ (c, r, 1)
+                if w == 0:
+                    continue
+                u, v = u / w, v / w
+                parts = [((1 - abs(v - y)) * (1 - abs(u - x)), (f, y, x)) for y in (math.floor(v), math.floor(v) + 1) for x in (math.floor(u), math.floor(u) + 1)]
+                hit = [(a, pixels[k]) for a, k in parts if a > 0 and k in pixels]
+                if hit:
+                    want[(f, r, c)] = tuple(sum(a * p[k] for a, p in hit) for k in range(3))
+    got = {(x["frame"], x["row"], x["col"]): (x["r"], x["g"], x["b"]) for x in blend.warp(df, frames, shape).collect()}
+    assert got.keys() == want.keys() and all(got[k] == pytest.approx(want[k]) for k in want)
+    assert {k: v for k, v in got.items() if k[0] == 0} == {k: pytest.approx(v) for k, v in pixels.items() if k[0] == 0}
+
+
+def test_places_without_a_number_have_no_nearest(spark):
+    rows = [(0, 1, 0.0, 0.0), (0, 2, 1.0, 0.0), (0, 3, float("nan"), 0.0), (0, 4, None, 1.0), (0, 5, 5.0, 5.0)]
+    df = spark.createDataFrame(rows, "g long, id long, x double, y double")
+    got = {r["id"]: r["nearest"] for r in grid.nearest_in_group(df, df, ["g"], "id", "id").collect()}
+    assert got == {1: 2, 2: 1, 5: 2}
+
+
+def test_metres_go_back_to_degrees_within_a_millimetre(spark):
+    rng = random.Random(1)
+    rows = [(rng.uniform(-79, 83), rng.uniform(-180, 179.99)) for _ in range(400)] + [(0.0, 9.0), (45.0, 6.0), (-0.0001, 11.99)]
+    df = spark.createDataFrame(rows, "lat double, lon double")
+    zone = geo.utm_zone(F.col("lon"))
+    east, north = geo.latlon_to_utm(F.col("lat"), F.col("lon"))
+    made = df.select("*", zone.alias("zone"), east.alias("x"), north.alias("y"))
+    lat, lon = geo.utm_to_latlon(F.col("x"), F.col("y"), F.col("zone"), F.col("lat") >= 0)
+    for r in made.select("lat", "lon", lat.alias("a"), lon.alias("b")).collect():
+        assert abs(r["lat"] - r["a"]) * 111_000 < 1e-3 and abs(r["lon"] - r["b"]) * 111_000 * math.cos(math.radians(r["lat"])) < 1e-3
