@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from roadweave.functions import camera
 from roadweave.operators import blend, boxparser, graphs, linegraph
-from roadweave.sources import survey
+from roadweave.sources import images, survey
 
 KINDS = ("source", "camera", "predictor", "model", "parser", "processor", "merge")
 _NAMES: dict[str, dict[str, Any]] = {k: {} for k in KINDS}
@@ -89,6 +89,34 @@ class ModelPredictor:
         return pd.concat(rows) if rows else pd.DataFrame(columns=["frame", "row", "col", "cls", "weight"])
 
 
+class TwoHeadPredictor:
+    """A model with a line head and a drivable head, class scores (classes, rows, cols) of each, as one label image.
+
+    The drivable class comes after the line classes and counts only where the
+    line head sees background; a model may have no second head. Labels are
+    brought back from the model's size to the image's by the nearest pixel.
+    """
+
+    def __init__(self, model: Callable[[pd.Series], tuple[Any, Any]], size: tuple[int, int] | None = None):
+        self.model, self.size = model, size
+
+    def labels(self, image: dict) -> Any:
+        import numpy as np
+
+        line, area = self.model(image)
+        drivable = np.shape(line)[0]
+        out = np.argmax(line, axis=0)
+        if area is not None:
+            out = np.where(out == 0, np.argmax(area, axis=0) * drivable, out)
+        if self.size is None:
+            return out
+        r, c = (np.minimum(np.arange(n) * m // n, m - 1) for n, m in zip(self.size, out.shape, strict=True))
+        return out[np.ix_(r, c)]
+
+    def predict(self, batch: pd.DataFrame) -> pd.DataFrame:
+        return ModelPredictor(self.labels).predict(batch)
+
+
 class ColourPredictor:
     """Pixels themselves, channels as classes 0 to 2 (E5)."""
 
@@ -169,7 +197,7 @@ _PRESET_NAMES = {
     },
     "camera": {"Camera": camera.pinhole_of, "LadybugCamera": camera.head_of},
     "parser": {"BoxImageParser": box_parser},
-    "predictor": {"RGBPredictor": ColourPredictor, "ModelPredictor": ModelPredictor},
+    "predictor": {"RGBPredictor": ColourPredictor, "ModelPredictor": ModelPredictor, "SDFPredictor": TwoHeadPredictor},
 }
 for _kind, _items in _PRESET_NAMES.items():
     for _name, _item in _items.items():
@@ -183,8 +211,10 @@ register("camera", "panoramic_head", camera.PanoramicHead)
 register("parser", "boxes", boxparser.ParserOptions)
 register("predictor", "model", ModelPredictor)
 register("predictor", "colour", ColourPredictor)
+register("predictor", "two_heads", TwoHeadPredictor)
 register("merge", "fill", _fill)
 register("merge", "stack", blend.stack_halves)
 register("source", "data_set", survey.data_set)
 register("source", "survey_set", survey.survey_set)
+register("source", "survey_images", images.SurveyImages)
 register("source", "multi_camera", survey.multi_camera)
