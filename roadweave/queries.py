@@ -322,7 +322,7 @@ def region_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     return blend.window_around(at, flat, 2).groupBy("o_orderkey").agg(F.count("*").alias("pixels"), F.sum("weight").alias("weight"))
 
 
-SQL_TURNS = "h as (select frame, 0.9 + frame % 3 * 0.05 as a, 0.1 - frame % 5 * 0.02 as b, frame % 7 * 0.5 as c, 0.02 * (frame % 4) as d, 1.0 - frame % 3 * 0.04 as e, frame % 2 * 0.25 as f, 0.001 * (frame % 6) as g from (select distinct frame from px))"
+SQL_TURNS = "h as (select frame, 0.9013579::double + frame % 3 * 0.0512347::double as a, 0.1024681::double - frame % 5 * 0.0213579::double as b, 0.0123457::double + frame % 7 * 0.4987651::double as c, 0.0031415::double + frame % 4 * 0.0214763::double as d, 0.9987653::double - frame % 3 * 0.0397531::double as e, 0.0271829::double + frame % 2 * 0.2513579::double as f, 0.0002357::double + frame % 6 * 0.0011131::double as g from (select distinct frame from px))"
 
 
 @query(f"""with {SQL_PIXELS}, q as (select frame, row, col, cls, sum(weight) as weight from px group by 1, 2, 3, 4), {SQL_TURNS},
@@ -334,7 +334,7 @@ def frame_warps(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every frame's pixels through a homography of its own, interpolated."""
     px = seen_pixels(spark, sf_dir).groupBy("frame", "row", "col", "cls").agg(F.sum("weight").alias("weight"))
     k = F.col("frame")
-    h = F.array(0.9 + k % 3 * 0.05, 0.1 - k % 5 * 0.02, k % 7 * 0.5, 0.02 * (k % 4), 1.0 - k % 3 * 0.04, k % 2 * 0.25, 0.001 * (k % 6), F.lit(0.0), F.lit(1.0))
+    h = F.array(0.9013579 + k % 3 * 0.0512347, 0.1024681 - k % 5 * 0.0213579, 0.0123457 + k % 7 * 0.4987651, 0.0031415 + k % 4 * 0.0214763, 0.9987653 - k % 3 * 0.0397531, 0.0271829 + k % 2 * 0.2513579, 0.0002357 + k % 6 * 0.0011131, F.lit(0.0), F.lit(1.0))
     out = blend.warp(px, px.select("frame").distinct().withColumn("h", h), (50, 50))
     return out.groupBy("frame", "cls").agg(F.count("*").alias("pixels"), (F.round(F.sum("weight"), 4) + 0.0).alias("weight"), (F.round(F.sum(F.col("weight") * (F.col("row") + 2 * F.col("col"))), 2) + 0.0).alias("moment"))
 
