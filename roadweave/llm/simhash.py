@@ -24,8 +24,8 @@ from roadweave.storage import materialize
 SHINGLE = 3
 RADIUS = 3
 SEED = 42
-#: Partners of a node that are compared at first.
-FIRST_RANKS = 8
+#: Partners that a node names in a table at first.
+FIRST_RANKS = 2
 
 
 @lru_cache
@@ -298,8 +298,7 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGL
     nodes = rows.groupBy(F.col("__fp").alias("fp"), F.col("__check").alias("check"), F.col("__check2").alias("check2")).agg(F.min("doc_id").alias("least"))
     nodes = materialize(nodes.withColumn("rid", F.monotonically_increasing_id()), "simhash-nodes")
     if check_shingle:
-        links = linked(nodes.select(*NODE, "rid"), radius, check_radius)
-        of = connected_components(links, "a_rid", "b_rid").select(F.col("node").alias("rid"), "component")
+        of = linked(nodes.select(*NODE, "rid"), radius, check_radius)
     else:
         edges = materialize(link_fingerprints(nodes.select(*NODE), radius).select("a", "b").distinct(), "simhash-edges")
         of = connected_components(edges, "a", "b").join(nodes.select(F.col("fp").alias("node"), "rid"), "node").select("rid", "component")
@@ -335,31 +334,33 @@ def verified(edges: DataFrame, texts: DataFrame, shingle: int, least: float) ->
 
 
 def linked(nodes: DataFrame, radius: int, check_radius: int, verify: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
-    """(a_rid, b_rid): links that hold all classes of links together; ``verify`` keeps of candidate pairs those that are links.
+    """(rid, component): the classes that links make; ``verify`` keeps of candidate pairs (a_rid, b_rid) those that are links.
 
     ``nodes`` is (fp, check, check2, rid). The nearest partners of each node are
     compared first; what they join is one component, and only pairs of different
     components are compared after that, rank by rank, until no candidate is
     left. So a class costs about its size, and none is parted by a candidate
-    that is refused.
+    that is refused. Later rounds join components, not nodes again.
     """
-    rid = nodes.select(F.struct(*NODE).alias("node"), "rid")
-    at = lambda k: rid.select(F.col("node").alias(f"n_{k}"), F.col("rid").alias(f"{k}_rid"))
     node = lambda k: F.struct(F.col(k).alias("fp"), F.col(f"{k}_check").alias("check"), F.col(f"{k}_check2").alias("check2")).alias(f"n_{k}")
-    buckets = _tables(nodes.withColumns({"component": F.col("rid"), "asks": F.lit(1).cast("long")}), radius, "component", "asks")
-    links, low, high = None, 0, FIRST_RANKS
+    named = nodes.select(*NODE, "rid", F.col("rid").alias("component"))
+    buckets = _tables(named.withColumn("asks", F.lit(1).cast("long")), radius, "component", "asks")
+    low, high = 0, FIRST_RANKS
     while True:
         found = materialize(candidates(buckets, radius, check_radius, low, high), "simhash-candidates")
         edges = found.where("b is not null").select(node("a"), node("b")).distinct()
+        at = lambda k: named.select(F.struct(*NODE).alias(f"n_{k}"), F.col("rid").alias(f"{k}_rid"))
         new = materialize(edges.join(at("a"), "n_a").join(at("b"), "n_b").select("a_rid", "b_rid"), "simhash-pairs")
         if verify is not None:
             new = materialize(verify(new), "simhash-links")
-        links = new if links is None else links.unionAll(new)
+        of = lambda k: named.select(F.col("rid").alias(f"{k}_rid"), F.col("component").alias(k))
+        if low:
+            new = new.join(of("a"), "a_rid").join(of("b"), "b_rid").select(F.col("a").alias("a_rid"), F.col("b").alias("b_rid")).distinct()
+        merged = connected_components(new, "a_rid", "b_rid").select(F.col("node").alias("component"), F.col("component").alias("merged"))
+        named = materialize(named.join(merged, "component", "left").select(*NODE, "rid", F.coalesce("merged", "component").alias("component")), "simhash-classes")
         left = materialize(found.where("b is null").select("t", "key", F.col("a").alias("fp"), F.col("a_check").alias("check"), F.col("a_check2").alias("check2")), "simhash-open")
         if left.isEmpty():
-            return links
-        of = connected_components(links, "a_rid", "b_rid").select(F.col("node").alias("rid"), "component")
-        named = nodes.join(of, "rid", "left").select(*NODE, F.coalesce("component", "rid").alias("component"))
+            return named.select("rid", "component")
         buckets = _tables(named, radius, "component").join(left.select("t", "key").distinct(), ["t", "key"], "left_semi")
         buckets = buckets.join(left.withColumn("asks", F.lit(1).cast("long")), ["t", "key", *NODE], "left").fillna(0, ["asks"])
         low, high = high, high * 8
@@ -382,8 +383,7 @@ def keep_one(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGLE, most
     nodes = rows.groupBy(F.col("__fp").alias("fp"), F.col("__check").alias("check"), F.col("__check2").alias("check2")).agg(F.min(rank).alias("first"))
     nodes = materialize(nodes, "simhash-nodes")
     texts = rows.select(F.col("__rid").alias("rid"), "text")
-    links = linked(nodes.select(*NODE, F.col("first.rid").alias("rid")), radius, check_radius, lambda pairs: verified(pairs, texts, check_shingle, least))
-    of = connected_components(links, "a_rid", "b_rid").select(F.col("node").alias("rid"), "component")
+    of = linked(nodes.select(*NODE, F.col("first.rid").alias("rid")), radius, check_radius, lambda pairs: verified(pairs, texts, check_shingle, least))
     firsts = nodes.select("first").join(of, F.col("first.rid") == F.col("rid"), "left").select("first", F.coalesce("component", "first.rid").alias("component"))
     kept = firsts.groupBy("component").agg(F.min("first").alias("first")).select(F.col("first.rid").alias("__rid"))
     return rows.join(kept, "__rid", "left_semi").select(*docs.columns)

@@ -324,7 +324,7 @@ def near_copies(rng, groups, size, words=160, change=0.035):
     return out
 
 
-@pytest.mark.parametrize("first", [1, 8])
+@pytest.mark.parametrize("first", [1, 2])
 def test_no_link_is_lost_for_one_that_is_refused(spark, monkeypatch, first):
     import random
 

@@ -212,7 +212,7 @@ def test_lm_documents_are_whole_in_their_lanes():
         assert (inputs[t + 1 : stop, lane] == target[t : stop - 1, lane]).all()
         seen.append(tuple(target[t:stop, lane].tolist()))
     assert sorted(seen) == sorted([*map(tuple, (d.tolist() for d in docs[:-1])), tuple(range(lm.LANE_TOKENS)), tuple(range(lm.LANE_TOKENS, lm.LANE_TOKENS + 5))])
-    assert sizes.max() * lm.STREAMS < 1.3 * sizes.sum()
+    assert np.sort(sizes)[-2] * lm.STREAMS < 1.1 * sizes.sum()
 
 
 def test_lm_training_learns_order():
