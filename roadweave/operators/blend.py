@@ -5,6 +5,10 @@ A pixel is (row, col), an observation (frame, row, col, cls, weight).
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -94,10 +98,11 @@ def second_best_class(pixels: DataFrame, by: list[str] | None = None) -> DataFra
     return pixels.withColumn("__r", rank).groupBy(*keys).agg(F.coalesce(second, F.lit(0)).alias("cls"))
 
 
-def majority(rows: DataFrame, by: list[str], cls: str = "cls", without_background: bool = False) -> DataFrame:
-    """The most frequent class of each group, the lowest id on ties."""
+def majority(rows: DataFrame, by: list[str], cls: str = "cls", without_background: bool = False, total: str | None = None) -> DataFrame:
+    """The most frequent class of each group, the lowest id on ties (A7, A8); ``total`` names a column for the rows counted."""
     counted = (rows.where(F.col(cls) != 0) if without_background else rows).groupBy(*by, cls).agg(F.count("*").alias("n"))
-    return counted.groupBy(*by).agg(F.max_by(cls, F.struct("n", -F.col(cls))).alias("cls"))
+    totals = [] if total is None else [F.sum("n").alias(total)]
+    return counted.groupBy(*by).agg(F.max_by(cls, F.struct("n", -F.col(cls))).alias("cls"), *totals)
 
 
 def under_rectangles(boxes: DataFrame) -> DataFrame:
@@ -195,27 +200,84 @@ def affine(pixels: DataFrame, rows: int, cols: int, m: tuple[float, float, float
     return grid.join(source, ["__r", "__c"]).drop("__r", "__c")
 
 
-def warp(pixels: DataFrame, frames: DataFrame, shape: tuple[int, int], by: str = "frame") -> DataFrame:
+def target_boxes(r: np.ndarray, c: np.ndarray, h: np.ndarray, shape: tuple[int, int]) -> np.ndarray:
+    """(first row, last row, first col, last col): all targets that homographies ``h`` (n, 9) take to less than a pixel from each source (r, c).
+
+    The box round the places that the square round a source comes from; all
+    targets where the line at infinity crosses the square, or a matrix has no
+    inverse.
+    """
+    m = h.reshape(-1, 3, 3)
+    back = np.stack([np.cross(m[:, :, 1], m[:, :, 2]), np.cross(m[:, :, 2], m[:, :, 0]), np.cross(m[:, :, 0], m[:, :, 1])], 1)
+    det = np.abs((back[:, 0] * m[:, :, 0]).sum(1))
+    corners = np.stack([np.stack([c + i, r + j, np.ones(len(r))], 1) for i in (-1, 1) for j in (-1, 1)], 2)
+    x, y, z = (back @ corners).transpose(1, 0, 2)
+    far = 1e-6 * np.abs(z).max(1)
+    fits = (det > 1e-9 * np.abs(m).max(2).prod(1)) & ((z.min(1) > far) | (z.max(1) < -far))
+    z = np.where(fits[:, None], z, 1.0)
+    out = np.empty((len(r), 4), np.int32)
+    for k, (v, n) in enumerate(((y / z, shape[0]), (x / z, shape[1]))):
+        out[:, 2 * k] = np.where(fits, np.clip(np.ceil(np.nan_to_num(v.min(1)) - 1e-3), 0, n), 0)
+        out[:, 2 * k + 1] = np.where(fits, np.clip(np.floor(np.nan_to_num(v.max(1)) + 1e-3), -1, n - 1), n - 1)
+    return out
+
+
+def seen_targets(r: np.ndarray, c: np.ndarray, h: np.ndarray, shape: tuple[int, int], most: int = 1 << 20) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """(place in r, target row, target col, share) of every target that a source takes part in, about ``most`` candidates at a time."""
+    row0, row1, col0, col1 = target_boxes(r, c, h, shape).astype(np.int64).T
+    wide = np.maximum(col1 - col0 + 1, 0)
+    sizes = np.maximum(row1 - row0 + 1, 0) * wide
+    ends = sizes.cumsum()
+    begin = 0
+    while begin < len(r):
+        end = max(begin + 1, int(np.searchsorted(ends, ends[begin] - sizes[begin] + most, side="right")))
+        n = sizes[begin:end]
+        k = np.repeat(np.arange(begin, end), n)
+        at = np.arange(len(k)) - np.repeat(n.cumsum() - n, n)
+        row, col = row0[k] + at // wide[k], col0[k] + at % wide[k]
+        m = h[k].T
+        with np.errstate(all="ignore"):
+            depth = m[6] * col + m[7] * row + m[8]
+            u, v = (m[0] * col + m[1] * row + m[2]) / depth, (m[3] * col + m[4] * row + m[5]) / depth
+            share = np.ones(len(k))
+            for x, here in ((v, r[k]), (u, c[k])):
+                low = np.floor(x)
+                share *= np.where(low == here, 1 - x + low, np.where(low + 1 == here, x - low, 0.0))
+            ok = (depth != 0) & (np.abs(u) < 1e6) & (np.abs(v) < 1e6) & (share > 0)
+        yield k[ok], row[ok], col[ok], share[ok]
+        begin = end
+
+
+def warp(pixels: DataFrame, frames: DataFrame, shape: tuple[int, int], by: str = "frame", parts: int | None = None) -> DataFrame:
     """Each frame's image seen through its own homography, interpolated between four pixels.
 
     ``frames`` is (by, h), h the nine numbers, row by row, that take a target
     (col, row, 1) to the source; ``pixels`` (by, row, col, values and classes).
     A target pixel is the weighted sum of the sources round it, ``weight`` for
-    each class, or r, g and b; sources that are missing count nothing. Targets
-    are made by the engine and meet their sources in one equi-join.
+    each class, or r, g and b; sources that are missing count nothing. A source
+    looks for its targets in the box round its four corners' places in the
+    target, so rows are made for pixels that exist, not for whole images; where
+    the line at infinity crosses its square, or the matrix has no inverse, it
+    looks at all targets. ``parts`` is the number of partitions that what is
+    seen is dealt to, by frame.
     """
-    rows, cols = shape
-    grid = frames.select(by, "h", F.explode(F.sequence(F.lit(0), F.lit(rows - 1))).alias("row")).select(by, "h", "row", F.explode(F.sequence(F.lit(0), F.lit(cols - 1))).alias("col"))
-    line = lambda k: F.col("h")[k] * F.col("col") + F.col("h")[k + 1] * F.col("row") + F.col("h")[k + 2]
-    depth = line(6)
-    at = grid.where(depth != 0).select(by, "row", "col", (line(0) / depth).alias("u"), (line(3) / depth).alias("v"))
-    corner = lambda i, j: F.struct((F.floor("v") + i).cast("int").alias("r"), (F.floor("u") + j).cast("int").alias("c"), ((F.col("v") - F.floor("v") if i else 1 - F.col("v") + F.floor("v")) * (F.col("u") - F.floor("u") if j else 1 - F.col("u") + F.floor("u"))).alias("w"))
-    asked = at.where((F.abs("u") < 1e6) & (F.abs("v") < 1e6)).select(by, "row", "col", F.explode(F.array(*[corner(i, j) for i in (0, 1) for j in (0, 1)])).alias("s")).where("s.w > 0")
-    asked = asked.select(by, "row", "col", F.col("s.r").alias("__r"), F.col("s.c").alias("__c"), F.col("s.w").alias("__w"))
     values = [c for c in pixels.columns if c in ("weight", "r", "g", "b")]
     kept = [c for c in pixels.columns if c not in (by, "row", "col", *values)]
-    seen = asked.join(pixels.withColumnsRenamed({"row": "__r", "col": "__c"}), [by, "__r", "__c"])
-    return seen.groupBy(by, "row", "col", *kept).agg(*[F.sum(F.col(c) * F.col("__w")).alias(c) for c in values])
+    nine = [f"__h{k}" for k in range(9)]
+    source = pixels.join(frames.select(by, *[F.col("h")[k].alias(n) for k, n in enumerate(nine)]).hint("merge"), by)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for k, row, col, share in seen_targets(batch["row"].to_numpy(float), batch["col"].to_numpy(float), batch[nine].to_numpy(float), shape):
+                out = batch[[by, *kept]].iloc[k].assign(row=row, col=col)
+                for v in values:
+                    out[v] = batch[v].to_numpy(float)[k] * share
+                yield out
+
+    kinds = [(c, pixels.schema[c].dataType.simpleString()) for c in (by, *kept)] + [(c, "int") for c in PIXEL] + [(c, "double") for c in values]
+    seen = source.select(by, *PIXEL, *kept, *values, *nine).mapInPandas(run, ", ".join(f"`{c}` {kind}" for c, kind in kinds))
+    seen = seen.repartition(*([] if parts is None else [parts]), by)
+    return seen.groupBy(by, *PIXEL, *kept).agg(*[F.sum(c).alias(c) for c in values])
 
 
 def homography(pixels: DataFrame, rows: int, cols: int, h: list[list[float]]) -> DataFrame:

@@ -322,6 +322,13 @@ def test_warps_of_each_frame_equal_bilinear_sums(spark):
     assert {k: v for k, v in got.items() if k[0] == 0} == {k: pytest.approx(v) for k, v in pixels.items() if k[0] == 0}
 
 
+def test_warps_look_only_round_the_pixels_that_exist(spark):
+    px = spark.createDataFrame([(0, 150_000, 70_000, 2.0)], "frame long, row int, col int, weight double")
+    frames = spark.createDataFrame([(0, [1.0, 0.0, 0.5, 0.0, 1.0, 0.0, 0.0, 0.0, 1.0])], "frame long, h array<double>")
+    got = blend.warp(px, frames, (200_000, 200_000)).collect()
+    assert sorted((r["row"], r["col"], r["weight"]) for r in got) == [(150_000, 69_999, 1.0), (150_000, 70_000, 1.0)]
+
+
 def test_places_without_a_number_have_no_nearest(spark):
     rows = [(0, 1, 0.0, 0.0), (0, 2, 1.0, 0.0), (0, 3, float("nan"), 0.0), (0, 4, None, 1.0), (0, 5, 5.0, 5.0)]
     df = spark.createDataFrame(rows, "g long, id long, x double, y double")
