@@ -12,3 +12,13 @@ def plan(df) -> str:
 
 def test_rows_of_rectangles_are_never_broadcast(spark, sf):
     assert "BroadcastHashJoin" not in plan(q.queries()["rectangle_classes"](spark, sf))
+
+
+def nested(spark, n):
+    """Boxes in one cell, each in all later ones, the smallest of id 0."""
+    k = F.col("id")
+    return spark.range(n).select(k.alias("id"), *[(20 - (1 + k) / n).alias(c) for c in ("min_x", "min_y")], *[(20 + (1 + k) / n).alias(c) for c in ("max_x", "max_y")])
+
+
+def test_a_box_is_dropped_by_the_first_smaller_one_found(spark):
+    assert [r["id"] for r in grid.prune_overlaps(nested(spark, 60_000), 40.0).select("id").collect()] == [0]
