@@ -22,3 +22,13 @@ def nested(spark, n):
 
 def test_a_box_is_dropped_by_the_first_smaller_one_found(spark):
     assert [r["id"] for r in grid.prune_overlaps(nested(spark, 60_000), 40.0).select("id").collect()] == [0]
+
+
+def test_a_point_stops_at_the_first_box_that_holds_it(spark):
+    boxes = nested(spark, 60_000)
+    points = boxes.select("id", F.lit(20.0).alias("x"), F.lit(20.0).alias("y"))
+    got = grid.first_box(points, boxes, 40.0).groupBy("box").count().collect()
+    assert {r["box"]: r["count"] for r in got} == {0: 59_999, 1: 1}
+    edge = spark.createDataFrame([(9, 0.0, 1.0), (8, 0.5, 0.5)], "id long, x double, y double")
+    one = spark.createDataFrame([(8, 0.0, 0.0, 2.0, 2.0), (9, 0.0, 0.0, 3.0, 3.0)], "id long, min_x double, min_y double, max_x double, max_y double")
+    assert {r["id"]: r["box"] for r in grid.first_box(edge, one, 40.0).collect()} == {8: 9}
