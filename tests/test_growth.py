@@ -32,3 +32,11 @@ def test_a_point_stops_at_the_first_box_that_holds_it(spark):
     edge = spark.createDataFrame([(9, 0.0, 1.0), (8, 0.5, 0.5)], "id long, x double, y double")
     one = spark.createDataFrame([(8, 0.0, 0.0, 2.0, 2.0), (9, 0.0, 0.0, 3.0, 3.0)], "id long, min_x double, min_y double, max_x double, max_y double")
     assert {r["id"]: r["box"] for r in grid.first_box(edge, one, 40.0).collect()} == {8: 9}
+
+
+def test_points_of_one_place_do_not_all_meet(spark):
+    p = spark.range(20_000).select("id", F.lit(0.5).alias("x"), F.when(F.col("id") == 19_999, 0.53).otherwise(0.5).alias("y"))
+    got = grid.nearest_k(p, p, 0.05, 3, "id", "id")
+    rows = {(r["a"], r["rank"]): r["b"] for r in got.select(F.col("l.id").alias("a"), "rank", F.col("r.id").alias("b")).collect()}
+    assert len(rows) == 60_000
+    assert [rows[a, k] for a in (0, 2, 7, 19_999) for k in (1, 2, 3)] == [1, 2, 3, 0, 1, 3, 0, 1, 2, 0, 1, 2]
