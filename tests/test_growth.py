@@ -48,3 +48,8 @@ def test_sides_are_added_up_without_sorting_pairs(spark):
     out = lanes.annotate_side(nodes, cars)
     assert "SortAggregate" not in plan(out)
     assert {tuple(r) for r in out.collect()} == {(1, 6, "left"), (2, 6, "right"), (3, 6, "right")}
+
+
+def test_angles_are_taken_once_a_box_not_once_a_pair(spark, sf):
+    joins = [x for x in plan(q.queries()["rotated_overlaps"](spark, sf)).splitlines() if "Join" in x]
+    assert joins and not any("COS(" in x for x in joins)
