@@ -16,15 +16,16 @@ from roadweave.operators.components import connected_components
 from roadweave.storage import COMPACT_ROUNDS, materialize
 
 
-def undirected(edges: DataFrame) -> DataFrame:
-    """Both directions of each edge, once; loops go."""
+def undirected(edges: DataFrame, parts: int | None = None) -> DataFrame:
+    """Both directions of each edge, once; loops go. ``parts`` is the number of partitions that they are dealt to."""
     one = edges.select("graph", "src", "dst")
-    return one.unionByName(one.select("graph", F.col("dst").alias("src"), F.col("src").alias("dst"))).where("src <> dst").distinct()
+    both = one.unionByName(one.select("graph", F.col("dst").alias("src"), F.col("src").alias("dst"))).where("src <> dst")
+    return (both if parts is None else both.repartition(parts, "graph", "src", "dst")).distinct()
 
 
-def degrees(edges: DataFrame) -> DataFrame:
+def degrees(edges: DataFrame, parts: int | None = None) -> DataFrame:
     """(graph, node, degree): distinct neighbours."""
-    return undirected(edges).groupBy("graph", F.col("src").alias("node")).agg(F.count("*").alias("degree"))
+    return undirected(edges, parts).groupBy("graph", F.col("src").alias("node")).agg(F.count("*").alias("degree"))
 
 
 def drop_small_graphs(nodes: DataFrame, min_nodes: int = 2) -> DataFrame:

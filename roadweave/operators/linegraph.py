@@ -412,15 +412,18 @@ def renumber(rows: DataFrame) -> DataFrame:
     return rows.withColumn("graph", F.xxhash64("graph", "part")).withColumn("part", F.lit(0).cast("long"))
 
 
-def points_of_interest(nodes: DataFrame, edges: DataFrame, max_corner_deg: float | None = None) -> DataFrame:
-    """(graph, node, reason): ends, forks, class changes and, with a limit, corners; boxes have none (L2)."""
+def points_of_interest(nodes: DataFrame, edges: DataFrame, max_corner_deg: float | None = None, parts: int | None = None) -> DataFrame:
+    """(graph, node, reason): ends, forks, class changes and, with a limit, corners; boxes have none (L2). ``parts`` is the number of partitions that graphs are dealt to."""
     from roadweave.functions import geometry as geo
     from roadweave.operators.graphs import degrees, undirected
 
     open_ = nodes.where("type is null or type <> 'box'") if "type" in nodes.columns else nodes
-    deg = degrees(edges).join(open_.select("graph", "node"), ["graph", "node"], "left_semi")
+    if parts is not None:
+        # a graph's rows lie together through all that follows
+        open_, edges = open_.repartition(parts, "graph"), edges.repartition(parts, "graph")
+    deg = degrees(edges, parts).join(open_.select("graph", "node"), ["graph", "node"], "left_semi")
     ends = deg.where("degree <> 2").select("graph", "node", F.when(F.col("degree") == 1, "end").otherwise("fork").alias("reason"))
-    both = undirected(edges)
+    both = undirected(edges, parts)
     at = lambda side: open_.select("graph", F.col("node").alias(side), *[F.col(c).alias(f"{side}_{c}") for c in ("x", "y", "cls")])
     pair = both.join(at("src"), ["graph", "src"]).join(at("dst"), ["graph", "dst"])
     change = pair.where("src_cls <> dst_cls").select("graph", F.col("src").alias("node"), F.lit("class").alias("reason"))
@@ -430,7 +433,7 @@ def points_of_interest(nodes: DataFrame, edges: DataFrame, max_corner_deg: float
         arms = pair.join(two, ["graph", "src"]).groupBy("graph", "src", "src_x", "src_y").agg(F.min(F.struct("dst", "dst_x", "dst_y")).alias("p"), F.max(F.struct("dst", "dst_x", "dst_y")).alias("q"))
         sharp = geo.is_sharp(F.col("src_x") - F.col("p.dst_x"), F.col("src_y") - F.col("p.dst_y"), F.col("q.dst_x") - F.col("src_x"), F.col("q.dst_y") - F.col("src_y"), max_corner_deg)
         out = out.unionByName(arms.where(sharp).select("graph", F.col("src").alias("node"), F.lit("corner").alias("reason")))
-    return out.distinct()
+    return (out if parts is None else out.repartition(parts, "graph", "node")).distinct()
 
 
 def connect_heads(nodes: DataFrame, edges: DataFrame, max_dist: float, ignore_classes: list[int] | None = None, tails_only: bool = False, ignore_shapes: bool = True) -> tuple[DataFrame, DataFrame]:

@@ -53,3 +53,10 @@ def test_sides_are_added_up_without_sorting_pairs(spark):
 def test_angles_are_taken_once_a_box_not_once_a_pair(spark, sf):
     joins = [x for x in plan(q.queries()["rotated_overlaps"](spark, sf)).splitlines() if "Join" in x]
     assert joins and not any("COS(" in x for x in joins)
+
+
+def test_shuffles_are_dealt_by_the_number_of_rows(spark):
+    edges = spark.createDataFrame([(0, 1, 2), (0, 2, 3)], "graph int, src int, dst int")
+    assert ", 77)" in plan(graphs.degrees(edges, 77))
+    nodes = spark.createDataFrame([(0, k, 0.0, 0.0, 1) for k in (1, 2, 3)], "graph int, node int, x double, y double, cls int")
+    assert ", 77)" in plan(linegraph.points_of_interest(nodes, edges, parts=77))
