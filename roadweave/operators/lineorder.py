@@ -4,6 +4,8 @@ Each edge is two arcs. An arc points to the one that goes on from its end,
 unless a line stops there. Every round an arc takes over its pointer's pointer,
 so that arcs of a line of n nodes know their line's last arc, and how far it is,
 after log2(n) rounds of one equi-join. No line or graph is gathered in one task.
+Cut lines are joined by sorting: their tables are far larger in memory than the
+compressed files whose size would have them broadcast.
 """
 
 from __future__ import annotations
@@ -89,7 +91,7 @@ def line_order(edges: DataFrame, cuts: DataFrame | None = None, classes: DataFra
 def _cut_by_class(ranked: DataFrame, classes: DataFrame) -> DataFrame:
     """Arcs of lines in one direction, cut where the class changes along it, at the last node of the old class; ranks begin again."""
     of = lambda side: classes.select("graph", F.col("node").alias(side), F.col("cls").alias(f"{side}_cls"))
-    changed = ranked.join(of("src"), ["graph", "src"]).join(of("dst"), ["graph", "dst"]).where("src_cls <> dst_cls and rank > 0")
+    changed = ranked.join(of("src").hint("merge"), ["graph", "src"]).join(of("dst").hint("merge"), ["graph", "dst"]).where("src_cls <> dst_cls and rank > 0")
     begins = changed.select("graph", "first_src", "first_dst", F.col("rank").alias("from"))
     if begins.isEmpty():
         return ranked
@@ -101,9 +103,9 @@ def _cut_by_class(ranked: DataFrame, classes: DataFrame) -> DataFrame:
     block = lambda c: F.floor(c / 256)
     spread = parts.withColumn("block", F.explode(F.sequence(block(F.col("from")), block(F.col("until") - 1))))
     line = ["graph", "first_src", "first_dst"]
-    hit = ranked.drop("steps").withColumn("block", block(F.col("rank"))).join(spread, [*line, "block"]).where((F.col("rank") >= F.col("from")) & (F.col("rank") < F.col("until")))
+    hit = ranked.drop("steps").withColumn("block", block(F.col("rank"))).join(spread.hint("merge"), [*line, "block"]).where((F.col("rank") >= F.col("from")) & (F.col("rank") < F.col("until")))
     heads = ranked.select(*line, F.col("rank").alias("from"), F.col("src").alias("h_src"), F.col("dst").alias("h_dst"))
-    named = hit.join(heads, [*line, "from"])
+    named = hit.join(heads.hint("merge"), [*line, "from"])
     return named.select(*ARC, F.col("h_src").alias("first_src"), F.col("h_dst").alias("first_dst"), (F.col("rank") - F.col("from")).alias("rank"), (F.col("until") - F.col("from")).alias("steps"))
 
 
@@ -113,7 +115,7 @@ def linestrings(nodes: DataFrame, edges: DataFrame, splits: DataFrame | None = N
     ``splits`` is (graph, node). A line is one row; its class is that of its
     second node, or of its last one if it has two.
     """
-    order = line_order(edges, splits, nodes.select("graph", "node", "cls")).join(nodes.select("graph", "node", "cls"), ["graph", "node"])
+    order = line_order(edges, splits, nodes.select("graph", "node", "cls")).join(nodes.select("graph", "node", "cls").hint("merge"), ["graph", "node"])
     rows = order.groupBy("graph", "first", "second").agg(F.sort_array(F.collect_list(F.struct("k", "node", "cls"))).alias("p"))
     return rows.select("graph", F.xxhash64("first", "second").alias("line"), F.transform("p", lambda n: n["node"]).alias("nodes"), F.element_at("p", 2)["cls"].alias("cls"))
 

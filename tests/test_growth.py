@@ -55,6 +55,10 @@ def test_angles_are_taken_once_a_box_not_once_a_pair(spark, sf):
     assert joins and not any("COS(" in x for x in joins)
 
 
+def test_tables_of_arcs_are_not_broadcast(spark, sf):
+    assert "BroadcastHashJoin" not in plan(q.queries()["linestring_cuts"](spark, sf))
+
+
 def test_shuffles_are_dealt_by_the_number_of_rows(spark):
     edges = spark.createDataFrame([(0, 1, 2), (0, 2, 3)], "graph int, src int, dst int")
     assert ", 77)" in plan(graphs.degrees(edges, 77))
