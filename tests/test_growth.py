@@ -64,3 +64,38 @@ def test_shuffles_are_dealt_by_the_number_of_rows(spark):
     assert ", 77)" in plan(graphs.degrees(edges, 77))
     nodes = spark.createDataFrame([(0, k, 0.0, 0.0, 1) for k in (1, 2, 3)], "graph int, node int, x double, y double, cls int")
     assert ", 77)" in plan(linegraph.points_of_interest(nodes, edges, parts=77))
+
+
+def parallel_lines(spark, lines, nodes):
+    p = spark.range(lines * nodes).select(F.floor(F.col("id") / nodes).alias("graph"), (F.col("id") % nodes).alias("node"))
+    p = p.select("graph", "node", F.col("node").cast("double").alias("x"), (F.col("graph") * 2.0).alias("y"), F.lit(1.0).alias("dx"), F.lit(0.0).alias("dy"))
+    return p, p.where(F.col("node") < nodes - 1).select("graph", F.col("node").alias("src"), (F.col("node") + 1).alias("dst"))
+
+
+def test_a_lone_candidate_is_not_asked_for_its_neighbours(spark, monkeypatch):
+    def refuse(*_):
+        raise AssertionError("nothing to choose")
+
+    monkeypatch.setattr(lanes, "_close_nodes", refuse)
+    p, e = parallel_lines(spark, 4, 6)
+    seen, rel = lanes.propagate_splits(p, p.where("graph = 0 and node = 3").select("graph", "node"), 1.5, 2.5, 0.2, edges=e)
+    assert {tuple(r) for r in seen.select("graph", "node", "round").collect()} == {(k, 3, k) for k in range(4)}
+    assert rel.count() == 6
+
+
+def test_candidates_meet_their_neighbours_half_way(spark):
+    _, e = parallel_lines(spark, 1, 40)
+    both = graphs.undirected(e)
+    asked = spark.range(40).select(F.lit(0).cast("long").alias("other_graph"), F.col("id").alias("other_node")).where("other_node <> 7")
+    for steps in (0, 1, 3, 4):
+        got = {r["other_node"]: set(r["close"]) for r in lanes._close_nodes(asked, both, steps).collect()}
+        assert got == {a: {b for b in range(40) if b != 7 and abs(a - b) <= steps} for a in range(40) if a != 7}
+
+
+def test_polygons_are_dealt_by_their_number(spark, monkeypatch):
+    monkeypatch.setattr(lanes, "RING_ROWS", 2)
+    at = lambda y: F.array(*[F.struct(F.lit(float(x)).alias("x"), (F.col("id") * 3.0 + y).alias("y")) for x in (0, 5)])
+    lines = spark.range(40).select((F.col("id") * 2).alias("ls"), at(0).alias("xy")).unionByName(spark.range(40).select((F.col("id") * 2 + 1).alias("ls"), at(2).alias("xy")))
+    rings = lanes.lane_rings(spark.range(40).select((F.col("id") * 2).alias("right_ls"), (F.col("id") * 2 + 1).alias("left_ls")), lines)
+    assert "RoundRobinPartitioning(20)" in plan(rings)
+    assert rings.count() == 40 and rings.where("area = 10").count() == 40
