@@ -41,15 +41,19 @@ def remove_dead_ends(edges: DataFrame) -> DataFrame:
     degree D loses its min(leaves, D - 2) leaves of least id. Graphs of two
     nodes or fewer have no fork and are kept.
     """
-    arms = undirected(edges).withColumn("degree", F.count("*").over(Window.partitionBy("graph", "src")))
-    leaves = arms.where("degree = 1").select("graph", F.col("src").alias("leaf"), F.col("dst").alias("src"))
-    forks = arms.groupBy("graph", "src").agg(F.first("degree").alias("degree")).where("degree > 2")
-    spurs = leaves.join(forks, ["graph", "src"])
+    one = edges.select("graph", F.least("src", "dst").alias("src"), F.greatest("src", "dst").alias("dst")).where(edges["src"] != edges["dst"]).distinct()
+    one = materialize(one, "spur-edges")
+    # degrees are added up before they are dealt, so that a large fork is not sorted in one task
+    degree = one.select("graph", F.explode(F.array("src", "dst")).alias("node")).groupBy("graph", "node").agg(F.count("*").alias("degree"))
+    degree = materialize(degree, "spur-degrees")
+    leaves = degree.where("degree = 1").select("graph", F.col("node").alias("leaf"))
+    side = lambda leaf, fork: one.select("graph", F.col(leaf).alias("leaf"), F.col(fork).alias("src")).join(leaves, ["graph", "leaf"], "left_semi")
+    spurs = side("src", "dst").unionByName(side("dst", "src")).join(degree.where("degree > 2").select("graph", F.col("node").alias("src"), "degree"), ["graph", "src"])
     rank = F.row_number().over(Window.partitionBy("graph", "src").orderBy("leaf"))
-    cut = spurs.withColumn("k", rank).where("k <= degree - 2").select("graph", "leaf")
+    cut = materialize(spurs.withColumn("k", rank).where("k <= degree - 2").select("graph", "leaf"), "spurs")
     # a leaf that is cut has one edge, from it to its fork
     gone = cut.select("graph", F.col("leaf").alias("src"))
-    return arms.where("src < dst").select("graph", "src", "dst").join(gone, ["graph", "src"], "left_anti").join(gone.withColumnRenamed("src", "dst"), ["graph", "dst"], "left_anti").select("graph", "src", "dst")
+    return one.join(gone, ["graph", "src"], "left_anti").join(gone.withColumnRenamed("src", "dst"), ["graph", "dst"], "left_anti").select("graph", "src", "dst")
 
 
 def split_components(nodes: DataFrame, edges: DataFrame) -> DataFrame:

@@ -99,3 +99,13 @@ def test_polygons_are_dealt_by_their_number(spark, monkeypatch):
     rings = lanes.lane_rings(spark.range(40).select((F.col("id") * 2).alias("right_ls"), (F.col("id") * 2 + 1).alias("left_ls")), lines)
     assert "RoundRobinPartitioning(20)" in plan(rings)
     assert rings.count() == 40 and rings.where("area = 10").count() == 40
+
+
+def test_degrees_are_added_up_without_sorting_a_forks_edges(spark, monkeypatch):
+    def refuse(*_):
+        raise AssertionError("both directions of every edge")
+
+    monkeypatch.setattr(graphs, "undirected", refuse)
+    e = spark.createDataFrame([(0, k, 9) for k in range(5)] + [(0, 9, 20), (0, 20, 9), (0, 20, 21), (0, 7, 7), (0, None, 9)], "graph long, src long, dst long")
+    got = {tuple(r) for r in graphs.remove_dead_ends(e).select("src", "dst").collect()}
+    assert got == {(4, 9), (9, 20), (20, 21)}
