@@ -1,9 +1,11 @@
 """Work and memory that grow with the rows, not with how many meet in one place."""
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from roadweave import queries as q
 from roadweave.operators import graphs, grid, lanes, linegraph
+from roadweave.operators.components import near_components
 
 
 def plan(df) -> str:
@@ -109,3 +111,25 @@ def test_degrees_are_added_up_without_sorting_a_forks_edges(spark, monkeypatch):
     e = spark.createDataFrame([(0, k, 9) for k in range(5)] + [(0, 9, 20), (0, 20, 9), (0, 20, 21), (0, 7, 7), (0, None, 9)], "graph long, src long, dst long")
     got = {tuple(r) for r in graphs.remove_dead_ends(e).select("src", "dst").collect()}
     assert got == {(4, 9), (9, 20), (20, 21)}
+
+
+def test_points_in_range_are_linked_by_cells(spark):
+    k = F.col("id")
+    dense = spark.range(60_000).select((k + 10).alias("node"), (F.lit(0.5) + k * 1e-9).alias("x"), F.lit(0.5).alias("y"))
+    # in range only of the dense points' edge, by one point that is not outermost; then a gap; a node of two places
+    odd = spark.createDataFrame([(1, 3.0, 3.0), (2, 3.09, 3.0), (3, 3.19001, 3.0), (4, 0.5, 0.6), (5, 0.5, 0.70001), (6, None, 1.0), (7, 3.19, 3.2), (7, 9.0, 9.0), (8, 9.0, 9.05)], "node long, x double, y double")
+    got = {(r["node"], r["component"]) for r in near_components(dense.unionByName(odd), 0.1).collect()}
+    assert {c for n, c in got if n >= 10} == {4}
+    assert {x for x in got if x[0] < 10} == {(1, 1), (2, 1), (3, 3), (4, 4), (5, 5), (7, 7), (8, 7)}
+
+
+def test_cells_are_linked_like_pairs(spark):
+    rng = np.random.default_rng(5)
+    xy = rng.random((600, 2))
+    p = spark.createDataFrame([(k, float(x), float(y)) for k, (x, y) in enumerate(xy)], "node long, x double, y double")
+    got = dict(map(tuple, near_components(p, 0.04).collect()))
+    root = np.arange(600)
+    close = np.hypot(*(xy[:, None] - xy[None]).transpose(2, 0, 1)) <= 0.04
+    while (new := np.where(close, root[None], 600).min(1)).tolist() != root.tolist():
+        root = new
+    assert got == dict(enumerate(root.tolist()))
