@@ -133,3 +133,9 @@ def test_cells_are_linked_like_pairs(spark):
     while (new := np.where(close, root[None], 600).min(1)).tolist() != root.tolist():
         root = new
     assert got == dict(enumerate(root.tolist()))
+
+
+def test_pairs_of_boxes_are_dealt_by_cells(spark, sf):
+    text = plan(q.queries()["box_overlaps"](spark, sf))
+    assert "SortMergeJoin" in text and "BroadcastHashJoin" not in text
+    assert "REPARTITION_BY_NUM" in text
