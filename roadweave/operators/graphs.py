@@ -68,7 +68,7 @@ def pair_hops(edges: DataFrame, pairs: DataFrame, most: int) -> DataFrame:
 
     The search goes from both ends, half the way from each, so it looks at the
     nodes within half of ``most`` of an end and never at a whole graph. Ends
-    that many pairs name are searched once. ``edges`` is (src, dst), either way;
+    that many pairs name, on either side, are searched once. ``edges`` is (src, dst), either way;
     repeated pairs come once, a node is no step from itself, null ends give no
     row.
     """
@@ -76,20 +76,18 @@ def pair_hops(edges: DataFrame, pairs: DataFrame, most: int) -> DataFrame:
     both = materialize(both, "hop-edges")
     asked = materialize(pairs.select("a", "b").where("a is not null and b is not null").distinct(), "hop-pairs")
 
-    def ball(end: str, steps: int) -> DataFrame:
-        frontier = materialize(asked.select(F.col(end).alias("end")).distinct().select("end", F.col("end").alias("node"), F.lit(0).alias("d")), "ball")
-        seen, before = frontier, None
-        for k in range(1, steps + 1):
-            reached = frontier.join(both, F.col("node") == F.col("src")).select("end", F.col("dst").alias("node")).distinct()
-            known = frontier.select("end", "node") if before is None else frontier.select("end", "node").unionAll(before.select("end", "node"))
-            before, frontier = frontier, materialize(reached.join(known, ["end", "node"], "left_anti").withColumn("d", F.lit(k)), "ball")
-            if frontier.isEmpty():
-                break
-            seen = seen.unionByName(frontier)
-        return seen
-
-    left = ball("a", (most + 1) // 2).withColumnsRenamed({"end": "a", "d": "da"})
-    right = ball("b", most // 2).withColumnsRenamed({"end": "b", "d": "db"})
+    ends = asked.select(F.col("a").alias("end")).unionAll(asked.select(F.col("b").alias("end"))).distinct()
+    frontier = materialize(ends.select("end", F.col("end").alias("node"), F.lit(0).alias("d")), "ball")
+    seen, before = frontier, None
+    for k in range(1, (most + 1) // 2 + 1):
+        reached = frontier.join(both, F.col("node") == F.col("src")).select("end", F.col("dst").alias("node")).distinct()
+        known = frontier.select("end", "node") if before is None else frontier.select("end", "node").unionAll(before.select("end", "node"))
+        before, frontier = frontier, materialize(reached.join(known, ["end", "node"], "left_anti").withColumn("d", F.lit(k)), "ball")
+        if frontier.isEmpty():
+            break
+        seen = seen.unionByName(frontier)
+    left = seen.withColumnsRenamed({"end": "a", "d": "da"})
+    right = seen.where(F.col("d") <= most // 2).withColumnsRenamed({"end": "b", "d": "db"})
     met = asked.join(left, "a").join(right, ["b", "node"])
     return met.groupBy("a", "b").agg(F.min(F.col("da") + F.col("db")).alias("hop"))
 

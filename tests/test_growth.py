@@ -139,3 +139,21 @@ def test_pairs_of_boxes_are_dealt_by_cells(spark, sf):
     text = plan(q.queries()["box_overlaps"](spark, sf))
     assert "SortMergeJoin" in text and "BroadcastHashJoin" not in text
     assert "REPARTITION_BY_NUM" in text
+
+
+def test_an_end_named_on_both_sides_is_searched_once(spark, monkeypatch):
+    rows = []
+    kept = graphs.materialize
+
+    def count(df, name):
+        out = kept(df, name)
+        if name == "ball":
+            rows.append(out.count())
+        return out
+
+    monkeypatch.setattr(graphs, "materialize", count)
+    e = spark.range(9).select(F.col("id").alias("src"), (F.col("id") + 1).alias("dst"))
+    pairs = spark.range(9).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b")).unionAll(spark.createDataFrame([(9, 6), (9, 5)], "a long, b long"))
+    got = {tuple(r) for r in graphs.pair_hops(e, pairs, 3).collect()}
+    assert got == {(k, k + 1, 1) for k in range(9)} | {(9, 6, 3)}
+    assert rows == [10, 18, 16]
