@@ -59,7 +59,8 @@ def near_components(points: DataFrame, radius: float) -> DataFrame:
     Points of one small cell are one component, so links are sought between
     cells only: first among their outermost points; of cells that these do not
     link, among the points that are in range of the other's extent. So the rows
-    grow with the points, not with the pairs in range.
+    grow with the points, except where many points of two cells lie just out of
+    range of each other: these are compared pair by pair.
     """
     side = radius * CELL_SHARE
     cell = lambda c: F.floor(F.col(c) / F.lit(side)).cast("long")
