@@ -19,13 +19,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from roadweave.operators.components import connected_components
-from roadweave.storage import materialize
+from roadweave.storage import materialize, release
 
 SHINGLE = 3
 RADIUS = 3
 SEED = 42
 #: Partners that a node names in a table at first.
 FIRST_RANKS = 2
+#: Tables that are searched first, so that large classes are known in the others.
+FIRST_TABLES = 8
 
 
 @lru_cache
@@ -245,38 +247,54 @@ def link_fingerprints(distinct: DataFrame, radius: int = RADIUS) -> DataFrame:
     return rows.repartition("t", "key").sortWithinPartitions("t", "key").mapInPandas(run, ", ".join(f"{n} long" for n in PAIR))
 
 
+def _met(rows: DataFrame, radius: int, first: int, last: int) -> DataFrame:
+    """(t, key, fp, check, check2, rid, component, asks): each row once a table from ``first`` up to ``last``, by whole buckets; all ask.
+
+    Keys are made of the fingerprints again where the rows arrive, not carried.
+    """
+    kept = F.array(*[F.lit(m if m < 2**63 else m - 2**64).cast("long") for m in masks(radius)])
+    key = F.col("fp").bitwiseAND(kept[F.col("t")])
+    dealt = rows.select(F.explode(F.sequence(F.lit(first), F.lit(last - 1))).alias("t"), *NODE, "rid", "component").repartition("t", key)
+    return dealt.select("t", key.alias("key"), *NODE, "rid", "component", F.lit(1).cast("long").alias("asks")).sortWithinPartitions("t", "key")
+
+
 def candidates(rows: DataFrame, radius: int, check_radius: int, low: int, high: int) -> DataFrame:
-    """(t, key, a.., b..): of each bucket the links of rank ``low`` to ``high`` between components; a row with a null b marks a node that has more there.
+    """(t, key, a, b, bits): of each bucket the links (rids, bits of check) of rank ``low`` to ``high`` between components; rows with a null b are buckets of which a node has more.
 
-    ``rows`` is (t, key, fp, check, check2, component, asks), the whole of each
-    bucket; only rows that ask look for partners.
+    ``rows`` is (t, key, fp, check, check2, rid, component, asks), the whole of
+    each bucket in a row; only rows that ask look for partners. Of an open bucket
+    all rows come back, with bits 1 for those that have more.
     """
     kept = np.array(masks(radius), np.uint64)
-    names = ["t", "key", *PAIR]
+    columns = ["fp", "check", "check2", "rid", "component", "asks"]
+    ints = {"t": "int32", "key": "int64", "a": "int64", "b": "Int64", "bits": "int64"}
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for large, two in _buckets(batches, ["fp", "check", "check2", "component", "asks"]):
+        for large, two in _buckets(batches, columns):
             edges, left = [], []
             if two is not None and low == 0:
                 t, a, b = two
-                near = (np.bitwise_count((a[:, 0] ^ b[:, 0]).view(np.uint64)) <= radius) & (np.bitwise_count((a[:, 1:3] ^ b[:, 1:3]).view(np.uint64)).sum(1) <= check_radius) & (a[:, 3] != b[:, 3])
-                t, a, b = t[near], a[near, :3], b[near, :3]
+                near = (np.bitwise_count((a[:, 0] ^ b[:, 0]).view(np.uint64)) <= radius) & (a[:, 4] != b[:, 4])
+                t, a, b = t[near], a[near], b[near]
+                near = np.bitwise_count((a[:, 1:3] ^ b[:, 1:3]).view(np.uint64)).sum(1) <= check_radius
+                t, a, b = t[near], a[near], b[near]
                 ok = (((a[:, 0] ^ b[:, 0]).view(np.uint64)[:, None] & kept) == 0).argmax(1) == t if len(a) else np.zeros(0, bool)
-                edges.append(np.column_stack([a[ok], b[ok]]))
+                edges.append((a[ok], b[ok]))
             for t, key, x in large:
-                e, more = ranked_links(x[:, :3], x[:, 3], np.flatnonzero(x[:, 4]), kept, int(t), radius, check_radius, low, high)
-                edges.append(np.column_stack([x[e[:, 0], :3], x[e[:, 1], :3]]))
+                e, more = ranked_links(x[:, :3], x[:, 4], np.flatnonzero(x[:, 5]), kept, int(t), radius, check_radius, low, high)
+                edges.append((x[e[:, 0]], x[e[:, 1]]))
                 if len(more):
-                    left.append(np.column_stack([np.full(len(more), t, np.int64), np.full(len(more), key, np.int64), x[more, :3]]))
-            if n := sum(map(len, edges)):
-                found = np.concatenate(edges)
-                yield pd.DataFrame(found, columns=PAIR).assign(t=np.zeros(n, np.int16), key=np.zeros(n, np.int64))[names]
+                    asks = np.zeros(len(x), np.int64)
+                    asks[more] = 1
+                    left.append(pd.DataFrame({"t": t, "key": key, "a": x[:, 3], "b": pd.NA, "bits": asks}))
+            if any(len(a) for a, _ in edges):
+                a, b = (np.concatenate(side) for side in zip(*edges, strict=True))
+                bits = np.bitwise_count((a[:, 1:3] ^ b[:, 1:3]).view(np.uint64)).sum(1, dtype=np.int64)
+                yield pd.DataFrame({"t": 0, "key": 0, "a": np.minimum(a[:, 3], b[:, 3]), "b": np.maximum(a[:, 3], b[:, 3]), "bits": bits}).astype(ints)
             if left:
-                yield pd.DataFrame(np.concatenate(left), columns=names[:5]).reindex(columns=names).astype({c: "Int64" for c in PAIR[3:]})
+                yield pd.concat(left).astype(ints)
 
-    # few large buckets are dealt to as many tasks as there are, not joined by their bytes
-    parts = [int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))] if low else []
-    return rows.repartition(*parts, "t", "key").sortWithinPartitions("t", "key").mapInPandas(run, "t short, key long, " + ", ".join(f"{n} long" for n in PAIR))
+    return rows.mapInPandas(run, "t int, key long, a long, b long, bits long")
 
 
 NODE = ("fp", "check", "check2")
@@ -314,56 +332,103 @@ def overlap(a: bytes | None, b: bytes | None, shingle: int) -> float:
     return len(x & y) / len(x | y) if x or y else 1.0
 
 
+def only(rows: DataFrame, rid: str, wanted: DataFrame) -> DataFrame:
+    """``rows`` whose ``rid`` is one of ``wanted`` (rid).
+
+    Ids meet the rows as words of 64 bits, which are few enough to be sent to
+    them; so the rows, whole texts, are not shuffled.
+    """
+    at = lambda c: F.expr(f"cast(`{c}` & 63 as int)")
+    word = lambda c: F.shiftright(c, 6).alias("__word")
+    words = wanted.select("rid", word("rid"), F.call_function("shiftleft", F.lit(1).cast("long"), at("rid")).alias("bit"))
+    words = materialize(words.groupBy("__word").agg(F.bit_or("bit").alias("__bits")), "simhash-words")
+    found = rows.select("*", word(rid)).join(words, "__word")
+    return found.where(F.call_function("shiftright", F.col("__bits"), at(rid)).bitwiseAND(F.lit(1).cast("long")) == 1).select(*rows.columns)
+
+
 def verified(edges: DataFrame, texts: DataFrame, shingle: int, least: float) -> DataFrame:
     """Edges (a, b) between rows whose texts have at least ``least`` of their shingles in common.
 
-    ``texts`` is (rid, text), ``edges`` has a_rid and b_rid too. Only texts that
-    an edge names are carried to it.
+    ``texts`` is (rid, text). Only texts that an edge names are carried to it;
+    their joins sort, as texts are far larger in memory than the files by whose
+    size they would be broadcast.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             ok = [overlap(x, y, shingle) >= least for x, y in zip(batch["a_text"], batch["b_text"], strict=True)]
-            yield batch.loc[ok, ["a_rid", "b_rid"]]
+            yield batch.loc[ok, ["a", "b"]]
+
+    named = edges.select(F.col("a").alias("rid")).unionAll(edges.select(F.col("b").alias("rid")))
+    held = materialize(only(texts, "rid", named).select("rid", F.col("text").cast("binary").alias("text")), "simhash-texts")
+    side = lambda k: held.select(F.col("rid").alias(k), F.col("text").alias(f"{k}_text")).hint("merge")
+    pairs = edges.select("a", "b").join(side("a"), "a").join(side("b"), "b").select("a", "a_text", "b", "b_text")
+    links = materialize(pairs.mapInPandas(run, "a long, b long"), "simhash-links")
+    release(held)
+    return links
+
+
+def _merged(named: DataFrame, links: DataFrame) -> DataFrame:
+    """``named`` with the components that ``links`` (a, b), a table, join as one."""
+    if links.isEmpty():
+        return named
+    of = lambda k: named.select(F.col("rid").alias(k), F.col("component").alias(f"{k}_c"))
+    between = links.join(of("a"), "a").join(of("b"), "b").select("a_c", "b_c").distinct()
+    merged = connected_components(between, "a_c", "b_c").select(F.col("node").alias("component"), F.col("component").alias("merged"))
+    return materialize(named.join(merged, "component", "left").select(*NODE, "rid", F.coalesce("merged", "component").alias("component")), "simhash-classes")
 
-    named = edges.select(F.col("a_rid").alias("rid")).unionAll(edges.select(F.col("b_rid").alias("rid"))).distinct()
-    held = materialize(texts.join(named, "rid", "left_semi").select("rid", F.col("text").cast("binary").alias("text")), "simhash-texts")
-    side = lambda k: held.select(F.col("rid").alias(f"{k}_rid"), F.col("text").alias(f"{k}_text"))
-    pairs = edges.select("a_rid", "b_rid").join(side("a"), "a_rid").join(side("b"), "b_rid").select("a_rid", "a_text", "b_rid", "b_text")
-    return pairs.mapInPandas(run, "a_rid long, b_rid long")
+
+def settled(named: DataFrame, pairs: DataFrame, verify: Callable[[DataFrame], DataFrame] | None) -> DataFrame:
+    """``named`` (fp, check, check2, rid, component) with components joined by those of ``pairs`` (a, b, bits) that ``verify`` keeps.
+
+    Each node's nearest candidate is compared first, and of the others only
+    those that are still of two components; so a large class compares about
+    its size, and every pair is compared or within a class in the end.
+    """
+    if verify is None:
+        return _merged(named, pairs)
+    few = named.count() // 4
+    for all_left in (False, True):
+        of = lambda k, named=named: named.select(F.col("rid").alias(k), F.col("component").alias(f"{k}_c"))
+        apart = materialize(pairs.join(of("a"), "a").join(of("b"), "b").where("a_c <> b_c").select("a", "b", "bits"), "simhash-pairs")
+        if not (n := apart.count()):
+            return named
+        if n <= few or all_left:
+            return _merged(named, verify(apart))
+        nearest = lambda k, o, apart=apart: apart.groupBy(k).agg(F.min(F.struct("bits", o)).alias("m")).select(k, F.col(f"m.{o}").alias(o))
+        picked = materialize(nearest("a", "b").unionByName(nearest("b", "a")).distinct(), "simhash-picked")
+        named = _merged(named, verify(picked))
+        pairs = apart.join(picked, ["a", "b"], "left_anti")
 
 
 def linked(nodes: DataFrame, radius: int, check_radius: int, verify: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
-    """(rid, component): the classes that links make; ``verify`` keeps of candidate pairs (a_rid, b_rid) those that are links.
+    """(rid, component): the classes that links make; ``verify`` keeps of candidate pairs (a, b) those that are links.
 
-    ``nodes`` is (fp, check, check2, rid). The nearest partners of each node are
-    compared first; what they join is one component, and only pairs of different
-    components are compared after that, rank by rank, until no candidate is
-    left. So a class costs about its size, and none is parted by a candidate
-    that is refused. Later rounds join components, not nodes again.
+    ``nodes`` is (fp, check, check2, rid). The nearest partners of each node in
+    a few tables are compared first; what they join is one component, and only
+    pairs of different components are compared after that, in the other tables,
+    then rank by rank, until no candidate is left. So a class costs about its
+    size, and none is parted by a candidate that is refused.
     """
-    node = lambda k: F.struct(F.col(k).alias("fp"), F.col(f"{k}_check").alias("check"), F.col(f"{k}_check2").alias("check2")).alias(f"n_{k}")
-    named = nodes.select(*NODE, "rid", F.col("rid").alias("component"))
-    buckets = _tables(named.withColumn("asks", F.lit(1).cast("long")), radius, "component", "asks")
-    low, high = 0, FIRST_RANKS
-    while True:
-        found = materialize(candidates(buckets, radius, check_radius, low, high), "simhash-candidates")
-        edges = found.where("b is not null").select(node("a"), node("b")).distinct()
-        at = lambda k: named.select(F.struct(*NODE).alias(f"n_{k}"), F.col("rid").alias(f"{k}_rid"))
-        new = materialize(edges.join(at("a"), "n_a").join(at("b"), "n_b").select("a_rid", "b_rid"), "simhash-pairs")
-        if verify is not None:
-            new = materialize(verify(new), "simhash-links")
-        of = lambda k: named.select(F.col("rid").alias(f"{k}_rid"), F.col("component").alias(k))
-        if low:
-            new = new.join(of("a"), "a_rid").join(of("b"), "b_rid").select(F.col("a").alias("a_rid"), F.col("b").alias("b_rid")).distinct()
-        merged = connected_components(new, "a_rid", "b_rid").select(F.col("node").alias("component"), F.col("component").alias("merged"))
-        named = materialize(named.join(merged, "component", "left").select(*NODE, "rid", F.coalesce("merged", "component").alias("component")), "simhash-classes")
-        left = materialize(found.where("b is null").select("t", "key", F.col("a").alias("fp"), F.col("a_check").alias("check"), F.col("a_check2").alias("check2")), "simhash-open")
-        if left.isEmpty():
-            return named.select("rid", "component")
-        buckets = _tables(named, radius, "component").join(left.select("t", "key").distinct(), ["t", "key"], "left_semi")
-        buckets = buckets.join(left.withColumn("asks", F.lit(1).cast("long")), ["t", "key", *NODE], "left").fillna(0, ["asks"])
+    named, tables = nodes.select(*NODE, "rid", F.col("rid").alias("component")), len(masks(radius))
+    open_ = None
+    for first, last in ((0, min(FIRST_TABLES, tables)), (FIRST_TABLES, tables)):
+        if first < last:
+            found = materialize(candidates(_met(named, radius, first, last), radius, check_radius, 0, FIRST_RANKS), "simhash-candidates")
+            named = settled(named, found.where("b is not null").select("a", "b", "bits"), verify)
+            left = found.where("b is null")
+            open_ = left if open_ is None else open_.unionAll(left)
+    low, high = FIRST_RANKS, FIRST_RANKS * 8
+    # few large buckets are dealt to as many tasks as there are, not joined by their bytes
+    parts = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    while not open_.isEmpty():
+        rows = open_.select("t", "key", F.col("a").alias("rid"), F.col("bits").alias("asks")).join(named, "rid")
+        rows = rows.select("t", "key", *NODE, "rid", "component", "asks").repartition(parts, "t", "key").sortWithinPartitions("t", "key")
+        found = materialize(candidates(rows, radius, check_radius, low, high), "simhash-candidates")
+        named = settled(named, found.where("b is not null").select("a", "b", "bits"), verify)
+        open_ = found.where("b is null")
         low, high = high, high * 8
+    return named.select("rid", "component")
 
 
 def keep_one(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGLE, most: int | None = None, check_shingle: int = 5, check_radius: int = 26, least: float = 0.8) -> DataFrame:
@@ -385,5 +450,5 @@ def keep_one(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGLE, most
     texts = rows.select(F.col("__rid").alias("rid"), "text")
     of = linked(nodes.select(*NODE, F.col("first.rid").alias("rid")), radius, check_radius, lambda pairs: verified(pairs, texts, check_shingle, least))
     firsts = nodes.select("first").join(of, F.col("first.rid") == F.col("rid"), "left").select("first", F.coalesce("component", "first.rid").alias("component"))
-    kept = firsts.groupBy("component").agg(F.min("first").alias("first")).select(F.col("first.rid").alias("__rid"))
-    return rows.join(kept, "__rid", "left_semi").select(*docs.columns)
+    kept = firsts.groupBy("component").agg(F.min("first").alias("first")).select(F.col("first.rid").alias("rid"))
+    return only(rows, "__rid", kept).select(*docs.columns)

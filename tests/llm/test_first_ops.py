@@ -354,3 +354,22 @@ def test_no_link_is_lost_for_one_that_is_refused(spark, monkeypatch, first):
 
     kept = simhash.keep_one(docs, radius=6, shingle=1, most=4, check_shingle=5, check_radius=28, least=0.8)
     assert {r["doc_id"] for r in kept.collect()} == {i for i in range(len(texts)) if least(i) == i}
+
+
+def test_a_large_class_compares_about_its_size(spark):
+    rng = np.random.default_rng(6)
+    n = 200
+    fps = rng.integers(0, 2**62) ^ np.array([sum(1 << int(b) for b in rng.choice(62, 3, replace=False)) for _ in range(n)], np.int64)
+    checks = rng.integers(0, 2**62) ^ np.array([1 << int(b) for b in rng.integers(0, 62, n)], np.int64)
+    nodes = spark.createDataFrame([(int(f), int(c), 0, i) for i, (f, c) in enumerate(zip(fps, checks, strict=True))], "fp long, check long, check2 long, rid long")
+    asked = []
+    of = simhash.linked(nodes, 6, 28, lambda pairs: (asked.append(pairs.count()), pairs)[1])
+    assert {r["component"] for r in of.collect()} == {0}
+    assert sum(asked) <= 2 * n
+
+
+def test_asked_rows_are_found_by_words(spark):
+    ids = [0, 5, 63, 64, 8589934592, 8589934655, 17179869185]
+    rows = spark.createDataFrame([(i, f"t{i}") for i in ids], "rid long, text string")
+    found = simhash.only(rows, "rid", spark.createDataFrame([(63,), (63,), (64,), (8589934655,), (1,)], "rid long"))
+    assert {tuple(r) for r in found.collect()} == {(63, "t63"), (64, "t64"), (8589934655, "t8589934655")}
