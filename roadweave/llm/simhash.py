@@ -28,6 +28,8 @@ SEED = 42
 FIRST_RANKS = 2
 #: Tables that are searched first, so that large classes are known in the others.
 FIRST_TABLES = 8
+#: Places to which a sketch deals a text's shingles.
+SKETCH_BITS = 512
 
 
 @lru_cache
@@ -93,6 +95,40 @@ def wide_fingerprint(text: bytes | None, shingle: int) -> tuple[int, int]:
     return int(low), int(high)
 
 
+def parity_sketch(text: bytes | None, shingle: int) -> bytes:
+    """The number of distinct shingles, a long, and a bit for each of ``SKETCH_BITS`` places: whether an odd number of them falls there.
+
+    Shingles that two texts share fall out of the bits by which their sketches
+    differ, so these are at most as many as the shingles that only one has.
+    """
+    import xxhash
+
+    parts = set(shingles(text, shingle))
+    h = np.fromiter(map(partial(xxhash.xxh64_intdigest, seed=SEED), parts), np.uint64, len(parts))
+    odd = np.bincount((h % np.uint64(SKETCH_BITS)).astype(np.int64), minlength=SKETCH_BITS) % 2
+    return np.array([len(parts)], np.int64).tobytes() + np.packbits(odd.astype(np.uint8)).tobytes()
+
+
+def surely_apart(known: dict[int, bytes], a: np.ndarray, b: np.ndarray, least: float) -> np.ndarray:
+    """Which pairs of rids cannot have ``least`` of their shingles in common, by the sketches ``known``; of a pair without both, none.
+
+    Of n shingles of two texts together, both counted, (1 - least) / (1 + least) at
+    most are of one text only if they have ``least`` in common.
+    """
+    out = np.zeros(len(a), bool)
+    if not known:
+        return out
+    none = np.full(1 + SKETCH_BITS // 64, -1, np.int64).tobytes()
+    for at in range(0, len(a), 65536):
+        ids, place = np.unique(np.concatenate([a[at : at + 65536], b[at : at + 65536]]), return_inverse=True)
+        sketches = np.frombuffer(b"".join(known.get(i, none) for i in ids.tolist()), np.int64).reshape(len(ids), -1)
+        x, y = np.split(sketches[place], 2)
+        differ = np.bitwise_count((x[:, 1:] ^ y[:, 1:]).view(np.uint64)).sum(1, dtype=np.int64)
+        far = differ > (x[:, 0] + y[:, 0]) * (1 - least) / (1 + least) + 1e-6
+        out[at : at + 65536] = far & (x[:, 0] >= 0) & (y[:, 0] >= 0)
+    return out
+
+
 def fingerprints(docs: DataFrame, text: str = "text", shingle: int = SHINGLE, most: int | None = None, check_shingle: int | None = None) -> DataFrame:
     """``docs`` with ``__fp``, the fingerprint as a signed long, and ``__check`` and ``__check2``, those of other shingles or 0; whole texts, null as empty."""
 
@@ -146,13 +182,13 @@ def first_met(differ: np.ndarray, kept: np.ndarray, t: int) -> np.ndarray:
     return out
 
 
-def ranked_links(x: np.ndarray, component: np.ndarray, asking: np.ndarray, kept: np.ndarray, t: int, radius: int, check_radius: int, low: int, high: int) -> tuple[np.ndarray, np.ndarray]:
+def ranked_links(x: np.ndarray, component: np.ndarray, asking: np.ndarray, kept: np.ndarray, t: int, radius: int, check_radius: int, low: int, high: int, refused: Callable[[np.ndarray, np.ndarray], np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray]:
     """(pairs of places in ``x``, places that have more) of a bucket of (fingerprint, check, check) rows.
 
     A row's partners are those within both radii that it meets in no earlier
     table, by bits of check. Each place in ``asking`` names the ones from rank
-    ``low`` up to ``high`` that are of another component. Ranks are the same in
-    every round.
+    ``low`` up to ``high`` that are of another component, without pairs of places
+    that are ``refused``. Ranks are the same in every round.
     """
     fps, checks = x[:, 0].astype(np.int64).view(np.uint64), np.ascontiguousarray(x[:, 1:], np.int64).view(np.uint64)
     found, more = [np.zeros((0, 2), np.int64)], [np.zeros(0, np.int64)]
@@ -173,6 +209,9 @@ def ranked_links(x: np.ndarray, component: np.ndarray, asking: np.ndarray, kept:
         starts = np.flatnonzero(np.r_[True, i[1:] != i[:-1]]) if len(i) else np.zeros(0, np.int64)
         rank = np.arange(len(i)) - np.repeat(starts, np.diff(np.r_[starts, len(i)]))
         apart = component[here[i]] != component[j]
+        if refused is not None:
+            asked = np.flatnonzero(apart)
+            apart[asked] = ~refused(here[i[asked]], j[asked])
         more.append(here[np.unique(i[apart & (rank >= high)])])
         named = apart & (rank >= low) & (rank < high)
         a, b = here[i[named]], j[named]
@@ -248,29 +287,39 @@ def link_fingerprints(distinct: DataFrame, radius: int = RADIUS) -> DataFrame:
 
 
 def _met(rows: DataFrame, radius: int, first: int, last: int) -> DataFrame:
-    """(t, key, fp, check, check2, rid, component, asks): each row once a table from ``first`` up to ``last``, by whole buckets; all ask.
+    """(t, key, fp, check, check2, rid, component, sketch, asks): each row once a table from ``first`` up to ``last``, by whole buckets; all ask.
 
     Keys are made of the fingerprints again where the rows arrive, not carried.
     """
     kept = F.array(*[F.lit(m if m < 2**63 else m - 2**64).cast("long") for m in masks(radius)])
     key = F.col("fp").bitwiseAND(kept[F.col("t")])
-    dealt = rows.select(F.explode(F.sequence(F.lit(first), F.lit(last - 1))).alias("t"), *NODE, "rid", "component").repartition("t", key)
-    return dealt.select("t", key.alias("key"), *NODE, "rid", "component", F.lit(1).cast("long").alias("asks")).sortWithinPartitions("t", "key")
+    dealt = rows.select(F.explode(F.sequence(F.lit(first), F.lit(last - 1))).alias("t"), *NODE, "rid", "component", "sketch").repartition("t", key)
+    return dealt.select("t", key.alias("key"), *NODE, "rid", "component", "sketch", F.lit(1).cast("long").alias("asks")).sortWithinPartitions("t", "key")
 
 
-def candidates(rows: DataFrame, radius: int, check_radius: int, low: int, high: int) -> DataFrame:
+def candidates(rows: DataFrame, radius: int, check_radius: int, low: int, high: int, least: float = 0.0) -> DataFrame:
     """(t, key, a, b, bits): of each bucket the links (rids, bits of check) of rank ``low`` to ``high`` between components; rows with a null b are buckets of which a node has more.
 
-    ``rows`` is (t, key, fp, check, check2, rid, component, asks), the whole of
-    each bucket in a row; only rows that ask look for partners. Of an open bucket
-    all rows come back, with bits 1 for those that have more.
+    ``rows`` is (t, key, fp, check, check2, rid, component, sketch, asks), the whole
+    of each bucket in a row; only rows that ask look for partners. Pairs whose
+    sketches, where both have one, tell that they have less than ``least`` in common
+    are no links. Of an open bucket all rows come back, with bits 1 for those that
+    have more.
     """
     kept = np.array(masks(radius), np.uint64)
     columns = ["fp", "check", "check2", "rid", "component", "asks"]
     ints = {"t": "int32", "key": "int64", "a": "int64", "b": "Int64", "bits": "int64"}
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for large, two in _buckets(batches, columns):
+        known: dict[int, bytes] = {}
+
+        def noted() -> Iterator[pd.DataFrame]:
+            for batch in batches:
+                has = batch["sketch"].notna()
+                known.update(zip(batch.loc[has, "rid"].tolist(), batch.loc[has, "sketch"], strict=True))
+                yield batch
+
+        for large, two in _buckets(noted(), columns):
             edges, left = [], []
             if two is not None and low == 0:
                 t, a, b = two
@@ -279,9 +328,11 @@ def candidates(rows: DataFrame, radius: int, check_radius: int, low: int, high:
                 near = np.bitwise_count((a[:, 1:3] ^ b[:, 1:3]).view(np.uint64)).sum(1) <= check_radius
                 t, a, b = t[near], a[near], b[near]
                 ok = (((a[:, 0] ^ b[:, 0]).view(np.uint64)[:, None] & kept) == 0).argmax(1) == t if len(a) else np.zeros(0, bool)
-                edges.append((a[ok], b[ok]))
+                a, b = a[ok], b[ok]
+                near = ~surely_apart(known, a[:, 3], b[:, 3], least)
+                edges.append((a[near], b[near]))
             for t, key, x in large:
-                e, more = ranked_links(x[:, :3], x[:, 4], np.flatnonzero(x[:, 5]), kept, int(t), radius, check_radius, low, high)
+                e, more = ranked_links(x[:, :3], x[:, 4], np.flatnonzero(x[:, 5]), kept, int(t), radius, check_radius, low, high, lambda i, j, x=x: surely_apart(known, x[i, 3], x[j, 3], least))
                 edges.append((x[e[:, 0]], x[e[:, 1]]))
                 if len(more):
                     asks = np.zeros(len(x), np.int64)
@@ -401,30 +452,45 @@ def settled(named: DataFrame, pairs: DataFrame, verify: Callable[[DataFrame], Da
         pairs = apart.join(picked, ["a", "b"], "left_anti")
 
 
-def linked(nodes: DataFrame, radius: int, check_radius: int, verify: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+def sketched(texts: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
+    """(rid, sketch) of the ``texts`` (rid, text) that ``wanted`` (rid) names."""
+
+    @F.pandas_udf("binary")
+    def run(column: pd.Series) -> pd.Series:
+        return pd.Series([parity_sketch(t, shingle) for t in column], dtype=object)
+
+    return materialize(only(texts, "rid", wanted).select("rid", run(F.col("text").cast("binary")).alias("sketch")), "simhash-sketches")
+
+
+def linked(nodes: DataFrame, radius: int, check_radius: int, verify: Callable[[DataFrame], DataFrame] | None = None, sketch: Callable[[DataFrame], DataFrame] | None = None, least: float = 0.0) -> DataFrame:
     """(rid, component): the classes that links make; ``verify`` keeps of candidate pairs (a, b) those that are links.
 
     ``nodes`` is (fp, check, check2, rid). The nearest partners of each node in
     a few tables are compared first; what they join is one component, and only
     pairs of different components are compared after that, in the other tables,
-    then rank by rank, until no candidate is left. So a class costs about its
-    size, and none is parted by a candidate that is refused.
+    then rank by rank, until no candidate is left. Nodes that have more partners
+    than they name take a ``sketch`` (rid, sketch), by which their buckets refuse
+    pairs far below ``least`` without naming them. So a class costs about its size,
+    and so do near copies that are just too different to be of it; none is parted
+    by a candidate that is refused.
     """
     named, tables = nodes.select(*NODE, "rid", F.col("rid").alias("component")), len(masks(radius))
-    open_ = None
+    open_, sketches = None, nodes.select("rid", F.lit(None).cast("binary").alias("sketch")).where("false")
     for first, last in ((0, min(FIRST_TABLES, tables)), (FIRST_TABLES, tables)):
         if first < last:
-            found = materialize(candidates(_met(named, radius, first, last), radius, check_radius, 0, FIRST_RANKS), "simhash-candidates")
+            found = materialize(candidates(_met(named.join(sketches, "rid", "left"), radius, first, last), radius, check_radius, 0, FIRST_RANKS, least), "simhash-candidates")
             named = settled(named, found.where("b is not null").select("a", "b", "bits"), verify)
             left = found.where("b is null")
             open_ = left if open_ is None else open_.unionAll(left)
+            if sketch is not None and not left.isEmpty():
+                sketches = sketches.unionAll(sketch(left.select(F.col("a").alias("rid")).join(sketches, "rid", "left_anti")))
     low, high = FIRST_RANKS, FIRST_RANKS * 8
     # few large buckets are dealt to as many tasks as there are, not joined by their bytes
     parts = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     while not open_.isEmpty():
-        rows = open_.select("t", "key", F.col("a").alias("rid"), F.col("bits").alias("asks")).join(named, "rid")
-        rows = rows.select("t", "key", *NODE, "rid", "component", "asks").repartition(parts, "t", "key").sortWithinPartitions("t", "key")
-        found = materialize(candidates(rows, radius, check_radius, low, high), "simhash-candidates")
+        rows = open_.select("t", "key", F.col("a").alias("rid"), F.col("bits").alias("asks")).join(named, "rid").join(sketches, "rid", "left")
+        rows = rows.select("t", "key", *NODE, "rid", "component", "sketch", "asks").repartition(parts, "t", "key").sortWithinPartitions("t", "key")
+        found = materialize(candidates(rows, radius, check_radius, low, high, least), "simhash-candidates")
         named = settled(named, found.where("b is not null").select("a", "b", "bits"), verify)
         open_ = found.where("b is null")
         low, high = high, high * 8
@@ -448,7 +514,7 @@ def keep_one(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGLE, most
     nodes = rows.groupBy(F.col("__fp").alias("fp"), F.col("__check").alias("check"), F.col("__check2").alias("check2")).agg(F.min(rank).alias("first"))
     nodes = materialize(nodes, "simhash-nodes")
     texts = rows.select(F.col("__rid").alias("rid"), "text")
-    of = linked(nodes.select(*NODE, F.col("first.rid").alias("rid")), radius, check_radius, lambda pairs: verified(pairs, texts, check_shingle, least))
+    of = linked(nodes.select(*NODE, F.col("first.rid").alias("rid")), radius, check_radius, lambda pairs: verified(pairs, texts, check_shingle, least), lambda wanted: sketched(texts, wanted, check_shingle), least)
     firsts = nodes.select("first").join(of, F.col("first.rid") == F.col("rid"), "left").select("first", F.coalesce("component", "first.rid").alias("component"))
     kept = firsts.groupBy("component").agg(F.min("first").alias("first")).select(F.col("first.rid").alias("rid"))
     return only(rows, "__rid", kept).select(*docs.columns)

@@ -1,6 +1,7 @@
 """Sharding, language ID, chat formatting, mixing and SimHash against brute force."""
 
 import hashlib
+import random
 import zlib
 from collections import defaultdict
 
@@ -373,3 +374,40 @@ def test_asked_rows_are_found_by_words(spark):
     rows = spark.createDataFrame([(i, f"t{i}") for i in ids], "rid long, text string")
     found = simhash.only(rows, "rid", spark.createDataFrame([(63,), (63,), (64,), (8589934655,), (1,)], "rid long"))
     assert {tuple(r) for r in found.collect()} == {(63, "t63"), (64, "t64"), (8589934655, "t8589934655")}
+
+
+def test_near_copies_too_different_are_not_compared_pair_by_pair(spark, monkeypatch):
+    rng = random.Random(4)
+    words = [f"w{rng.randrange(400)}" for _ in range(150)]
+    texts = []
+    for _ in range(300):
+        text = list(words)
+        for k in rng.sample(range(150), 4):
+            text[k] = f"x{rng.randrange(10**6)}"
+        texts.append(" ".join(text))
+    asked, verified = [], simhash.verified
+    monkeypatch.setattr(simhash, "verified", lambda edges, *others: (asked.append(edges.count()), verified(edges, *others))[1])
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    kept = simhash.keep_one(docs, radius=6, shingle=1, most=4, check_shingle=5, check_radius=28, least=0.8)
+    sets = [set(simhash.shingles(t.encode(), 5)) for t in texts]
+    alone = {i for i, s in enumerate(sets) if all(len(s & r) < 0.8 * len(s | r) for j, r in enumerate(sets) if j != i)}
+    assert len(alone) > 200 and alone <= {r["doc_id"] for r in kept.collect()}
+    assert 0 < sum(asked) < 15 * len(texts)
+
+
+@pytest.mark.parametrize("n", [0, 3, 40, 3000])
+def test_sketches_refuse_no_link(n):
+    rng = random.Random(n)
+    words = [f"w{rng.randrange(5000)}" for _ in range(n)]
+    texts = []
+    for share in np.linspace(0, 0.2, 30):
+        text = list(words)
+        for k in rng.sample(range(n), int(share * n)):
+            text[k] = f"x{rng.randrange(10**6)}"
+        texts.append(" ".join(text).encode())
+    known = {i: simhash.parity_sketch(t, 5) for i, t in enumerate(texts)}
+    a, b = np.nonzero(~np.eye(len(texts), dtype=bool))
+    apart = simhash.surely_apart(known, a, b, 0.8)
+    close = np.array([simhash.overlap(texts[i], texts[j], 5) >= 0.8 for i, j in zip(a, b, strict=True)])
+    assert not (apart & close).any() and (n != 40 or (apart & ~close).any())
+    assert not simhash.surely_apart({0: known[0]}, a, b, 0.8).any()
