@@ -1,28 +1,36 @@
 """Lines of a graph put in order by pointer doubling.
 
 Each edge is two arcs. An arc points to the one that goes on from its end,
-unless a line stops there. Every round an arc takes over its pointer's pointer,
-so that arcs of a line of n nodes know their line's last arc, and how far it is,
-after log2(n) rounds of one equi-join. No line or graph is gathered in one task.
+unless a line stops there. Tasks take blocks of arcs of near node ids and follow
+pointers within them; then only arcs at which another block points are left to
+rounds, in which an arc takes over its pointer's pointer, so that those of a line
+know its last arc, and how far it is, after log2 of their number rounds of one
+equi-join. No line or graph is gathered in one task: a block is bounded.
 Cut lines are joined by sorting: their tables are far larger in memory than the
 compressed files whose size would have them broadcast.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from roadweave.functions import geometry as g
 from roadweave.operators.graphs import consensus, degrees, undirected
-from roadweave.storage import materialize, release
+from roadweave.storage import materialize, parts, release
 
 ARC = ["graph", "src", "dst"]
+#: Arcs that a task follows at a time.
+BLOCK = 500_000
 
 
-def _stops(edges: DataFrame, cuts: DataFrame | None) -> DataFrame:
+def _stops(arcs: DataFrame, cuts: DataFrame | None) -> DataFrame:
     """(graph, node): ends, forks and cut nodes."""
-    out = degrees(edges).where("degree <> 2").select("graph", "node")
+    out = arcs.groupBy("graph", F.col("src").alias("node")).agg(F.count("*").alias("degree")).where("degree <> 2").select("graph", "node")
     return out if cuts is None else out.unionByName(cuts.select("graph", "node")).distinct()
 
 
@@ -34,9 +42,72 @@ def _pointers(arcs: DataFrame, stops: DataFrame) -> DataFrame:
     return x.select(*ARC, F.when(last, F.col("src")).otherwise(F.col("dst")).alias("to_src"), F.coalesce("to_dst", "dst").alias("to_dst"), F.when(last, 0).otherwise(1).cast("long").alias("far"), F.col("src").alias("least"), last.alias("last"))
 
 
+def followed(arcs: pd.DataFrame) -> pd.DataFrame:
+    """``arcs`` as ``_pointers`` makes them with pointers followed as far as the table goes.
+
+    Each arc points at its line's last arc, or else at the first one on its way
+    that the table lacks. Arcs of a ring that is whole in the table point as before.
+    """
+    n = len(arcs)
+    graph, nodes = pd.factorize(arcs["graph"])[0], pd.factorize(arcs[["src", "dst", "to_src", "to_dst"]].to_numpy().T.ravel())[0].reshape(4, n)
+    # at most BLOCK graphs and 4 * BLOCK nodes have numbers here, so that three of these fit a long
+    key = lambda a, b: (graph * 4 * n + nodes[a]) * 4 * n + nodes[b]
+    at = pd.Index(key(0, 1)).get_indexer(key(2, 3))
+    stays = arcs["last"].to_numpy() | (at < 0)
+    to, far, least = np.where(stays, np.arange(n), at), np.where(stays, 0, arcs["far"].to_numpy()), arcs["least"].to_numpy().copy()
+    for _ in range(n.bit_length()):
+        if stays[to].all():
+            break
+        far, least, to = far + far[to], np.minimum(least, least[to]), to[to]
+    # the arc at which a way ends is the line's last one, or points out of the table
+    ends = stays[to]
+    out = arcs.copy()
+    for c in ("to_src", "to_dst", "last"):
+        out[c] = np.where(ends, arcs[c].to_numpy()[to], arcs[c].to_numpy())
+    out["far"] = np.where(ends, far + np.where(stays, arcs["far"].to_numpy(), 0)[to], arcs["far"].to_numpy())
+    out["least"] = np.where(ends, np.minimum(least, arcs["least"].to_numpy()[to]), arcs["least"].to_numpy())
+    return out
+
+
+def _followed(pointers: DataFrame) -> DataFrame:
+    """``pointers`` followed within blocks of arcs of near ids, each of ``BLOCK`` arcs at most."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: list[pd.DataFrame] = []
+        for batch in batches:
+            if held and sum(map(len, held)) + len(batch) > BLOCK:
+                yield followed(pd.concat(held, ignore_index=True))
+                held = []
+            held.append(batch)
+        if held:
+            yield followed(pd.concat(held, ignore_index=True))
+
+    return pointers.repartitionByRange(parts(pointers, BLOCK), *ARC).mapInPandas(run, pointers.schema)
+
+
+def _onward(arcs: DataFrame, ahead: DataFrame) -> DataFrame:
+    """``arcs`` that point at one of ``ahead`` take over its pointer."""
+    ahead = ahead.select("graph", F.col("src").alias("to_src"), F.col("dst").alias("to_dst"), F.col("to_src").alias("n_src"), F.col("to_dst").alias("n_dst"), F.col("far").alias("n_far"), F.col("least").alias("n_least"), F.col("last").alias("n_last"))
+    return arcs.join(ahead, ["graph", "to_src", "to_dst"]).select(*ARC, F.col("n_src").alias("to_src"), F.col("n_dst").alias("to_dst"), (F.col("far") + F.col("n_far")).alias("far"), F.least("least", "n_least").alias("least"), F.col("n_last").alias("last"))
+
+
 def _doubled(pointers: DataFrame) -> tuple[DataFrame, DataFrame | None]:
     """(arcs that know their line's last arc, arcs of rings with the ring's least node or None)."""
-    state = materialize(pointers, "arcs")
+    pointers = materialize(pointers, "arcs")
+    state = materialize(_followed(pointers), "arcs")
+    release(pointers)
+    done, open_ = state.where("last"), state.where("not last")
+    if open_.isEmpty():
+        return state, None
+    # only arcs at which others still point are doubled
+    met = open_.select("graph", F.col("to_src").alias("src"), F.col("to_dst").alias("dst")).distinct()
+    ends, rings = _rounds(materialize(state.join(met, ARC).select(*state.columns), "arcs"))
+    done = done.unionByName(_onward(open_, ends))
+    return done, None if rings is None else _onward(open_, rings)
+
+
+def _rounds(state: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """``_doubled`` of the table ``state`` of arcs that point at each other only."""
     open_before = seen_least = None
     while True:
         counts = state.where("not last").agg(F.count("*"), F.sum(F.col("least").cast("decimal(38,0)"))).first()
@@ -46,9 +117,7 @@ def _doubled(pointers: DataFrame) -> tuple[DataFrame, DataFrame | None]:
         if (counts[0], counts[1]) == (open_before, seen_least):
             return state.where("last"), state.where("not last")
         open_before, seen_least = counts
-        ahead = state.select("graph", F.col("src").alias("to_src"), F.col("dst").alias("to_dst"), F.col("to_src").alias("n_src"), F.col("to_dst").alias("n_dst"), F.col("far").alias("n_far"), F.col("least").alias("n_least"), F.col("last").alias("n_last"))
-        moved = state.where("not last").join(ahead, ["graph", "to_src", "to_dst"]).select(*ARC, F.col("n_src").alias("to_src"), F.col("n_dst").alias("to_dst"), (F.col("far") + F.col("n_far")).alias("far"), F.least("least", "n_least").alias("least"), F.col("n_last").alias("last"))
-        before, state = state, materialize(state.where("last").unionByName(moved), "arcs")
+        before, state = state, materialize(state.where("last").unionByName(_onward(state.where("not last"), state)), "arcs")
         release(before)
 
 
@@ -78,7 +147,7 @@ def line_order(edges: DataFrame, cuts: DataFrame | None = None, classes: DataFra
     on no line. An empty table gives an empty result.
     """
     arcs = materialize(undirected(edges).where("graph is not null and src is not null and dst is not null"), "line-arcs")
-    stops = materialize(_stops(edges, cuts), "line-stops")
+    stops = materialize(_stops(arcs, cuts), "line-stops")
     ranked = _ranked(arcs, stops)
     end, other = F.struct("first_src", "first_dst"), F.struct(F.col("last_dst").alias("first_src"), F.col("last_src").alias("first_dst"))
     kept = materialize(ranked.where(end < other), "line-ranks")
@@ -158,7 +227,7 @@ def branch_lengths(edges: DataFrame) -> DataFrame:
     counted if it is a fork, but at least one node counts.
     """
     arcs = materialize(undirected(edges).where("graph is not null and src is not null and dst is not null"), "line-arcs")
-    deg = materialize(degrees(edges), "degrees")
+    deg = materialize(arcs.groupBy("graph", F.col("src").alias("node")).agg(F.count("*").alias("degree")), "degrees")
     ranked = _ranked(arcs, deg.where("degree <> 2").select("graph", "node"))
     heads = ranked.where("rank = 0").join(deg.where("degree > 2").select("graph", F.col("node").alias("src")), ["graph", "src"], "left_semi")
     ends = heads.join(deg.select("graph", F.col("node").alias("last_dst"), "degree"), ["graph", "last_dst"])

@@ -2,7 +2,7 @@
 
 import math
 import random
-from collections import deque
+from collections import Counter, deque
 
 import numpy as np
 import pandas as pd
@@ -346,3 +346,27 @@ def test_metres_go_back_to_degrees_within_a_millimetre(spark):
     lat, lon = geo.utm_to_latlon(F.col("x"), F.col("y"), F.col("zone"), F.col("lat") >= 0)
     for r in made.select("lat", "lon", lat.alias("a"), lon.alias("b")).collect():
         assert abs(r["lat"] - r["a"]) * 111_000 < 1e-3 and abs(r["lon"] - r["b"]) * 111_000 * math.cos(math.radians(r["lat"])) < 1e-3
+
+
+def test_lines_within_blocks_need_few_rounds(spark, monkeypatch):
+    edges = spark.createDataFrame([(0, k, k + 1) for k in range(1000)], "graph long, src long, dst long")
+    written, write = [], lineorder.materialize
+    monkeypatch.setattr(lineorder, "materialize", lambda df, name: (written.append(name), write(df, name))[1])
+    assert lineorder.line_order(edges).count() == 1001
+    # rounds are for the session's few partitions, not for 1,000 arcs
+    assert written.count("arcs") <= 7
+
+
+@pytest.mark.parametrize("block", [8])
+def test_lines_across_blocks_equal_those_of_one_block(spark, monkeypatch, block):
+    rng = np.random.default_rng(block)
+    ring = lambda g, nodes: [(g, int(a), int(b)) for a, b in zip(nodes, np.roll(nodes, 1), strict=True)]
+    path = lambda g, nodes: ring(g, nodes)[1:]
+    edges = path(0, rng.permutation(40)) + ring(0, 100 + rng.permutation(9)) + ring(0, 200 + rng.permutation(30)) + path(1, np.arange(25)) + path(1, [7, 90, 91]) + path(1, [7, 80])
+    frame = spark.createDataFrame(edges + edges[:5] + [(1, 3, 3)], "graph long, src long, dst long")
+    got = lambda: {tuple(r) for r in lineorder.line_order(frame).collect()}
+    whole = got()
+    monkeypatch.setattr(lineorder, "BLOCK", block)
+    assert got() == whole
+    # lines of 40, 8, 18, 3 and 2 nodes, rings of 9 and 30 whose first node comes twice
+    assert sorted(Counter((g, a, b) for g, a, b, _, _ in whole).values()) == [2, 3, 8, 10, 18, 31, 40]
