@@ -630,3 +630,19 @@ def test_natural_order(spark):
     names = ["img10.png", "img2.png", "IMG1.png", "a", "img02b.png"]
     got = [r["n"] for r in spark.createDataFrame([(n,) for n in names], "n string").orderBy(g.natural_key(F.col("n")), "n").collect()]
     assert got == ["a", "IMG1.png", "img2.png", "img02b.png", "img10.png"]
+
+
+def test_elevation_of_dense_nodes_looks_at_few(spark, monkeypatch):
+    rng = np.random.default_rng(11)
+    rows = [(i, float(x), float(y), float(i) if i % 2 else None) for i, (x, y) in enumerate(rng.random((600, 2)) * 3)] + [(7, 0.5, 0.5, 70.0), (1000, 9.0, 9.0, None), (1001, None, 1.0, None), (1002, float("nan"), 1.0, 3.0)]
+    n = spark.createDataFrame(rows, "node long, x double, y double, ele double")
+    asked, within = [], lanes.grid.pairs_within
+    monkeypatch.setattr(lanes.grid, "pairs_within", lambda left, right, *a: (asked.append(left.crossJoin(right).count()), within(left, right, *a))[1])
+    got = {(r["node"], r["ele"]) for r in lanes.fill_elevation(n, 1.0).collect()}
+    full = [r for r in rows if r[3] is not None]
+
+    def least(x, y):
+        return min(((i, math.hypot(x - u, y - v), e) for i, u, v, e in full if math.hypot(x - u, y - v) <= 1.0), default=(0, 0, None))[2]
+
+    assert got == {(i, e if e is not None or x is None else least(x, y)) for i, x, y, e in rows}
+    assert sum(asked) < 10 * len(rows)
