@@ -476,6 +476,27 @@ def test_splits_equal_those_by_hand(spark, seed):
     assert {tuple(r) for r in relations.collect()} == want[1] and len(want[0]) > 5
 
 
+def test_late_rounds_of_splits_look_only_about_their_sources(spark, monkeypatch):
+    nodes = {(k, 20 * k + i): (1.5 * i, 2.6 * k, 1.0, 0.0) for k in range(9) for i in range(12) if i < 9 or k < 3}
+    edges = [(k, 20 * k + i, 20 * k + i + 1) for k in range(9) for i in range(11) if i < 8 or k < 3]
+    want = splits_by_hand(nodes, edges, [(0, 4)], 1.2, 4.5, 0.5, 70.0, 5)
+    df = spark.createDataFrame([(*k, *v) for k, v in nodes.items()], "graph long, node long, x double, y double, dx double, dy double")
+    scan, met = grid.scan_line, []
+    monkeypatch.setattr(grid, "scan_line", lambda left, right, *a: (met.append(right.count()), scan(left, right, *a))[1])
+    monkeypatch.setattr(lanes, "MANY_NODES", 0)
+    monkeypatch.setattr(lanes, "HORIZON", 1)
+    seen, relations = lanes.propagate_splits(df, spark.createDataFrame([(0, 4)], "graph long, node long"), 1.2, 4.5, 0.5, edges=spark.createDataFrame(edges, "graph long, src long, dst long"))
+    assert {(r["graph"], r["node"]): r["round"] for r in seen.collect()} == want[0]
+    assert {tuple(r) for r in relations.collect()} == want[1] and max(want[0].values()) > 3
+    assert met[0] < len(nodes) / 2
+
+
+def test_rings_cross_themselves_as_one_by_one():
+    rings = np.random.default_rng(3).uniform(0, 1, (300, 6, 2))
+    crossed = shapes.cross_themselves(rings)
+    assert 0 < crossed.sum() < 300 and [not x for x in crossed] == [shapes.is_simple(r) for r in rings]
+
+
 def test_lane_sides_follow_annotations(spark):
     lines = spark.createDataFrame([(1, 0, 0, 9, 0.0, 0.0), (2, 1, 5, 6, 0.0, 3.0)], "ls long, graph long, first long, last long, cx double, cy double")
     rel = lanes.symmetric(spark.createDataFrame([(0, 0, 1, 5), (0, 9, 1, 6)], "graph long, node long, other_graph long, other_node long"))
