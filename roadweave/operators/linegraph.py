@@ -1,7 +1,9 @@
 """Work that is sequential inside one graph: walks, clean-up, linestrings.
 
 Graphs of a table are spread over the cluster, one group each; inside, a small
-adjacency structure is worked on in Python. Rows in and out are
+adjacency structure is worked on in Python. Large graphs whose clusters become
+boxes first are clustered by tables, so that only what is left of them meets in
+tasks, a connected part each. Rows in and out are
 (graph, part, kind, a, b, x, y, cls, fallback, type): a node row has its id in
 ``a``; an edge row its ends in ``a`` and ``b``.
 """
@@ -9,15 +11,17 @@ adjacency structure is worked on in Python. Rows in and out are
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from roadweave.functions import shapes
+from roadweave.storage import materialize
 
 ROWS = "graph long, part long, kind string, a long, b long, x double, y double, cls long, fallback long, type string"
 COLUMNS = [c.split()[0] for c in ROWS.split(", ")]
@@ -116,6 +120,9 @@ def box_replace(min_cluster_size: int = 5, replace_only: list[int] | None = None
             rest.remove(group)
         return (rest.split() if boxes else [g]) + boxes
 
+    if max_cycle_len is None:
+        # all cycles together cover the nodes of edges that are no bridges, which tables can tell
+        run.over_tables = {"min_cluster_size": min_cluster_size, "replace_only": replace_only, "min_degree": min_degree}
     return run
 
 
@@ -394,17 +401,217 @@ def to_table(graph: int | None, graphs: list[Graph]) -> pa.Table:
     return pa.table([pa.array(c, f.type) for c, f in zip(columns, SCHEMA, strict=True)], schema=SCHEMA)
 
 
+#: Rows of a graph up to which it is worked on whole in one task, whatever the stack.
+WHOLE_ROWS = 200_000
+#: Nodes up to which a table of them is sent to the edges.
+SENT_NODES = 200_000
+
+
 def process(rows: DataFrame, *stack: Processor) -> DataFrame:
-    """A stack of processors over every graph, in one pass; graphs of the result have parts."""
+    """A stack of processors over every graph, in one pass; graphs of the result have parts.
+
+    Where the stack begins with ``box_replace``, graphs of more than
+    ``WHOLE_ROWS`` rows are clustered by tables, and the rest of the stack works
+    on what is left, part by part; parts are numbered as in one pass.
+    """
+    rows = materialize(rows, "graph-rows")
+    if not stack or not hasattr(stack[0], "over_tables"):
+        return _processed(rows, stack)
+    large = materialize(rows.groupBy("graph").agg(F.count("*").alias("n")).where((F.col("n") > WHOLE_ROWS) & F.col("graph").isNotNull()).select("graph"), "large-graphs")
+    if large.isEmpty():
+        return _processed(rows, stack)
+    small = rows.join(F.broadcast(large), "graph", "left_anti").select(*COLUMNS)
+    split = _clustered(rows.join(F.broadcast(large), "graph", "left_semi").select(*COLUMNS), **stack[0].over_tables)
+    made = materialize(_processed(split, stack[1:], ["first", "least"]), "graph-parts")
+    number = F.row_number().over(Window.partitionBy("graph").orderBy("first", "least", "part")).cast("long") - 1
+    parts = made.select("graph", "first", "least", "part").distinct().withColumn("number", number)
+    numbered = made.join(parts, ["graph", "first", "least", "part"]).withColumn("part", F.col("number")).select(*COLUMNS)
+    return _processed(small, stack).unionByName(numbered)
+
+
+def _processed(rows: DataFrame, stack: tuple[Processor, ...], by: list[str] | None = None) -> DataFrame:
+    """The stack over the graphs of the table, or over the pieces of them that ``by``, long columns that stay, tells apart."""
+    by = by or []
 
     def run(group: pa.Table) -> pa.Table:
+        keys = {c: group.column(c)[0].as_py() for c in by}
         group = group.to_pylist()
         work = [from_rows(group)]
         for p in stack:
             work = [made for g in work for made in p(g)]
-        return to_table(group[0]["graph"], work)
+        out = to_table(group[0]["graph"], work)
+        for c, v in keys.items():
+            out = out.append_column(c, pa.array([v] * len(out), pa.int64()))
+        return out
+
+    return rows.groupBy("graph", *by).applyInArrow(run, ", ".join([ROWS, *[f"{c} long" for c in by]]))
+
+
+class Forests:
+    """The edges of a graph, one at a time, that are in one of ``k`` forests: the first that they do not close a cycle in.
+
+    Of any cut these keep ``k`` edges, or all if there are fewer; so two forests
+    have the bridges of the whole graph, and forests of parts of a graph can be
+    put together. Memory grows with the nodes, not with the edges.
+    """
+
+    def __init__(self, k: int) -> None:
+        self.parents: list[dict[int, int]] = [{} for _ in range(k)]
+
+    def root(self, node: int, k: int = 0) -> int:
+        p = self.parents[k]
+        up = p.setdefault(node, node)
+        while up != node:
+            p[node] = p[up]
+            node = p[node]
+            up = p[node]
+        return node
+
+    def add(self, a: int, b: int) -> bool:
+        for k, p in enumerate(self.parents):
+            u, v = self.root(a, k), self.root(b, k)
+            if u != v:
+                p[max(u, v)] = min(u, v)
+                return True
+        return False
 
-    return rows.groupBy("graph").applyInArrow(run, ROWS)
+
+EDGE = "graph long, src long, dst long"
+
+
+def _forest_edges(batches: Iterator[pd.DataFrame], k: int) -> Iterator[pd.DataFrame]:
+    held: dict[int, Forests] = {}
+    for batch in batches:
+        rows = zip(batch["graph"].tolist(), batch["src"].tolist(), batch["dst"].tolist(), strict=True)
+        kept = []
+        for g, a, b in rows:
+            if g not in held:
+                held[g] = Forests(k)
+            kept.append(held[g].add(a, b))
+        yield batch[kept]
+
+
+def _by_graph(edges: DataFrame, k: int) -> DataFrame:
+    """Edges (graph, src, dst) of ``k`` forests of what each task holds, then dealt by graph."""
+    return edges.select("graph", "src", "dst").mapInPandas(lambda batches: _forest_edges(batches, k), EDGE).repartition("graph")
+
+
+def _connected(edges: DataFrame) -> DataFrame:
+    """(graph, node, least): the least node connected to each node of an edge, inside its graph.
+
+    Edges stay where they are but for forests of them, so a task holds nodes of
+    a graph, not its edges.
+    """
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: dict[int, Forests] = {}
+        for batch in batches:
+            for g, a, b in zip(batch["graph"].tolist(), batch["src"].tolist(), batch["dst"].tolist(), strict=True):
+                held.setdefault(g, Forests(1)).add(a, b)
+        for g, forest in held.items():
+            yield pd.DataFrame({"graph": g, "node": list(forest.parents[0]), "least": [forest.root(n) for n in list(forest.parents[0])]})
+
+    return _by_graph(edges, 1).mapInPandas(run, "graph long, node long, least long")
+
+
+def bridges(adj: dict[int, list[int]]) -> set[tuple[int, int]]:
+    """Edges, lesser node first, that no cycle goes through."""
+    low: dict[int, int] = {}
+    at: dict[int, int] = {}
+    out = set()
+    for top in adj:
+        if top in at:
+            continue
+        at[top] = low[top] = len(at)
+        todo = [(top, None, iter(adj[top]))]
+        while todo:
+            node, before, ahead = todo[-1]
+            for m in ahead:
+                if m == before:
+                    continue
+                if m in at:
+                    low[node] = min(low[node], at[m])
+                else:
+                    at[m] = low[m] = len(at)
+                    todo.append((m, node, iter(adj[m])))
+                    break
+            else:
+                todo.pop()
+                if before is not None:
+                    low[before] = min(low[before], low[node])
+                    if low[node] > at[before]:
+                        out.add((min(node, before), max(node, before)))
+    return out
+
+
+def _on_cycles(edges: DataFrame) -> DataFrame:
+    """(graph, node, lost): nodes on a cycle, and how many of their neighbours are on none."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: dict[int, tuple[Forests, dict[int, list[int]]]] = {}
+        for batch in batches:
+            for g, a, b in zip(batch["graph"].tolist(), batch["src"].tolist(), batch["dst"].tolist(), strict=True):
+                forests, adj = held.setdefault(g, (Forests(2), {}))
+                if forests.add(a, b):
+                    adj.setdefault(a, []).append(b)
+                    adj.setdefault(b, []).append(a)
+        for g, (_, adj) in held.items():
+            off = bridges(adj)
+            # all edges of a node that is on no cycle are bridges, and these are in the forests
+            ring = {n for n, ms in adj.items() if any((min(n, m), max(n, m)) not in off for m in ms)}
+            yield pd.DataFrame([(g, n, sum(m not in ring for m in adj[n])) for n in ring], columns=["graph", "node", "lost"])
+
+    return _by_graph(edges, 2).mapInPandas(run, "graph long, node long, lost long")
+
+
+def _box_rows(group: pd.DataFrame) -> pd.DataFrame:
+    corners = shapes.min_area_rectangle(group[["x", "y"]].to_numpy())
+    at = {"graph": group["graph"].iat[0], "part": 0, "first": 1, "least": group["least"].iat[0], "fallback": None, "type": "box"}
+    cls = int(group["cls"].iat[0])
+    rows = [at | {"kind": "node", "a": k, "b": None, "x": float(x), "y": float(y), "cls": cls} for k, (x, y) in enumerate(corners)]
+    rows += [at | {"kind": "edge", "a": k, "b": (k + 1) % 4, "x": None, "y": None, "cls": None} for k in range(4)]
+    return pd.DataFrame(rows)[[*COLUMNS, "first", "least"]].astype({c: "Int64" for c in ("b", "cls", "fallback")})
+
+
+def _clustered(rows: DataFrame, min_cluster_size: int, replace_only: list[int] | None, min_degree: int | None) -> DataFrame:
+    """``box_replace`` by tables: rows with ``first`` and ``least``, which tell the graphs that it makes apart and are in their order.
+
+    Edges are counted and thinned to forests where they are; a task holds nodes
+    of one graph and at most two forests of it, and the points of one cluster.
+    """
+    held = lambda names: F.broadcast(names) if names.count() <= SENT_NODES else names.hint("merge")
+    on = lambda side: lambda names: names.select("graph", F.col("node").alias(side))
+    both_in = lambda edges, names, a="src", b="dst": edges.join(held(on(a)(names)), ["graph", a], "left_semi").join(held(on(b)(names)), ["graph", b], "left_semi")
+
+    nodes = rows.where("kind = 'node'")
+    open_ = nodes.join(nodes.where("type is not null").select("graph").distinct(), "graph", "left_anti")
+    places = materialize(open_.select("graph", F.col("a").alias("node"), "x", "y", F.coalesce("cls", F.lit(0)).alias("cls")), "cluster-nodes")
+    edges = rows.where("kind = 'edge' and a <> b").select("graph", F.least("a", "b").alias("src"), F.greatest("a", "b").alias("dst")).distinct()
+    edges = materialize(both_in(edges, places.select("graph", "node").distinct()), "cluster-edges")
+    degree = edges.select("graph", F.explode(F.array("src", "dst")).alias("node")).groupBy("graph", "node").agg(F.count("*").alias("degree"))
+    core = _on_cycles(edges)
+    if min_degree is not None:
+        core = core.join(degree, ["graph", "node"]).where(F.col("degree") - F.col("lost") > min_degree)
+    core = materialize(core.select("graph", "node"), "cluster-core")
+    of = materialize(_connected(both_in(edges, core)), "cluster-parts")
+    of = core.join(of, ["graph", "node"], "left").withColumn("least", F.coalesce("least", "node")).join(places, ["graph", "node"])
+    votes = of.groupBy("graph", "least", "cls").agg(F.count("*").alias("n"))
+    kept = votes.groupBy("graph", "least").agg(F.sum("n").alias("size"), F.min_by("cls", F.struct(-F.col("n"), "cls")).alias("cls")).where(F.col("size") >= min_cluster_size)
+    if replace_only is not None:
+        kept = kept.where(F.col("cls").isin(replace_only))
+    members = materialize(of.drop("cls").join(kept.drop("size"), ["graph", "least"]).select("graph", "least", "node", "x", "y", "cls"), "cluster-members")
+    boxes = members.groupBy("graph", "least").applyInPandas(_box_rows, ", ".join([ROWS, "first long", "least long"]))
+    boxed = members.select("graph").distinct()
+    gone = members.select("graph", F.col("node"))
+    # what is left falls into its connected parts; single nodes go
+    left = materialize(places.join(boxed, "graph", "left_semi").select("graph", "node").join(gone, ["graph", "node"], "left_anti"), "cluster-rest")
+    links = materialize(both_in(rows.where("kind = 'edge' and a <> b"), left, "a", "b").select(*COLUMNS), "cluster-links")
+    part = materialize(_connected(links.select("graph", F.col("a").alias("src"), F.col("b").alias("dst"))), "cluster-rest-parts")
+    part = part.select("graph", F.col("node").alias("a"), "least")
+    first = lambda df, k, least: df.select(*COLUMNS, F.lit(k).cast("long").alias("first"), least.cast("long").alias("least"))
+    rest = first(nodes.join(part, ["graph", "a"]), 0, F.col("least")).unionByName(first(links.join(part, ["graph", "a"]), 0, F.col("least")))
+    whole = first(rows.join(boxed, "graph", "left_anti"), 0, F.lit(0))
+    return rest.unionByName(boxes).unionByName(whole)
 
 
 def renumber(rows: DataFrame) -> DataFrame:
@@ -446,7 +653,6 @@ def connect_heads(nodes: DataFrame, edges: DataFrame, max_dist: float, ignore_cl
     """
     from roadweave.operators import grid
     from roadweave.operators.components import connected_components
-    from roadweave.storage import materialize
 
     cols = ["old_graph", "node", "graph", "x", "y", "cls"] + (["type"] if "type" in nodes.columns else [])
     now = materialize(nodes.withColumn("old_graph", F.col("graph")).select(*cols), "heads")

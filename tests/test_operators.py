@@ -288,6 +288,28 @@ def test_stack_over_tables(spark):
     assert not [r for r in got if r["graph"] == 2]
 
 
+def test_large_graphs_are_clustered_by_tables_as_in_one_pass(spark, monkeypatch):
+    rng = random.Random(4)
+    made = []
+    for size, reach in ((90, 0.13), (60, 0.02), (70, 0.2)):
+        gr = linegraph.Graph()
+        for n in rng.sample(range(1000), size):
+            gr.add(n, rng.random(), rng.random(), rng.randrange(3))
+        for a in gr.nodes:
+            for b in gr.nodes:
+                if a < b and np.hypot(*np.diff(gr.xy([a, b]), axis=0)[0]) <= reach:
+                    gr.connect(a, b)
+        made.append(gr)
+    nodes, edges = tables(spark, [*made, linegraph.box_replace(min_cluster_size=4)(grid_graph(6))[-1]])
+    rows = linegraph.to_rows(nodes, edges)
+    for stack in ([linegraph.box_replace(), linegraph.cycle_flatten(), linegraph.fork_remove(), linegraph.drop_short(2)], [linegraph.box_replace(replace_only=[1])]):
+        got = lambda: sorted(map(tuple, linegraph.process(rows, *stack).collect()), key=str)  # noqa: B023, E731
+        monkeypatch.setattr(linegraph, "WHOLE_ROWS", 200_000)
+        want = got()
+        monkeypatch.setattr(linegraph, "WHOLE_ROWS", 0)
+        assert got() == want and len({r[:2] for r in want}) >= 4 and {r[9] for r in want} == {None, "box"}
+
+
 def test_linestrings_cut_at_class_forks_and_splits(spark):
     a = line(6)
     for k in (3, 4, 5):
