@@ -498,6 +498,21 @@ def test_splits_equal_those_by_hand(spark, seed):
     assert {tuple(r) for r in relations.collect()} == want[1] and len(want[0]) > 5
 
 
+def test_splits_without_relations_are_found_by_least_sources(spark, monkeypatch):
+    # points all over a field, so that lines come near each other and themselves
+    rng = random.Random(1)
+    nodes = {(k, 40 * k + i): (rng.uniform(0, 5), rng.uniform(0, 5), rng.uniform(-1, 1), rng.uniform(-1, 1)) for k in range(2) for i in range(30)}
+    edges = [(k, 40 * k + i, 40 * k + i + 1) for k in range(2) for i in range(29)]
+    sources = [(k, 40 * k + i) for k in range(2) for i in (3, 9, 15)]
+    want = splits_by_hand(nodes, edges, sources, 0.6, 3.0, 0.6, 70.0, 5)[0]
+    monkeypatch.setattr(lanes, "LEAST_FIRST", 0)
+    monkeypatch.setattr(lanes, "FIRST_SOURCES", 2)
+    df = spark.createDataFrame([(*k, *v) for k, v in nodes.items()], "graph long, node long, x double, y double, dx double, dy double")
+    seen, relations = lanes.propagate_splits(df, spark.createDataFrame(sources, "graph long, node long"), 0.6, 3.0, 0.6, edges=spark.createDataFrame(edges, "graph long, src long, dst long"), with_relations=False)
+    assert {(r["graph"], r["node"]): r["round"] for r in seen.collect()} == want
+    assert relations is None and len(want) > len(sources)
+
+
 def test_late_rounds_of_splits_look_only_about_their_sources(spark, monkeypatch):
     nodes = {(k, 20 * k + i): (1.5 * i, 2.6 * k, 1.0, 0.0) for k in range(9) for i in range(12) if i < 9 or k < 3}
     edges = [(k, 20 * k + i, 20 * k + i + 1) for k in range(9) for i in range(11) if i < 8 or k < 3]
